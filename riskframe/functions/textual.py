@@ -80,9 +80,12 @@ def tokens(value: str | Column, pattern: str = WORD + "{2,}") -> Column:
 
 
 def ngrams(words: Column, n: int) -> Column:
-    """All runs of ``n`` consecutive words, joined by a blank."""
-    if n == 1:
-        return words
-    starts = F.when(F.size(words) >= n, F.sequence(F.lit(1), F.size(words) - (n - 1)))
-    grams = F.transform(starts, lambda i: F.array_join(F.slice(words, i, n), " "))
-    return F.coalesce(grams, F.array().cast("array<string>"))
+    """All runs of ``n`` consecutive words, joined by a blank.
+
+    Shifted slices are zipped, so that ``words`` is evaluated a fixed number of times per row.
+    """
+    length = F.greatest(F.size(words) - (n - 1), F.lit(0))
+    grams = F.slice(words, F.lit(1), length)
+    for shift in range(2, n + 1):
+        grams = F.zip_with(grams, F.slice(words, F.lit(shift), length), lambda a, b: F.concat_ws(" ", a, b))
+    return grams

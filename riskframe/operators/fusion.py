@@ -108,10 +108,15 @@ def argmax(vector: str | Column) -> Column:
     return (F.array_position(vector, F.array_max(vector)) - 1).cast("int")
 
 
+def scale_array(values: Column, factor: Column, apply) -> Column:
+    """Combine every element with one value per row, which is evaluated once."""
+    return F.zip_with(values, F.array_repeat(factor, F.size(values)), apply)
+
+
 def softmax(logits: str | Column) -> Column:
     logits = as_column(logits).cast("array<double>")
-    powers = F.transform(logits, lambda x: F.exp(x - F.array_max(logits)))
-    return F.transform(powers, lambda x: x / F.aggregate(powers, F.lit(0.0), lambda a, b: a + b))
+    powers = scale_array(logits, F.array_max(logits), lambda x, top: F.exp(x - top))
+    return scale_array(powers, F.aggregate(powers, F.lit(0.0), lambda a, b: a + b), lambda x, total: x / total)
 
 
 def one_hot(index: str | Column, n_classes: int) -> Column:

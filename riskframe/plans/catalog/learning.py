@@ -1 +1,169 @@
-"""Placeholder."""
+"""Models. These have no SQL form; the tests check their properties."""
+
+from __future__ import annotations
+
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
+
+from riskframe.functions.presets import MODALITY_WEIGHTS, SYMPTOMS
+from riskframe.operators import anomaly, clean, integrate, models, profile, scorecard, split, stacking
+from riskframe.plans.catalog.fusing import VECTORS, collected, vectors
+from riskframe.plans.catalog.laboratory import latest_wide
+from riskframe.plans.catalog.registry import query, rounded
+from riskframe.plans.scoring import ScoringPlan
+from riskframe.plans.training import TrainingSettings, entity_features, train
+from riskframe.plans.views import LAB_TESTS, N_CLASSES
+
+_VITALS = ["age", "bmi", "heart_rate", "systolic_bp", "respiratory_rate", "temperature", "oxygen_saturation"]
+
+
+@query(
+    "model_feature_vector",
+    "SELECT patient_id, "
+    + " + ".join(f"coalesce({c}, 0)::DOUBLE" for c in _VITALS)
+    + f" AS total, {len(_VITALS)} AS size FROM patients",
+)
+def model_feature_vector(v):
+    assembled = models.assemble(v.patients, _VITALS).withColumn("x", vector_to_array("features"))
+    return assembled.select(
+        "patient_id", F.aggregate("x", F.lit(0.0), lambda a, b: a + b).alias("total"), F.size("x").alias("size")
+    )
+
+
+@query(
+    "model_feature_vector_skipping",
+    "SELECT patient_id, age + bmi AS total FROM patients WHERE age IS NOT NULL AND bmi IS NOT NULL",
+)
+def model_feature_vector_skipping(v):
+    assembled = models.assemble(v.patients.select("patient_id", "age", "bmi"), ["age", "bmi"], invalid="skip")
+    x = vector_to_array("features")
+    return assembled.select("patient_id", (x[0] + x[1]).alias("total"))
+
+
+def _structured(v):
+    rows = entity_features(v.patients, v.symptoms.drop("recorded_date"), v.truth, list(SYMPTOMS), "patient_id")
+    columns = profile.numeric_columns(rows, profile.TRAINING_EXCLUSIONS)
+    return split.stratified_split(rows.na.fill(0, columns), "final_diagnosis"), columns
+
+
+@query("model_forest_predictions")
+def model_forest_predictions(v):
+    rows, columns = _structured(v)
+    model = models.forest_pipeline(columns, "final_diagnosis", trees=20, depth=5).fit(rows.filter("is_train"))
+    return models.prediction_frame(model, rows.filter("NOT is_train"))
+
+
+@query("model_forest_importances")
+def model_forest_importances(v):
+    rows, columns = _structured(v)
+    model = models.forest_pipeline(columns, "final_diagnosis", trees=20, depth=5).fit(rows.filter("is_train"))
+    return models.feature_importances(v.spark, model, columns)
+
+
+@query("model_forest_grid_search")
+def model_forest_grid_search(v):
+    columns = _VITALS
+    rows = v.patients.na.fill(0, columns).join(v.truth, "patient_id")
+    pipeline = models.forest_pipeline(columns, "risk_level", trees=5, depth=3)
+    found = models.grid_search(pipeline, rows, depths=(3, 5), trees=(5,), folds=2)
+    return models.prediction_frame(found.bestModel, rows)
+
+
+@query("model_lab_predictions")
+def model_lab_predictions(v):
+    wide = integrate.join_all([integrate.pivot_mean(v.labs, LAB_TESTS), v.truth], ["patient_id"])
+    rows = split.stratified_split(clean.drop_missing(wide, LAB_TESTS), "final_diagnosis")
+    model = models.forest_pipeline(LAB_TESTS, "final_diagnosis", 20, 5, scale=False).fit(rows.filter("is_train"))
+    return models.prediction_frame(model, rows.filter("NOT is_train"))
+
+
+@query("model_text_predictions")
+def model_text_predictions(v):
+    joined = v.documents.join(v.labels, "doc_id").select("doc_id", "text", F.col("quality").cast("string").alias("quality"))
+    rows = split.stratified_split(joined, "quality", "doc_id")
+    model = models.fit_text_classifier(rows.filter("is_train"), "quality", "text", max_features=1000, max_iter=20)
+    return models.prediction_frame(model, rows.filter("NOT is_train"), ["doc_id"])
+
+
+@query("model_clusters")
+def model_clusters(v):
+    _, clustered, silhouette = models.fit_clusters(latest_wide(v), LAB_TESTS)
+    return clustered.select("patient_id", "cluster", F.lit(silhouette).alias("silhouette"))
+
+
+@query("model_principal_components")
+def model_principal_components(v):
+    projected, shares = models.principal_components(v.patients, _VITALS)
+    return projected.select("patient_id", "pc1", "pc2", F.lit(models.components_for(shares)).alias("components_for_95"))
+
+
+@query("model_anomalies")
+def model_anomalies(v):
+    wide = latest_wide(v)
+    forest = anomaly.fit_forest(wide, LAB_TESTS, trees=100)
+    return forest.detect(wide).select("patient_id", "anomaly_score", "is_anomaly")
+
+
+def _meta(v):
+    wide = vectors(v).join(
+        v.predictions.filter("model = 'structured'").select("patient_id", "y_true"), "patient_id"
+    )
+    plan = ScoringPlan(VECTORS)
+    from riskframe.operators.fusion import meta_features
+
+    stacked = wide.withColumn("_meta", meta_features(VECTORS, N_CLASSES))
+    names = [f"f{i}" for i in range(N_CLASSES * len(VECTORS))]
+    return plan, stacked.select("patient_id", "y_true", *[F.col("_meta")[i].alias(n) for i, n in enumerate(names)]), names
+
+
+@query("model_stacked_probabilities")
+def model_stacked_probabilities(v):
+    _, rows, names = _meta(v)
+    _, held_out = stacking.fit_stack(rows, names, max_iter=20)
+    return held_out.select("patient_id", "y_true", *[F.col("prob")[i].alias(f"p{i}") for i in range(N_CLASSES)])
+
+
+@query(
+    "model_final_prediction",
+    """
+    WITH collected AS (
+      SELECT patient_id, """
+    + ", ".join(f"coalesce(max(CASE WHEN modality = '{m}' THEN prob END), 0.5::DOUBLE) AS {m}_prob" for m in MODALITY_WEIGHTS)
+    + """ FROM modality_scores GROUP BY patient_id),
+    fused AS (SELECT patient_id, """
+    + " + ".join(f"{w}::DOUBLE * {m}_prob" for m, w in MODALITY_WEIGHTS.items())
+    + """ AS f FROM collected)
+    SELECT patient_id, round(f, 9) AS confidence, CASE WHEN f > 0.75 THEN 'Critical' WHEN f > 0.5 THEN 'High'
+      WHEN f > 0.25 THEN 'Moderate' ELSE 'Low' END AS risk_category FROM fused
+    """,
+)
+def model_final_prediction(v):
+    final = stacking.predict_final(collected(v))
+    return rounded(final.select("patient_id", "confidence", "risk_category"), ["confidence"], 9)
+
+
+@query("model_final_prediction_stacked")
+def model_final_prediction_stacked(v):
+    rows = collected(v).join(
+        v.predictions.filter("model = 'structured'").select("patient_id", "y_true"), "patient_id"
+    )
+    model, _ = stacking.fit_stack(rows, [f"{m}_prob" for m in MODALITY_WEIGHTS], max_iter=20)
+    return stacking.predict_final(rows, model).select("patient_id", "predicted_class", "confidence", "risk_category")
+
+
+@query("batch_scoring_records")
+def batch_scoring_records(v):
+    entities = vectors(v).join(v.patients, "patient_id").join(v.symptoms, "patient_id")
+    records = ScoringPlan(VECTORS).records(entities)
+    return records.withColumn("per_modality_scores", F.map_keys("per_modality_scores"))
+
+
+@query("training_run_metrics")
+def training_run_metrics(v):
+    settings = TrainingSettings(
+        forest_trees=10, forest_depth=4, lab_trees=10, lab_depth=4, text_features=500, lab_tests=tuple(LAB_TESTS),
+        note_order=("note_date", "note_id"),
+    )
+    images = v.embeddings.select((F.col("vec_id") * 3).alias("patient_id"), "embedding")
+    run = train(v.patients, v.symptoms.drop("recorded_date"), v.labs, v.notes, v.truth, settings, images)
+    return run.metrics()

@@ -1 +1,228 @@
-"""Placeholder."""
+"""Features of the notes."""
+
+from __future__ import annotations
+
+import numpy as np
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
+
+from riskframe.functions.lexicons import ENTITY_LEXICONS, NOTE_ABBREVIATIONS, STOP_WORDS
+from riskframe.operators import text
+from riskframe.plans.catalog.registry import joined, query, rounded
+
+_CLEANED = r"trim(regexp_replace(regexp_replace(lower(note_text), '[^a-z0-9\s]', '', 'g'), '\s+', ' ', 'g'))"
+_LEXICON = {**NOTE_ABBREVIATIONS, "is": "exists as", "le": "masculine article", "der": "article", "and": "plus"}
+_ARMS = " ".join(f"WHEN '{k}' THEN '{t}'" for k, t in _LEXICON.items())
+
+
+@query(
+    "text_clean_and_expand",
+    f"""
+    WITH expanded AS (
+      SELECT note_id, array_to_string(list_transform(string_split({_CLEANED}, ' '), lambda t: CASE t {_ARMS} ELSE t END), ' ') AS note_text
+      FROM notes)
+    SELECT note_id, note_text, CASE WHEN note_text IS NOT NULL
+      THEN len(list_filter(string_split(note_text, ' '), lambda w: w <> '')) END AS word_count FROM expanded
+    """,
+)
+def text_clean_and_expand(v):
+    return text.clean_notes(v.notes, lexicon=_LEXICON).select("note_id", "note_text", "word_count")
+
+
+_WORDS = {"article_count": ["the", "der", "le", "la"], "joiner_count": ["and", "und", "et", "with"]}
+
+
+def _whole_words(words: list[str]) -> str:
+    wanted = ", ".join(f"'{w.lower()}'" for w in words)
+    return (
+        r"coalesce(len(list_filter(string_split_regex(lower(note_text), '[^\p{L}\p{N}_]+'), "
+        f"lambda x: x IN ({wanted}))), 0)"
+    )
+
+
+@query(
+    "text_lexicon_counts",
+    "SELECT note_id, " + ", ".join(f"{_whole_words(w)} AS {n}" for n, w in _WORDS.items()) + " FROM notes",
+)
+def text_lexicon_counts(v):
+    return text.with_entity_counts(v.notes, lexicons=_WORDS).select("note_id", *_WORDS)
+
+
+@query(
+    "text_medical_entity_counts",
+    "SELECT note_id, "
+    + ", ".join(
+        f"coalesce(len(regexp_extract_all(concat(' ', regexp_replace(lower(note_text), '[^\\p{{L}}\\p{{N}}_]', '  ', 'g'), ' '), "
+        f"' (?:{'|'.join(w.lower().replace('-', '  ').replace(' ', '  ').replace('    ', '  ') for w in words)}) ')), 0) AS {name}"
+        for name, words in ENTITY_LEXICONS.items()
+    )
+    + " FROM notes",
+)
+def text_medical_entity_counts(v):
+    return text.with_entity_counts(v.notes).select("note_id", *ENTITY_LEXICONS)
+
+
+_DRUG_WORDS = ["thi", "ation", "de", "un", "aspirin", "warfarin"]
+
+
+@query("text_drug_counts", f"SELECT note_id, {_whole_words(_DRUG_WORDS)} AS drug_count FROM notes")
+def text_drug_counts(v):
+    return text.with_drug_count(v.notes, drugs=_DRUG_WORDS).select("note_id", "drug_count")
+
+
+_CUES = ["no ", "not ", "without ", "then "]
+
+
+def _substrings(words: list[str]) -> str:
+    parts = [
+        f"(length(lower(note_text)) - length(replace(lower(note_text), '{w}', ''))) // {len(w)}" for w in words
+    ]
+    return f"coalesce({' + '.join(parts)}, 0)"
+
+
+def _phrases(cue: str) -> str:
+    rest = f"array_to_string(string_split(lower(note_text), '{cue}')[i + 1:i + 62], '{cue}')"
+    words = rf"list_filter(string_split_regex(substr({rest}, 1, 60), '\s+'), lambda w: w <> '')[1:4]"
+    return (
+        f"list_transform(range(1, len(string_split(lower(note_text), '{cue}'))), "
+        f"lambda i: array_to_string({words}, ' '))"
+    )
+
+
+@query(
+    "text_negations",
+    f"""
+    SELECT note_id, {_substrings(_CUES)} AS negation_count,
+      coalesce(array_to_string(list_filter(flatten([{", ".join(_phrases(c) for c in _CUES)}]), lambda p: p <> ''), '|'), '') AS negated_terms
+    FROM notes
+    """,
+)
+def text_negations(v):
+    found = text.with_negations(v.notes, cues=_CUES)
+    return found.select("note_id", "negation_count", joined("negated_terms").alias("negated_terms"))
+
+
+_GRAVE, _CALM = ["th", "ation", "ing", "und"], ["le", "on", "er"]
+
+
+@query(
+    "text_severity",
+    f"""
+    SELECT note_id, {_substrings(_GRAVE)} AS critical_keyword_count, {_substrings(_CALM)} AS benign_keyword_count,
+      {_substrings(_GRAVE)} - {_substrings(_CALM)} AS note_severity_score
+    FROM notes
+    """,
+)
+def text_severity(v):
+    scored = text.with_severity(v.notes, critical=_GRAVE, benign=_CALM)
+    return scored.select("note_id", "critical_keyword_count", "benign_keyword_count", "note_severity_score")
+
+
+_STOPS = ", ".join(f"'{w}'" for w in STOP_WORDS)
+
+
+@query(
+    "text_top_terms",
+    f"""
+    WITH terms AS (SELECT unnest(regexp_extract_all(lower(note_text), '[a-z]+')) AS term FROM notes)
+    SELECT term, count(*) AS n FROM terms WHERE length(term) > 2 AND term NOT IN ({_STOPS})
+    GROUP BY term ORDER BY n DESC, term LIMIT 20
+    """,
+)
+def text_top_terms(v):
+    return text.top_terms(v.notes)
+
+
+_TFIDF = r"""
+WITH words AS (
+  SELECT note_id, coalesce(regexp_extract_all(lower(note_text), '[\p{L}\p{N}_]{2,}'), []) AS w FROM notes),
+grams AS (
+  SELECT note_id, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: concat(w[i], ' ', w[i + 1])))) AS term FROM words),
+counts AS (SELECT note_id, term, count(*) AS tf FROM grams GROUP BY note_id, term),
+stats AS (SELECT term, count(*) AS df, sum(tf) AS total FROM counts GROUP BY term),
+size AS (SELECT count(DISTINCT note_id) AS n FROM notes),
+vocabulary AS (
+  SELECT term, df, CAST(total AS BIGINT) AS total, ln((1 + n) / (1 + df)) + 1 AS idf FROM stats, size
+  WHERE df >= 2 AND df <= 0.95::DOUBLE * n ORDER BY total DESC, term LIMIT 5000)
+"""
+
+
+@query(
+    "text_tfidf",
+    f"""{_TFIDF}, weighted AS (
+      SELECT note_id, c.term, tf, tf * idf AS w FROM counts c JOIN vocabulary v ON c.term = v.term)
+    SELECT note_id, term, tf, round(w / sqrt(sum(w * w) OVER (PARTITION BY note_id)), 8) AS weight FROM weighted
+    """,
+)
+def text_tfidf(v):
+    return rounded(text.tfidf(v.notes, "note_id"), ["weight"], 8)
+
+
+@query("text_vocabulary", f"{_TFIDF} SELECT term, df, total, round(idf, 9) AS idf FROM vocabulary")
+def text_vocabulary(v):
+    counts = text.term_counts(v.notes, "note_id", "note_text")
+    size = v.notes.agg(F.count_distinct("note_id")).scalar()
+    return rounded(text.vocabulary(counts, size), ["idf"], 9)
+
+
+@query("text_hashed_tfidf")
+def text_hashed_tfidf(v):
+    notes = v.notes.withColumn("note_text", F.coalesce("note_text", F.lit("")))
+    model = text.hashed_tfidf(max_features=1000).fit(notes)
+    values = vector_to_array("tfidf_features")
+    return model.transform(notes).select(
+        "note_id",
+        F.size(F.filter(values, lambda x: x != 0)).alias("n_terms"),
+        F.aggregate(values, F.lit(0.0), lambda a, b: a + b).alias("total"),
+    )
+
+
+@query(
+    "vector_mean_pooling",
+    """
+    WITH parts AS (
+      SELECT label, unnest(range(0, len(embedding))) AS dim, unnest(embedding)::DOUBLE AS x FROM embeddings WHERE vec_id % 3 <> 0)
+    SELECT label, CAST(dim AS INT) AS dim, round(avg(x), 7) AS x FROM parts GROUP BY label, dim
+    """,
+)
+def vector_mean_pooling(v):
+    masked = v.embeddings.withColumn("mask", (F.col("vec_id") % 3 != 0).cast("int"))
+    pooled = text.pool_mean(masked, "label", "embedding", "mask")
+    return rounded(pooled.select("label", F.posexplode("pooled").alias("dim", "x")), ["x"], 7)
+
+
+@query(
+    "vector_first_pooling",
+    """
+    WITH firsts AS (SELECT label, arg_min(embedding, vec_id) AS e FROM embeddings GROUP BY label)
+    SELECT label, CAST(unnest(range(0, len(e))) AS INT) AS dim, unnest(e)::DOUBLE AS x FROM firsts
+    """,
+)
+def vector_first_pooling(v):
+    pooled = text.pool_first(v.embeddings, "label", "embedding", "vec_id")
+    return pooled.select("label", F.posexplode("pooled").alias("dim", "x")).withColumn("x", F.col("x").cast("double"))
+
+
+@query("text_embedding")
+def text_embedding(v):
+    embedded = text.embed(v.notes.select("note_id", "note_text"), dim=128)
+    return embedded.select("note_id", F.size("embedding").alias("dim"), F.array_max("embedding").alias("peak"))
+
+
+@query("file_embedding")
+def file_embedding(v):
+    pages = v.pages.select("page_id", F.col("html").cast("binary").alias("content"))
+    embedded = text.embed_files(pages, keep=["page_id"])
+    return embedded.select("page_id", "ok", F.array_max("embedding").alias("peak"))
+
+
+@query("text_batch_classification")
+def text_batch_classification(v):
+    def letter_model():
+        def predict(texts):
+            return np.array([[(t or "").lower().count(c) / 50.0 for c in "aeiou"] for t in texts], dtype=np.float32)
+
+        return predict
+
+    scored = text.classify(v.notes.select("note_id", "note_text"), "note_text", letter_model, 5)
+    return scored.select("note_id", "predicted_class", F.array_max("probability").alias("confidence"))

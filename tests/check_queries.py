@@ -31,7 +31,7 @@ def main() -> int:
             if name in ORACLES:
                 found = differences(df, con, ORACLES[name])
             else:
-                found = [] if df.count() else ["no rows"]
+                found = [] if df.collect() else ["no rows"]
         except Exception as error:  # report and go on
             found = [f"{type(error).__name__}: {str(error)[:1500]}"]
         kind = "sql " if name in ORACLES else "rows"
