@@ -13,6 +13,7 @@ from riskframe.plans.catalog.registry import query, rounded
 from riskframe.plans.scoring import ScoringPlan
 from riskframe.plans.training import TrainingSettings, entity_features, train
 from riskframe.plans.views import LAB_TESTS, N_CLASSES
+from riskframe.session import materialize
 
 _VITALS = ["age", "bmi", "heart_rate", "systolic_bp", "respiratory_rate", "temperature", "oxygen_saturation"]
 
@@ -43,7 +44,7 @@ def model_feature_vector_skipping(v):
 def _structured(v):
     rows = entity_features(v.patients, v.symptoms.drop("recorded_date"), v.truth, list(SYMPTOMS), "patient_id")
     columns = profile.numeric_columns(rows, profile.TRAINING_EXCLUSIONS)
-    return split.stratified_split(rows.na.fill(0, columns), "final_diagnosis"), columns
+    return split.stratified_split(materialize(rows.na.fill(0, columns)), "final_diagnosis"), columns
 
 
 @query("model_forest_predictions")

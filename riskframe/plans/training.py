@@ -120,7 +120,8 @@ def train(
     def structured() -> tuple[PipelineModel, DataFrame]:
         features = entity_features(patients, symptoms, labelled, list(s.flags), key)
         columns = profile.numeric_columns(features, profile.TRAINING_EXCLUSIONS)
-        rows = features.na.fill(0, columns)
+        # Fitting passes over the rows many times; saving them also keeps the plan of each pass short.
+        rows = materialize(features.na.fill(0, columns))
         pipeline = models.forest_pipeline(columns, label, s.forest_trees, s.forest_depth, s.seed)
         fit_on = integrate.keep_ids(rows, train_ids, key)
         if s.search_depths and s.search_trees:
@@ -131,7 +132,7 @@ def train(
 
     def nlp() -> tuple[PipelineModel, DataFrame]:
         joined = clean.drop_missing(integrate.join_all([notes, labelled.select(key, label)], [key]), ["note_text"])
-        rows = integrate.concat_texts(joined, key, "note_text", s.note_order, label=label)
+        rows = materialize(integrate.concat_texts(joined, key, "note_text", s.note_order, label=label))
         model = models.fit_text_classifier(
             integrate.keep_ids(rows, train_ids, key), label, "note_text", max_features=s.text_features
         )
@@ -140,7 +141,7 @@ def train(
     def lab() -> tuple[PipelineModel, DataFrame]:
         tests = list(s.lab_tests) or sorted(r[0] for r in labs.select("test_name").distinct().collect())
         wide = integrate.join_all([integrate.pivot_mean(labs, tests, key), labelled.select(key, label)], [key])
-        rows = clean.drop_missing(wide, tests)
+        rows = materialize(clean.drop_missing(wide, tests))
         pipeline = models.forest_pipeline(tests, label, s.lab_trees, s.lab_depth, s.seed, scale=False)
         return pipeline.fit(integrate.keep_ids(rows, train_ids, key)), rows
 

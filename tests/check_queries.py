@@ -33,7 +33,7 @@ def main() -> int:
             else:
                 found = [] if df.collect() else ["no rows"]
         except Exception as error:  # report and go on
-            found = [f"{type(error).__name__}: {str(error)[:1500]}"]
+            found = [f"{type(error).__name__}: {str(error)[:500]}"]
         kind = "sql " if name in ORACLES else "rows"
         print(f"{'FAIL' if found else 'ok  '} {kind} {time.time() - start:6.2f}s {name}", *found, sep="\n     ", flush=True)
         if found:
