@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from riskframe.operators.fusion import min_max_inverted
 from riskframe.session import materialize
 
-THRESHOLD_ACCURACY = 100_000
+THRESHOLD_ACCURACY = 10_000
 _NODE = "tree int, node int, feature int, cut double, left int, right int, path double"
 
 

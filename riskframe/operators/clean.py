@@ -11,7 +11,7 @@ from pyspark.sql.types import IntegerType
 from riskframe.functions.presets import AGE_BANDS, BMI_BANDS, SMOKING_CODES, SYMPTOM_SYSTEM, VITAL_RANGES
 from riskframe.functions.rules import Rules, as_column, flag_sum
 
-MEDIAN_ACCURACY = 100_000
+MEDIAN_ACCURACY = 10_000
 
 
 def require(df: DataFrame, columns: list[str] | tuple[str, ...]) -> None:

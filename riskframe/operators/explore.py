@@ -13,6 +13,8 @@ from riskframe.functions.presets import RISK_LEVELS
 from riskframe.operators.prefix import group_quantiles
 from riskframe.operators.sizing import lookup_join
 
+EDGE_ACCURACY = 10_000
+
 
 def _melt(df: DataFrame, keys: Sequence[str], columns: Sequence[str], name: str = "feature") -> DataFrame:
     entries = [F.struct(F.lit(c).alias(name), F.col(c).cast("double").alias("value")) for c in columns]
@@ -208,7 +210,7 @@ def mutual_information(df: DataFrame, columns: Sequence[str], label: str, bins:
     """Mutual information (nats) between each quantile-binned column and the class; NULL counts as 0."""
     value = {c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in columns}
     probs = [i / bins for i in range(1, bins)]
-    edges = df.agg(F.struct(*[F.percentile_approx(v, probs, 100_000).alias(c) for c, v in value.items()]).alias("e"))
+    edges = df.agg(F.struct(*[F.percentile_approx(v, probs, EDGE_ACCURACY).alias(c) for c, v in value.items()]).alias("e"))
     edges = edges.scalar()
 
     def bin_of(c: str) -> Column:

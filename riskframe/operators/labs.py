@@ -12,7 +12,7 @@ from riskframe.functions.rules import clamp
 from riskframe.operators.clean import out_of_range, require
 from riskframe.operators.sizing import lookup_join
 
-FENCE_ACCURACY = 100_000
+FENCE_ACCURACY = 10_000
 Ranges = dict[str, tuple[float, float]]
 
 

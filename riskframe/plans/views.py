@@ -56,12 +56,12 @@ FROM customer
 """
 
 
-def _per_test(side: int) -> str:
-    arms = " ".join(f"WHEN '{t}' THEN CAST({LAB_RANGES[t][side]} AS DOUBLE)" for t in LAB_TESTS)
-    return f"CASE test_name {arms} END"
+def _by_test(values: list[str]) -> str:
+    return f"list_extract([{', '.join(values)}], test_no)"
 
 
-_TEST_NAME = "CASE l_partkey % 15 " + " ".join(f"WHEN {i} THEN '{t}'" for i, t in enumerate(LAB_TESTS)) + " END"
+_NAMES = _by_test([f"'{t}'" for t in LAB_TESTS])
+_LOWS, _HIGHS = (_by_test([f"CAST({LAB_RANGES[t][side]} AS DOUBLE)" for t in LAB_TESTS]) for side in (0, 1))
 _LABS = f"""
 SELECT patient_id, test_date, test_name,
   CASE WHEN (l_orderkey + l_linenumber) % 53 <> 0 THEN
@@ -70,9 +70,9 @@ SELECT patient_id, test_date, test_name,
   END AS value,
   reference_low, reference_high, l_orderkey AS order_no, l_linenumber AS line_no
 FROM (
-  SELECT *, {_per_test(0)} AS reference_low, {_per_test(1)} AS reference_high
+  SELECT *, {_NAMES} AS test_name, {_LOWS} AS reference_low, {_HIGHS} AS reference_high
   FROM (
-    SELECT o_custkey AS patient_id, CAST(l_shipdate AS DATE) AS test_date, {_TEST_NAME} AS test_name,
+    SELECT o_custkey AS patient_id, CAST(l_shipdate AS DATE) AS test_date, CAST(l_partkey % 15 AS INT) + 1 AS test_no,
       (l_partkey * 31 + l_orderkey * 7 + l_linenumber * 13) % 200 AS position,
       l_orderkey, l_partkey, l_linenumber
     FROM lineitem JOIN orders ON l_orderkey = o_orderkey
@@ -178,21 +178,34 @@ def with_views(body: str) -> str:
     return f"WITH {views}, {head[5:]}" if head[:5].upper() == "WITH " else f"WITH {views} {head}"
 
 
+_SPARK_FORMS = (
+    (r"unnest\(\[(.*?)\]\)", r"explode(array(\1))"),
+    (r"list_extract\(\[(.*?)\], (\w+)\)", r"element_at(array(\1), \2)"),
+)
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
 class Views:
-    """The views over one folder of tables, each a lazy DataFrame."""
+    """The views over one folder of tables, each a lazy DataFrame.
+
+    ``spread`` deals the rows of every table over that many tasks. It is for files with a single row group,
+    which one task would read alone; tables of many files do not need it.
+    """
 
-    def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder = spark, folder.rstrip("/")
+    def __init__(self, spark: SparkSession, folder: str, spread: int | None = None):
+        self.spark, self.folder, self.spread = spark, folder.rstrip("/"), spread
 
     def table(self, name: str) -> DataFrame:
-        return table(self.spark, self.folder, name)
+        rows = table(self.spark, self.folder, name)
+        return rows.repartition(self.spread) if self.spread else rows
 
     def view(self, name: str) -> DataFrame:
-        sql = re.sub(r"unnest\(\[(.*?)\]\)", r"explode(array(\1))", with_views(VIEW_SQL[name]))
+        sql = with_views(VIEW_SQL[name])
+        for pattern, spark_form in _SPARK_FORMS:
+            sql = re.sub(pattern, spark_form, sql)
         used = {t: self.table(t) for t in TABLES if _mentions(t, sql)}
         for t in used:
             sql = re.sub(rf"\b(FROM|JOIN)(\s+){t}\b", rf"\1\2{{{t}}}", sql)
