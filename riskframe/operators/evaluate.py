@@ -132,7 +132,8 @@ def overall_metrics(df: DataFrame, by: By = ("model",)) -> DataFrame:
 
 def class_scores(df: DataFrame, by: By = ("model",), prob: str = "prob") -> DataFrame:
     """Positive and negative counts per class and distinct score, counted before the shuffle."""
-    long = df.select(*by, "y_true", F.posexplode(prob).alias("class", "score"))
+    # The outer form keeps the optimizer from adding a size test that evaluates a derived array twice.
+    long = df.select(*by, "y_true", F.posexplode_outer(prob).alias("class", "score")).filter(F.col("class").isNotNull())
     positive = (F.col("y_true") == F.col("class")).cast("long")
     return long.groupBy(*by, "class", "score").agg(F.sum(positive).alias("pos"), F.sum(1 - positive).alias("neg"))
 

@@ -130,7 +130,9 @@ def fit_text_vectorizer(
     max_df: float = 0.95,
 ) -> PipelineModel:
     """Words and word pairs, the most frequent terms, smoothed idf plus one, unit length."""
-    counter = CountVectorizer(inputCol="_grams", outputCol="_tf", vocabSize=max_features, minDF=min_df, maxDF=max_df)
+    # A share of 1 means no upper limit; the vectorizer would read it as one document.
+    limit = max_df if max_df < 1 else float(2**53)
+    counter = CountVectorizer(inputCol="_grams", outputCol="_tf", vocabSize=max_features, minDF=min_df, maxDF=limit)
     counted = Pipeline(stages=[*_word_stages(text), counter]).fit(df)
     idf = IDF(inputCol="_tf", outputCol="_idf").fit(counted.transform(df))
     weights = Vectors.dense(np.asarray(idf.idf.toArray()) + 1.0)
@@ -139,7 +141,7 @@ def fit_text_vectorizer(
             *counted.stages,
             ElementwiseProduct(scalingVec=weights, inputCol="_tf", outputCol="_weighted"),
             Normalizer(p=2.0, inputCol="_weighted", outputCol=output),
-            SQLTransformer(statement=f"SELECT * EXCEPT (_words, _pairs, _grams, _tf, _weighted) FROM __THIS__"),
+            SQLTransformer(statement="SELECT * EXCEPT (_words, _pairs, _grams, _tf, _weighted) FROM __THIS__"),
         ]
     )
 
