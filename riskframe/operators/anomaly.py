@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from riskframe.operators.fusion import min_max_inverted
-from riskframe.session import materialize
 
 THRESHOLD_ACCURACY = 10_000
 _NODE = "tree int, node int, feature int, cut double, left int, right int, path double"
@@ -66,10 +65,13 @@ class IsolationForest:
         return df.withColumn(name, score(_vector(self.columns)))
 
     def detect(self, df: DataFrame) -> DataFrame:
-        """Add ``anomaly_score`` (0-1 over the table, 1 is the most anomalous) and ``is_anomaly``."""
+        """Add ``anomaly_score`` (0-1 over the table, 1 is the most anomalous) and ``is_anomaly``.
+
+        Lazy: the limits of the score come from a second pass that reads only the model's columns.
+        """
         if self.threshold is None:
             raise RuntimeError("the forest has no threshold; fit it first")
-        scored = materialize(self.raw_scores(df, "_raw").withColumn("_low_is_odd", -F.col("_raw")))
+        scored = self.raw_scores(df, "_raw").withColumn("_low_is_odd", -F.col("_raw"))
         flagged = scored.withColumn("is_anomaly", (F.col("_raw") > F.lit(self.threshold)).cast("int"))
         return min_max_inverted(flagged, "_low_is_odd").drop("_raw", "_low_is_odd")
 

@@ -9,7 +9,7 @@ from pyspark.ml import Pipeline
 from pyspark.ml.feature import IDF, HashingTF, StopWordsRemover, Tokenizer
 from pyspark.ml.functions import array_to_vector, predict_batch_udf, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, FloatType
 
@@ -134,8 +134,13 @@ def tfidf(
     n_documents = df.agg(F.count_distinct(key)).scalar()
     terms = vocabulary(counts, n_documents, min_df, max_df, max_features).select("term", "idf")
     weighted = lookup_join(counts, terms, ["term"]).withColumn("w", F.col("tf") * F.col("idf"))
-    norms = weighted.groupBy(key).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    return weighted.join(norms, key).select(key, "term", "tf", (F.col("w") / F.col("norm")).alias("weight"))
+    square = F.sum(F.col("w") * F.col("w"))
+    if max_features is not None:
+        # A key has at most ``max_features`` rows here, so its window is small.
+        normed = weighted.withColumn("norm", F.sqrt(square.over(Window.partitionBy(key))))
+    else:
+        normed = weighted.join(weighted.groupBy(key).agg(F.sqrt(square).alias("norm")), key)
+    return normed.select(key, "term", "tf", (F.col("w") / F.col("norm")).alias("weight"))
 
 
 def pool_mean(df: DataFrame, key: str, vector: str, mask: str | None = None) -> DataFrame:
