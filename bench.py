@@ -55,7 +55,7 @@ def main() -> None:
         },
     )
     spark.sparkContext.setLogLevel("ERROR")
-    views, seconds = Views(spark, folder, spread=int(os.environ.get("BENCH_SPREAD", "0")) or None), {}
+    views, seconds = Views(spark, folder, spread=int(os.environ.get("BENCH_SPREAD", cpus)) or None), {}
     for name in names:
         taken = []
         for _ in range(runs + 1):  # the first run warms the JVM and the file cache
