@@ -76,18 +76,17 @@ def pivot_latest(
 ) -> DataFrame:
     """Wide table with the latest value (and ``<name>_abnormal`` flag) of every measurement.
 
-    One pass: the latest row is taken by an aggregate per entity and name, so value and flag come from
-    the same row and a repeated measurement collapses before the shuffle.
+    The latest row per entity and name is kept first, so value and flag come from the same row and a
+    repeated measurement collapses before the shuffle; one aggregation then spreads the names.
     """
-    kept = F.struct(F.col(value).alias("v"), (F.col(flag) if flag else F.lit(None).cast("int")).alias("f"))
-    order = F.struct(F.col(time), *[F.col(c) for c in tie_break])
-    newest = df.groupBy(key, name).agg(F.max_by(kept, order).alias("newest"))
+    kept = df.select(key, name, time, *tie_break, value, *([flag] if flag else []))
+    newest = latest_rows(kept, [key, name], time, tie_break)
     wanted = []
     for n in names:
         mine = F.col(name) == F.lit(n)
-        wanted.append(F.max(F.when(mine, F.col("newest.v"))).alias(n))
+        wanted.append(F.max(F.when(mine, F.col(value))).alias(n))
         if flag:
-            wanted.append(F.max(F.when(mine, F.col("newest.f"))).alias(f"{n}_abnormal"))
+            wanted.append(F.max(F.when(mine, F.col(flag))).alias(f"{n}_abnormal"))
     return newest.groupBy(key).agg(*wanted)
 
 
