@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm import simhash
+from riskframe.llm import quality_rules, simhash
 from riskframe.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +24,12 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+@query("op2_quality_rules", quality_rules.SQL)
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang", "source")
+    return quality_rules.judge(docs, carry=["doc_id"])
+
+
 @query("op5_simhash_components")
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, folder, "documents").select("doc_id", "text"))
