@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm import quality_rules, simhash
+from riskframe.llm import language, quality_rules, simhash
 from riskframe.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,3 +38,8 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         F.col("component").alias("component_id"),
     )
+
+
+@query("op6_language_id")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    return language.identify(table(spark, folder, "documents").select("doc_id", "text", "lang"))
