@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from riskframe.llm.common import fold, fresh, has_letter, rows_of, sample_keys
 
@@ -214,8 +215,8 @@ def predict(df: DataFrame, network: Network | None, text: str, names: tuple[str,
             columns = [*batch.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, *names])
 
-    schema = df.schema.add(names[0], "string").add(names[1], "double")
-    return df.mapInArrow(run, schema)
+    added = [StructField(names[0], StringType()), StructField(names[1], DoubleType())]
+    return df.mapInArrow(run, StructType([*df.schema.fields, *added]))
 
 
 def identify(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
