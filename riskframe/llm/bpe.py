@@ -2,7 +2,7 @@
 
 A text is cut at places where the tokenizer's own pre-tokenizer always cuts, so the ids of the chunks put
 together are the ids of the text. Chunks met before are looked up; new ones go to ``encode_batch``. The
-memory of chunks is emptied when it holds ``CHUNKS`` of them, so a worker's memory is bounded.
+memory has two generations of about ``CHUNKS`` chunks; the older one is dropped when the younger is full.
 
 ``encode_special_tokens`` is set: the strings of special tokens inside a text are ordinary text.
 """
@@ -11,11 +11,12 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 
 import numpy as np
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-CHUNKS = 600_000
+CHUNKS, BATCH = 400_000, 10_000
 #: Before a blank that a visible character follows: a byte-level token never spans this place.
 _BEFORE_WORD = re.compile(r" (?=[^\s᠎​﻿])")
 _OPEN: dict[tuple[str, str], "Encoder"] = {}
@@ -36,20 +37,27 @@ class Encoder:
     def __init__(self, path: str, cut):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.cut, self.known = Tokenizer.from_file(path), cut, {"": b""}
+        self.tokenizer, self.cut, self.known, self.before = Tokenizer.from_file(path), cut, {}, {}
         self.tokenizer.encode_special_tokens = True
+        self.code = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
 
     def encode(self, text: str | None) -> np.ndarray:
         """The ids of a text as unsigned 32-bit numbers; none for a null or empty text."""
-        chunks, known = self.cut(text or ""), self.known
-        new = [c for c in dict.fromkeys(chunks) if c not in known]
-        if new:
-            if len(known) + len(new) > CHUNKS:
-                known.clear()
-                new = list(dict.fromkeys(chunks))
-            for chunk, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-                known[chunk] = np.array(found.ids, dtype="<u4").tobytes()
-        return np.frombuffer(b"".join([known[c] for c in chunks]), dtype="<u4")
+        chunks, known, before = self.cut(text or ""), self.known, self.before
+        new = []
+        for chunk in {c for c in chunks if c not in known}:
+            if (found := before.get(chunk)) is None:
+                new.append(chunk)
+            else:
+                known[chunk] = found
+        for at in range(0, len(new), BATCH):
+            part = new[at : at + BATCH]
+            for chunk, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
+                known[chunk] = array(self.code, found.ids).tobytes()
+        ids = np.frombuffer(b"".join([known[c] for c in chunks]), dtype=self.code).astype("<u4")
+        if len(known) > CHUNKS:
+            self.known, self.before = {}, known
+        return ids
 
 
 def encoder(path: str, level: str) -> Encoder:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm import language, quality_rules, simhash
+from riskframe.llm import decontam, language, quality_rules, simhash
 from riskframe.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,3 +43,9 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
 @query("op6_language_id")
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     return language.identify(table(spark, folder, "documents").select("doc_id", "text", "lang"))
+
+
+@query("op10_benchmark_leaks")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return decontam.matches(docs, table(spark, folder, "benchmark").select("item_id", "text"))
