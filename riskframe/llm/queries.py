@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm import decontam, language, quality_rules, simhash
+from riskframe.llm import decontam, language, packing, quality_rules, simhash
 from riskframe.llm.common import table
 
+#: Folder of the public tokenizers' vocabulary files.
+TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -45,6 +48,11 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
     return language.identify(table(spark, folder, "documents").select("doc_id", "text", "lang"))
 
 
+@query("op9_packed_sequences")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack_documents(table(spark, folder, "documents").select("doc_id", "text"), f"{TOKENIZERS}/word_bpe_49k.json")
+
+
 @query("op10_benchmark_leaks")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
