@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm import decontam, language, packing, quality_rules, simhash
+from riskframe.llm import decontam, language, packing, quality_rules, simhash, token_frames
 from riskframe.llm.common import table
 
 #: Folder of the public tokenizers' vocabulary files.
@@ -27,6 +27,12 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+@query("op1_token_frames")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return token_frames.round_trip(spark, docs, f"{TOKENIZERS}/byte_bpe_50k.json").withColumnRenamed("doc", "doc_id")
+
+
 @query("op2_quality_rules", quality_rules.SQL)
 def op2(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text", "lang", "source")
