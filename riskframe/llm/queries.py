@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm import decontam, language, packing, quality_rules, simhash, token_frames
+from riskframe.llm import captures, decontam, language, packing, quality_rules, shards, simhash, token_frames
 from riskframe.llm.common import table
 
 #: Folder of the public tokenizers' vocabulary files.
@@ -54,6 +54,27 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
     return language.identify(table(spark, folder, "documents").select("doc_id", "text", "lang"))
 
 
+@query("op7_shuffled_shards")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    body = F.coalesce("text", F.lit(""))
+    return shards.shuffle_to_shards(docs).select(
+        "doc_id",
+        (F.octet_length(body) + shards.OVERHEAD).cast("long").alias("size"),
+        F.crc32(body.cast("binary")).alias("text_crc32"),
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+@query("op8_warc_captures")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages").select("page_id", "url", "html")
+    return captures.round_trip(spark, pages).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @query("op9_packed_sequences")
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(table(spark, folder, "documents").select("doc_id", "text"), f"{TOKENIZERS}/word_bpe_49k.json")
