@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm import captures, decontam, language, packing, quality_rules, shards, simhash, token_frames
+from riskframe.llm import captures, decontam, language, packing, quality_model, quality_rules, shards, simhash, token_frames, toxicity
 from riskframe.llm.common import table
 
 #: Folder of the public tokenizers' vocabulary files.
@@ -39,6 +39,18 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.judge(docs, carry=["doc_id"])
 
 
+@query("op3_quality_classifier")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    return quality_model.classify(docs.select("doc_id", "text"), labels.select("doc_id", "quality"))
+
+
+@query("op4_toxicity_grades")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    return toxicity.grade(docs.select("doc_id", "text"), labels.select("doc_id", "toxic"))
+
+
 @query("op5_simhash_components")
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, folder, "documents").select("doc_id", "text"))
