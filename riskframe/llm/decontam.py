@@ -40,43 +40,57 @@ _EDGES = re.compile(r"^[\W_]+|[\W_]+$")
 _NUMBER = re.compile(r"[+-]?\d[\d.,:/]*(?:st|nd|rd|th)?")
 _CODES = np.array([0, 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], dtype=np.uint64)
 _MIX = np.uint64(0x100000001B3)
-#: word as written -> (bare lower-case word, its hash, may be a name, is a number, may be a unit, ends a sentence)
-_SEEN: dict[str, tuple[str, int, bool, bool, bool, bool]] = {}
 SEEN = 400_000
 
 
-def _look(word: str) -> tuple[str, int, bool, bool, bool, bool]:
-    bare = _EDGES.sub("", word)
-    low = bare.lower()
-    name = len(bare) > 1 and bare[0].isupper() and not bare[1:].isupper()
-    return (low, xxhash.xxh64_intdigest(low), name, _NUMBER.fullmatch(low) is not None, low in UNITS, word.rstrip("\"')]")[-1:] in ".!?:")
-
-
-def canonical(text: str | None) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """Bare words, their kinds (plain, number, name, unit) and template codes (64-bit) of a whole text."""
-    if len(_SEEN) > SEEN:
-        _SEEN.clear()
-    found = []
-    for word in (text or "").split():
-        seen = _SEEN.get(word)
-        if seen is None:
-            seen = _SEEN[word] = _look(word)
-        found.append(seen)
-    starts = np.ones(len(found), bool)
-    starts[1:] = [f[5] for f in found[:-1]]
-    filled = [i for i, f in enumerate(found) if f[0]]
-    if len(filled) < len(found):  # words of signs only hand their sentence end on
-        for i, f in enumerate(found[:-1]):
-            if not f[0] and starts[i]:
-                starts[i + 1] = True
-        found, starts = [found[i] for i in filled], starts[filled]
-    codes = np.array([f[1] for f in found], dtype=np.uint64)
-    kinds = np.where(np.array([f[2] for f in found], bool) & ~starts, NAME, PLAIN)
-    kinds[np.array([f[3] for f in found], bool)] = NUMBER
-    if len(kinds) > 1:
-        units = np.array([f[4] for f in found[1:]], bool) & (kinds[:-1] == NUMBER)
-        kinds[1:][units] = UNIT
-    return [f[0] for f in found], kinds, np.where(kinds == PLAIN, codes, _CODES[kinds])
+class Words:
+    """What is known of each word as written: its bare lower-case form, hash and kind; kept per worker, at most ``SEEN``."""
+
+    def __init__(self):
+        self.number: dict[str, int] = {}
+        self.bare: list[str] = []
+        self.codes, self.flags = np.zeros(1024, np.uint64), np.zeros((1024, 5), bool)
+
+    def learn(self, word: str) -> int:
+        at = self.number[word] = len(self.bare)
+        if at == len(self.codes):
+            self.codes = np.concatenate([self.codes, np.zeros_like(self.codes)])
+            self.flags = np.concatenate([self.flags, np.zeros_like(self.flags)])
+        bare = _EDGES.sub("", word)
+        low = bare.lower()
+        self.bare.append(low)
+        self.codes[at] = xxhash.xxh64_intdigest(low)
+        name = len(bare) > 1 and bare[0].isupper() and not bare[1:].isupper()
+        ends = word.rstrip("\"')]")[-1:] in ".!?:" if word else False
+        self.flags[at] = low != "", name, _NUMBER.fullmatch(low) is not None, low in UNITS, ends
+        return at
+
+
+_WORDS = Words()
+
+
+def canonical(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Word numbers, their kinds (plain, number, name, unit) and template codes (64-bit) of a whole text."""
+    if len(_WORDS.bare) > SEEN:
+        _WORDS.__init__()
+    words = (text or "").split()
+    known, learn = _WORDS.number, _WORDS.learn
+    try:
+        numbers = np.array([known[w] for w in words], dtype=np.int64)
+    except KeyError:
+        numbers = np.array([known[w] if w in known else learn(w) for w in words], dtype=np.int64)
+    flags = _WORDS.flags[numbers]
+    starts = np.ones(len(numbers), bool)
+    starts[1:] = flags[:-1, 4]
+    if not flags[:, 0].all():  # words of signs only hand their sentence end on
+        for i in np.flatnonzero(~flags[:-1, 0]).tolist():
+            starts[i + 1] |= starts[i]
+        filled = flags[:, 0]
+        numbers, flags, starts = numbers[filled], flags[filled], starts[filled]
+    kinds = np.where(flags[:, 1] & ~starts, NAME, PLAIN)
+    kinds[flags[:, 2]] = NUMBER
+    kinds[1:][flags[1:, 3] & (kinds[:-1] == NUMBER)] = UNIT
+    return numbers, kinds, np.where(kinds == PLAIN, _WORDS.codes[numbers], _CODES[kinds])
 
 
 def window_hashes(codes: np.ndarray, size: int) -> np.ndarray:
@@ -99,9 +113,9 @@ def _windows(text: str | None, size: int, short: bool) -> Iterator[tuple[int, in
         yield place, value, *_slots(words, kinds, place, size)
 
 
-def _slots(words: list[str], kinds: np.ndarray, place: int, size: int) -> tuple[int, list[str]]:
+def _slots(words: np.ndarray, kinds: np.ndarray, place: int, size: int) -> tuple[int, list[str]]:
     kind = kinds[place : place + size]
-    return int((kind == PLAIN).sum()), [words[place + int(i)] for i in np.flatnonzero(kind)]
+    return int((kind == PLAIN).sum()), [_WORDS.bare[words[place + int(i)]] for i in np.flatnonzero(kind)]
 
 
 _ITEM = "item_id {kind}, place int, hash bigint, plain int, slots array<string>, size int, windows int"
