@@ -15,6 +15,7 @@ from riskframe.session import ensure_checkpoint_dir
 
 #: Rows that are at most 64 bytes wide may be broadcast up to this number (64 MB); beyond it a shuffle is used.
 BROADCAST_ROWS = 1_000_000
+SALTS = 64
 WHITE = " \t\n\x0b\f\r"
 
 
@@ -53,16 +54,15 @@ def fold(key: str | Column, folds: int) -> Column:
 def sample_keys(df: DataFrame, key: str, label: str, per_label: int, seed: int = 0) -> DataFrame:
     """The ``per_label`` rows (key, label) of each label that come first by a seeded hash of the key.
 
-    The limit is applied in each map task before the shuffle, so a label with most rows is no hot group.
+    The limit is applied in each map task, then in ``SALTS`` parts of each label, then per label: a label
+    with most rows is no hot group, and the last step reads at most ``SALTS * per_label`` rows of it.
     """
-    order = F.xxhash64(F.lit(seed), F.col(key))
-    window = Window.partitionBy(label).orderBy("_order", key)
-    return (
-        df.select(key, label, order.alias("_order"))
-        .withColumn("_rank", F.row_number().over(window))
-        .filter(F.col("_rank") <= per_label)
-        .select(key, label)
-    )
+    rows = df.select(key, label, F.xxhash64(F.lit(seed), F.col(key)).alias("_order"))
+    rows = rows.withColumn("_part", F.pmod("_order", F.lit(SALTS)))
+    for group in ([label, "_part"], [label]):
+        rank = F.row_number().over(Window.partitionBy(*group).orderBy("_order", key))
+        rows = rows.withColumn("_rank", rank).filter(F.col("_rank") <= per_label)
+    return rows.select(key, label)
 
 
 def fresh(df: DataFrame, name: str) -> str:
