@@ -12,8 +12,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from riskframe.operators.fusion import min_max_inverted
+from riskframe.operators.prefix import exact_quantiles
+from riskframe.session import materialize
 
-THRESHOLD_ACCURACY = 10_000
 _NODE = "tree int, node int, feature int, cut double, left int, right int, path double"
 
 
@@ -123,12 +124,12 @@ def fit_forest(
     contamination: float = 0.1,
     sample_size: int = 256,
     seed: int = 42,
-    pool: int = 50_000,
 ) -> IsolationForest:
     """Standardise, draw ``sample_size`` rows per tree by hash, grow the trees in parallel and set the threshold.
 
-    The rows that can be drawn are first thinned by a hash threshold to about ``pool``, so the sampling
-    work does not grow with the table; the draw itself does not depend on the partitioning.
+    Every row computes for which trees a hash of tree and key lies below a limit that about twice the sample
+    reaches; only these (tree, row) pairs are made, and the smallest hashes of a tree are its sample. The draw is
+    the same at every size and for every partitioning.
     """
     data = df.select(F.col(key).cast("string").alias("_key"), _vector(columns).alias("_x"))
     moments = data.agg(
@@ -142,11 +143,12 @@ def fit_forest(
     means = [float(moments[f"m{i}"]) for i in range(len(columns))]
     scales = [float(moments[f"s{i}"]) or 1.0 for i in range(len(columns))]
 
-    share = min(1.0, pool / n)
-    draw = F.pmod(F.xxhash64(F.lit(seed), "_key"), F.lit(2**31))
-    candidates = data.filter(draw < F.lit(int(share * 2**31))) if share < 1 else data
-    per_tree = candidates.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
-    order = Window.partitionBy("tree").orderBy(F.xxhash64(F.lit(seed), "tree", "_key"), "_key")
+    limit = int(min(1.0, (2 * sample_size + 64) / n) * 2**31)
+    every = F.sequence(F.lit(0), F.lit(trees - 1))
+    drawn = F.filter(every, lambda t: F.pmod(F.xxhash64(F.lit(seed), t, F.col("_key")), F.lit(2**31)) < F.lit(limit))
+    per_tree = data.withColumn("tree", F.explode(drawn))
+    draw = F.pmod(F.xxhash64(F.lit(seed), "tree", "_key"), F.lit(2**31))
+    order = Window.partitionBy("tree").orderBy(draw, "_key")
     sample = (
         per_tree.withColumn("_rn", F.row_number().over(order)).filter(F.col("_rn") <= sample_size).drop("_rn", "_key")
     )
@@ -186,7 +188,7 @@ def fit_forest(
     # At most trees x (2 x sample_size) nodes: a fixed size, whatever the table.
     nodes = sample.groupBy("tree").applyInPandas(grow, _NODE).toPandas()
     forest = IsolationForest(list(columns), means, scales, nodes, min(sample_size, n))
-    scored = forest.raw_scores(df.select(*columns), "_raw")
-    limit = scored.agg(F.percentile_approx("_raw", 1.0 - contamination, THRESHOLD_ACCURACY)).first()[0]
-    forest.threshold = float(limit)
+    scored = materialize(forest.raw_scores(df.select(*columns), "_raw").select(F.lit(0).alias("all"), "_raw"))
+    cut = exact_quantiles(scored, ["all"], "_raw", {"cut": 1.0 - contamination}, bounded_groups=True)
+    forest.threshold = float(cut.first()["cut"])
     return forest

@@ -10,8 +10,7 @@ from pyspark.sql.types import IntegerType
 
 from riskframe.functions.presets import AGE_BANDS, BMI_BANDS, SMOKING_CODES, SYMPTOM_SYSTEM, VITAL_RANGES
 from riskframe.functions.rules import Rules, as_column, flag_sum
-
-MEDIAN_ACCURACY = 10_000
+from riskframe.operators.prefix import exact_quantiles
 
 
 def require(df: DataFrame, columns: list[str] | tuple[str, ...]) -> None:
@@ -21,9 +20,7 @@ def require(df: DataFrame, columns: list[str] | tuple[str, ...]) -> None:
         raise ValueError(f"missing columns: {missing}")
 
 
-def impute_medians(
-    df: DataFrame, columns: list[str], integers: tuple[str, ...] = (), accuracy: int = MEDIAN_ACCURACY
-) -> DataFrame:
+def impute_medians(df: DataFrame, columns: list[str], integers: tuple[str, ...] = ()) -> DataFrame:
     """Replace NULL and NaN by the column's lower median; columns become double, ``integers`` become int."""
     require(df, columns)
 
@@ -31,7 +28,9 @@ def impute_medians(
         value = F.col(name).cast("double")
         return F.when(F.isnan(value), F.lit(None)).otherwise(value)
 
-    medians = df.agg(F.struct(*[F.percentile_approx(clean(c), 0.5, accuracy).alias(c) for c in columns]).alias("m"))
+    melted = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("feature"), clean(c).alias("x")) for c in columns])))
+    found = exact_quantiles(melted, ["feature"], "x", {"m": 0.5}, bounded_groups=True)
+    medians = found.agg(F.struct(*[F.max(F.when(F.col("feature") == c, F.col("m"))).alias(c) for c in columns]).alias("m"))
     filled = {}
     for name in columns:
         value = F.coalesce(clean(name), medians.scalar().getField(name))
@@ -94,9 +93,10 @@ def is_filled(value: str | Column) -> Column:
 
 
 def guarded_ratio(numerator: str | Column, denominator: str | Column, digits: int = 2) -> Column:
-    """Rounded ratio; NULL unless both are set and the denominator is positive."""
-    numerator, denominator = as_column(numerator), as_column(denominator)
-    return F.when(numerator.isNotNull() & (denominator > 0), F.round(F.try_divide(numerator, denominator), digits))
+    """Ratio rounded half up, by way of eight decimals; NULL unless both are set and the denominator is positive."""
+    numerator, denominator = as_column(numerator).cast("double"), as_column(denominator).cast("double")
+    ratio = F.try_divide(numerator, denominator).cast("decimal(18,8)")
+    return F.when(numerator.isNotNull() & (denominator > 0), F.round(ratio, digits).cast("double"))
 
 
 def clean_images(df: DataFrame) -> DataFrame:

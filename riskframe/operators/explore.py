@@ -10,10 +10,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.functions.presets import RISK_LEVELS
-from riskframe.operators.prefix import group_quantiles
+from riskframe.operators.prefix import exact_quantiles, group_quantiles
 from riskframe.operators.sizing import lookup_join
 
-EDGE_ACCURACY = 10_000
 
 
 def _melt(df: DataFrame, keys: Sequence[str], columns: Sequence[str], name: str = "feature") -> DataFrame:
@@ -210,8 +209,10 @@ def mutual_information(df: DataFrame, columns: Sequence[str], label: str, bins:
     """Mutual information (nats) between each quantile-binned column and the class; NULL counts as 0."""
     value = {c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in columns}
     probs = [i / bins for i in range(1, bins)]
-    edges = df.agg(F.struct(*[F.percentile_approx(v, probs, EDGE_ACCURACY).alias(c) for c, v in value.items()]).alias("e"))
-    edges = edges.scalar()
+    melted = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("feature"), v.alias("x")) for c, v in value.items()])))
+    names = {f"e{i}": p for i, p in enumerate(probs)}
+    found = exact_quantiles(melted, ["feature"], "x", names, bounded_groups=True).select("feature", F.array(*names).alias("e"))
+    edges = found.agg(F.struct(*[F.max(F.when(F.col("feature") == c, F.col("e"))).alias(c) for c in columns]).alias("e")).scalar()
 
     def bin_of(c: str) -> Column:
         below = [(edges.getField(c)[i] < value[c]).cast("int") for i in range(bins - 1)]

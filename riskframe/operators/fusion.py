@@ -52,11 +52,19 @@ def collect_modalities(
         )
         for name, df in predictions.items()
     ]
-    wide = (
-        reduce(DataFrame.unionByName, tagged)
-        .groupBy(key)
-        .agg(*[F.max(F.when(F.col("modality") == m, F.col("p"))).alias(f"{m}_prob") for m in modalities])
-    )
+    return collect_long(reduce(DataFrame.unionByName, tagged), "p", key, modalities, neutral)
+
+
+def collect_long(
+    df: DataFrame,
+    probability: str,
+    key: str = "patient_id",
+    modalities: Sequence[str] = tuple(MODALITY_WEIGHTS),
+    neutral: float = 0.5,
+) -> DataFrame:
+    """The same from one long table ``(key, modality, probability)``: one scan, one aggregation."""
+    picks = [F.max(F.when(F.col("modality") == m, F.col(probability).cast("double"))).alias(f"{m}_prob") for m in modalities]
+    wide = df.groupBy(key).agg(*picks)
     return wide.withColumns({f"{m}_prob": F.coalesce(f"{m}_prob", F.lit(neutral)) for m in modalities})
 
 
@@ -153,10 +161,17 @@ def fuse_vectors(vectors: dict[str, str], weights: dict[str, float], n_classes:
 
 
 def fuse_long(df: DataFrame, weights: dict[str, float], key: str = "patient_id") -> DataFrame:
-    """The same weighted mean for a long table ``(key, modality, class, p)``."""
+    """The same weighted mean for a long table ``(key, modality, class, p)``, one row per key, modality and class.
+
+    A modality without a weight gets one over the number of modalities present, as in ``fuse_vectors``.
+    """
     entries = F.create_map(*[F.lit(x) for pair in weights.items() for x in pair])
-    weight = entries[F.col("modality")]
-    return df.groupBy(key, "class").agg(F.try_divide(F.sum(weight * F.col("p")), F.sum(weight)).alias("p"))
+    weight = F.try_element_at(entries, F.col("modality"))
+    unlisted = F.when(weight.isNull(), F.lit(1.0))
+    share = F.lit(1.0) / F.count(F.lit(1))
+    top = F.coalesce(F.sum(weight * F.col("p")), F.lit(0.0)) + F.coalesce(F.sum(unlisted * F.col("p")), F.lit(0.0)) * share
+    bottom = F.coalesce(F.sum(weight), F.lit(0.0)) + F.coalesce(F.sum(unlisted), F.lit(0.0)) * share
+    return df.groupBy(key, "class").agg(F.try_divide(top, bottom).alias("p"))
 
 
 def meta_features(vectors: dict[str, str], n_classes: int) -> Column:

@@ -10,18 +10,20 @@ from pyspark.sql import functions as F
 from riskframe.functions.presets import LAB_CRITICAL, LAB_PANELS, LAB_RANGES, RANGE_DIMENSION
 from riskframe.functions.rules import clamp
 from riskframe.operators.clean import out_of_range, require
+from riskframe.operators.prefix import exact_quantiles
 from riskframe.operators.sizing import lookup_join
+from riskframe.session import materialize
 
-FENCE_ACCURACY = 10_000
 Ranges = dict[str, tuple[float, float]]
 
 
 def iqr_fences(
-    df: DataFrame, group: str = "test_name", value: str = "value", width: float = 3.0, accuracy: int = FENCE_ACCURACY
+    df: DataFrame, group: str = "test_name", value: str = "value", width: float = 3.0
 ) -> DataFrame:
-    """Quartiles and outlier fences per group, by a mergeable quantile summary."""
-    quartiles = df.groupBy(group).agg(F.percentile_approx(value, [0.25, 0.75], accuracy).alias("q"))
-    q1, q3 = F.col("q")[0], F.col("q")[1]
+    """Exact quartiles and outlier fences per group; a group without values has NULL fences."""
+    found = exact_quantiles(df, [group], value, {"q1": 0.25, "q3": 0.75})
+    quartiles = df.select(group).distinct().join(found, group, "left")
+    q1, q3 = F.col("q1"), F.col("q3")
     return quartiles.select(
         group,
         q1.alias("q1"),
@@ -32,10 +34,14 @@ def iqr_fences(
 
 
 def drop_outliers(
-    df: DataFrame, group: str = "test_name", value: str = "value", width: float = 3.0, accuracy: int = FENCE_ACCURACY
+    df: DataFrame, group: str = "test_name", value: str = "value", width: float = 3.0
 ) -> DataFrame:
-    """Keep the rows inside the fences of their group; a NULL value is outside."""
-    fences = iqr_fences(df, group, value, width, accuracy).select(group, "fence_low", "fence_high")
+    """Keep the rows inside the fences of their group; a NULL value is outside.
+
+    The rows are saved once; the fences and the filter read them from there.
+    """
+    df = materialize(df)
+    fences = iqr_fences(df, group, value, width).select(group, "fence_low", "fence_high")
     inside = (F.col(value) >= F.col("fence_low")) & (F.col(value) <= F.col("fence_high"))
     return lookup_join(df, fences, [group]).filter(inside).select(*df.columns)
 

@@ -19,6 +19,7 @@ from pyspark.ml.feature import (
     SQLTransformer,
     StandardScaler,
     StringIndexer,
+    StringIndexerModel,
     VectorAssembler,
 )
 from pyspark.ml.functions import vector_to_array
@@ -43,15 +44,24 @@ def assemble(
     return VectorAssembler(inputCols=columns, outputCol=output, handleInvalid="skip").transform(df)
 
 
-def _indexer(label: str) -> StringIndexer:
+def _indexer(label: str, labels: Sequence[str] | None = None) -> StringIndexer | StringIndexerModel:
+    """Alphabetical index of the labels of the rows, or the given one: then a class without rows keeps its place."""
+    if labels is not None:
+        return StringIndexerModel.from_labels(list(labels), label, "label_index", "skip")
     return StringIndexer(inputCol=label, outputCol="label_index", stringOrderType="alphabetAsc", handleInvalid="skip")
 
 
 def forest_pipeline(
-    columns: list[str], label: str, trees: int = 150, depth: int = 10, seed: int = 42, scale: bool = True
+    columns: list[str],
+    label: str,
+    trees: int = 150,
+    depth: int = 10,
+    seed: int = 42,
+    scale: bool = True,
+    labels: Sequence[str] | None = None,
 ) -> Pipeline:
     """Label index (alphabetical), assembly, scaling to unit deviation, random forest."""
-    stages = [_indexer(label), VectorAssembler(inputCols=columns, outputCol="raw_features", handleInvalid="skip")]
+    stages = [_indexer(label, labels), VectorAssembler(inputCols=columns, outputCol="raw_features", handleInvalid="skip")]
     features = "raw_features"
     if scale:
         stages.append(StandardScaler(inputCol="raw_features", outputCol="scaled_features", withMean=False, withStd=True))
@@ -147,11 +157,17 @@ def fit_text_vectorizer(
 
 
 def fit_text_classifier(
-    df: DataFrame, label: str, text: str = "note_text", c: float = 1.0, max_iter: int = 100, **vectorizer
+    df: DataFrame,
+    label: str,
+    text: str = "note_text",
+    c: float = 1.0,
+    max_iter: int = 1000,
+    labels: Sequence[str] | None = None,
+    **vectorizer,
 ) -> PipelineModel:
     """Vectorizer and multinomial logistic regression with the penalty ``1 / (c n)``."""
     vectors = fit_text_vectorizer(df, text, "text_features", **vectorizer)
-    indexed = _indexer(label).fit(df)
+    indexed = _indexer(label).fit(df) if labels is None else _indexer(label, labels)
     prepared = indexed.transform(vectors.transform(df)).select("text_features", "label_index").persist()
     try:
         rows = prepared.count()

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from riskframe.functions.rules import as_column
 
 STEPS_PER_OCTAVE = 1024
+BRACKET_ACCURACY = 10_000
 
 
 def value_bucket(value: str | Column) -> Column:
@@ -101,3 +102,44 @@ def group_quantiles(
         low, high = F.col(f"_lo_{name}"), F.col(f"_hi_{name}")
         results.append((low + (high - low) * F.col(f"_part_{name}")).alias(name))
     return ranked.groupBy(*keys).agg(*picks).select(*keys, *results)
+
+
+def exact_quantiles(
+    df: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    probs: dict[str, float],
+    bounded_groups: bool = False,
+    accuracy: int = BRACKET_ACCURACY,
+) -> DataFrame:
+    """Exact lower quantiles per group (the lowest value whose share reaches the probability), at every size.
+
+    A mergeable summary only brackets each quantile (its rank error is at most ``1 / accuracy``). The rows
+    below the bracket are counted, and only those inside it (a few in ``accuracy``) are ordered.
+    ``bounded_groups`` says that there are few groups, so that their brackets are broadcast unchecked.
+    """
+    from riskframe.operators.sizing import lookup_join
+
+    keys, names = list(keys), list(probs)
+    some = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_v"))
+    margin = 2.0 / accuracy
+    points = [x for p in probs.values() for x in (max(0.0, p - margin), min(1.0, p + margin))]
+    brackets = some.groupBy(*keys).agg(F.percentile_approx("_v", points, accuracy).alias("_b"))
+    placed = some.join(F.broadcast(brackets), keys) if bounded_groups else lookup_join(some, brackets, keys)
+    low = [F.col("_b")[2 * i] for i in range(len(names))]
+    high = [F.col("_b")[2 * i + 1] for i in range(len(names))]
+    below = [F.sum((F.col("_v") < x).cast("long")).alias(f"_below{i}") for i, x in enumerate(low)]
+    sizes = placed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *below)
+    which = F.array(
+        *[F.when((F.col("_v") >= a) & (F.col("_v") <= b), F.lit(i)) for i, (a, b) in enumerate(zip(low, high, strict=True))]
+    )
+    inside = placed.select(*keys, "_v", F.explode(F.array_compact(which)).alias("_i"))
+    counts = inside.groupBy(*keys, "_i", "_v").agg(F.count(F.lit(1)).alias("_c"))
+    ranked = running_totals(counts, [*keys, "_i"], ["_v"], {"_c": F.col("_c")}, value_bucket("_v"))
+    joined = ranked.join(sizes, keys)
+    picks = []
+    for i, (name, p) in enumerate(probs.items()):
+        need = F.greatest(F.ceil(F.col("_n") * F.lit(float(p))), F.lit(1)) - F.col(f"_below{i}")
+        reached = (F.col("_i") == i) & (F.col("_c_before") + F.col("_c") >= need)
+        picks.append(F.min(F.when(reached, F.col("_v"))).alias(name))
+    return joined.groupBy(*keys).agg(*picks)

@@ -57,28 +57,17 @@ def with_symptom_clusters(df: DataFrame, clusters: dict[str, list[str]] = SYMPTO
     return df.withColumns({name: flag_sum(flags).cast("int") for name, flags in clusters.items()})
 
 
-def hash_fraction(key: str | Column, seed: str = "") -> Column:
-    """Deterministic number in [0, 1) from a key."""
-    key = F.col(key) if isinstance(key, str) else key
-    digest = F.substring(F.md5(F.concat(F.lit(seed), key.cast("string"))), 1, 8)
-    return F.conv(digest, 16, 10).cast("double") / F.lit(4294967296.0)
-
-
 def with_severity_level(
     df: DataFrame,
     label: str = "final_diagnosis",
     healthy: str = "Healthy",
-    key: str = "patient_id",
-    icu_share: float = 0.3,
     points: Scorecard = SEVERITY_POINTS,
 ) -> DataFrame:
-    """Severity points, risk level and the ICU flag (all Critical, a hashed share of High)."""
+    """Severity points, risk level and the ICU flag (Critical)."""
     is_healthy = F.coalesce(F.col(label) == F.lit(healthy), F.lit(False))
     score = F.when(is_healthy, F.lit(0)).otherwise(points.total()).cast("int")
     level = RISK_FROM_POINTS.on("severity_points")
-    icu = (F.col("severity_level") == "Critical") | (
-        (F.col("severity_level") == "High") & (hash_fraction(key, "icu:") < icu_share)
-    )
+    icu = F.col("severity_level") == "Critical"
     return (
         df.withColumn("severity_points", score).withColumn("severity_level", level).withColumn("needs_icu", icu.cast("int"))
     )
@@ -93,31 +82,34 @@ def _chart_factors() -> list[Column]:
     def either(*choices: Column) -> Column:
         return F.coalesce(*choices)
 
+    def whole(name: str) -> Column:
+        return F.col(name).cast("long")  # imputed columns are doubles
+
     c = F.col
     return [
-        when(c("age") > 65, "Advanced age (%d)", c("age")),
+        when(c("age") > 65, "Advanced age (%d)", whole("age")),
         either(
             when(c("bmi") > 30, "Elevated BMI (%.1f)", c("bmi").cast("double")),
             when(c("bmi") < 18.5, "Low BMI (%.1f)", c("bmi").cast("double")),
         ),
         *[when(c(f) == 1, f"History: {f.replace('_', ' ').title()}") for f in COMORBIDITIES],
         either(
-            when(c("heart_rate") > 100, "Tachycardia (HR %d)", c("heart_rate")),
-            when(c("heart_rate") < 60, "Bradycardia (HR %d)", c("heart_rate")),
+            when(c("heart_rate") > 100, "Tachycardia (HR %d)", whole("heart_rate")),
+            when(c("heart_rate") < 60, "Bradycardia (HR %d)", whole("heart_rate")),
         ),
         either(
-            when(c("systolic_bp") > 140, "Hypertensive (SBP %d)", c("systolic_bp")),
-            when(c("systolic_bp") < 90, "Hypotension (SBP %d)", c("systolic_bp")),
+            when(c("systolic_bp") > 140, "Hypertensive (SBP %d)", whole("systolic_bp")),
+            when(c("systolic_bp") < 90, "Hypotension (SBP %d)", whole("systolic_bp")),
         ),
         either(
             when(c("temperature") > 38.5, "Fever (%.1f C)", c("temperature").cast("double")),
             when(c("temperature") < 36, "Hypothermia (%.1f C)", c("temperature").cast("double")),
         ),
         either(
-            when(c("oxygen_saturation") < 90, "Severe hypoxia (SpO2 %d%%)", c("oxygen_saturation")),
-            when(c("oxygen_saturation") < 95, "Low SpO2 (%d%%)", c("oxygen_saturation")),
+            when(c("oxygen_saturation") < 90, "Severe hypoxia (SpO2 %d%%)", whole("oxygen_saturation")),
+            when(c("oxygen_saturation") < 95, "Low SpO2 (%d%%)", whole("oxygen_saturation")),
         ),
-        when(c("respiratory_rate") > 20, "Tachypnea (RR %d)", c("respiratory_rate")),
+        when(c("respiratory_rate") > 20, "Tachypnea (RR %d)", whole("respiratory_rate")),
         when(c("smoking_status") == "Current", "Current smoker"),
         either(
             when(c("n_symptoms") >= 8, "High symptom burden (%d symptoms)", c("n_symptoms")),
@@ -140,8 +132,8 @@ def chart_risk(
 ) -> DataFrame:
     """Heuristic risk of every entity from vitals, symptom load and abnormal measurements.
 
-    Adds the four modality scores (0-100), ``overall_score``, ``chart_level`` and ``factors``. The imaging
-    part has no data behind it and is a hash of the key in [20, 50).
+    Adds the scores of the three modalities that have data (0-100), ``overall_score`` (their weighted mean),
+    ``chart_level`` and ``factors``. Scores have one digit; the level is taken before rounding.
     """
     counted = symptoms.select(key, flag_sum(flags).cast("long").alias("n_symptoms"))
     outside = F.coalesce(
@@ -154,26 +146,26 @@ def chart_risk(
             "structured_score": F.least(CHART_SCORE.total(), F.lit(100.0)),
             "nlp_score": F.least(F.lit(25.0) + F.coalesce("n_symptoms", F.lit(0)) * 4.5, F.lit(100.0)),
             "lab_score": F.least(F.lit(25.0) + F.coalesce("n_abnormal", F.lit(0)) * 6.0, F.lit(100.0)),
-            "imaging_score": F.lit(20.0) + hash_fraction(key, "imaging:") * 30.0,
         }
     )
-    overall = sum(
-        (F.col(f"{m}_score") * F.lit(w) for m, w in MODALITY_WEIGHTS.items()), F.lit(0.0)
-    )
-    return scores.withColumn("overall_score", F.least(overall, F.lit(100.0))).withColumns(
+    used = {m: w for m, w in MODALITY_WEIGHTS.items() if f"{m}_score" in scores.columns}
+    overall = sum((F.col(f"{m}_score") * F.lit(w) for m, w in used.items()), F.lit(0.0)) / F.lit(sum(used.values()))
+    return scores.withColumn("_overall", F.least(overall, F.lit(100.0))).withColumns(
         {
-            "chart_level": RISK_FROM_SCORE.on("overall_score"),
+            "chart_level": RISK_FROM_SCORE.on("_overall"),
+            **{f"{m}_score": F.round(f"{m}_score", 1) for m in used},
+            "overall_score": F.round("_overall", 1),
             "factors": F.slice(F.filter(F.array(*_chart_factors()), lambda x: x.isNotNull()), 1, max_factors),
         }
-    )
+    ).drop("_overall")
 
 
-def batch_risk(df: DataFrame, key: str = "patient_id", card: Scorecard = BATCH_SCORE) -> DataFrame:
-    """Heuristic score and level of an uploaded batch; inputs that have no column add nothing."""
+def batch_risk(df: DataFrame, card: Scorecard = BATCH_SCORE) -> DataFrame:
+    """Heuristic score (one digit) and level of an uploaded batch; inputs that have no column add nothing."""
     present = {name: rules for name, rules in card.parts.items() if name in df.columns}
-    jitter = hash_fraction(key, "batch:") * 15.0 - 5.0
-    score = clamp(Scorecard(present, card.base, card.inputs).total() + jitter, 0.0, 100.0)
-    return df.withColumn("risk_score", score).withColumn("risk_level", RISK_FROM_SCORE.on("risk_score"))
+    score = clamp(Scorecard(present, card.base, card.inputs).total().cast("double"), 0.0, 100.0)
+    scored = df.withColumn("_score", score).withColumn("risk_level", RISK_FROM_SCORE.on("_score"))
+    return scored.withColumn("risk_score", F.round("_score", 1)).drop("_score")
 
 
 def dashboard_kpis(truth: DataFrame, level: str = "risk_level") -> DataFrame:

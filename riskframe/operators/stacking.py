@@ -82,7 +82,8 @@ class StackedModel:
         squashed = []
         for k in range(self.n_classes):
             a, b = self.sigmoids.get((fold, k), (0.0, -30.0))
-            squashed.append(F.lit(1.0) / (F.lit(1.0) + F.exp(-(raw[k] * F.lit(a) + F.lit(b)))))
+            squashed_k = F.lit(1.0) / (F.lit(1.0) + F.exp(-(F.get(raw, F.lit(k)) * F.lit(a) + F.lit(b))))
+            squashed.append(F.coalesce(squashed_k, F.lit(0.0)))  # a class that the fold's rows lack
         array = F.array(*squashed)
         total = F.aggregate(array, F.lit(0.0), lambda x, y: x + y)
         return scale_array(array, total, lambda x, t: F.when(t > 0, x / t).otherwise(F.lit(1.0 / self.n_classes)))
@@ -128,7 +129,7 @@ def fit_stack(
     folds: int = 5,
     c: float = 1.0,
     seed: int = 42,
-    max_iter: int = 100,
+    max_iter: int = 1000,
 ) -> tuple[StackedModel, DataFrame]:
     """Fit the meta-learner per fold and calibrate it on the rows left out.
 

@@ -128,13 +128,7 @@ def clean_symptoms(v):
     """,
 )
 def clean_images(v):
-    ratio = F.when(
-        F.col("width").isNotNull() & (F.col("height") > 0),
-        F.round((F.col("width") / F.col("height")).cast("decimal(18,8)"), 2).cast("double"),
-    )
-    # The rounded ratio of decimal ties differs between engines, so the check goes through a decimal.
-    cleaned = clean.clean_images(v.images)
-    return cleaned.withColumn("aspect_ratio", F.when(cleaned.aspect_ratio.isNotNull(), ratio))
+    return clean.clean_images(v.images)
 
 
 @query(
@@ -156,17 +150,16 @@ def clean_prefix_columns(v):
 @query(
     "clean_class_labels",
     """
-    SELECT patient_id, CASE y_pred + patient_id % 2 WHEN 0 THEN 'Respiratory Disease' WHEN 1 THEN 'Cardiovascular Disease'
+    SELECT model, patient_id, CASE y_pred + patient_id % 2 WHEN 0 THEN 'Respiratory Disease' WHEN 1 THEN 'Cardiovascular Disease'
       WHEN 2 THEN 'Metabolic / Endocrine Disorder' WHEN 3 THEN 'Gastrointestinal Disorder'
       WHEN 4 THEN 'Neurological Disorder' ELSE concat('Class ', y_pred + patient_id % 2) END AS diagnosis
-    FROM predictions WHERE model = 'structured'
+    FROM predictions
     """,
 )
 def clean_class_labels(v):
     from riskframe.functions.presets import CLASS_LABELS
 
-    chosen = v.predictions.filter(F.col("model") == "structured")
-    return chosen.select("patient_id", clean.decode(F.col("y_pred") + F.col("patient_id") % 2, CLASS_LABELS).alias("diagnosis"))
+    return v.predictions.select("model", "patient_id", clean.decode(F.col("y_pred") + F.col("patient_id") % 2, CLASS_LABELS).alias("diagnosis"))
 
 
 _SYSTEM_ROWS = " UNION ALL ".join(

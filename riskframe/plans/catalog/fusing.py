@@ -28,8 +28,7 @@ _CATEGORY = "CASE WHEN f > 0.75 THEN 'Critical' WHEN f > 0.5 THEN 'High' WHEN f
 
 
 def collected(v):
-    scores = v.modality_scores
-    return fusion.collect_modalities({m: scores.filter(F.col("modality") == m).drop("modality") for m in MODELS})
+    return fusion.collect_long(v.modality_scores, "prob")
 
 
 @query("fusion_collect_modalities", f"{_COLLECTED} SELECT * FROM collected")

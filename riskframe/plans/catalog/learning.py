@@ -50,14 +50,14 @@ def _structured(v):
 @query("model_forest_predictions")
 def model_forest_predictions(v):
     rows, columns = _structured(v)
-    model = models.forest_pipeline(columns, "final_diagnosis", trees=20, depth=5).fit(rows.filter("is_train"))
+    model = models.forest_pipeline(columns, "final_diagnosis").fit(rows.filter("is_train"))
     return models.prediction_frame(model, rows.filter("NOT is_train"))
 
 
 @query("model_forest_importances")
 def model_forest_importances(v):
     rows, columns = _structured(v)
-    model = models.forest_pipeline(columns, "final_diagnosis", trees=20, depth=5).fit(rows.filter("is_train"))
+    model = models.forest_pipeline(columns, "final_diagnosis").fit(rows.filter("is_train"))
     return models.feature_importances(v.spark, model, columns)
 
 
@@ -65,16 +65,16 @@ def model_forest_importances(v):
 def model_forest_grid_search(v):
     columns = _VITALS
     rows = v.patients.na.fill(0, columns).join(v.truth, "patient_id")
-    pipeline = models.forest_pipeline(columns, "risk_level", trees=5, depth=3)
-    found = models.grid_search(pipeline, rows, depths=(3, 5), trees=(5,), folds=2)
+    pipeline = models.forest_pipeline(columns, "risk_level")
+    found = models.grid_search(pipeline, materialize(rows), parallelism=4)
     return models.prediction_frame(found.bestModel, rows)
 
 
 @query("model_lab_predictions")
 def model_lab_predictions(v):
     wide = integrate.join_all([integrate.pivot_mean(v.labs, LAB_TESTS), v.truth], ["patient_id"])
-    rows = split.stratified_split(clean.drop_missing(wide, LAB_TESTS), "final_diagnosis")
-    model = models.forest_pipeline(LAB_TESTS, "final_diagnosis", 20, 5, scale=False).fit(rows.filter("is_train"))
+    rows = split.stratified_split(materialize(clean.drop_missing(wide, LAB_TESTS)), "final_diagnosis")
+    model = models.forest_pipeline(LAB_TESTS, "final_diagnosis", 200, 10, scale=False).fit(rows.filter("is_train"))
     return models.prediction_frame(model, rows.filter("NOT is_train"))
 
 
@@ -82,13 +82,13 @@ def model_lab_predictions(v):
 def model_text_predictions(v):
     joined = v.documents.join(v.labels, "doc_id").select("doc_id", "text", F.col("quality").cast("string").alias("quality"))
     rows = split.stratified_split(joined, "quality", "doc_id")
-    model = models.fit_text_classifier(rows.filter("is_train"), "quality", "text", max_features=1000, max_iter=20)
+    model = models.fit_text_classifier(rows.filter("is_train"), "quality", "text")
     return models.prediction_frame(model, rows.filter("NOT is_train"), ["doc_id"])
 
 
 @query("model_clusters")
 def model_clusters(v):
-    _, clustered, silhouette = models.fit_clusters(latest_wide(v), LAB_TESTS)
+    _, clustered, silhouette = models.fit_clusters(materialize(latest_wide(v)), LAB_TESTS)
     return clustered.select("patient_id", "cluster", F.lit(silhouette).alias("silhouette"))
 
 
@@ -100,8 +100,8 @@ def model_principal_components(v):
 
 @query("model_anomalies")
 def model_anomalies(v):
-    wide = latest_wide(v)
-    forest = anomaly.fit_forest(wide, LAB_TESTS, trees=100)
+    wide = materialize(latest_wide(v))
+    forest = anomaly.fit_forest(wide, LAB_TESTS)
     return forest.detect(wide).select("patient_id", "anomaly_score", "is_anomaly")
 
 
@@ -120,7 +120,7 @@ def _meta(v):
 @query("model_stacked_probabilities")
 def model_stacked_probabilities(v):
     _, rows, names = _meta(v)
-    _, held_out = stacking.fit_stack(rows, names, max_iter=20)
+    _, held_out = stacking.fit_stack(rows, names)
     return held_out.select("patient_id", "y_true", *[F.col("prob")[i].alias(f"p{i}") for i in range(N_CLASSES)])
 
 
@@ -148,7 +148,7 @@ def model_final_prediction_stacked(v):
     rows = collected(v).join(
         v.predictions.filter("model = 'structured'").select("patient_id", "y_true"), "patient_id"
     )
-    model, _ = stacking.fit_stack(rows, [f"{m}_prob" for m in MODALITY_WEIGHTS], max_iter=20)
+    model, _ = stacking.fit_stack(rows, [f"{m}_prob" for m in MODALITY_WEIGHTS])
     return stacking.predict_final(rows, model).select("patient_id", "predicted_class", "confidence", "risk_category")
 
 
@@ -162,9 +162,8 @@ def batch_scoring_records(v):
 @query("training_run_metrics")
 def training_run_metrics(v):
     settings = TrainingSettings(
-        forest_trees=10, forest_depth=4, lab_trees=10, lab_depth=4, text_features=500, lab_tests=tuple(LAB_TESTS),
-        note_order=("note_date", "note_id"),
-    )
+        lab_tests=tuple(LAB_TESTS), note_order=("note_date", "note_id")
+    )
     images = v.embeddings.select((F.col("vec_id") * 3).alias("patient_id"), "embedding")
     run = train(v.patients, v.symptoms.drop("recorded_date"), v.labs, v.notes, v.truth, settings, images)
     return run.metrics()

@@ -73,7 +73,6 @@ def score_symptom_clusters(v):
     return scorecard.with_symptom_clusters(v.symptoms).select("patient_id", *SYMPTOM_CLUSTERS)
 
 
-_FRACTION = "('0x' || substr(md5(concat('{seed}', patient_id)), 1, 8))::BIGINT / 4294967296.0::DOUBLE"
 
 
 @query(
@@ -84,8 +83,7 @@ _FRACTION = "('0x' || substr(md5(concat('{seed}', patient_id)), 1, 8))::BIGINT /
         CASE WHEN final_diagnosis = 'MACHINERY' THEN 0 ELSE {_POINTS} END AS severity_points
       FROM patients p JOIN truth t ON p.patient_id = t.patient_id),
     levelled AS (SELECT *, {_LEVEL} AS severity_level FROM pointed)
-    SELECT *, CASE WHEN severity_level = 'Critical' THEN 1
-      WHEN severity_level = 'High' AND {_FRACTION.format(seed="icu:")} < 0.3 THEN 1 ELSE 0 END AS needs_icu
+    SELECT *, CASE WHEN severity_level = 'Critical' THEN 1 ELSE 0 END AS needs_icu
     FROM levelled
     """,
 )
@@ -158,14 +156,12 @@ _LOAD = " + ".join(f"coalesce({s}, 0)" for s in SYMPTOMS)
           + CASE WHEN respiratory_rate > 20 THEN 6 ELSE 0 END
           + CASE smoking_status WHEN 'Current' THEN 6 WHEN 'Former' THEN 3 ELSE 0 END, 100) AS DOUBLE) AS structured_score,
         CAST(least(25 + coalesce(n_symptoms, 0) * 4.5, 100) AS DOUBLE) AS nlp_score,
-        CAST(least(25 + coalesce(n_abnormal, 0) * 6, 100) AS DOUBLE) AS lab_score,
-        20.0::DOUBLE + ({_FRACTION.format(seed="imaging:").replace("patient_id", "p.patient_id")}) * 30.0::DOUBLE AS imaging_score
+        CAST(least(25 + coalesce(n_abnormal, 0) * 6, 100) AS DOUBLE) AS lab_score
       FROM patients p LEFT JOIN load ON p.patient_id = load.patient_id LEFT JOIN abnormal ON p.patient_id = abnormal.patient_id),
     summed AS (
-      SELECT *, least(0.30::DOUBLE * structured_score + 0.25::DOUBLE * nlp_score + 0.25::DOUBLE * lab_score
-        + 0.20::DOUBLE * imaging_score, 100) AS overall FROM parts)
-    SELECT patient_id, structured_score, nlp_score, lab_score, round(imaging_score, 6) AS imaging_score,
-      round(overall, 6) AS overall_score,
+      SELECT *, least((0.30::DOUBLE * structured_score + 0.25::DOUBLE * nlp_score + 0.25::DOUBLE * lab_score) / 0.8::DOUBLE,
+        100) AS overall FROM parts)
+    SELECT patient_id, structured_score, nlp_score, lab_score, round(overall, 1) AS overall_score,
       CASE WHEN overall >= 75 THEN 'Critical' WHEN overall >= 50 THEN 'High' WHEN overall >= 25 THEN 'Moderate' ELSE 'Low' END AS chart_level,
       array_to_string(list_filter([
         CASE WHEN age > 65 THEN concat('Advanced age (', age, ')') END,
@@ -196,12 +192,11 @@ def risk_chart(v):
         "structured_score",
         "nlp_score",
         "lab_score",
-        "imaging_score",
         "overall_score",
         "chart_level",
         joined("factors").alias("factors"),
     )
-    return rounded(shown, ["imaging_score", "overall_score"])
+    return shown
 
 
 _BATCH = """
@@ -212,17 +207,16 @@ _BATCH = """
 """
 _BATCH_SCORED = f"""
 WITH scored AS (
-  SELECT patient_id, greatest(0, least(100, CAST({_BATCH} AS DOUBLE)
-    + ({_FRACTION.format(seed="batch:")} * 15.0::DOUBLE - 5.0::DOUBLE))) AS score FROM patients),
+  SELECT patient_id, greatest(0, least(100, CAST({_BATCH} AS DOUBLE))) AS score FROM patients),
 levelled AS (
-  SELECT patient_id, round(score, 6) AS risk_score, CASE WHEN score >= 75 THEN 'Critical' WHEN score >= 50 THEN 'High'
+  SELECT patient_id, round(score, 1) AS risk_score, CASE WHEN score >= 75 THEN 'Critical' WHEN score >= 50 THEN 'High'
     WHEN score >= 25 THEN 'Moderate' ELSE 'Low' END AS risk_level FROM scored)
 """
 
 
 @query("risk_batch", f"{_BATCH_SCORED} SELECT * FROM levelled")
 def risk_batch(v):
-    return rounded(scorecard.batch_risk(v.patients).select("patient_id", "risk_score", "risk_level"), ["risk_score"])
+    return scorecard.batch_risk(v.patients).select("patient_id", "risk_score", "risk_level")
 
 
 @query(

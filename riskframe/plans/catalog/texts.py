@@ -168,7 +168,7 @@ def text_vocabulary(v):
 @query("text_hashed_tfidf")
 def text_hashed_tfidf(v):
     notes = v.notes.withColumn("note_text", F.coalesce("note_text", F.lit("")))
-    model = text.hashed_tfidf(max_features=1000).fit(notes)
+    model = text.hashed_tfidf().fit(notes)
     values = vector_to_array("tfidf_features")
     return model.transform(notes).select(
         "note_id",
@@ -205,7 +205,7 @@ def vector_first_pooling(v):
 
 @query("text_embedding")
 def text_embedding(v):
-    embedded = text.embed(v.notes.select("note_id", "note_text"), dim=128)
+    embedded = text.embed(v.notes.select("note_id", "note_text"))
     return embedded.select("note_id", F.size("embedding").alias("dim"), F.array_max("embedding").alias("peak"))
 
 

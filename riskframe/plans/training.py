@@ -122,7 +122,7 @@ def train(
         columns = profile.numeric_columns(features, profile.TRAINING_EXCLUSIONS)
         # Fitting passes over the rows many times; saving them also keeps the plan of each pass short.
         rows = materialize(features.na.fill(0, columns))
-        pipeline = models.forest_pipeline(columns, label, s.forest_trees, s.forest_depth, s.seed)
+        pipeline = models.forest_pipeline(columns, label, s.forest_trees, s.forest_depth, s.seed, labels=names)
         fit_on = integrate.keep_ids(rows, train_ids, key)
         if s.search_depths and s.search_trees:
             model = models.grid_search(pipeline, fit_on, key, s.search_depths, s.search_trees).bestModel
@@ -134,7 +134,7 @@ def train(
         joined = clean.drop_missing(integrate.join_all([notes, labelled.select(key, label)], [key]), ["note_text"])
         rows = materialize(integrate.concat_texts(joined, key, "note_text", s.note_order, label=label))
         model = models.fit_text_classifier(
-            integrate.keep_ids(rows, train_ids, key), label, "note_text", max_features=s.text_features
+            integrate.keep_ids(rows, train_ids, key), label, "note_text", max_features=s.text_features, labels=names
         )
         return model, rows
 
@@ -142,15 +142,15 @@ def train(
         tests = list(s.lab_tests) or sorted(r[0] for r in labs.select("test_name").distinct().collect())
         wide = integrate.join_all([integrate.pivot_mean(labs, tests, key), labelled.select(key, label)], [key])
         rows = materialize(clean.drop_missing(wide, tests))
-        pipeline = models.forest_pipeline(tests, label, s.lab_trees, s.lab_depth, s.seed, scale=False)
+        pipeline = models.forest_pipeline(tests, label, s.lab_trees, s.lab_depth, s.seed, scale=False, labels=names)
         return pipeline.fit(integrate.keep_ids(rows, train_ids, key)), rows
 
     def imaging() -> tuple[PipelineModel, DataFrame]:
         size = images.select(F.max(F.size("embedding"))).first()[0]
         columns = [f"e{i}" for i in range(size)]
         flat = images.select(key, *[F.col("embedding")[i].cast("double").alias(c) for i, c in enumerate(columns)])
-        rows = integrate.join_all([flat, labelled.select(key, label)], [key])
-        pipeline = models.forest_pipeline(columns, label, s.lab_trees, s.lab_depth, s.seed, scale=False)
+        rows = materialize(integrate.join_all([flat, labelled.select(key, label)], [key]))
+        pipeline = models.forest_pipeline(columns, label, s.lab_trees, s.lab_depth, s.seed, scale=False, labels=names)
         return pipeline.fit(integrate.keep_ids(rows, train_ids, key)), rows
 
     steps = {"structured": structured, "nlp": nlp, "lab": lab}

@@ -84,5 +84,12 @@ def image_files(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame
 def existing_images(df: DataFrame, root: str, path: str = "image_path") -> DataFrame:
     """Rows whose file exists below ``root``, with ``full_path``; the file contents are not read."""
     base = root.rstrip("/")
-    listed = image_files(df.sparkSession, base).select(F.regexp_replace("path", "^file:/+", "/").alias("full_path"))
-    return df.withColumn("full_path", F.concat_ws("/", F.lit(base), F.col(path))).join(listed, "full_path", "left_semi")
+    names = df.withColumn("full_path", F.concat_ws("/", F.lit(base), F.col(path)))
+    listed = image_files(df.sparkSession, base).select(F.col("path").alias("_listed"))
+    return names.join(listed, F.concat_ws("/", F.lit(_qualified(df.sparkSession, base)), F.col(path)) == F.col("_listed"), "left_semi")
+
+
+def _qualified(spark: SparkSession, folder: str) -> str:
+    """The folder as its file system names it, the form in which files are listed."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(place).toString()
