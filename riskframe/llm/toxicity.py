@@ -28,11 +28,11 @@ from pyspark.sql import functions as F
 
 from riskframe.llm.common import fold, rows_of, sample_keys
 
-PREFIXES, GRADES, PER_LABEL, LEAST_DOCUMENTS, EVIDENCE = range(3, 8), 3, 4000, 5, 25.0
+PREFIXES, GRADES, PER_LABEL, LEAST_DOCUMENTS, EVIDENCE = range(3, 8), 3, 2500, 5, 25.0
 STEPS, RATE, RIDGE = 300, 0.05, 1e-3
 FOLDS, HELD, CUT = 5, 0, 0.45
 _EDGES = re.compile(r"^[\W_]+|[\W_]+$")
-SEEN = 400_000
+SEEN, TRAIN_SEEN = 400_000, 50_000
 
 
 def forms(word: str) -> list[int]:
@@ -42,9 +42,11 @@ def forms(word: str) -> list[int]:
     return [xxhash.xxh64_intdigest(p) for p in parts]
 
 
-def places(text: str | None, memory: dict[str, list[int]], kept: dict[int, float] | None = None) -> set[int]:
+def places(
+    text: str | None, memory: dict[str, list[int]], kept: dict[int, float] | None = None, seen: int = SEEN
+) -> set[int]:
     """The distinct features of a whole text, those in ``kept`` only if it is given; ``memory`` is per task."""
-    if len(memory) > SEEN:
+    if len(memory) > seen:
         memory.clear()
     out: set[int] = set()
     for word in set((text or "").split()):
@@ -71,22 +73,23 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def signs_of(found: list[set[int]], toxic: np.ndarray) -> dict[int, float]:
-    """Log odds of presence in toxic documents, of the features that mark them beyond chance."""
-    seen: dict[int, list[int]] = {}
-    for features, label in zip(found, toxic.tolist(), strict=True):
-        for p in features:
-            seen.setdefault(p, [0, 0])[label] += 1
-    bad, good = int(toxic.sum()), int((1 - toxic).sum())
-    out = {}
-    for p, (g, b) in seen.items():
-        if b < LEAST_DOCUMENTS or b * good <= g * bad:
-            continue
-        share = (b + g) / (bad + good)
-        ratio = 2 * (b * np.log(b / (share * bad)) + (g * np.log(g / (share * good)) if g else 0.0))
-        if ratio >= EVIDENCE:
-            out[p] = float(np.log((b + 0.5) / bad) - np.log((g + 0.5) / good))
-    return out
+def signs_of(found: list[np.ndarray], toxic: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The features that mark toxic documents beyond chance, in ascending order, and their log odds."""
+    every = np.concatenate(found)
+    order = np.argsort(every, kind="stable")
+    every = every[order]
+    labels = np.repeat(toxic.astype(np.int32), [len(f) for f in found])[order]
+    del order
+    starts = np.flatnonzero(np.concatenate(([True], every[1:] != every[:-1])))
+    both = np.diff(np.append(starts, len(every))).astype(float)
+    b = np.add.reduceat(labels, starts).astype(float)
+    g, bad, good = both - b, float(toxic.sum()), float((1 - toxic).sum())
+    share = both / (bad + good)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        ratio = 2 * (b * np.log(b / (share * bad)) + np.where(g > 0, g * np.log(g / (share * good)), 0.0))
+        chosen = (b >= LEAST_DOCUMENTS) & (b * good > g * bad) & (ratio >= EVIDENCE)
+    odds = np.log((b + 0.5) / bad) - np.log((g + 0.5) / good)
+    return every[starts][chosen], odds[chosen]
 
 
 def fit(texts: list[str | None], labels: list[int]) -> Ordinal | None:
@@ -94,13 +97,17 @@ def fit(texts: list[str | None], labels: list[int]) -> Ordinal | None:
     if len(set(labels)) < 2:
         return None
     memory: dict[str, list[int]] = {}
-    found = [places(t, memory) for t in texts]
-    signs = signs_of(found, toxic)
-    evidence = np.array([sum(signs.get(p, 0.0) for p in f) for f in found])
+    found = [np.sort(np.array(list(places(t, memory, seen=TRAIN_SEEN)), dtype=np.uint64)) for t in texts]
+    del memory
+    signs, odds = signs_of(found, toxic)
+    rows = []
+    for f in found:
+        near = np.searchsorted(signs, f).clip(max=max(0, len(signs) - 1))
+        rows.append(near[signs[near] == f] if len(signs) else near[:0])
+    evidence = np.array([odds[r].sum() for r in rows])
     edges = np.quantile(evidence[toxic == 1], np.arange(1, GRADES) / GRADES)
     grade = np.where(toxic == 1, 1 + np.searchsorted(edges, evidence, "right"), 0)
-    column = {p: i for i, p in enumerate(sorted(signs))}
-    rows = [np.array([column[p] for p in f if p in column], np.int64) for f in found]
+    column = {int(p): i for i, p in enumerate(signs)}
     at = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
     places_at = np.concatenate(rows)
     share = np.array([(grade >= k).mean() for k in range(1, GRADES + 1)]).clip(1e-3, 1 - 1e-3)
