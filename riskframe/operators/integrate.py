@@ -105,16 +105,22 @@ def concat_texts(
     order: Sequence[str] = ("note_date",),
     bucket: Column | None = None,
     label: str | None = None,
-    max_chars: int = 4_000_000,
+    max_chars: int | None = None,
 ) -> DataFrame:
     """Concatenate the texts of an entity in order, separated by a blank.
 
-    The result has one row per entity and ``part``. An entity whose texts exceed ``max_chars`` continues
-    in further parts, so no row and no task has to hold an unbounded group, and no text is lost.
+    The result has one row per entity and ``part``. Only when the caller sets ``max_chars`` does an entity
+    with longer texts continue in further parts; no text is lost.
     ``bucket`` is monotone along ``order``; by default it is the day of the first order column.
     """
     require(df, [key, text, *order])
     some = df.filter(F.col(text).isNotNull())
+    rows = F.sort_array(F.collect_list(F.struct(*[F.col(c) for c in order], F.col(text))))
+    results = [F.array_join(F.transform(rows, lambda r: r[text]), " ").alias(text)]
+    if label:
+        results.append(F.min(label).alias(label))
+    if max_chars is None:
+        return some.groupBy(key).agg(*results).withColumn("part", F.lit(0))
     sized = running_totals(
         some,
         [key],
@@ -122,10 +128,6 @@ def concat_texts(
         {"chars": F.length(text).cast("long") + 1},
         date_bucket(order[0]) if bucket is None else bucket,
     ).withColumn("part", F.floor(F.col("chars_before") / F.lit(max_chars)).cast("int"))
-    rows = F.sort_array(F.collect_list(F.struct(*[F.col(c) for c in order], F.col(text))))
-    results = [F.array_join(F.transform(rows, lambda r: r[text]), " ").alias(text)]
-    if label:
-        results.append(F.min(label).alias(label))
     return sized.groupBy(key, "part").agg(*results)
 
 

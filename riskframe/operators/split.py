@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskframe.operators.prefix import group_rank, hash_bucket
+from riskframe.operators.prefix import hash_bucket
+from riskframe.operators.sizing import lookup_join
 
 
 def key_digest(key: str, seed: int = 42) -> Column:
@@ -17,23 +18,37 @@ def digest_number(digest: Column) -> Column:
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("long")
 
 
-def _ranked(df: DataFrame, label: str, key: str, seed: int) -> DataFrame:
-    hashed = df.withColumn("_digest", key_digest(key, seed))
-    return group_rank(hashed, [label], ["_digest", key], hash_bucket("_digest"), "_rank")
-
-
 def stratified_split(
     df: DataFrame, label: str, key: str = "patient_id", train_share: float = 0.8, seed: int = 42
 ) -> DataFrame:
-    """Add ``is_train``: exactly ``floor(share * n)`` rows of every class."""
-    ranked = _ranked(df, label, key, seed)
-    cut = F.floor(F.col("_rank_of") * F.lit(train_share))
-    return ranked.select(*df.columns, (F.col("_rank") <= cut).alias("is_train"))
+    """Add ``is_train``: exactly ``floor(share * n)`` rows of every class.
+
+    Rows are counted per class and digest bucket. All buckets before the one in which the share is reached
+    are training rows, all after it are not; only the rows of that one bucket are ranked. The cuts are one row
+    per class, so the table itself is neither sorted nor joined by a shuffle while there are few classes.
+    """
+    names = df.columns
+    staged = df.select("*", hash_bucket(key_digest(key, seed)).alias("_bucket"))
+    counts = staged.groupBy(F.col(label).alias("_class"), "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    group = Window.partitionBy("_class")
+    before = F.coalesce(F.sum("_n").over(group.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    wanted = F.floor(F.sum("_n").over(group) * F.lit(train_share))
+    placed = counts.select("_class", "_bucket", before.alias("_before"), wanted.alias("_wanted"), "_n")
+    inside = (F.col("_before") <= F.col("_wanted")) & (F.col("_wanted") < F.col("_before") + F.col("_n"))
+    cuts = placed.filter(inside | (F.col("_before") + F.col("_n") == F.col("_wanted"))).groupBy("_class").agg(
+        F.max_by(F.struct(F.col("_bucket").alias("b"), (F.col("_wanted") - F.col("_before")).alias("open")), "_bucket").alias("_cut")
+    )
+    marked = lookup_join(staged.withColumn("_class", F.col(label)), cuts, ["_class"])
+    sure = marked.filter(F.col("_bucket") != F.col("_cut.b")).select(*names, (F.col("_bucket") < F.col("_cut.b")).alias("is_train"))
+    rank = F.row_number().over(Window.partitionBy("_class").orderBy(key_digest(key, seed), key))
+    border = marked.filter(F.col("_bucket") == F.col("_cut.b"))
+    return sure.unionByName(border.select(*names, (rank <= F.col("_cut.open")).alias("is_train")))
 
 
 def sample_per_class(df: DataFrame, label: str, n: int, key: str = "patient_id", seed: int = 42) -> DataFrame:
-    """``n`` rows of every class (all rows of a smaller class)."""
-    return _ranked(df, label, key, seed).filter(F.col("_rank") <= n).select(*df.columns)
+    """``n`` rows of every class (all rows of a smaller class); map tasks hand on at most ``n`` rows of a class."""
+    rank = F.row_number().over(Window.partitionBy(label).orderBy(key_digest(key, seed), key))
+    return df.withColumn("_rank", rank).filter(F.col("_rank") <= n).select(*df.columns)
 
 
 def random_split(df: DataFrame, key: str = "patient_id", train_share: float = 0.8, seed: int = 42) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 import numpy as np
+import pandas as pd
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import IDF, HashingTF, StopWordsRemover, Tokenizer
 from pyspark.ml.functions import array_to_vector, predict_batch_udf, vector_to_array
@@ -155,26 +156,38 @@ def pool_first(df: DataFrame, key: str, vector: str, position: str) -> DataFrame
     return df.groupBy(key).agg(F.min_by(vector, position).alias("pooled"))
 
 
-def bag_of_words_model(dim: int = 768) -> Callable:
-    """Default text model: hashed counts of all words, scaled to unit length. Needs no download."""
+def md5_bucket(term: Column, buckets: int) -> Column:
+    """Bucket of a term: the first 32 bits of its md5 digest, modulo ``buckets``."""
+    return F.pmod(F.conv(F.substring(F.md5(term.cast("binary")), 1, 8), 16, 10).cast("long"), F.lit(buckets)).cast("int")
 
-    def make() -> Callable:
-        import re
-        import zlib
 
-        word = re.compile(r"\w+")
+def hashed_tfidf_rows(
+    df: DataFrame, key: str, text: str = "note_text", max_features: int = 5000, stop_words: Sequence[str] = STOP_WORDS
+) -> DataFrame:
+    """Hashed TF-IDF as rows ``(key, bucket, tf, weight)``; built-in functions only, nothing to fit or load."""
+    terms = F.filter(F.split(F.lower(text), r"\s+"), lambda t: (t != "") & ~t.isin(list(stop_words)))
+    buckets = df.select(key, F.explode(F.transform(terms, lambda t: md5_bucket(t, max_features))).alias("bucket"))
+    counts = buckets.groupBy(key, "bucket").agg(F.count(F.lit(1)).alias("tf"))
+    documents = df.agg(F.count_distinct(key)).scalar()
+    found = counts.groupBy("bucket").agg(F.count(F.lit(1)).alias("df"))  # at most max_features rows
+    idf = found.select("bucket", F.log((documents + 1) / (F.col("df") + 1)).alias("idf"))
+    return counts.join(F.broadcast(idf), "bucket").select(key, "bucket", "tf", (F.col("tf") * F.col("idf")).alias("weight"))
 
-        def predict(texts: np.ndarray) -> np.ndarray:
-            out = np.zeros((len(texts), dim), dtype=np.float32)
-            for row, text in enumerate(texts):
-                for token in word.findall((text or "").lower()):
-                    out[row, zlib.crc32(token.encode()) % dim] += 1.0
-            norm = np.linalg.norm(out, axis=1, keepdims=True)
-            return out / np.where(norm == 0, 1, norm)
 
-        return predict
+def _hashed_vectors(text: str, dim: int) -> Column:
+    """Unit vectors of hashed word counts: buckets come from built-in functions, a batch is counted at once."""
+    words = F.regexp_extract_all(F.lower(F.coalesce(F.col(text), F.lit(""))), F.lit(r"([\p{L}\p{N}_]+)"), 1)
 
-    return make
+    @F.pandas_udf(ArrayType(FloatType()))
+    def count(parts: pd.Series) -> pd.Series:
+        lists = parts.to_list()
+        rows = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
+        flat = np.concatenate(lists).astype(np.int64) if len(rows) else np.zeros(0, np.int64)
+        out = np.bincount(rows * dim + flat, minlength=len(lists) * dim).reshape(len(lists), dim).astype(np.float32)
+        norm = np.linalg.norm(out, axis=1, keepdims=True)
+        return pd.Series(list(out / np.where(norm == 0, 1, norm)))
+
+    return count(F.transform(words, lambda w: md5_bucket(w, dim)))
 
 
 def embed(
@@ -187,11 +200,12 @@ def embed(
 ) -> DataFrame:
     """Batched model inference on the executors; the model is built once per Python worker.
 
-    ``make_model()`` returns a function from an array of inputs to an array of shape ``(n, dim)``.
+    ``make_model()`` returns a function from an array of inputs to an array of shape ``(n, dim)``. Without one
+    the vectors are hashed word counts of unit length, which need no download.
     """
-    run = predict_batch_udf(
-        make_model or bag_of_words_model(dim), return_type=ArrayType(FloatType()), batch_size=batch_size
-    )
+    if make_model is None:
+        return df.withColumn(output, _hashed_vectors(column, dim))
+    run = predict_batch_udf(make_model, return_type=ArrayType(FloatType()), batch_size=batch_size)
     return df.withColumn(output, run(F.coalesce(F.col(column), F.lit(""))))
 
 
@@ -200,8 +214,13 @@ def byte_histogram_model(dim: int = 64) -> Callable:
 
     def make() -> Callable:
         def predict(contents: list[bytes]) -> np.ndarray:
-            rows = [np.bincount(np.frombuffer(c, dtype=np.uint8) * dim // 256, minlength=dim) / len(c) for c in contents]
-            return np.asarray(rows, dtype=np.float32)
+            sizes = np.array([len(c) for c in contents])
+            if not sizes.all():
+                raise ValueError("an empty file has no byte values")
+            rows = np.repeat(np.arange(len(contents)), sizes)
+            values = np.frombuffer(b"".join(contents), dtype=np.uint8).astype(np.int64) * dim // 256
+            counts = np.bincount(rows * dim + values, minlength=len(contents) * dim).reshape(-1, dim)
+            return (counts / sizes[:, None]).astype(np.float32)
 
         return predict
 
@@ -223,14 +242,18 @@ def embed_files(
     def run(batches):
         model = make()
         for batch in batches:
-            vectors, ok = [], []
-            for item in batch[content]:
-                try:
-                    vectors.append(np.asarray(model([bytes(item)])[0], dtype=np.float32))
-                    ok.append(True)
-                except Exception:
-                    vectors.append(np.zeros(dim, dtype=np.float32))
-                    ok.append(False)
+            items = [None if x is None else bytes(x) for x in batch[content]]
+            try:
+                vectors, ok = list(np.asarray(model(items), dtype=np.float32)), [True] * len(items)
+            except Exception:  # find the files that the model cannot read
+                vectors, ok = [], []
+                for item in items:
+                    try:
+                        vectors.append(np.asarray(model([item])[0], dtype=np.float32))
+                        ok.append(True)
+                    except Exception:
+                        vectors.append(np.zeros(dim, dtype=np.float32))
+                        ok.append(False)
             yield batch[kept].assign(**{output: vectors, "ok": ok})
 
     fields = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in kept)

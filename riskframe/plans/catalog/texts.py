@@ -165,16 +165,23 @@ def text_vocabulary(v):
     return rounded(text.vocabulary(counts, size), ["idf"], 9)
 
 
-@query("text_hashed_tfidf")
+_BUCKET = "('0x' || substr(md5({}), 1, 8))::BIGINT % {}"
+
+
+@query(
+    "text_hashed_tfidf",
+    f"""
+    WITH terms AS (SELECT note_id, unnest(string_split_regex(lower(note_text), '\\s+')) AS t FROM notes),
+    counts AS (
+      SELECT note_id, {_BUCKET.format("t", 5000)} AS bucket, count(*) AS tf FROM terms
+      WHERE t <> '' AND t NOT IN ({_STOPS}) GROUP BY ALL),
+    size AS (SELECT count(DISTINCT note_id) AS n FROM notes),
+    idf AS (SELECT bucket, ln((max(n) + 1) / (count(*) + 1)) AS idf FROM counts, size GROUP BY bucket)
+    SELECT note_id, CAST(c.bucket AS INT) AS bucket, tf, round(tf * idf, 8) AS weight FROM counts c JOIN idf ON c.bucket = idf.bucket
+    """,
+)
 def text_hashed_tfidf(v):
-    notes = v.notes.withColumn("note_text", F.coalesce("note_text", F.lit("")))
-    model = text.hashed_tfidf().fit(notes)
-    values = vector_to_array("tfidf_features")
-    return model.transform(notes).select(
-        "note_id",
-        F.size(F.filter(values, lambda x: x != 0)).alias("n_terms"),
-        F.aggregate(values, F.lit(0.0), lambda a, b: a + b).alias("total"),
-    )
+    return rounded(text.hashed_tfidf_rows(v.notes, "note_id"), ["weight"], 8)
 
 
 @query(
@@ -203,26 +210,55 @@ def vector_first_pooling(v):
     return pooled.select("label", F.posexplode("pooled").alias("dim", "x")).withColumn("x", F.col("x").cast("double"))
 
 
-@query("text_embedding")
+@query(
+    "text_embedding",
+    f"""
+    WITH words AS (SELECT note_id, unnest(regexp_extract_all(lower(note_text), '[\\p{{L}}\\p{{N}}_]+')) AS w FROM notes),
+    counts AS (SELECT note_id, {_BUCKET.format("w", 768)} AS bucket, count(*) AS n FROM words GROUP BY ALL),
+    peaks AS (SELECT note_id, max(n) / sqrt(sum(n * n)) AS peak FROM counts GROUP BY note_id)
+    SELECT n.note_id, 768 AS dim, round(coalesce(peak, 0), 5) AS peak FROM notes n LEFT JOIN peaks p ON n.note_id = p.note_id
+    """,
+)
 def text_embedding(v):
     embedded = text.embed(v.notes.select("note_id", "note_text"))
-    return embedded.select("note_id", F.size("embedding").alias("dim"), F.array_max("embedding").alias("peak"))
+    peak = F.round(F.array_max("embedding").cast("double"), 5)
+    return embedded.select("note_id", F.size("embedding").alias("dim"), peak.alias("peak"))
 
 
-@query("file_embedding")
+@query(
+    "file_embedding",
+    """
+    WITH raw AS (SELECT page_id, hex(encode(html)) AS h FROM pages),
+    bytes AS (SELECT page_id, length(h) // 2 AS size, unnest(list_transform(range(0, length(h) // 2), lambda i: substr(h, 2 * i + 1, 2))) AS b FROM raw),
+    counts AS (SELECT page_id, max(size) AS size, ('0x' || b)::INT // 4 AS slot, count(*) AS n FROM bytes GROUP BY page_id, slot)
+    SELECT page_id, true AS ok, round(max(n) / max(size), 5) AS peak FROM counts GROUP BY page_id
+    """,
+)
 def file_embedding(v):
     pages = v.pages.select("page_id", F.col("html").cast("binary").alias("content"))
     embedded = text.embed_files(pages, keep=["page_id"])
-    return embedded.select("page_id", "ok", F.array_max("embedding").alias("peak"))
+    return embedded.select("page_id", "ok", F.round(F.array_max("embedding").cast("double"), 5).alias("peak"))
+
 
+_VOWELS = {c: f"(length(note_text) - length(replace(lower(note_text), '{c}', '')))" for c in "aeiou"}
 
-@query("text_batch_classification")
+
+@query(
+    "text_batch_classification",
+    f"""
+    WITH counts AS (SELECT note_id, {", ".join(f"coalesce({x}, 0) AS n{i}" for i, x in enumerate(_VOWELS.values()))} FROM notes)
+    SELECT note_id, CASE {" ".join(f"WHEN n{i} = greatest(n0, n1, n2, n3, n4) THEN {i}" for i in range(5))} END AS predicted_class,
+      round(exp(greatest(n0, n1, n2, n3, n4) / 50.0::DOUBLE) / ({" + ".join(f"exp(n{i} / 50.0::DOUBLE)" for i in range(5))}), 5) AS confidence
+    FROM counts
+    """,
+)
 def text_batch_classification(v):
     def letter_model():
         def predict(texts):
-            return np.array([[(t or "").lower().count(c) / 50.0 for c in "aeiou"] for t in texts], dtype=np.float32)
+            lower = np.char.lower(np.asarray(texts, dtype=str))
+            return np.stack([np.char.count(lower, c) / 50.0 for c in "aeiou"], axis=1).astype(np.float32)
 
         return predict
 
     scored = text.classify(v.notes.select("note_id", "note_text"), "note_text", letter_model, 5)
-    return scored.select("note_id", "predicted_class", F.array_max("probability").alias("confidence"))
+    return scored.select("note_id", "predicted_class", F.round(F.array_max("probability"), 5).alias("confidence"))
