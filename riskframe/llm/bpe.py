@@ -16,16 +16,27 @@ from array import array
 import numpy as np
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-CHUNKS, BATCH = 400_000, 10_000
+CHUNKS, BATCH = 600_000, 10_000
 #: Before a blank that a visible character follows: a byte-level token never spans this place.
-_BEFORE_WORD = re.compile(r" (?=[^\s᠎​﻿])")
+_BEFORE_WORD = re.compile("(?= [^\\s\u180e\u200b\ufeff])")
+#: A word and the ASCII signs after it; the pre-tokenizers cut between them.
+_SIGNS_AFTER = re.compile(r"(.*[^\W_])([!-&(-/:-@\[-^`{-~]+)", re.DOTALL)
 _OPEN: dict[tuple[str, str], "Encoder"] = {}
 
 
 def byte_level_chunks(text: str) -> list[str]:
-    """Chunks ``word``, `` word``, ...; other white space stays with the word before it."""
-    first, *rest = _BEFORE_WORD.split(text)
-    return [first, *[" " + w for w in rest]]
+    """Chunks of a text, written as: ``word`` for a word after one blank, a line end and the word after it, or NUL
+    and any piece as it stands. Printable text with single blanks and line ends is cut without a pattern."""
+    spaced = text.replace("\n", " \n")
+    if not text or spaced[0] in " \n" or spaced[-1] in " \n" or "  " in spaced or "\n " in spaced or not spaced.replace("\n", "").isprintable():
+        return ["\0" + piece for piece in _BEFORE_WORD.split(text)]
+    chunks = spaced.split(" ")
+    chunks[0] = "\0" + chunks[0]
+    return chunks
+
+
+def byte_level_text(chunk: str) -> str:
+    return chunk[1:] if chunk[:1] == "\0" else chunk if chunk[:1] == "\n" else " " + chunk
 
 
 def word_level_chunks(text: str) -> list[str]:
@@ -34,34 +45,58 @@ def word_level_chunks(text: str) -> list[str]:
 
 
 class Encoder:
-    def __init__(self, path: str, cut):
+    def __init__(self, path: str, cut, written):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.cut, self.known, self.before = Tokenizer.from_file(path), cut, {}, {}
+        self.tokenizer, self.cut, self.written, self.known, self.before = Tokenizer.from_file(path), cut, written, {}, {}
         self.tokenizer.encode_special_tokens = True
         self.code = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
 
     def encode(self, text: str | None) -> np.ndarray:
         """The ids of a text as unsigned 32-bit numbers; none for a null or empty text."""
-        chunks, known, before = self.cut(text or ""), self.known, self.before
-        new = []
-        for chunk in {c for c in chunks if c not in known}:
-            if (found := before.get(chunk)) is None:
+        chunks = self.cut(text or "")
+        found = list(map(self.known.get, chunks))
+        if None in found:
+            self._learn({c for c, ids in zip(chunks, found, strict=True) if ids is None})
+            found = map(self.known.__getitem__, chunks)
+        ids = np.frombuffer(b"".join(found), dtype=self.code).astype("<u4")
+        if len(self.known) > CHUNKS:
+            self.known, self.before = {}, self.known
+        return ids
+
+    def _learn(self, chunks: set[str]) -> None:
+        """Add chunks to the memory; of a word with signs after it the two are encoded apart."""
+        known, before, new, joined = self.known, self.before, [], []
+        for chunk in chunks:
+            if (ids := before.get(chunk)) is not None:
+                known[chunk] = ids
+            elif cut := _SIGNS_AFTER.fullmatch(chunk):
+                joined.append((chunk, cut[1], self._alone(cut[2])))
+            else:
                 new.append(chunk)
+        for part in {p for _, *both in joined for p in both if p not in known and p not in chunks}:
+            if (ids := before.get(part)) is not None:
+                known[part] = ids
             else:
-                known[chunk] = found
+                new.append(part)
         for at in range(0, len(new), BATCH):
             part = new[at : at + BATCH]
-            for chunk, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                known[chunk] = array(self.code, found.ids).tobytes()
-        ids = np.frombuffer(b"".join([known[c] for c in chunks]), dtype=self.code).astype("<u4")
-        if len(known) > CHUNKS:
-            self.known, self.before = {}, known
-        return ids
+            texts = [self.written(c) for c in part]
+            for chunk, ids in zip(part, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
+                known[chunk] = array(self.code, ids.ids).tobytes()
+        for chunk, word, signs in sorted(joined, key=lambda x: len(x[0])):  # a part may end in signs itself
+            known[chunk] = known[word] + known[signs]
+
+    def _alone(self, piece: str) -> str:
+        """The chunk that stands for a piece without a blank before it."""
+        return "\0" + piece if self.written is byte_level_text else piece
+
+
+_LEVELS = {"byte": (byte_level_chunks, byte_level_text), "word": (word_level_chunks, str)}
 
 
 def encoder(path: str, level: str) -> Encoder:
     """The worker's encoder for a vocabulary file; ``level`` is ``byte`` or ``word``."""
     if (path, level) not in _OPEN:
-        _OPEN[path, level] = Encoder(path, {"byte": byte_level_chunks, "word": word_level_chunks}[level])
+        _OPEN[path, level] = Encoder(path, *_LEVELS[level])
     return _OPEN[path, level]
