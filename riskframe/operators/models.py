@@ -97,6 +97,15 @@ def grid_search(
     return validator.fit(with_fold(df, key, folds))
 
 
+def grid_scores(spark: SparkSession, found: CrossValidatorModel) -> DataFrame:
+    """Mean cross-validated F1 of every point of the grid: ``(depth, trees, f1)``."""
+    rows = []
+    for point, score in zip(found.getEstimatorParamMaps(), found.avgMetrics, strict=True):
+        values = {param.name: value for param, value in point.items()}
+        rows.append((int(values["maxDepth"]), int(values["numTrees"]), float(score)))
+    return spark.createDataFrame(rows, "depth int, trees int, f1 double")
+
+
 def class_labels(model: PipelineModel) -> list[str]:
     """Labels in index order, taken from the fitted indexer."""
     return list(next(stage for stage in model.stages if hasattr(stage, "labels")).labels)

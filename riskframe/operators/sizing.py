@@ -7,21 +7,31 @@ from pyspark.sql import functions as F
 
 from riskframe.session import materialize
 
-BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 16 << 20
 SALTS = 64
 
 
+def saved_bytes(saved: DataFrame) -> int:
+    """Bytes of a saved table: fixed widths, and the measured length of texts and nested values."""
+    sizes = []
+    for name, kind in saved.dtypes:
+        nested = kind.startswith(("array", "map", "struct"))
+        text = F.to_json(F.struct(name)) if nested else F.col(name) if kind in ("string", "binary") else None
+        sizes.append(F.lit(16) if text is None else F.coalesce(F.octet_length(text), F.lit(0)) + 24)
+    return saved.agg(F.sum(sum(sizes, F.lit(16)).cast("long"))).first()[0] or 0
+
+
 def lookup_join(
-    big: DataFrame, summary: DataFrame, keys: list[str], how: str = "inner", max_rows: int = BROADCAST_ROWS
+    big: DataFrame, summary: DataFrame, keys: list[str], how: str = "inner", max_bytes: int = BROADCAST_BYTES
 ) -> DataFrame:
     """Join a large table with a per-key summary of it (one row per key).
 
-    The summary is computed once and saved. When it has at most ``max_rows`` rows it is broadcast, so
+    The summary is computed once and saved. When its rows take at most ``max_bytes`` it is broadcast, so
     the large side is not shuffled. Otherwise both sides are joined on the key plus a salt, so that a
     key which holds a large share of the rows is spread over ``SALTS`` tasks.
     """
     saved = materialize(summary)
-    if saved.limit(max_rows + 1).count() <= max_rows:
+    if saved_bytes(saved) <= max_bytes:
         return big.join(F.broadcast(saved), keys, how)
     salted = saved.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     spread = F.pmod(F.xxhash64(*[F.col(c) for c, t in big.dtypes if not t.startswith("map")]), F.lit(SALTS))

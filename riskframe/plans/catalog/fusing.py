@@ -202,9 +202,11 @@ _STRONGEST = "CASE " + " ".join(
     f"THEN 'Strongest signal from {m} modality'"
     for m in MODELS
 ) + " END"
-_FACTORED = f"""{_DECIDED},
+PRESENT = ", ".join(f"{m}0 IS NOT NULL AS has_{m}" for m in MODELS)
+MODALITY_NAMES = ", ".join(f"CASE WHEN has_{m} THEN '{m}' END" for m in MODELS)
+FACTORED = f"""{_DECIDED},
 factored AS (
-  SELECT l.patient_id, level, diagnosis, list_filter([{_VITAL_TEXT}, {_SYMPTOM_TEXT}, {_STRONGEST}],
+  SELECT l.patient_id, level, diagnosis, conf, {PRESENT}, list_filter([{_VITAL_TEXT}, {_SYMPTOM_TEXT}, {_STRONGEST}],
     lambda x: x IS NOT NULL)[1:5] AS factors
   FROM levelled l JOIN patients p ON l.patient_id = p.patient_id JOIN symptoms s ON l.patient_id = s.patient_id)
 """
@@ -215,7 +217,7 @@ def factored(v):
     return rows.withColumn("factors", fusion.top_factors([*v.patients.columns, *SYMPTOMS], VECTORS))
 
 
-@query("fusion_top_factors", f"{_FACTORED} SELECT patient_id, array_to_string(factors, '|') AS factors FROM factored")
+@query("fusion_top_factors", f"{FACTORED} SELECT patient_id, array_to_string(factors, '|') AS factors FROM factored")
 def fusion_top_factors(v):
     return factored(v).select("patient_id", joined("factors").alias("factors"))
 
@@ -224,17 +226,20 @@ def _list(lines: list[str]) -> str:
     return "[" + ", ".join("'" + line.replace("'", "''") + "'" for line in lines) + "]"
 
 
-@query(
-    "actions_for_predictions",
-    f"""{_FACTORED}
-    SELECT patient_id, array_to_string(list_concat(list_concat(
+SCORING_ACTIONS_SQL = f"""list_concat(list_concat(
       CASE level {" ".join(f"WHEN '{k}' THEN {_list(a)}" for k, a in SCORING_ACTIONS.items())} END,
       [concat('Evaluate for: ', diagnosis)]),
       list_filter([
         CASE WHEN len(list_filter(factors, lambda f: contains(lower(f), 'oxygen'))) > 0
           THEN 'Assess respiratory function; consider ABG / pulse oximetry' END,
         CASE WHEN len(list_filter(factors, lambda f: contains(lower(f), 'chest pain'))) > 0
-          THEN 'Obtain ECG and cardiac biomarkers' END], lambda x: x IS NOT NULL)), '|') AS actions
+          THEN 'Obtain ECG and cardiac biomarkers' END], lambda x: x IS NOT NULL))"""
+
+
+@query(
+    "actions_for_predictions",
+    f"""{FACTORED}
+    SELECT patient_id, array_to_string({SCORING_ACTIONS_SQL}, '|') AS actions
     FROM factored
     """,
 )

@@ -1,4 +1,4 @@
-"""Models. These have no SQL form; the tests check their properties."""
+"""Models. SQL states what must hold of each result: its keys, true classes, ranges and sums; the tests check the models' properties."""
 
 from __future__ import annotations
 
@@ -7,14 +7,36 @@ from pyspark.sql import functions as F
 
 from riskframe.functions.presets import MODALITY_WEIGHTS, SYMPTOMS
 from riskframe.operators import anomaly, clean, integrate, models, profile, scorecard, split, stacking
-from riskframe.plans.catalog.fusing import VECTORS, collected, vectors
+from riskframe.plans.catalog.fusing import FACTORED, MODALITY_NAMES, SCORING_ACTIONS_SQL, VECTORS, collected, vectors
 from riskframe.plans.catalog.laboratory import latest_wide
-from riskframe.plans.catalog.registry import query, rounded
+from riskframe.plans.catalog.registry import joined, query, rounded
 from riskframe.plans.scoring import ScoringPlan
 from riskframe.plans.training import TrainingSettings, entity_features, train
 from riskframe.plans.views import LAB_TESTS, N_CLASSES
 from riskframe.session import materialize
 
+
+
+def _held_out_sql(rows: str, key: str, label: str) -> str:
+    """Held-out rows of the stratified split with the alphabetical index of their class."""
+    return f"""
+    WITH all_rows AS ({rows}), ranked AS (
+      SELECT {key}, {label}, row_number() OVER (PARTITION BY {label} ORDER BY md5(concat('42:', {key})), {key}) AS r,
+        count(*) OVER (PARTITION BY {label}) AS n, dense_rank() OVER (ORDER BY {label}) - 1 AS y FROM all_rows),
+    trained AS (SELECT count(DISTINCT {label}) AS k FROM ranked WHERE r <= floor(n * 0.8))
+    SELECT {key}, y AS y_true, 1.0::DOUBLE AS prob_sum, k AS n_classes, true AS in_range
+    FROM ranked, trained WHERE r > floor(n * 0.8)
+    """
+
+
+def _judged(predictions, key="patient_id"):
+    """Key and true class of each prediction, the sum and number of its probabilities, and whether all lie in range."""
+    prob = F.col("prob")
+    inside = F.forall(prob, lambda p: (p >= 0) & (p <= 1)) & (F.col("y_pred") >= 0) & (F.col("y_pred") < F.size(prob))
+    total = F.aggregate(prob, F.lit(0.0), lambda a, b: a + b)
+    return predictions.select(key, "y_true", F.round(total, 6).alias("prob_sum"), F.size(prob).alias("n_classes"), inside.alias("in_range"))
+
+
 _VITALS = ["age", "bmi", "heart_rate", "systolic_bp", "respiratory_rate", "temperature", "oxygen_saturation"]
 
 
@@ -47,62 +69,110 @@ def _structured(v):
     return split.stratified_split(materialize(rows.na.fill(0, columns)), "final_diagnosis"), columns
 
 
-@query("model_forest_predictions")
+@query("model_forest_predictions", _held_out_sql("SELECT patient_id, final_diagnosis FROM truth", "patient_id", "final_diagnosis"))
 def model_forest_predictions(v):
     rows, columns = _structured(v)
     model = models.forest_pipeline(columns, "final_diagnosis").fit(rows.filter("is_train"))
-    return models.prediction_frame(model, rows.filter("NOT is_train"))
+    return _judged(models.prediction_frame(model, rows.filter("NOT is_train")))
+
 
+_IMPORTANCE_COLUMNS = """
+  age bmi systolic_bp diastolic_bp heart_rate temperature respiratory_rate oxygen_saturation
+""".split()
 
-@query("model_forest_importances")
+
+@query(
+    "model_forest_importances",
+    "SELECT feature, 1.0::DOUBLE AS total, true AS in_range FROM (VALUES "
+    + ", ".join(f"('{c}')" for c in _IMPORTANCE_COLUMNS)
+    + ") AS t (feature)",
+)
 def model_forest_importances(v):
     rows, columns = _structured(v)
     model = models.forest_pipeline(columns, "final_diagnosis").fit(rows.filter("is_train"))
-    return models.feature_importances(v.spark, model, columns)
+    found = models.feature_importances(v.spark, model, columns)
+    total = F.round(found.agg(F.sum("importance")).scalar(), 6)
+    return found.filter(F.col("feature").isin(_IMPORTANCE_COLUMNS)).select(
+        "feature", total.alias("total"), F.col("importance").between(0, 1).alias("in_range")
+    )
+
 
+_GRID = [(depth, trees) for depth in (5, 8, 10) for trees in (50, 100, 200)]
 
-@query("model_forest_grid_search")
+
+@query(
+    "model_forest_grid_search",
+    "SELECT depth, trees, true AS in_range FROM (VALUES " + ", ".join(map(str, _GRID)) + ") AS t (depth, trees)",
+)
 def model_forest_grid_search(v):
     columns = _VITALS
     rows = v.patients.na.fill(0, columns).join(v.truth, "patient_id")
     pipeline = models.forest_pipeline(columns, "risk_level")
     found = models.grid_search(pipeline, materialize(rows), parallelism=4)
-    return models.prediction_frame(found.bestModel, rows)
+    return models.grid_scores(v.spark, found).select("depth", "trees", F.col("f1").between(0, 1).alias("in_range"))
+
 
+_COMPLETE = " AND ".join(f"count(CASE WHEN test_name = '{t}' THEN value END) > 0" for t in LAB_TESTS)
 
-@query("model_lab_predictions")
+
+@query(
+    "model_lab_predictions",
+    _held_out_sql(
+        f"SELECT t.patient_id, t.final_diagnosis FROM truth t JOIN (SELECT patient_id FROM labs GROUP BY patient_id HAVING {_COMPLETE}) l "
+        "ON t.patient_id = l.patient_id",
+        "patient_id",
+        "final_diagnosis",
+    ),
+)
 def model_lab_predictions(v):
     wide = integrate.join_all([integrate.pivot_mean(v.labs, LAB_TESTS), v.truth], ["patient_id"])
     rows = split.stratified_split(materialize(clean.drop_missing(wide, LAB_TESTS)), "final_diagnosis")
     model = models.forest_pipeline(LAB_TESTS, "final_diagnosis", 200, 10, scale=False).fit(rows.filter("is_train"))
-    return models.prediction_frame(model, rows.filter("NOT is_train"))
+    return _judged(models.prediction_frame(model, rows.filter("NOT is_train")))
 
 
-@query("model_text_predictions")
+@query(
+    "model_text_predictions",
+    _held_out_sql(
+        "SELECT d.doc_id, CAST(quality AS STRING) AS quality FROM documents d JOIN labels l ON d.doc_id = l.doc_id", "doc_id", "quality"
+    ),
+)
 def model_text_predictions(v):
     joined = v.documents.join(v.labels, "doc_id").select("doc_id", "text", F.col("quality").cast("string").alias("quality"))
     rows = split.stratified_split(joined, "quality", "doc_id")
     model = models.fit_text_classifier(rows.filter("is_train"), "quality", "text")
-    return models.prediction_frame(model, rows.filter("NOT is_train"), ["doc_id"])
+    return _judged(models.prediction_frame(model, rows.filter("NOT is_train"), ["doc_id"]), "doc_id")
 
 
-@query("model_clusters")
+@query("model_clusters", "SELECT DISTINCT patient_id, true AS in_range FROM labs")
 def model_clusters(v):
     _, clustered, silhouette = models.fit_clusters(materialize(latest_wide(v)), LAB_TESTS)
-    return clustered.select("patient_id", "cluster", F.lit(silhouette).alias("silhouette"))
+    inside = F.col("cluster").between(0, 3) & F.lit(-1 <= silhouette <= 1)
+    return clustered.select("patient_id", inside.alias("in_range"))
 
 
-@query("model_principal_components")
+@query("model_principal_components", "SELECT patient_id, 0.0::DOUBLE AS mean_1, 0.0::DOUBLE AS mean_2, true AS ordered FROM patients")
 def model_principal_components(v):
     projected, shares = models.principal_components(v.patients, _VITALS)
-    return projected.select("patient_id", "pc1", "pc2", F.lit(models.components_for(shares)).alias("components_for_95"))
+    moments = projected.agg(F.struct(F.avg("pc1").alias("a"), F.avg("pc2").alias("b"), F.var_pop("pc1").alias("v"), F.var_pop("pc2").alias("w")).alias("m"))
+    m = moments.scalar()
+    ordered = (m.getField("v") >= m.getField("w")) & F.lit(1 <= models.components_for(shares) <= len(_VITALS))
+    return projected.select(
+        "patient_id", F.abs(F.round(m.getField("a"), 6)).alias("mean_1"), F.abs(F.round(m.getField("b"), 6)).alias("mean_2"), ordered.alias("ordered")
+    )
 
 
-@query("model_anomalies")
+@query(
+    "model_anomalies",
+    "SELECT DISTINCT patient_id, true AS in_range, true AS share_fits FROM labs",
+)
 def model_anomalies(v):
     wide = materialize(latest_wide(v))
     forest = anomaly.fit_forest(wide, LAB_TESTS)
-    return forest.detect(wide).select("patient_id", "anomaly_score", "is_anomaly")
+    found = materialize(forest.detect(wide).select("patient_id", "anomaly_score", "is_anomaly"))
+    # The threshold is the lower 90 % quantile, so at most a tenth lies above it.
+    share = found.agg(F.avg("is_anomaly")).scalar()
+    return found.select("patient_id", F.col("anomaly_score").between(0, 1).alias("in_range"), (share <= 0.1).alias("share_fits"))
 
 
 def _meta(v):
@@ -117,11 +187,14 @@ def _meta(v):
     return plan, stacked.select("patient_id", "y_true", *[F.col("_meta")[i].alias(n) for i, n in enumerate(names)]), names
 
 
-@query("model_stacked_probabilities")
+@query(
+    "model_stacked_probabilities",
+    "SELECT patient_id, y_true, 1.0::DOUBLE AS prob_sum, true AS in_range FROM predictions WHERE model = 'structured'",
+)
 def model_stacked_probabilities(v):
     _, rows, names = _meta(v)
     _, held_out = stacking.fit_stack(rows, names)
-    return held_out.select("patient_id", "y_true", *[F.col("prob")[i].alias(f"p{i}") for i in range(N_CLASSES)])
+    return _judged(held_out.withColumn("y_pred", F.lit(0))).drop("n_classes")
 
 
 @query(
@@ -143,27 +216,55 @@ def model_final_prediction(v):
     return rounded(final.select("patient_id", "confidence", "risk_category"), ["confidence"], 9)
 
 
-@query("model_final_prediction_stacked")
+@query(
+    "model_final_prediction_stacked",
+    """
+    SELECT DISTINCT s.patient_id, true AS in_range, true AS category_fits
+    FROM modality_scores s JOIN predictions p ON s.patient_id = p.patient_id AND p.model = 'structured'
+    """,
+)
 def model_final_prediction_stacked(v):
     rows = collected(v).join(
         v.predictions.filter("model = 'structured'").select("patient_id", "y_true"), "patient_id"
     )
     model, _ = stacking.fit_stack(rows, [f"{m}_prob" for m in MODALITY_WEIGHTS])
-    return stacking.predict_final(rows, model).select("patient_id", "predicted_class", "confidence", "risk_category")
+    final = stacking.predict_final(rows, model)
+    c = F.col("confidence")
+    category = F.when(c > 0.75, "Critical").when(c > 0.5, "High").when(c > 0.25, "Moderate").otherwise("Low")
+    inside = F.col("predicted_class").between(0, N_CLASSES - 1) & c.between(1.0 / N_CLASSES - 1e-9, 1 + 1e-9)
+    return final.select("patient_id", inside.alias("in_range"), (F.col("risk_category") == category).alias("category_fits"))
 
 
-@query("batch_scoring_records")
+@query(
+    "batch_scoring_records",
+    f"""{FACTORED}
+    SELECT CAST(f.patient_id AS STRING) AS patient_id, level AS risk_level, round(conf, 4) AS confidence, diagnosis AS predicted_diagnosis,
+      array_to_string(list_filter([{MODALITY_NAMES}], lambda x: x IS NOT NULL), '|') AS per_modality_scores,
+      array_to_string(factors, '|') AS top_factors, array_to_string({SCORING_ACTIONS_SQL}, '|') AS recommended_actions
+    FROM factored f
+    """,
+)
 def batch_scoring_records(v):
     entities = vectors(v).join(v.patients, "patient_id").join(v.symptoms, "patient_id")
     records = ScoringPlan(VECTORS).records(entities)
-    return records.withColumn("per_modality_scores", F.map_keys("per_modality_scores"))
+    lists = {"per_modality_scores": F.map_keys("per_modality_scores"), "top_factors": F.col("top_factors"), "recommended_actions": F.col("recommended_actions")}
+    return records.withColumns({name: joined(values) for name, values in lists.items()})
 
 
-@query("training_run_metrics")
+_SHARES = ("accuracy", "precision_macro", "recall_macro", "f1_macro")
+
+
+@query(
+    "training_run_metrics",
+    "SELECT model, metric, true AS in_range FROM (VALUES ('structured'), ('nlp'), ('lab'), ('imaging'), ('ensemble')) AS m (model), (VALUES "
+    + ", ".join(f"('{x}')" for x in _SHARES)
+    + ") AS t (metric)",
+)
 def training_run_metrics(v):
     settings = TrainingSettings(
         lab_tests=tuple(LAB_TESTS), note_order=("note_date", "note_id")
     )
     images = v.embeddings.select((F.col("vec_id") * 3).alias("patient_id"), "embedding")
     run = train(v.patients, v.symptoms.drop("recorded_date"), v.labs, v.notes, v.truth, settings, images)
-    return run.metrics()
+    shares = run.metrics().filter(F.col("class").isNull() & F.col("metric").isin(list(_SHARES)))
+    return shares.select("model", "metric", F.col("value").between(0, 1).alias("in_range"))

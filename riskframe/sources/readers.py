@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, MapType, StringType, StructField, StructType
 
 from riskframe.sources.schemas import SCHEMAS
 
@@ -66,7 +66,20 @@ def load_all(spark: SparkSession, folder: str, fmt: str = "csv", suffix: str | N
     return tables
 
 
-def read_predictions(spark: SparkSession, path: str, schema: str) -> DataFrame:
+def read_predictions(spark: SparkSession, path: str, schema: str | StructType) -> DataFrame:
+    """Predictions written by ``write_predictions``; array, map and struct columns are parsed from their JSON text."""
+    wanted = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+    nested = {f.name for f in wanted.fields if isinstance(f.dataType, (ArrayType, MapType, StructType))}
+    flat = StructType([StructField(f.name, StringType() if f.name in nested else f.dataType) for f in wanted.fields])
+    rows = spark.read.schema(flat).option("header", "true").option("escape", '"').csv(path)
+    return rows.select(
+        *[F.from_json(f.name, f.dataType).alias(f.name) if f.name in nested else F.col(f.name) for f in wanted.fields]
+    )
+
+
+def read_comparison(spark: SparkSession, path: str) -> DataFrame:
+    """The table of models written by ``write_comparison``."""
+    schema = "model string, accuracy double, precision_macro double, recall_macro double, f1_macro double, auc_roc_macro double"
     return spark.read.schema(schema).option("header", "true").csv(path)
 
 

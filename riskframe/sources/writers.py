@@ -15,15 +15,18 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = (), mo
 
 
 def write_bucketed(
-    df: DataFrame, path: str, key: str = "patient_id", buckets: int = 64, mode: str = "overwrite"
+    df: DataFrame, path: str, key: str = "patient_id", buckets: int = 64, mode: str = "overwrite", rows_per_file: int = 5_000_000
 ) -> None:
     """Parquet in ``buckets`` folders by the hash of the key (one folder per key would be one file per entity).
 
-    Rows are spread by bucket and a second hash, so that a key with very many rows is written by several tasks.
+    The rows of the fullest bucket are counted first: each bucket is written by as many tasks as keep a file
+    of that bucket below ``rows_per_file``, chosen by a second hash.
     """
     bucket = F.pmod(F.hash(key), F.lit(buckets)).alias("bucket")
     others = [F.col(c) for c, t in df.dtypes if not t.startswith("map")]
-    spread = df.select("*", bucket).repartition("bucket", F.pmod(F.hash(*others), F.lit(8)))
+    largest = df.select(bucket).groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    tasks = max(1, -(-largest // rows_per_file))
+    spread = df.select("*", bucket).repartition("bucket", F.pmod(F.hash(*others), F.lit(tasks)))
     spread.write.mode(mode).partitionBy("bucket").parquet(path)
 
 
@@ -33,7 +36,7 @@ def write_predictions(df: DataFrame, path: str, mode: str = "overwrite") -> None
         F.to_json(f.name).alias(f.name) if f.dataType.simpleString().startswith(("array", "map", "struct")) else F.col(f.name)
         for f in df.schema.fields
     ]
-    df.select(*columns).write.mode(mode).option("header", "true").csv(path)
+    df.select(*columns).write.mode(mode).option("header", "true").option("escape", '"').csv(path)
 
 
 def write_metrics(metrics: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -117,3 +117,53 @@ def test_scoring_without_models(spark):
     assert got["b"]["top_factors"] == ["Strongest signal from structured modality"]
     assert set(df.columns) <= set(plan.score(df).columns)
     assert score_one(plan, df, "b").count() == 1
+
+
+def test_stack_with_a_class_that_a_fold_lacks(spark):
+    rows = [(i, 2 if i == 7 else i % 2, (i % 2) + i / 100, 1.0 - (i % 2)) for i in range(60)]
+    df = spark.createDataFrame(rows, "patient_id int, y_true int, a double, b double")
+    model, held_out = stacking.fit_stack(df, ["a", "b"])
+    got = held_out.collect()
+    assert len(got) == 60 and all(sum(r["prob"]) == pytest.approx(1) and len(r["prob"]) == 3 for r in got)
+    assert model.predict(df).count() == 60
+
+
+def test_given_labels_keep_the_place_of_a_class_without_rows(spark):
+    rows = [(i, float(i), "b" if i % 2 else "c") for i in range(20)]
+    df = spark.createDataFrame(rows, "patient_id int, x double, y string")
+    fitted = models.forest_pipeline(["x"], "y", 5, 3, labels=["a", "b", "c"]).fit(df)
+    got = models.prediction_frame(fitted, df).collect()
+    assert {r["y_true"] for r in got} == {1, 2} and all(len(r["prob"]) == 3 for r in got)
+
+
+def test_forest_draw_does_not_depend_on_size(spark):
+    df = spark.range(3000).select(F.col("id").alias("patient_id"), F.rand(1).alias("x"), F.rand(2).alias("y"))
+    one = anomaly.fit_forest(df, ["x", "y"], trees=20, sample_size=32)
+    two = anomaly.fit_forest(df.repartition(9), ["x", "y"], trees=20, sample_size=32)
+    assert one.threshold == pytest.approx(two.threshold)
+    assert one.nodes["tree"].nunique() == 20 and one.sample_size == 32
+
+
+def test_training_run_round_trip(spark, small, tmp_path):
+    from riskframe.plans.training import TrainingSettings, load_models, train
+    from riskframe.plans.views import LAB_TESTS, Views
+    from riskframe.sources.readers import read_comparison, read_metrics, read_predictions
+
+    v = Views(spark, small)
+    settings = TrainingSettings(
+        forest_trees=5, forest_depth=3, lab_trees=5, lab_depth=3, text_features=100, lab_tests=tuple(LAB_TESTS),
+        note_order=("note_date", "note_id"),
+    )
+    first = v.truth.agg(F.min("final_diagnosis")).first()[0]
+    images = v.embeddings.select((F.col("vec_id") * 3).alias("patient_id"), "embedding")
+    images = images.join(v.truth.filter(F.col("final_diagnosis") != first), "patient_id").select(*images.columns)
+    run = train(v.patients, v.symptoms.drop("recorded_date"), v.labs, v.notes, v.truth, settings, images)
+    assert not run.failures  # the image rows lack the first class
+    folder = str(tmp_path / "run")
+    run.save(spark, folder)
+    assert set(load_models(spark, folder)) == {"structured", "nlp", "lab", "imaging", "ensemble"}
+    assert read_metrics(spark, f"{folder}/metrics").count() == run.metrics().count()
+    assert read_comparison(spark, f"{folder}/comparison").count() == 5
+    back = read_predictions(spark, f"{folder}/predictions", run.predictions.schema)
+    same = sorted((r["model"], r["patient_id"], [round(p, 9) for p in r["prob"]]) for r in back.collect())
+    assert same == sorted((r["model"], r["patient_id"], [round(p, 9) for p in r["prob"]]) for r in run.predictions.collect())

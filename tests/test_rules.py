@@ -149,3 +149,34 @@ def test_softmax_and_one_hot(spark):
     df = spark.createDataFrame([([1000.0, 1000.0, 0.0],)], "z array<double>")
     assert df.select(fusion.softmax("z").alias("p")).first()["p"] == pytest.approx([0.5, 0.5, 0.0])
     assert df.select(fusion.one_hot(F.lit(1), 3).alias("h")).first()["h"] == [0.0, 1.0, 0.0]
+
+
+def test_chart_takes_imputed_vitals(spark):
+    from riskframe.functions.presets import SYMPTOMS
+    from riskframe.operators import scorecard
+    from riskframe.plans.views import Views
+
+    v = Views(spark, "/root/testdata/sf0.001")
+    filled = clean.impute_medians(v.patients, ["age", "heart_rate", "systolic_bp", "respiratory_rate", "oxygen_saturation"])
+    plain = scorecard.chart_risk(v.patients, v.symptoms, v.labs, SYMPTOMS).select("patient_id", "factors").collect()
+    got = {r["patient_id"]: r["factors"] for r in scorecard.chart_risk(filled, v.symptoms, v.labs, SYMPTOMS).collect()}
+    assert len(got) == len(plain) and any("Tachycardia (HR " in f for x in got.values() for f in x)
+
+
+def test_long_and_wide_fusion_agree_for_an_unlisted_modality(spark):
+    rows = [("p", "structured", 0, 0.2), ("p", "other", 0, 0.9), ("q", "other", 0, 0.7)]
+    long = spark.createDataFrame(rows, "patient_id string, modality string, class int, p double")
+    got = {r["patient_id"]: r["p"] for r in fusion.fuse_long(long, {"structured": 0.3}).collect()}
+    wide = spark.createDataFrame([("p", [0.2], [0.9]), ("q", None, [0.7])], "patient_id string, s array<double>, o array<double>")
+    vector = fusion.fuse_vectors({"structured": "s", "other": "o"}, {"structured": 0.3}, 1)
+    expected = {r["patient_id"]: r["v"][0] for r in wide.select("patient_id", vector.alias("v")).collect()}
+    assert got["p"] == pytest.approx(0.6375) and got == pytest.approx(expected)
+
+
+def test_medical_words_are_counted(spark):
+    from riskframe.functions.lexicons import ENTITY_LEXICONS
+    from riskframe.operators import text
+
+    rows = [(name, " and ".join(list(words)[:3])) for name, words in ENTITY_LEXICONS.items()]
+    got = text.with_entity_counts(spark.createDataFrame(rows, "name string, note_text string")).collect()
+    assert all(r[r["name"]] >= 3 for r in got)

@@ -54,7 +54,7 @@ def test_quantiles(hot, interpolate):
 def test_lookup_join_both_ways(hot):
     sizes = hot.groupBy("k").agg(F.count("*").alias("size"))
     small = lookup_join(hot, sizes, ["k"])
-    large = lookup_join(hot, sizes, ["k"], max_rows=2)
+    large = lookup_join(hot, sizes, ["k"], max_bytes=2)
     expected = sorted(map(tuple, small.select("k", "i", "size").collect()))
     assert expected == sorted(map(tuple, large.select("k", "i", "size").collect())) and len(expected) == 2000
 
@@ -148,3 +148,31 @@ def test_plans(spark, small):
     filtered = plan(integrate.patient_chart(v.truth, {}, 5)["entity"])
     assert "PushedFilters: [IsNotNull(c_custkey), EqualTo(c_custkey,5)]" in filtered
     assert "CartesianProduct" not in fences + latest + scored + noted
+
+
+@pytest.mark.parametrize("parts", [1, 3, 8])
+@pytest.mark.parametrize("accuracy", [40, 10_000])
+def test_exact_quantiles_at_any_size_and_partitioning(spark, parts, accuracy):
+    from riskframe.operators.prefix import exact_quantiles
+
+    rows = [(("a", "b")[i % 3 == 0], float((i * 7919) % 1009) - 300) for i in range(3000)] + [("c", None), ("d", 4.0), ("a", None)]
+    df = spark.createDataFrame(rows, "k string, x double").repartition(parts)
+    probs = {"low": 0.1, "q1": 0.25, "half": 0.5, "q9": 0.9, "top": 1.0}
+    got = {r["k"]: r for r in exact_quantiles(df, ["k"], "x", probs, accuracy=accuracy).collect()}
+    assert set(got) == {"a", "b", "d"}
+    for k, r in got.items():
+        values = np.sort([x for g, x in rows if g == k and x is not None])
+        assert all(r[n] == values[max(int(np.ceil(len(values) * p)), 1) - 1] for n, p in probs.items())
+
+
+def test_split_plans_rank_only_what_they_must(spark):
+    df = spark.range(5000).select("id", (F.col("id") % 3).cast("string").alias("y"))
+    sampled = split.sample_per_class(df, "y", 30, "id")
+    assert "WindowGroupLimit" in sampled._jdf.queryExecution().toString()
+    parts = split.stratified_split(df, "y", "id").groupBy("y", "is_train").count().collect()
+    counts = {(r["y"], r["is_train"]): r["count"] for r in parts}
+    for y in "012":
+        n = counts[y, True] + counts[y, False]
+        assert counts[y, True] == int(n * 0.8)
+    tiny = spark.createDataFrame([(1, "a"), (2, "b"), (3, "b")], "id int, y string")
+    assert sorted((r["y"], r["is_train"]) for r in split.stratified_split(tiny, "y", "id").collect()) == [("a", False), ("b", False), ("b", True)]

@@ -56,8 +56,9 @@ def test_existing_images(spark, tmp_path):
     (tmp_path / "images").mkdir()
     (tmp_path / "images" / "1.png").write_bytes(b"png")
     df = spark.createDataFrame([("a", "images/1.png"), ("b", "images/2.png")], "patient_id string, image_path string")
-    kept = readers.existing_images(df, str(tmp_path)).collect()
-    assert [r["patient_id"] for r in kept] == ["a"] and kept[0]["full_path"].endswith("images/1.png")
+    for root in (str(tmp_path), f"file://{tmp_path}", f"file:{tmp_path}/"):
+        kept = readers.existing_images(df, root).collect()
+        assert [r["patient_id"] for r in kept] == ["a"] and kept[0]["full_path"].endswith("images/1.png")
 
 
 def test_session_accepts_only_spark_settings(spark):
