@@ -34,47 +34,16 @@ NOTE_ABBREVIATIONS = {
     "ct": "computed tomography",
     "mri": "magnetic resonance imaging",
 }
-# The wider list; entries that differ from or extend the one above.
-EXTENDED_ABBREVIATIONS = {
-    **{k: v for k, v in NOTE_ABBREVIATIONS.items() if k not in ("nkda", "cad")},
-    "fx": "fracture",
-    "cp": "chest pain",
-    "o2": "oxygen saturation",
-    "wbc": "white blood cell count",
-    "rbc": "red blood cell count",
-    "hgb": "hemoglobin",
-    "plt": "platelets",
-    "bun": "blood urea nitrogen",
-    "cr": "creatinine",
-    "na": "sodium",
-    "k": "potassium",
-    "ca": "calcium",
-    "mg": "magnesium",
-    "ekg": "electrocardiogram",
-    "cxr": "chest x-ray",
-    "bid": "twice a day",
-    "tid": "three times a day",
-    "qid": "four times a day",
-    "npo": "nothing by mouth",
-    "abd": "abdomen",
-    "ams": "altered mental status",
-    "uri": "upper respiratory infection",
-    "mi": "myocardial infarction",
-    "cva": "cerebrovascular accident",
-    "dvt": "deep vein thrombosis",
-    "pe": "pulmonary embolism",
-    "ckd": "chronic kidney disease",
-    "gerd": "gastroesophageal reflux disease",
-}
 
 # --- Fixed values: entity word lists (matched as whole words, any case) --------------------------
 
-MEDICATIONS = (
-    "aspirin metformin lisinopril atorvastatin amlodipine omeprazole metoprolol losartan albuterol gabapentin "
-    "hydrochlorothiazide acetaminophen ibuprofen amoxicillin prednisone insulin warfarin heparin clopidogrel "
-    "furosemide levothyroxine pantoprazole sertraline fluoxetine ciprofloxacin azithromycin doxycycline morphine "
-    "fentanyl vancomycin ceftriaxone"
-).split()
+MEDICATIONS = [
+    "aspirin", "metformin", "lisinopril", "atorvastatin", "amlodipine", "omeprazole", "metoprolol", "losartan",
+    "albuterol", "gabapentin", "hydrochlorothiazide", "acetaminophen", "ibuprofen", "amoxicillin",
+    "prednisone", "insulin", "warfarin", "heparin", "clopidogrel", "furosemide", "levothyroxine",
+    "pantoprazole", "sertraline", "fluoxetine", "ciprofloxacin", "azithromycin", "doxycycline", "morphine",
+    "fentanyl", "vancomycin", "ceftriaxone",
+]
 DIAGNOSES = [
     "diabetes", "hypertension", "pneumonia", "sepsis", "COPD", "asthma", "heart failure",
     "myocardial infarction", "stroke", "anemia", "cirrhosis", "hepatitis", "renal failure", "cancer", "tumor",
@@ -86,26 +55,29 @@ PROCEDURES = [
     "endoscopy", "colonoscopy", "bronchoscopy", "angiography", "echocardiogram", "MRI", "CT scan", "X-ray",
     "ultrasound", "EKG", "ECG", "lumbar puncture", "thoracentesis", "paracentesis", "tracheostomy",
 ]
-ANATOMY = (
-    "lung liver kidney heart brain spleen pancreas stomach colon esophagus bladder prostate thyroid adrenal "
-    "pituitary femur tibia spine vertebra aorta vein artery bronchus trachea pleura"
-).split()
+ANATOMY = [
+    "lung", "liver", "kidney", "heart", "brain", "spleen", "pancreas", "stomach", "colon", "esophagus",
+    "bladder", "prostate", "thyroid", "adrenal", "pituitary", "femur", "tibia", "spine", "vertebra", "aorta",
+    "vein", "artery", "bronchus", "trachea", "pleura",
+]
 ENTITY_LEXICONS = {
     "medication_count": MEDICATIONS,
     "diagnosis_count": DIAGNOSES,
     "procedure_count": PROCEDURES,
     "anatomy_count": ANATOMY,
 }
-DRUGS = (
-    "lisinopril amlodipine losartan metoprolol atenolol carvedilol valsartan diltiazem hydralazine furosemide "
-    "hydrochlorothiazide spironolactone warfarin clopidogrel aspirin heparin enoxaparin atorvastatin simvastatin "
-    "rosuvastatin metformin glipizide insulin sitagliptin empagliflozin liraglutide pioglitazone levothyroxine "
-    "albuterol fluticasone montelukast ipratropium budesonide prednisone dexamethasone ibuprofen acetaminophen "
-    "naproxen morphine hydrocodone oxycodone tramadol gabapentin pregabalin celecoxib amoxicillin azithromycin "
-    "ciprofloxacin doxycycline metronidazole ceftriaxone vancomycin piperacillin trimethoprim levofloxacin "
-    "clindamycin omeprazole pantoprazole ondansetron famotidine sertraline fluoxetine escitalopram duloxetine "
-    "lorazepam diazepam alprazolam quetiapine levetiracetam phenytoin"
-).split()
+DRUGS = [
+    "lisinopril", "amlodipine", "losartan", "metoprolol", "atenolol", "carvedilol", "valsartan", "diltiazem",
+    "hydralazine", "furosemide", "hydrochlorothiazide", "spironolactone", "warfarin", "clopidogrel", "aspirin",
+    "heparin", "enoxaparin", "atorvastatin", "simvastatin", "rosuvastatin", "metformin", "glipizide",
+    "insulin", "sitagliptin", "empagliflozin", "liraglutide", "pioglitazone", "levothyroxine", "albuterol",
+    "fluticasone", "montelukast", "ipratropium", "budesonide", "prednisone", "dexamethasone", "ibuprofen",
+    "acetaminophen", "naproxen", "morphine", "hydrocodone", "oxycodone", "tramadol", "gabapentin",
+    "pregabalin", "celecoxib", "amoxicillin", "azithromycin", "ciprofloxacin", "doxycycline", "metronidazole",
+    "ceftriaxone", "vancomycin", "piperacillin", "trimethoprim", "levofloxacin", "clindamycin", "omeprazole",
+    "pantoprazole", "ondansetron", "famotidine", "sertraline", "fluoxetine", "escitalopram", "duloxetine",
+    "lorazepam", "diazepam", "alprazolam", "quetiapine", "levetiracetam", "phenytoin",
+]
 
 # --- Fixed values: severity keywords and negation cues (matched as substrings) -------------------
 
@@ -125,9 +97,12 @@ NEGATION_CUES = [
 
 # --- Fixed values: stop words of the frequent-term report ----------------------------------------
 
-STOP_WORDS = (
-    "the a an is was are were be been being have has had do does did will would could should may might shall can "
-    "to of in for on with at by from as into through during and but or nor not so yet both either neither each "
-    "every all any few more most other some such no only own same than too very just because this that these "
-    "those it its he she they them his her their patient also which who whom what where when"
-).split()
+STOP_WORDS = [
+    "the", "a", "an", "is", "was", "are", "were", "be", "been", "being", "have", "has", "had", "do", "does",
+    "did", "will", "would", "could", "should", "may", "might", "shall", "can", "to", "of", "in", "for", "on",
+    "with", "at", "by", "from", "as", "into", "through", "during", "and", "but", "or", "nor", "not", "so",
+    "yet", "both", "either", "neither", "each", "every", "all", "any", "few", "more", "most", "other", "some",
+    "such", "no", "only", "own", "same", "than", "too", "very", "just", "because", "this", "that", "these",
+    "those", "it", "its", "he", "she", "they", "them", "his", "her", "their", "patient", "also", "which",
+    "who", "whom", "what", "where", "when",
+]

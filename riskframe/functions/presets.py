@@ -120,12 +120,12 @@ FACTOR_FLAGS = (
 
 # --- Fixed values: symptoms ----------------------------------------------------------------------
 
-SYMPTOMS = (
-    "cough fever chest_pain shortness_of_breath fatigue nausea vomiting abdominal_pain headache dizziness "
-    "weight_loss night_sweats joint_pain swelling jaundice dark_urine loss_of_appetite excessive_thirst "
-    "frequent_urination blurred_vision palpitations wheezing sputum_production hemoptysis edema confusion "
-    "muscle_weakness numbness skin_rash"
-).split()
+SYMPTOMS = [
+    "cough", "fever", "chest_pain", "shortness_of_breath", "fatigue", "nausea", "vomiting", "abdominal_pain",
+    "headache", "dizziness", "weight_loss", "night_sweats", "joint_pain", "swelling", "jaundice", "dark_urine",
+    "loss_of_appetite", "excessive_thirst", "frequent_urination", "blurred_vision", "palpitations", "wheezing",
+    "sputum_production", "hemoptysis", "edema", "confusion", "muscle_weakness", "numbness", "skin_rash",
+]
 SYMPTOM_CLUSTERS = {
     "respiratory_cluster": ["cough", "wheezing", "shortness_of_breath", "sputum_production"],
     "cardiac_cluster": ["chest_pain", "palpitations", "edema"],
@@ -133,15 +133,15 @@ SYMPTOM_CLUSTERS = {
     "metabolic_cluster": ["excessive_thirst", "frequent_urination", "weight_loss"],
 }
 ORGAN_SYSTEMS = {
-    "respiratory": "cough shortness_of_breath wheezing sputum_production hemoptysis",
-    "cardiovascular": "chest_pain palpitations edema syncope orthopnea",
-    "gastrointestinal": "nausea vomiting abdominal_pain diarrhea constipation",
-    "neurological": "headache dizziness seizure confusion numbness",
-    "musculoskeletal": "joint_pain muscle_weakness back_pain swelling",
-    "systemic": "fever fatigue weight_loss night_sweats malaise",
-    "metabolic": "excessive_thirst frequent_urination blurred_vision",
+    "respiratory": ["cough", "shortness_of_breath", "wheezing", "sputum_production", "hemoptysis"],
+    "cardiovascular": ["chest_pain", "palpitations", "edema", "syncope", "orthopnea"],
+    "gastrointestinal": ["nausea", "vomiting", "abdominal_pain", "diarrhea", "constipation"],
+    "neurological": ["headache", "dizziness", "seizure", "confusion", "numbness"],
+    "musculoskeletal": ["joint_pain", "muscle_weakness", "back_pain", "swelling"],
+    "systemic": ["fever", "fatigue", "weight_loss", "night_sweats", "malaise"],
+    "metabolic": ["excessive_thirst", "frequent_urination", "blurred_vision"],
 }
-SYMPTOM_SYSTEM = {symptom: system for system, names in ORGAN_SYSTEMS.items() for symptom in names.split()}
+SYMPTOM_SYSTEM = {symptom: system for system, names in ORGAN_SYSTEMS.items() for symptom in names}
 
 CLASS_LABELS = {
     0: "Respiratory Disease",

@@ -55,9 +55,6 @@ class Scorecard:
             score = score + rules.on(self.inputs.get(name, name))
         return score
 
-    def renamed(self, **inputs: str) -> "Scorecard":
-        return Scorecard(self.parts, self.base, {**self.inputs, **inputs})
-
 
 def weighted_sum(weights: dict[str, float]) -> Column:
     """Sum of ``weight * column`` where NULL counts as zero."""

@@ -72,8 +72,7 @@ def valid_flags(df: DataFrame, flags: list[str]) -> DataFrame:
 def clean_symptoms(df: DataFrame, flags: list[str] | None = None) -> DataFrame:
     """Domain check of the flags and ``symptom_count``."""
     flags = flags or flag_columns(df)
-    checked = {c: F.when(F.col(c).isin(0, 1), F.col(c)).cast("int") for c in flags}
-    return df.withColumns(checked).withColumn("symptom_count", flag_sum(flags).cast("int"))
+    return valid_flags(df, flags).withColumn("symptom_count", flag_sum(flags).cast("int"))
 
 
 def standardize(df: DataFrame, upper: tuple[str, ...] = (), lower: tuple[str, ...] = ()) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from riskframe.operators.integrate import stack
 from riskframe.operators.prefix import running_totals, value_bucket
 from riskframe.operators.sizing import lookup_join
+from riskframe.session import materialize
 
 By = Sequence[str]
 CURVE_BUCKETS = 4096
@@ -236,8 +237,14 @@ def _nearest(points: DataFrame, keys: list[str]) -> DataFrame:
 
 def macro_roc_points(df: DataFrame, by: By = ("model",), prob: str = "prob") -> DataFrame:
     """Mean of the class curves, interpolated on the union of their false-positive rates."""
-    by = list(by)
-    curves = roc_points(df, by, prob).select(*by, "class", F.col("fpr").alias("x"), F.col("tpr").alias("y"))
+    return _macro(roc_points(df, by, prob), list(by))
+
+
+def _macro(points: DataFrame, by: list[str]) -> DataFrame:
+    curves = points.select(*by, "class", F.col("fpr").alias("x"), F.col("tpr").alias("y"))
+    # Between its ends a vertical step of a curve adds nothing; all positives of a good classifier lie at x = 0.
+    ends = F.array_distinct(F.array(F.min("y"), F.max("y")))
+    curves = curves.groupBy(*by, "class", "x").agg(ends.alias("y")).withColumn("y", F.explode("y"))
     grid = curves.select(*by, "x").distinct()
     classes = curves.groupBy(*by).agg(F.collect_set("class").alias("classes"))
     everywhere = lookup_join(grid, classes, by).select(
@@ -278,11 +285,12 @@ def trapezoid_area(points: DataFrame, keys: By) -> DataFrame:
 def roc_areas(df: DataFrame, by: By = ("model",), prob: str = "prob") -> DataFrame:
     """Area of every class curve, of the pooled (micro) curve and of the macro curve."""
     by = list(by)
+    points = materialize(roc_points(df, by, prob))  # read by the class areas and by the macro curve
     return stack(
         [
-            trapezoid_area(roc_points(df, by, prob), [*by, "class"]).withColumn("curve", F.concat(F.lit("class "), F.col("class"))).drop("class"),
+            trapezoid_area(points, [*by, "class"]).withColumn("curve", F.concat(F.lit("class "), F.col("class"))).drop("class"),
             trapezoid_area(micro_roc_points(df, by, prob), by).withColumn("curve", F.lit("micro")),
-            trapezoid_area(macro_roc_points(df, by, prob), by).withColumn("curve", F.lit("macro")),
+            trapezoid_area(_macro(points, by), by).withColumn("curve", F.lit("macro")),
         ]
     )
 

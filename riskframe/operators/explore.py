@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
@@ -98,21 +97,25 @@ def distinct_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return pairs.groupBy("feature").agg(F.count(F.lit(1)).alias("n_distinct"))
 
 
-def correlations(df: DataFrame, columns: Sequence[str], per_scan: int = 100) -> DataFrame:
-    """Pearson correlation of every pair (pairwise complete rows), ``per_scan`` pairs per aggregation."""
+def correlations(df: DataFrame, columns: Sequence[str], per_row: int = 100) -> DataFrame:
+    """Pearson correlation of every pair (pairwise complete rows), always in one scan.
+
+    Up to ``per_row`` pairs are columns of one aggregation. More become rows (pair, values) that are
+    aggregated by pair before the shuffle.
+    """
     pairs = list(combinations(columns, 2))
-    parts = []
-    for start in range(0, len(pairs), per_scan):
-        rows = [
-            F.struct(
-                F.lit(a).alias("feature_a"),
-                F.lit(b).alias("feature_b"),
-                F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias("r"),
-            )
-            for a, b in pairs[start : start + per_scan]
-        ]
-        parts.append(df.agg(F.array(*rows).alias("x")).select(F.inline("x")))
-    return reduce(DataFrame.unionByName, parts)
+    value = {c: F.col(c).cast("double") for c in columns}
+    if len(pairs) <= per_row:
+        rows = [F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"), F.corr(value[a], value[b]).alias("r")) for a, b in pairs]
+        return df.agg(F.array(*rows).alias("x")).select(F.inline("x"))
+    packed = df.select(F.array(*[value[c] for c in columns]).alias("_v"))
+    index = F.sequence(F.lit(0), F.lit(len(columns) - 1))
+    names = F.array(*[F.lit(c) for c in columns])
+    left = packed.select("_v", F.posexplode("_v").alias("_i", "_x"))
+    later = F.filter(index, lambda j: j > F.col("_i"))
+    both = left.select("_i", "_x", F.explode(F.transform(later, lambda j: F.struct(j.alias("j"), F.get(F.col("_v"), j).alias("y")))).alias("_o"))
+    found = both.groupBy("_i", F.col("_o.j").alias("_j")).agg(F.corr("_x", "_o.y").alias("r"))
+    return found.select(F.get(names, F.col("_i")).alias("feature_a"), F.get(names, F.col("_j")).alias("feature_b"), "r")
 
 
 def strongest_pairs(matrix: DataFrame, n: int = 10) -> DataFrame:

@@ -10,14 +10,16 @@ from pyspark.sql.types import NumericType
 
 # --- Fixed values: columns that are never features -----------------------------------------------
 
-FEATURE_EXCLUSIONS = (
-    "patient_id encounter_id label target readmission timestamp primary_diagnosis final_diagnosis risk_level "
-    "requires_icu label_index features raw_features scaled_features prediction rawPrediction probability"
-).split()
-TRAINING_EXCLUSIONS = (
-    "patient_id timestamp primary_diagnosis final_diagnosis risk_level requires_icu features raw_features "
-    "scaled_features prediction rawPrediction probability label_index label"
-).split()
+FEATURE_EXCLUSIONS = [
+    "patient_id", "encounter_id", "label", "target", "readmission", "timestamp", "primary_diagnosis",
+    "final_diagnosis", "risk_level", "requires_icu", "label_index", "features", "raw_features",
+    "scaled_features", "prediction", "rawPrediction", "probability",
+]
+TRAINING_EXCLUSIONS = [
+    "patient_id", "timestamp", "primary_diagnosis", "final_diagnosis", "risk_level", "requires_icu",
+    "features", "raw_features", "scaled_features", "prediction", "rawPrediction", "probability", "label_index",
+    "label",
+]
 
 
 def null_profile(df: DataFrame) -> DataFrame:

@@ -176,3 +176,18 @@ def test_split_plans_rank_only_what_they_must(spark):
         assert counts[y, True] == int(n * 0.8)
     tiny = spark.createDataFrame([(1, "a"), (2, "b"), (3, "b")], "id int, y string")
     assert sorted((r["y"], r["is_train"]) for r in split.stratified_split(tiny, "y", "id").collect()) == [("a", False), ("b", False), ("b", True)]
+
+
+def test_correlations_of_many_columns_take_one_scan(spark):
+    from riskframe.operators import explore
+
+    columns = [f"c{i}" for i in range(16)]
+    df = spark.range(200).select(*[(F.pmod(F.xxhash64("id", F.lit(i)), F.lit(97)) + F.col("id") * (i % 3)).alias(c) for i, c in enumerate(columns)])
+    df = df.withColumn("c5", F.when(F.col("c4") > 20, F.col("c5")))
+    few, many = (
+        {(r["feature_a"], r["feature_b"]): r["r"] for r in explore.correlations(df, columns, limit).collect()} for limit in (1000, 5)
+    )
+    assert few.keys() == many.keys() and len(few) == 120
+    assert all(few[k] == pytest.approx(many[k]) for k in few)
+    plan = explore.correlations(df, columns, 5)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Range (") == 1
