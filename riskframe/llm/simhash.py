@@ -263,7 +263,8 @@ def keep_first(df: DataFrame, key: str = "doc_id", text: str = "text", **options
     classes = saved(near_duplicates(df, key, text, **options), "classes")
     kept = classes.filter(F.col(key) == F.col("component")).groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("_n"))
     kept = saved(kept, "kept")
-    stay = df.join(kept.select("_key"), df[key] == F.col("_key"), "left_semi")
+    # The surviving keys grow with the table, so both sides are dealt by key at every size; nothing is sorted.
+    stay = df.join(kept.select("_key").hint("shuffle_hash"), df[key] == F.col("_key"), "left_semi")
     if not kept.filter(F.col("_n") > 1).isEmpty():
         rank = F.row_number().over(Window.partitionBy(key).orderBy(F.col(text).asc_nulls_last()))
         names = df.columns
