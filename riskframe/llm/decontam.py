@@ -2,8 +2,8 @@
 
 Words are lower-cased and stripped of what is not a letter or digit at their ends. Numbers become the
 placeholder of numbers, capitalised words inside a sentence that of names, and units (after a number) that of
-units; what a placeholder replaced is its slot value. Windows of ``size`` template words are hashed; a
-benchmark item shorter than that is one window. Documents keep only windows whose hash occurs in the
+units; what a placeholder replaced is its slot value. Windows of ``size`` template words are hashed, and windows with names a second
+time with the names as plain words; a benchmark item shorter than that is one window. Documents keep only windows whose hash occurs in the
 benchmark, and these are hash-joined with the benchmark's. Joined windows are collected per (document, item,
 offset between the two): a copy runs along one offset. The slots of such a run must be consistent: each
 benchmark value answers to one document value and the other way round, so that renamed and re-numbered copies
@@ -69,8 +69,8 @@ class Words:
 _WORDS = Words()
 
 
-def canonical(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Word numbers, their kinds (plain, number, name, unit) and template codes (64-bit) of a whole text."""
+def canonical(text: str | None) -> tuple[np.ndarray, np.ndarray]:
+    """Word numbers and their kinds (plain, number, name, unit) of a whole text."""
     if len(_WORDS.bare) > SEEN:
         _WORDS.__init__()
     words = (text or "").split()
@@ -90,7 +90,24 @@ def canonical(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     kinds = np.where(flags[:, 1] & ~starts, NAME, PLAIN)
     kinds[flags[:, 2]] = NUMBER
     kinds[1:][flags[1:, 3] & (kinds[:-1] == NUMBER)] = UNIT
-    return numbers, kinds, np.where(kinds == PLAIN, _WORDS.codes[numbers], _CODES[kinds])
+    return numbers, kinds
+
+
+def templates(numbers: np.ndarray, kinds: np.ndarray, size: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(places, hashes, kinds) of all windows: first with names as placeholders, then once more with names as the words
+    they are, for the windows that have one. The second form finds copies whose capitals or sentence ends differ."""
+    values = window_hashes(_codes(numbers, kinds), size)
+    yield np.arange(len(values)), values, kinds
+    named = kinds == NAME
+    if len(values) and named.any():
+        plain = np.where(named, PLAIN, kinds)
+        seen = np.concatenate(([0], np.cumsum(named)))
+        places = np.flatnonzero(seen[size:] > seen[:-size])
+        yield places, window_hashes(_codes(numbers, plain), size)[places], plain
+
+
+def _codes(numbers: np.ndarray, kinds: np.ndarray) -> np.ndarray:
+    return np.where(kinds == PLAIN, _WORDS.codes[numbers], _CODES[kinds])
 
 
 def window_hashes(codes: np.ndarray, size: int) -> np.ndarray:
@@ -105,12 +122,17 @@ def window_hashes(codes: np.ndarray, size: int) -> np.ndarray:
     return total.view(np.int64)
 
 
-def _windows(text: str | None, size: int, short: bool) -> Iterator[tuple[int, int, int, list[str]]]:
-    """(place, hash, plain words, slots) of each window of one text."""
-    words, kinds, codes = canonical(text)
-    size = min(size, len(words)) if short else size
-    for place, value in enumerate(window_hashes(codes, size).tolist() if size else ()):
-        yield place, value, *_slots(words, kinds, place, size)
+def _windows(text: str | None, size: int) -> list[tuple[int, int, int, list[str], int, int]]:
+    """(place, hash, plain words, slots, size, number of places) of each window of an item."""
+    words, kinds = canonical(text)
+    size = min(size, len(words))
+    if not size:
+        return []
+    return [
+        (place, value, *_slots(words, form, place, size), size, len(words) - size + 1)
+        for places, values, form in templates(words, kinds, size)
+        for place, value in zip(places.tolist(), values.tolist(), strict=True)
+    ]
 
 
 def _slots(words: np.ndarray, kinds: np.ndarray, place: int, size: int) -> tuple[int, list[str]]:
@@ -129,9 +151,7 @@ def template_windows(items: DataFrame, key: str, text: str, size: int = SIZE) ->
         for batch in batches:
             out = []
             for item, body in rows_of(batch, "item_id", "_text"):
-                rows = list(_windows(body, size, short=True))
-                own = min(size, len(canonical(body)[0]))
-                out += [(item, *row, own, len(rows)) for row in rows]
+                out += [(item, *row) for row in _windows(body, size)]
             yield _batch(out, [batch.schema.field("item_id").type, pa.int32(), pa.int64(), pa.int32(), pa.list_(pa.string()), pa.int32(), pa.int32()],
                          ["item_id", "place", "hash", "plain", "slots", "size", "windows"])
 
@@ -153,16 +173,15 @@ def _hits(docs: DataFrame, key: str, text: str, sizes: list[int], hashes: np.nda
         for batch in batches:
             out = []
             for doc, body in rows_of(batch, "doc_id", "_text"):
-                words, kinds, codes = canonical(body)
+                words, kinds = canonical(body)
                 for size in sizes:
-                    values = window_hashes(codes, size)
-                    if sent.value is None:
-                        places = np.arange(len(values))
-                    else:
-                        near = np.searchsorted(sent.value, values).clip(max=len(sent.value) - 1)
-                        places = np.flatnonzero(sent.value[near] == values)
-                    for place in places.tolist():
-                        out.append((doc, place, int(values[place]), _slots(words, kinds, place, size)[1]))
+                    for places, values, form in templates(words, kinds, size):
+                        if sent.value is not None:
+                            near = np.searchsorted(sent.value, values).clip(max=len(sent.value) - 1)
+                            hit = sent.value[near] == values
+                            places, values = places[hit], values[hit]
+                        for place, value in zip(places.tolist(), values.tolist(), strict=True):
+                            out.append((doc, place, value, _slots(words, form, place, size)[1]))
             yield _batch(out, [batch.schema.field("doc_id").type, pa.int32(), pa.int64(), pa.list_(pa.string())], ["doc_id", "at", "hash", "found"])
 
     kind = docs.schema[key].dataType.simpleString()
