@@ -81,7 +81,24 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query("op8_warc_captures")
+_BASE32 = " || ".join(
+    f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((('0x' || substr(h, {10 * part + 1}, 10))::BIGINT >> {35 - 5 * i}) & 31), 1)"
+    for part in range(4)
+    for i in range(8)
+)
+
+
+@query(
+    "op8_warc_captures",
+    f"""
+    WITH payloads AS (SELECT page_id, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS h FROM pages),
+    firsts AS (SELECT *, min(page_id) OVER (PARTITION BY body) AS first FROM payloads)
+    SELECT page_id, CAST(strlen(body) AS BIGINT) AS payload_bytes, {_BASE32} AS payload_digest,
+      CASE WHEN first < page_id THEN 'revisit' ELSE 'response' END AS record_type,
+      CASE WHEN first < page_id THEN first END AS refers_to
+    FROM firsts
+    """,
+)
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     pages = table(spark, folder, "pages").select("page_id", "url", "html")
     return captures.round_trip(spark, pages).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")

@@ -352,6 +352,7 @@ def test_archives_round_trip(spark):
 
 
 def test_capture_query(spark):
+    assert differences(QUERIES["op8_warc_captures"](spark, FOLDER), connect(FOLDER), ORACLES["op8_warc_captures"]) == []
     pages = {r.page_id: r.html for r in spark.read.parquet(f"{FOLDER}/pages.parquet").collect()}
     rows = QUERIES["op8_warc_captures"](spark, FOLDER).collect()
     assert sorted(r.page_id for r in rows) == sorted(pages)
