@@ -26,6 +26,7 @@ from riskframe.llm.common import fold, rows_of, sample_keys, words_of
 PASSAGE, PER_LABEL, WIDTH, GATE = 64, 1500, 16, 8
 STEPS, BATCH, RATE, DECAY = 400, 128, 0.02, 1e-4
 FOLDS, HELD, CUT = 5, 0, 0.3
+PIECE = 256
 CLASSES = 9
 
 
@@ -121,7 +122,8 @@ def fit(texts: list[str | None], labels: list[int], seed: int = 0) -> AttentionP
     y = np.array(labels, np.float32)
     if len(set(labels)) < 2:
         return float(y.mean()) if labels else 0.5
-    x, counts = features(texts)
+    parts = [features(texts[at : at + PIECE]) for at in range(0, len(texts), PIECE)]
+    x, counts = (np.concatenate(values) for values in zip(*parts, strict=True))
     ends = np.cumsum(counts)
     model, rng = AttentionPool(x.mean(axis=0), x.std(axis=0) + 0.05, seed), np.random.default_rng(seed)
     m = {k: np.zeros_like(w) for k, w in model.weights.items()}
@@ -148,9 +150,6 @@ def train(df: DataFrame, labels: DataFrame, key: str, text: str, label: str, per
     return fit([r["t"] for r in rows], [int(r[label]) for r in rows], seed)
 
 
-PIECE = 256
-
-
 def score(model: AttentionPool | float, texts: list[str | None]) -> np.ndarray:
     if isinstance(model, float):
         return np.full(len(texts), model)
