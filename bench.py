@@ -36,6 +36,9 @@ HEADLINE = (
     "text_negations",
     "text_top_terms",
     "notes_concatenated",
+    "curve_areas",
+    "model_clusters",
+    "model_anomalies",
 )
 
 
