@@ -216,15 +216,17 @@ def mutual_information(df: DataFrame, columns: Sequence[str], label: str, bins:
     names = {f"e{i}": p for i, p in enumerate(probs)}
     found = exact_quantiles(melted, ["feature"], "x", names, bounded_groups=True).select("feature", F.array(*names).alias("e"))
     edges = found.agg(F.struct(*[F.max(F.when(F.col("feature") == c, F.col("e"))).alias(c) for c in columns]).alias("e")).scalar()
+    # As a column of its own the subquery is planned once, not once for every edge.
+    placed = df.withColumn("_edges", edges)
 
     def bin_of(c: str) -> Column:
-        below = [(edges.getField(c)[i] < value[c]).cast("int") for i in range(bins - 1)]
+        below = [(F.col("_edges").getField(c)[i] < value[c]).cast("int") for i in range(bins - 1)]
         return sum(below, F.lit(0))
 
     entries = [F.struct(F.lit(c).alias("feature"), bin_of(c).alias("bin")) for c in columns]
     named = F.coalesce(F.col(label), F.lit("unknown")).alias("class")
     joint = (
-        df.select(named, F.inline(F.array(*entries)))
+        placed.select(named, F.inline(F.array(*entries)))
         .groupBy("feature", "bin", "class")
         .agg(F.count(F.lit(1)).alias("n"))
     )
