@@ -255,12 +255,17 @@ def near_duplicates(
 
 
 def keep_first(df: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """The rows of ``df`` whose key is the smallest of their component; all columns are kept.
+    """The rows of ``df`` whose key is the smallest of their component, as ``keep_smallest`` says."""
+    return keep_smallest(df, near_duplicates(df, key, text, **options), key, text)
+
+
+def keep_smallest(df: DataFrame, classes: DataFrame, key: str, text: str) -> DataFrame:
+    """The rows of ``df`` whose key is the smallest of their component in ``classes`` (key, component); all columns are kept.
 
     Of rows that repeat a surviving key one stays, the one with the smallest text. Rows without a key
     cannot be named and stay.
     """
-    classes = saved(near_duplicates(df, key, text, **options), "classes")
+    classes = saved(classes, "classes")
     kept = classes.filter(F.col(key) == F.col("component")).groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("_n"))
     kept = saved(kept, "kept")
     # The surviving keys grow with the table, so both sides are dealt by key at every size; nothing is sorted.
