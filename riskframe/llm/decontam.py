@@ -1,14 +1,15 @@
 """Benchmark decontamination by template canonicalisation.
 
-Words are lower-cased and stripped of what is not a letter or digit at their ends. Numbers become the
-placeholder of numbers, capitalised words inside a sentence that of names, and units (after a number) that of
-units; what a placeholder replaced is its slot value. Windows of ``size`` template words are hashed, and windows with names a second
-time with the names as plain words; a benchmark item shorter than that is one window. Documents keep only windows whose hash occurs in the
-benchmark, and these are hash-joined with the benchmark's. Joined windows are collected per (document, item,
-offset between the two): a copy runs along one offset. The slots of such a run must be consistent: each
-benchmark value answers to one document value and the other way round, so that renamed and re-numbered copies
-are found while other texts of the same template are not. A run contaminates when its windows cover at least
-``share`` of the item's and their templates hold at least ``least_words`` plain words.
+Words are lower-cased and stripped of what is not a letter or digit at their ends. A number with its unit becomes one
+placeholder, and so do capitalised words inside a sentence that follow each other (names); what a placeholder replaced is its
+slot value. Windows of ``size`` template words are hashed, and windows with names a second time with the names as plain
+words; a benchmark item shorter than that is one window. Documents keep only windows whose hash occurs in the
+benchmark, and these are hash-joined with the benchmark's. Joined windows of a (document, item) with one offset between the
+two are a run. An inserted or dropped word and a name of another length shift the offset, so runs whose offsets differ by
+at most ``SLIP`` words are added up. Their slots must be consistent: each benchmark value answers to one document value and the
+other way round, so that renamed and re-numbered copies are found while other texts of the same template are not. Runs
+contaminate when they cover as many words of the item as one run of ``share`` of its windows does and a template holds at
+least ``least_words`` plain words.
 
 Defined results: a null or empty text, a null item or an empty benchmark matches nothing; items or
 documents that repeat count once per (document, item); a null document id is reported as null by ``matches``
@@ -29,6 +30,7 @@ from pyspark.sql import functions as F
 from riskframe.llm.common import BROADCAST_ROWS, rows_of, saved, small_join
 
 SIZE, SHARE, LEAST_WORDS = 8, 0.6, 6
+SLIP = 4
 # fixed values: units that may follow a number
 UNITS = frozenset(
     "mm cm m km in ft yd mi mg g kg t lb oz ml cl l gal s sec min h hr hrs hour hours day days week weeks month months year years "
@@ -38,7 +40,7 @@ UNITS = frozenset(
 PLAIN, NUMBER, NAME, UNIT = 0, 1, 2, 3
 _EDGES = re.compile(r"^[\W_]+|[\W_]+$")
 _NUMBER = re.compile(r"[+-]?\d[\d.,:/]*(?:st|nd|rd|th)?")
-_CODES = np.array([0, 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], dtype=np.uint64)
+_CODES = np.array([0, 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], dtype=np.uint64)
 _MIX = np.uint64(0x100000001B3)
 SEEN = 400_000
 
@@ -93,21 +95,45 @@ def canonical(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     return numbers, kinds
 
 
-def templates(numbers: np.ndarray, kinds: np.ndarray, size: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(places, hashes, kinds) of all windows: first with names as placeholders, then once more with names as the words
-    they are, for the windows that have one. The second form finds copies whose capitals or sentence ends differ."""
-    values = window_hashes(_codes(numbers, kinds), size)
-    yield np.arange(len(values)), values, kinds
+class Form:
+    """The template words of a text: first word of each (and the end of the last), kind and hash."""
+
+    def __init__(self, numbers: np.ndarray, kinds: np.ndarray):
+        self.numbers = numbers
+        firsts = kinds != UNIT
+        firsts[1:] &= ~((kinds[1:] == NAME) & (kinds[:-1] == NAME))
+        starts = np.flatnonzero(firsts)
+        self.starts, self.kinds = np.append(starts, len(numbers)), kinds[starts]
+        self.codes = np.where(self.kinds == PLAIN, _WORDS.codes[numbers[starts]], _CODES[self.kinds])
+
+    def slots(self, place: int, size: int) -> list[str]:
+        """Values of a window: a name, or a number and its unit (empty without one)."""
+        found, bare = [], _WORDS.bare
+        for i in np.flatnonzero(self.kinds[place : place + size]).tolist():
+            words = [bare[n] for n in self.numbers[self.starts[place + i] : self.starts[place + i + 1]].tolist()]
+            found += [" ".join(words)] if self.kinds[place + i] == NAME else [words[0], " ".join(words[1:])]
+        return found
+
+
+def forms(numbers: np.ndarray, kinds: np.ndarray) -> list[Form]:
+    """The template with names as placeholders and, if there are names, with the names as the words they are. The
+    second finds copies whose capitals or sentence ends differ."""
     named = kinds == NAME
-    if len(values) and named.any():
-        plain = np.where(named, PLAIN, kinds)
-        seen = np.concatenate(([0], np.cumsum(named)))
-        places = np.flatnonzero(seen[size:] > seen[:-size])
-        yield places, window_hashes(_codes(numbers, plain), size)[places], plain
+    first = [Form(numbers, kinds)]
+    return [*first, Form(numbers, np.where(named, PLAIN, kinds))] if named.any() else first
 
 
-def _codes(numbers: np.ndarray, kinds: np.ndarray) -> np.ndarray:
-    return np.where(kinds == PLAIN, _WORDS.codes[numbers], _CODES[kinds])
+def templates(numbers: np.ndarray, kinds: np.ndarray, sizes: list[int]) -> Iterator[tuple[np.ndarray, np.ndarray, Form, int]]:
+    """(places, hashes, form, size) of all windows of a document; the second form only where a window has a name."""
+    both = forms(numbers, kinds)
+    seen = np.concatenate(([0], np.cumsum(kinds == NAME)))
+    for size in sizes:
+        for number, form in enumerate(both):
+            values = window_hashes(form.codes, size)
+            places = np.arange(len(values))
+            if number:
+                places = np.flatnonzero(seen[form.starts[size:]] > seen[form.starts[:-size]]) if len(values) else places
+            yield places, values[places], form, size
 
 
 def window_hashes(codes: np.ndarray, size: int) -> np.ndarray:
@@ -122,38 +148,33 @@ def window_hashes(codes: np.ndarray, size: int) -> np.ndarray:
     return total.view(np.int64)
 
 
-def _windows(text: str | None, size: int) -> list[tuple[int, int, int, list[str], int, int]]:
-    """(place, hash, plain words, slots, size, number of places) of each window of an item."""
+def _windows(text: str | None, size: int) -> list[tuple[int, int, int, int, list[str], int, int]]:
+    """(first word, words, hash, plain words, slots, size, words of the item) of each window of an item."""
     words, kinds = canonical(text)
-    size = min(size, len(words))
-    if not size:
-        return []
-    return [
-        (place, value, *_slots(words, form, place, size), size, len(words) - size + 1)
-        for places, values, form in templates(words, kinds, size)
-        for place, value in zip(places.tolist(), values.tolist(), strict=True)
-    ]
-
+    rows = []
+    for form in forms(words, kinds) if len(words) else []:
+        width = min(size, len(form.codes))
+        for place, value in enumerate(window_hashes(form.codes, width).tolist()):
+            first, end = int(form.starts[place]), int(form.starts[place + width])
+            plain = int((form.kinds[place : place + width] == PLAIN).sum())
+            rows.append((first, end - first, value, plain, form.slots(place, width), width, len(words)))
+    return rows
 
-def _slots(words: np.ndarray, kinds: np.ndarray, place: int, size: int) -> tuple[int, list[str]]:
-    kind = kinds[place : place + size]
-    return int((kind == PLAIN).sum()), [_WORDS.bare[words[place + int(i)]] for i in np.flatnonzero(kind)]
 
-
-_ITEM = "item_id {kind}, place int, hash bigint, plain int, slots array<string>, size int, windows int"
-_HIT = "doc_id {kind}, at int, hash bigint, found array<string>"
+_ITEM = "item_id {kind}, place int, span int, hash bigint, plain int, slots array<string>, size int, words int"
+_HIT = "doc_id {kind}, body bigint, at int, hash bigint, found array<string>"
 
 
 def template_windows(items: DataFrame, key: str, text: str, size: int = SIZE) -> DataFrame:
-    """The windows of every benchmark item: (item_id, place, hash, plain, slots, size, windows)."""
+    """The windows of every benchmark item: (item_id, place, span, hash, plain, slots, size, words)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
             for item, body in rows_of(batch, "item_id", "_text"):
                 out += [(item, *row) for row in _windows(body, size)]
-            yield _batch(out, [batch.schema.field("item_id").type, pa.int32(), pa.int64(), pa.int32(), pa.list_(pa.string()), pa.int32(), pa.int32()],
-                         ["item_id", "place", "hash", "plain", "slots", "size", "windows"])
+            yield _batch(out, [batch.schema.field("item_id").type, pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.list_(pa.string()), pa.int32(), pa.int32()],
+                         ["item_id", "place", "span", "hash", "plain", "slots", "size", "words"])
 
     kind = items.schema[key].dataType.simpleString()
     rows = items.select(F.col(key).alias("item_id"), F.col(text).cast("string").alias("_text"))
@@ -174,21 +195,84 @@ def _hits(docs: DataFrame, key: str, text: str, sizes: list[int], hashes: np.nda
             out = []
             for doc, body in rows_of(batch, "doc_id", "_text"):
                 words, kinds = canonical(body)
-                for size in sizes:
-                    for places, values, form in templates(words, kinds, size):
-                        if sent.value is not None:
-                            near = np.searchsorted(sent.value, values).clip(max=len(sent.value) - 1)
-                            hit = sent.value[near] == values
-                            places, values = places[hit], values[hit]
-                        for place, value in zip(places.tolist(), values.tolist(), strict=True):
-                            out.append((doc, place, value, _slots(words, form, place, size)[1]))
-            yield _batch(out, [batch.schema.field("doc_id").type, pa.int32(), pa.int64(), pa.list_(pa.string())], ["doc_id", "at", "hash", "found"])
+                mark = xxhash.xxh64_intdigest((body or "").encode("utf-8", "surrogatepass")) - (1 << 63)
+                for places, values, form, size in templates(words, kinds, sizes):
+                    if sent.value is not None:
+                        near = np.searchsorted(sent.value, values).clip(max=len(sent.value) - 1)
+                        hit = sent.value[near] == values
+                        places, values = places[hit], values[hit]
+                    for place, value in zip(places.tolist(), values.tolist(), strict=True):
+                        out.append((doc, mark, int(form.starts[place]), value, form.slots(place, size)))
+            yield _batch(out, [batch.schema.field("doc_id").type, pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.string())],
+                         ["doc_id", "body", "at", "hash", "found"])
 
     kind = docs.schema[key].dataType.simpleString()
     rows = docs.select(F.col(key).alias("doc_id"), F.col(text).cast("string").alias("_text"))
     return rows.mapInArrow(run, _HIT.format(kind=kind))
 
 
+class Match:
+    """Windows of an item found in a document: slot values both ways, covered words of the item."""
+
+    def __init__(self):
+        self.there, self.back, self.pairs, self.covered, self.plain = {}, {}, set(), set(), 0
+
+    def with_run(self, run: list[dict]) -> Match | None:
+        """This and the windows of a run; None if their slots are not consistent."""
+        new = Match()
+        new.there, new.back = dict(self.there), dict(self.back)
+        new.pairs, new.covered, new.plain = set(self.pairs), set(self.covered), self.plain
+        for row in run:
+            if len(row["slots"]) != len(row["found"]):
+                continue
+            for own, other in zip(row["slots"], row["found"], strict=True):
+                new.pairs.add((own, other))
+                if own and other and (new.there.setdefault(own, other) != other or new.back.setdefault(other, own) != own):
+                    return None
+            new.covered.update(range(row["place"], row["place"] + row["span"]))
+            new.plain = max(new.plain, row["plain"])
+        return new
+
+
+def best_match(rows: list[dict], size: int, share: float, least_words: int) -> tuple[int, int, int] | None:
+    """(matched, windows, changed) of the best runs of one document with one item, or None."""
+    words = rows[0]["words"]
+    size = min(size, words)
+    windows = words - size + 1
+    runs: dict[int, list[dict]] = {}
+    for row in rows:
+        runs.setdefault(row["at"] - row["place"], []).append(row)
+    offsets, best = sorted(runs), None
+    alone = {offset: Match().with_run(runs[offset]) for offset in offsets}
+    breaks = [0, *[i for i in range(1, len(offsets)) if offsets[i] - offsets[i - 1] > SLIP], len(offsets)]
+    for low, high in zip(breaks, breaks[1:], strict=False):
+        group = [o for o in offsets[low:high] if alone[o]]
+        reach = set().union(*[alone[o].covered for o in group])
+        if len(reach) - size + 1 < share * windows:
+            continue
+        for base in group:
+            whole, joined, tried = alone[base], {base}, [alone[base]]
+            for other in sorted(group, key=lambda o: (abs(o - base), o)):
+                if abs(other - base) > words or len(whole.covered) == words:
+                    break
+                near = other not in joined and any(abs(other - o) <= SLIP for o in joined)
+                if not near or alone[other].covered <= whole.covered:
+                    continue
+                more = whole.with_run(runs[other])
+                if more:
+                    whole = more
+                    joined.add(other)
+            tried.append(whole)
+            for match in tried:
+                matched = min(windows, len(match.covered) - size + 1)
+                changed = sum(own != other for own, other in match.pairs)
+                if matched >= share * windows and match.plain >= least_words:
+                    best = max(best or (matched, -changed), (matched, -changed))
+            if best == (windows, 0):
+                break
+    return best and (best[0], windows, -best[1])
+
+
 def matches(
     docs: DataFrame,
     items: DataFrame,
@@ -202,8 +286,8 @@ def matches(
 ) -> DataFrame:
     """(doc_id, item_id, matched, windows, changed): the items each document contains.
 
-    ``matched`` windows of the item's ``windows`` lie on the document's best run; ``changed`` counts slot
-    values that differ. Hashes of up to ``BROADCAST_ROWS`` benchmark windows are sent to the tasks as a filter;
+    ``matched`` of the item's ``windows`` are as many as cover the words found in the document's best runs; ``changed`` counts
+    slot values that differ. Hashes of up to ``BROADCAST_ROWS`` benchmark windows are sent to the tasks as a filter;
     with more, all document windows go into the same hash join.
     """
     own = saved(template_windows(items, item_key, item_text, size).distinct(), "templates")
@@ -216,22 +300,21 @@ def matches(
         sizes = []
     hits = _hits(docs, key, text, sizes, hashes)
     joined = small_join(hits, own.withColumnRenamed("item_id", "_item"), "hash")
-    run = ["doc_id", "item_id", "offset"]
-    rows = joined.select("doc_id", F.col("_item").alias("item_id"), (F.col("at") - F.col("place")).alias("offset"),
-                         "place", "plain", "windows", "size", F.arrays_zip("slots", "found").alias("pairs"))
-    rows = rows.withColumn("fits", F.expr("size(pairs) = 0 OR forall(pairs, p -> p.slots IS NOT NULL AND p.found IS NOT NULL)"))
-    runs = rows.filter("fits").groupBy(*run).agg(
-        F.count_distinct("place").alias("matched"),
-        F.max("windows").alias("windows"),
-        F.max("plain").alias("plain"),
-        F.flatten(F.collect_set("pairs")).alias("pairs"),
-    )  # at most the windows of one item
-    pairs = F.array_distinct("pairs")
-    one = F.size(F.array_distinct(F.transform(pairs, lambda p: p["slots"]))) == F.size(pairs)
-    other = F.size(F.array_distinct(F.transform(pairs, lambda p: p["found"]))) == F.size(pairs)
-    good = runs.filter(one & other & (F.col("matched") >= share * F.col("windows")) & (F.col("plain") >= least_words))
-    changed = F.size(F.filter(pairs, lambda p: p["slots"] != p["found"]))
-    best = F.max(F.struct("matched", (-changed).alias("same"), "windows")).alias("best")
+    rows = joined.select("doc_id", "body", F.col("_item").alias("item_id"), "at", "place", "span", "plain", "words", "slots", "found").distinct()
+    kinds = [rows.schema[c].dataType.simpleString() for c in ("doc_id", "item_id")]
+
+    def judge(group: pa.Table) -> pa.Table:
+        found = best_match(group.select(["at", "place", "span", "plain", "words", "slots", "found"]).to_pylist(), size, share, least_words)
+        ids = group.select(["doc_id", "item_id"]).slice(0, 1 if found else 0)
+        for name, value in zip(("matched", "windows", "changed"), found or (0, 0, 0), strict=True):
+            ids = ids.append_column(name, pa.array([value] * len(ids), pa.int64()))
+        return ids
+
+    # the windows of one text with one item
+    good = rows.groupBy("doc_id", "body", "item_id").applyInArrow(
+        judge, "doc_id {}, item_id {}, matched bigint, windows bigint, changed bigint".format(*kinds)
+    )
+    best = F.max(F.struct("matched", (-F.col("changed")).alias("same"), "windows")).alias("best")
     return good.groupBy("doc_id", "item_id").agg(best).select(
         "doc_id", "item_id", "best.matched", "best.windows", (-F.col("best.same")).alias("changed")
     )
