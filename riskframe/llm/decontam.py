@@ -8,8 +8,9 @@ benchmark, and these are hash-joined with the benchmark's. Joined windows of a (
 two are a run. An inserted or dropped word and a name of another length shift the offset, so runs whose offsets differ by
 at most ``SLIP`` words are added up. Their slots must be consistent: each benchmark value answers to one document value and the
 other way round, so that renamed and re-numbered copies are found while other texts of the same template are not. Runs
-contaminate when they cover as many words of the item as one run of ``share`` of its windows does and a template holds at
-least ``least_words`` plain words.
+contaminate when they cover as many words of the item as one run of ``share`` of its windows does. If slot values changed, a
+template must also hold at least ``least_words`` plain words; verbatim runs need none. Items of fewer than ``least_words``
+words are no evidence in any form; they are not searched, a warning gives their number, and ``short_items`` lists them.
 
 Defined results: a null or empty text, a null item or an empty benchmark matches nothing; items or
 documents that repeat count once per (document, item); a null document id is reported as null by ``matches``
@@ -19,6 +20,7 @@ and its document is kept by ``remove_contaminated``, which filters by id.
 from __future__ import annotations
 
 import re
+import warnings
 from collections.abc import Iterator
 
 import numpy as np
@@ -266,13 +268,18 @@ def best_match(rows: list[dict], size: int, share: float, least_words: int) -> t
             for match in tried:
                 matched = min(windows, len(match.covered) - size + 1)
                 changed = sum(own != other for own, other in match.pairs)
-                if matched >= share * windows and match.plain >= least_words:
+                if matched >= share * windows and (not changed or match.plain >= least_words):
                     best = max(best or (matched, -changed), (matched, -changed))
             if best == (windows, 0):
                 break
     return best and (best[0], windows, -best[1])
 
 
+def short_items(items: DataFrame, key: str = "item_id", text: str = "text", least_words: int = LEAST_WORDS) -> DataFrame:
+    """(item_id, words): the items with words that are too few to be searched."""
+    return template_windows(items, key, text).filter(F.col("words") < least_words).select("item_id", "words").distinct()
+
+
 def matches(
     docs: DataFrame,
     items: DataFrame,
@@ -291,6 +298,10 @@ def matches(
     with more, all document windows go into the same hash join.
     """
     own = saved(template_windows(items, item_key, item_text, size).distinct(), "templates")
+    short = own.filter(F.col("words") < least_words).select("item_id").distinct().count()
+    if short:
+        warnings.warn(f"{short} benchmark items have fewer than {least_words} words and are not searched", stacklevel=2)
+    own = own.filter(F.col("words") >= least_words)
     sizes = sorted(r["size"] for r in own.select("size").distinct().collect())  # at most ``size`` numbers
     counted = own.select("hash").distinct().limit(BROADCAST_ROWS + 1)
     hashes = None

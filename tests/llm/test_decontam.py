@@ -1,12 +1,16 @@
-"""Copies of benchmark items with edits that shift words."""
+"""Copies of benchmark items with edits that shift words, and items that are mostly numbers."""
 
 from __future__ import annotations
 
+import pytest
+
 from riskframe.llm import decontam
 
 SHORT = "the quick fox runs over green hills while seven old owls watch from trees near our quiet village pond"
 MIDDLE = f"{SHORT} and nobody knows why they never sleep when summer rain falls on dusty roads behind the mill"
 NAMED = "Yesterday we took the train from New York to Boston where old Mary Ann Lee sold 12 kg of apples at the market"
+SUM = "What is the sum of 13, 27, 45 and 62?"
+SHARES = "Compute 15 percent of 240 dollars plus 20 percent of 60 dollars"
 
 
 def found(spark, items, cases):
@@ -39,3 +43,17 @@ def test_slots_stay_consistent_across_an_edit(spark):
     text = "Add 5 and 5 then take the sum of both and write it down then add 5 and 7 and say it in words"
     docs = {1: text.replace("5", "8").replace("write it", "write all it"), 2: text.replace("5", "8", 2).replace("write it", "write all it")}
     assert {d for d, _ in found(spark, [text], docs)} == {1}
+
+
+def test_items_of_few_plain_words_are_found_verbatim_only(spark):
+    cases = {
+        1: f"Here is a task. {SUM} Write it down.",
+        2: f"Here is a task. {SHARES} and so on.",
+        3: "Here is a task. What is the sum of 14, 28, 46 and 63? Write it down.",
+        4: "He said yes and no to it.",
+    }
+    with pytest.warns(UserWarning, match="1 benchmark items"):
+        got = found(spark, [SUM, SHARES, "yes and no"], cases)
+    assert set(got) == {(1, 0), (2, 1)}
+    items = spark.createDataFrame([(1, "yes and no"), (2, SUM), (3, None)], "item_id long, text string")
+    assert [tuple(r) for r in decontam.short_items(items).collect()] == [(1, 3)]
