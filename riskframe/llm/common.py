@@ -7,6 +7,7 @@ import re
 import uuid
 from collections.abc import Iterable
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -91,3 +92,17 @@ _LETTER = re.compile(r"[^\W\d_]")
 
 def has_letter(text: str | None) -> bool:
     return bool(text) and _LETTER.search(text) is not None
+
+
+def finite_vectors(df: DataFrame, key: str, vector: str, dims: int | None = None) -> DataFrame:
+    """(key, vector) of the rows whose vector has ``dims`` entries (if given), none of them null, NaN or infinite."""
+    whole = F.col(vector).cast("array<double>")
+    good = F.forall(whole, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
+    if dims is not None:
+        good = good & (F.size(whole) == dims)
+    return df.filter(F.coalesce(good, F.lit(False))).select(F.col(key), whole.alias("vector"))
+
+
+def vectors_of(batch: pa.RecordBatch, dims: int) -> np.ndarray:
+    """The vectors of a batch as a matrix."""
+    return batch.column(batch.schema.get_field_index("vector")).flatten().to_numpy(zero_copy_only=False).reshape(-1, dims)

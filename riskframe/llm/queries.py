@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm import captures, decontam, language, packing, quality_model, quality_rules, shards, simhash, token_frames, toxicity
+from riskframe.llm import captures, centroids, decontam, language, packing, quality_model, quality_rules, shards, simhash
+from riskframe.llm import token_counts, token_frames, toxicity, whitening
 from riskframe.llm.common import table
 
 #: Folder of the public tokenizers' vocabulary files.
@@ -113,3 +114,24 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return decontam.matches(docs, table(spark, folder, "benchmark").select("item_id", "text"))
+
+
+@query("op11_token_counts")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return token_counts.count_tokens(docs, f"{TOKENIZERS}/word_bpe_49k.json").select("doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
+@query("op12_embedding_whitening")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    done = whitening.whiten(table(spark, folder, "embeddings").select("vec_id", "embedding"))
+    each = F.posexplode(F.arrays_zip("whitened", "explained")).alias("at", "of")
+    found = done.select("vec_id", "n", "deviation", "identity_error", each)
+    return found.select(
+        "vec_id", (F.col("at") + 1).alias("component"), "n", "deviation", "of.whitened", "of.explained", "identity_error"
+    )
+
+
+@query("op13_centroid_clusters", centroids.sql())
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return centroids.cluster(table(spark, folder, "embeddings").select("vec_id", "embedding"))
