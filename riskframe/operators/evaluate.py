@@ -19,6 +19,8 @@ from riskframe.session import materialize
 
 By = Sequence[str]
 CURVE_BUCKETS = 4096
+#: Distinct scores that a bin may hold, and the parts into which a fuller one is cut.
+BIN_ROWS, BIN_PARTS = 100_000, 1024
 
 
 def _ratio(top: Column, bottom: Column, otherwise: float | None = 0.0) -> Column:
@@ -36,18 +38,22 @@ def confusion_shares(df: DataFrame, by: By = ("model",)) -> DataFrame:
     return confusion(df, by).withColumn("share", F.col("n") / F.sum("n").over(row))
 
 
-def class_counts(df: DataFrame, by: By = ("model",)) -> DataFrame:
-    """TP, FP, FN, TN, support and predicted count per class that occurs as truth or prediction."""
+def _sides() -> Column:
+    """The truth side and the prediction side of a row of the confusion table."""
     same = F.col("y_true") == F.col("y_pred")
-    sides = F.array(
+    return F.array(
         F.struct(F.col("y_true").alias("class"), F.col("n").alias("support"), F.lit(0).cast("long").alias("predicted"),
                  F.when(same, F.col("n")).otherwise(F.lit(0)).alias("tp")),
         F.struct(F.col("y_pred").alias("class"), F.lit(0).cast("long").alias("support"), F.col("n").alias("predicted"),
                  F.lit(0).cast("long").alias("tp")),
     )
+
+
+def class_counts(df: DataFrame, by: By = ("model",)) -> DataFrame:
+    """TP, FP, FN, TN, support and predicted count per class that occurs as truth or prediction."""
     per_class = (
         confusion(df, by)
-        .select(*by, F.inline(sides))
+        .select(*by, F.inline(_sides()))
         .groupBy(*by, "class")
         .agg(*[F.sum(c).alias(c) for c in ("support", "predicted", "tp")])
     )
@@ -155,13 +161,70 @@ def auc_by_class(df: DataFrame, by: By = ("model",), prob: str = "prob") -> Data
     """One-versus-rest area under the ROC curve (ties count half); NULL when a side is empty."""
     keys = [*by, "class"]
     wins = F.col("pos").cast("double") * (F.col("neg_before") + F.col("neg") / 2.0)
-    sums = _cumulated(class_scores(df, by, prob), keys).groupBy(*keys).agg(
+    sums = _cumulated(materialize(class_scores(df, by, prob)), keys).groupBy(*keys).agg(
         F.sum(wins).alias("w"), F.sum("pos").alias("support"), F.sum("neg").alias("n_neg")
     )
     pairs = F.col("support").cast("double") * F.col("n_neg")
     return sums.select(*keys, "support", _ratio(F.col("w"), pairs, None).alias("auc"))
 
 
+def score_bins(scores: DataFrame, keys: By, limit: int = BIN_ROWS) -> DataFrame:
+    """Saved score counts with ``_bin``, whose order is that of the scores; a bin has at most ``limit`` distinct scores.
+
+    The first bins are parts of an octave. A bin with more distinct scores is cut between its least and greatest score, again
+    and again, so scores that crowd together do not meet in one task.
+    """
+    binned = materialize(scores.withColumn("_bin", F.array(value_bucket("score"))))
+    while True:
+        sizes = binned.groupBy(*keys, "_bin").agg(
+            F.count(F.lit(1)).alias("_rows"), F.min("score").alias("_lo"), F.max("score").alias("_hi")
+        )
+        full = materialize(sizes.filter((F.col("_rows") > limit) & (F.col("_lo") < F.col("_hi"))).drop("_rows"))
+        if full.isEmpty():
+            return binned
+        part = F.floor((F.col("score") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * BIN_PARTS).cast("long")
+        cut = F.when(F.col("_lo").isNotNull(), F.concat("_bin", F.array(part))).otherwise(F.col("_bin"))
+        binned = materialize(
+            lookup_join(binned, full, [*keys, "_bin"], "left").withColumn("_bin", cut).select(*scores.columns, "_bin")
+        )
+
+
+def _bin_histogram(binned: DataFrame, keys: By) -> DataFrame:
+    """Positives and negatives per bin, with the negatives of all lower bins; as few rows as there are bins."""
+    bins = binned.groupBy(*keys, "_bin").agg(
+        F.sum("pos").alias("pos"), F.sum("neg").alias("neg"), F.min("score").alias("lo"), F.max("score").alias("hi")
+    )
+    lower = Window.partitionBy(*keys).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
+    return bins.withColumn("neg_below", F.coalesce(F.sum("neg").over(lower), F.lit(0)))
+
+
+def binned_auc_by_class(
+    df: DataFrame, by: By = ("model",), prob: str = "prob", limit: int = BIN_ROWS
+) -> DataFrame:
+    """The exact area of ``auc_by_class`` from mergeable score histograms, for many distinct scores.
+
+    The predictions are read once. Pairs of different bins are counted from the histogram; only bins that hold positives and
+    negatives at different scores are refined, each in a task of its own.
+    """
+    keys = [*by, "class"]
+    binned = score_bins(class_scores(df, by, prob), keys, limit)
+    bins = materialize(_bin_histogram(binned, keys))
+    mixed = (F.col("pos") > 0) & (F.col("neg") > 0) & (F.col("lo") < F.col("hi"))
+    tied = F.when(mixed, F.lit(0.0)).otherwise(F.col("neg") / 2.0)
+    outside = bins.select(
+        *keys, "pos", "neg", (F.col("pos").cast("double") * (F.col("neg_below") + tied)).alias("w")
+    )
+    lower = Window.partitionBy(*keys, "_bin").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
+    wins = F.col("pos").cast("double") * (F.coalesce(F.sum("neg").over(lower), F.lit(0)) + F.col("neg") / 2.0)
+    refined = lookup_join(binned, bins.filter(mixed).select(*keys, "_bin"), [*keys, "_bin"]).withColumn("w", wins)
+    inside = refined.select(*keys, F.lit(0).cast("long").alias("pos"), F.lit(0).cast("long").alias("neg"), "w")
+    sums = outside.union(inside).groupBy(*keys).agg(
+        F.sum("w").alias("w"), F.sum("pos").alias("support"), F.sum("neg").alias("n_neg")
+    )
+    pairs = F.col("support").cast("double") * F.col("n_neg")
+    return sums.select(*keys, "support", _ratio(F.col("w"), pairs, None).alias("auc"))
+
+
 def auc_averages(df: DataFrame, by: By = ("model",), prob: str = "prob") -> DataFrame:
     """Macro and support-weighted AUC; NULL when a class has no AUC."""
     complete = F.count("auc") == F.count(F.lit(1))
@@ -171,11 +234,13 @@ def auc_averages(df: DataFrame, by: By = ("model",), prob: str = "prob") -> Data
     )
 
 
+def _loss(prob: str, eps: float = 2.220446049250313e-16) -> Column:
+    return -F.log(F.greatest(F.lit(eps), F.least(F.lit(1 - eps), F.col(prob)[F.col("y_true")])))
+
+
 def log_loss(df: DataFrame, by: By = ("model",), prob: str = "prob", eps: float = 2.220446049250313e-16) -> DataFrame:
     """Mean negative logarithm of the probability of the true class, clipped."""
-    p = F.col(prob)[F.col("y_true")]
-    clipped = F.greatest(F.lit(eps), F.least(F.lit(1 - eps), p))
-    return df.groupBy(*by).agg(F.avg(-F.log(clipped)).alias("log_loss"))
+    return df.groupBy(*by).agg(F.avg(_loss(prob, eps)).alias("log_loss"))
 
 
 def _roc(scores: DataFrame, keys: By) -> DataFrame:
@@ -194,12 +259,12 @@ def _roc(scores: DataFrame, keys: By) -> DataFrame:
 
 def roc_points(df: DataFrame, by: By = ("model",), prob: str = "prob") -> DataFrame:
     """ROC points per class: one per distinct threshold, and the origin (threshold NULL)."""
-    return _roc(class_scores(df, by, prob), [*by, "class"])
+    return _roc(materialize(class_scores(df, by, prob)), [*by, "class"])
 
 
 def micro_roc_points(df: DataFrame, by: By = ("model",), prob: str = "prob") -> DataFrame:
     """ROC points of all classes pooled."""
-    return _roc(pooled_scores(df, by, prob), list(by))
+    return _roc(materialize(pooled_scores(df, by, prob)), list(by))
 
 
 def _curve_bucket(x: str) -> Column:
@@ -283,16 +348,58 @@ def trapezoid_area(points: DataFrame, keys: By) -> DataFrame:
 
 
 def roc_areas(df: DataFrame, by: By = ("model",), prob: str = "prob") -> DataFrame:
-    """Area of every class curve, of the pooled (micro) curve and of the macro curve."""
+    """Area of every class curve, of the pooled (micro) curve and of the macro curve.
+
+    The scores are counted once and cumulated once. The area under a curve of ranks is the share of won pairs, so the class
+    curves and the pooled one need no points. The macro curve takes the upper end of every vertical step; against
+    the mean of the class areas this adds, for each step, half its height times the distance to the grid position before it.
+    Classes without positives or negatives have no area and are no part of the macro curve.
+    """
     by = list(by)
-    points = materialize(roc_points(df, by, prob))  # read by the class areas and by the macro curve
+    keys = [*by, "class"]
+    counts = materialize(class_scores(df, by, prob))
+    cumulated = materialize(_cumulated(counts, keys))
+    classes = materialize(_areas(cumulated, keys))
+    pooled = counts.groupBy(*by, "score").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    micro = _areas(_cumulated(pooled, by), by)
+    means = classes.filter(F.col("auc").isNotNull()).groupBy(*by).agg(F.avg("auc").alias("_mean"), F.count("auc").alias("_classes"))
+    joined = means.join(_macro_excess(cumulated, by), by, "left")
+    macro = F.col("_mean") + F.coalesce("_excess", F.lit(0.0)) / F.col("_classes")
     return stack(
         [
-            trapezoid_area(points, [*by, "class"]).withColumn("curve", F.concat(F.lit("class "), F.col("class"))).drop("class"),
-            trapezoid_area(micro_roc_points(df, by, prob), by).withColumn("curve", F.lit("micro")),
-            trapezoid_area(_macro(points, by), by).withColumn("curve", F.lit("macro")),
+            classes.select(*by, F.concat(F.lit("class "), F.col("class")).alias("curve"), "auc"),
+            micro.select(*by, F.lit("micro").alias("curve"), "auc"),
+            joined.select(*by, F.lit("macro").alias("curve"), macro.alias("auc")),
         ]
-    )
+    )
+
+
+def _areas(cumulated: DataFrame, keys: By) -> DataFrame:
+    """Share of the pairs of a positive and a negative that the positive wins; ties count half."""
+    wins = F.col("pos").cast("double") * (F.col("neg_before") + F.col("neg") / 2.0)
+    sums = cumulated.groupBy(*keys).agg(F.sum(wins).alias("w"), F.sum("pos").alias("p"), F.sum("neg").alias("n"))
+    return sums.select(*keys, _ratio(F.col("w"), F.col("p").cast("double") * F.col("n"), None).alias("auc"))
+
+
+def _macro_excess(cumulated: DataFrame, by: list[str]) -> DataFrame:
+    """Sum over the class curves' vertical steps of half the height times the width of the grid interval before them."""
+    pos, neg = F.col("pos_total"), F.col("neg_total")
+    points = cumulated.filter((pos > 0) & (neg > 0)).select(
+        *by,
+        "class",
+        ((neg - F.col("neg_before")).cast("double") / neg).alias("fpr"),
+        ((pos - F.col("pos_before")).cast("double") / pos).alias("tpr"),
+    )
+    steps = points.groupBy(*by, "class", "fpr").agg((F.max("tpr") - F.min("tpr")).alias("step"))
+    grid = steps.groupBy(*by, "fpr").agg(F.sum("step").alias("step")).withColumn("_b", _curve_bucket("fpr"))
+    inner = Window.partitionBy(*by, "_b").orderBy("fpr")
+    local = grid.withColumn("_x", F.col("step") * (F.col("fpr") - F.lag("fpr").over(inner)) / 2.0)
+    per_bucket = local.groupBy(*by, "_b").agg(
+        F.sum("_x").alias("_x"), F.min(F.struct("fpr", "step")).alias("first"), F.max("fpr").alias("last")
+    )
+    before = F.coalesce(F.lag("last").over(Window.partitionBy(*by).orderBy("_b")), F.lit(0.0))
+    linked = per_bucket.withColumn("_link", F.col("first.step") * (F.col("first.fpr") - before) / 2.0)
+    return linked.groupBy(*by).agg((F.coalesce(F.sum("_x"), F.lit(0.0)) + F.sum("_link")).alias("_excess"))
 
 
 def pr_points(df: DataFrame, by: By = ("model",), prob: str = "prob") -> DataFrame:
@@ -300,7 +407,7 @@ def pr_points(df: DataFrame, by: By = ("model",), prob: str = "prob") -> DataFra
     keys = [*by, "class"]
     above = F.col("pos_total") - F.col("pos_before")
     selected = above + F.col("neg_total") - F.col("neg_before")
-    return _cumulated(class_scores(df, by, prob), keys).select(
+    return _cumulated(materialize(class_scores(df, by, prob)), keys).select(
         *keys,
         F.col("score").alias("threshold"),
         F.col("pos"),
@@ -343,19 +450,99 @@ def compare_models(df: DataFrame, by: By = ("model",), prob: str | None = "prob"
     return base.join(auc_averages(df, by, prob).select(*by, "auc_roc_macro"), list(by), "left")
 
 
-def all_metrics(df: DataFrame, by: By = ("model",), prob: str | None = "prob") -> DataFrame:
-    """Every metric in long form ``(by, metric, class, value)``; ``class`` is NULL for overall metrics."""
+def evaluation_frame(df: DataFrame, by: By = ("model",), prob: str | None = "prob", limit: int = BIN_ROWS) -> DataFrame:
+    """Everything that the metrics need, counted in one pass over the predictions and saved.
+
+    Each row is exploded to its classes; one aggregation with two grouping sets gives the rows (y_true, y_pred, n, loss, losses) of the
+    confusion table and the rows (class, score, pos, neg, _bin) of the score histogram.
+    """
     by = list(by)
-    wide = overall_metrics(df, by)
-    if prob is not None:
-        wide = wide.join(auc_averages(df, by, prob), by, "left").join(log_loss(df, by, prob), by, "left")
-    per_class = clinical_metrics(df, by)
-
-    def melt(frame: DataFrame, keys: list[str]) -> DataFrame:
-        names = [c for c in frame.columns if c not in keys]
-        rows = [F.struct(F.lit(c).alias("metric"), F.col(c).alias("value")) for c in names]
-        return frame.select(*keys, F.inline(F.array(*rows)))
-
-    overall = melt(wide, by).withColumn("class", F.lit(None).cast("int"))
-    detailed = melt(per_class, [*by, "class"]).withColumn("class", F.col("class").cast("int"))
-    return overall.unionByName(detailed).select(*by, "metric", "class", "value")
+    if prob is None:
+        df, prob = df.withColumn("_none", F.lit(None).cast("array<double>")), "_none"
+    first = F.coalesce(F.col("class") == 0, F.lit(True))  # one of the rows of a prediction stands for it
+    long = df.select(*by, "y_true", "y_pred", _loss(prob).alias("_loss"), F.posexplode_outer(prob).alias("class", "score"))
+    positive = (F.col("y_true") == F.col("class")).cast("long")
+    long = long.select(
+        *by, "y_true", "y_pred", "class", "score", first.cast("long").alias("_n"), F.when(first, F.col("_loss")).alias("_loss"),
+        positive.alias("_pos"), (1 - positive).alias("_neg"),
+    )
+    sets = [[*by, "y_true", "y_pred"], [*by, "class", "score"]]
+    counted = long.groupingSets([[F.col(c) for c in s] for s in sets], *by, "y_true", "y_pred", "class", "score").agg(
+        F.grouping("class").alias("_pair"),
+        F.sum("_n").alias("n"),
+        F.sum("_loss").alias("loss"),
+        F.count("_loss").alias("losses"),
+        F.sum("_pos").alias("pos"),
+        F.sum("_neg").alias("neg"),
+    )
+    keys = [*by, "_pair", "class"]
+    return score_bins(counted.filter((F.col("_pair") == 1) | F.col("class").isNotNull()), keys, limit)
+
+
+def all_metrics(df: DataFrame, by: By = ("model",), prob: str | None = "prob", limit: int = BIN_ROWS) -> DataFrame:
+    """Every metric in long form ``(by, metric, class, value)``; ``class`` is NULL for overall metrics.
+
+    The predictions are read once and shuffled as counts. Wins inside a bin and across bins take a shuffle each, and the last one
+    brings a model's few classes together.
+    """
+    by = list(by)
+    frame = evaluation_frame(df, by, prob, limit)
+    zero = F.lit(0).cast("long")
+    sides = frame.filter("_pair = 1").select(*by, F.inline(_sides()), "loss", "losses")
+    truth = F.col("support") > 0  # the loss of a row counts once, on the side of its truth
+    sides = sides.withColumns({"loss": F.when(truth, F.col("loss")), "losses": F.when(truth, F.col("losses"))})
+    scores, keys = frame.filter("_pair = 0"), [*by, "class"]
+    in_bin = Window.partitionBy(*keys, "_bin").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
+    wins = F.col("pos").cast("double") * (F.coalesce(F.sum("neg").over(in_bin), zero) + F.col("neg") / 2.0)
+    bins = scores.withColumn("_w", wins).groupBy(*keys, "_bin").agg(*[F.sum(c).alias(c) for c in ("pos", "neg", "_w")])
+    below = Window.partitionBy(*keys).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
+    total = F.col("_w") + F.col("pos").cast("double") * F.coalesce(F.sum("neg").over(below), zero)
+    areas = bins.withColumn("_w", total).groupBy(*keys).agg(*[F.sum(c).alias(c) for c in ("pos", "neg", "_w")])
+    together = stack([sides, areas]).repartition(*by) if by else stack([sides, areas]).repartition(1)
+    sums = ("support", "predicted", "tp", "loss", "losses", "pos", "neg", "_w")
+    classes = together.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums])
+    return _melted(classes, by, prob is not None)
+
+
+def _melted(classes: DataFrame, by: list[str], with_scores: bool) -> DataFrame:
+    """All metrics from one row of sums per class; a model's classes are summed over a window of a few rows."""
+    group, order = Window.partitionBy(*by), Window.partitionBy(*by).orderBy("class")
+    tp, s, p = (F.coalesce(F.col(c), F.lit(0)).cast("double") for c in ("tp", "support", "predicted"))
+    total = lambda x: F.sum(x).over(group)
+    occurs, auc = s + p > 0, _ratio(F.col("_w"), F.col("pos").cast("double") * F.col("neg"), None)
+    rated = {"precision": _ratio(tp, p), "recall": _ratio(tp, s), "f1": _ratio(tp * 2, s + p)}
+    n, right, sp, ss, pp = total(s), total(tp), total(s * p), total(s * s), total(p * p)
+    overall = {"accuracy": right / n}
+    overall |= {f"{m}_macro": F.avg(F.when(occurs, x)).over(group) for m, x in rated.items()}
+    overall |= {f"{m}_weighted": total(x * s) / n for m, x in rated.items()}
+    overall["mcc"] = _ratio(right * n - sp, F.sqrt((n * n - pp) * (n * n - ss)))
+    overall["cohen_kappa"] = _ratio(right * n - sp, n * n - sp, None)
+    if with_scores:
+        complete = F.count(auc).over(group) == F.count("pos").over(group)
+        overall["auc_roc_macro"] = F.when(complete, F.avg(auc).over(group))
+        overall["auc_roc_weighted"] = F.when(complete, total(auc * F.col("pos")) / total(F.col("pos")))
+        overall["log_loss"] = total(F.col("loss")) / total(F.col("losses"))
+    fp, fn = p - tp, s - tp
+    tn = n - s - p + tp
+    per_class = {
+        "sensitivity": _ratio(tp, s),
+        "specificity": _ratio(tn, tn + fp),
+        "ppv": _ratio(tp, p),
+        "npv": _ratio(tn, tn + fn),
+        "youden_index": _ratio(tp, s) + _ratio(tn, tn + fp) - 1.0,
+        "diagnostic_odds_ratio": _ratio(tp * tn, fp * fn, float("inf")),
+    }
+    wide = classes.select(
+        *by,
+        F.col("class").cast("int").alias("class"),
+        (s > 0).alias("_true"),
+        (F.row_number().over(order) == 1).alias("_first"),
+        *[x.alias(f"_o_{m}") for m, x in overall.items()],
+        *[x.alias(f"_c_{m}") for m, x in per_class.items()],
+    )
+    none, no_rows = F.lit(None).cast("int"), F.array().cast("array<struct<metric:string,class:int,value:double>>")
+    row = lambda m, c, x: F.struct(F.lit(m).alias("metric"), c.alias("class"), F.col(x).alias("value"))
+    once = F.array(*[row(m, none, f"_o_{m}") for m in overall])
+    each = F.array(*[row(m, F.col("class"), f"_c_{m}") for m in per_class])
+    rows = F.concat(F.when(F.col("_first"), once).otherwise(no_rows), F.when(F.col("_true"), each).otherwise(no_rows))
+    return wide.select(*by, F.inline(rows)).select(*by, "metric", "class", "value")

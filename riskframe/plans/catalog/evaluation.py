@@ -117,6 +117,11 @@ def metric_auc_by_class(v):
     return rounded(evaluate.auc_by_class(v.scored), ["auc"], 8)
 
 
+@query("metric_auc_binned", f"{_AREAS} SELECT model, class, support, round(auc, 8) AS auc FROM areas")
+def metric_auc_binned(v):
+    return rounded(evaluate.binned_auc_by_class(v.scored), ["auc"], 8)
+
+
 @query(
     "metric_auc_averages",
     f"""{_AREAS} SELECT model, round(avg(auc), 8) AS auc_roc_macro, round(sum(auc * support) / sum(support), 8) AS auc_roc_weighted
