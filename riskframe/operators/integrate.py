@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from riskframe.functions.rules import as_column
 from riskframe.operators.clean import prefix_columns, require
-from riskframe.operators.prefix import running_totals
+from riskframe.operators.prefix import BUCKET_ROWS, adaptive_buckets, running_totals
 from riskframe.operators.profile import with_completeness
+from riskframe.operators.sizing import skewed_join
 
 
 def latest_rows(df: DataFrame, keys: Sequence[str], time: str, tie_break: Sequence[str] = ()) -> DataFrame:
@@ -41,8 +42,13 @@ def integrate_entities(
     return with_completeness(joined, completeness_name)
 
 
-def join_all(tables: Sequence[DataFrame], keys: Sequence[str], how: str = "inner") -> DataFrame:
-    """Chain of equi-joins on the same keys, which share one partitioning."""
+def join_all(tables: Sequence[DataFrame], keys: Sequence[str], how: str = "inner", heavy: bool = False) -> DataFrame:
+    """Chain of equi-joins on the same keys, which share one partitioning.
+
+    ``heavy`` says that the first table has many rows per key; its most frequent keys are then spread (inner and left joins).
+    """
+    if heavy:
+        return reduce(lambda left, right: skewed_join(left, right, list(keys), how), tables)
     return reduce(lambda left, right: left.join(right, list(keys), how), tables)
 
 
@@ -53,7 +59,8 @@ def join_features(tables: dict[str, DataFrame], key: str = "patient_id") -> Data
 
 
 def with_label(df: DataFrame, labels: DataFrame, key: str = "patient_id") -> DataFrame:
-    return df.join(labels, key, "left")
+    """Every row with the label of its entity, if there is one; entities with very many rows are spread."""
+    return skewed_join(df, labels, [key], "left")
 
 
 def keep_ids(df: DataFrame, ids: DataFrame, key: str = "patient_id") -> DataFrame:
@@ -106,12 +113,14 @@ def concat_texts(
     bucket: Column | None = None,
     label: str | None = None,
     max_chars: int | None = None,
+    bucket_rows: int = BUCKET_ROWS,
 ) -> DataFrame:
     """Concatenate the texts of an entity in order, separated by a blank.
 
     The result has one row per entity and ``part``. Only when the caller sets ``max_chars`` does an entity
     with longer texts continue in further parts; no text is lost.
-    ``bucket`` is monotone along ``order``; by default it is the day of the first order column.
+    ``bucket`` is monotone along ``order``; by default it is the day of the first order column. A bucket with more
+    than ``bucket_rows`` rows of an entity is cut further.
     """
     require(df, [key, text, *order])
     some = df.filter(F.col(text).isNotNull())
@@ -121,12 +130,11 @@ def concat_texts(
         results.append(F.min(label).alias(label))
     if max_chars is None:
         return some.groupBy(key).agg(*results).withColumn("part", F.lit(0))
+    narrow = some.select(key, *order, text, *[c for c in [label] if c])
+    day = date_bucket(order[0]) if bucket is None else bucket
+    placed = adaptive_buckets(narrow, [key], [*order, text], day, bucket_rows).withColumnRenamed("_bucket", "_place")
     sized = running_totals(
-        some,
-        [key],
-        [*order, text],
-        {"chars": F.length(text).cast("long") + 1},
-        date_bucket(order[0]) if bucket is None else bucket,
+        placed, [key], [*order, text], {"chars": F.length(text).cast("long") + 1}, "_place"
     ).withColumn("part", F.floor(F.col("chars_before") / F.lit(max_chars)).cast("int"))
     return sized.groupBy(key, "part").agg(*results)
 

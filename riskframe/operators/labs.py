@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from riskframe.functions.presets import LAB_CRITICAL, LAB_PANELS, LAB_RANGES, RANGE_DIMENSION
 from riskframe.functions.rules import clamp
 from riskframe.operators.clean import out_of_range, require
-from riskframe.operators.prefix import exact_quantiles
+from riskframe.operators.prefix import BUCKET_ROWS, adaptive_buckets, exact_quantiles
 from riskframe.operators.sizing import lookup_join
 from riskframe.session import materialize
 
@@ -139,17 +139,23 @@ def combined_risk(ml: str | Column, rule: str | Column, ml_weight: float = 0.6,
 
 
 def trend_slopes(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], values: Sequence[str], bucket: Column
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    values: Sequence[str],
+    bucket: Column,
+    bucket_rows: int = BUCKET_ROWS,
 ) -> DataFrame:
     """Least-squares slope of each value against the row's ordinal within its group; 0 when undefined.
 
     One row per group. ``bucket`` is monotone along ``order``: ordinals are counted inside a bucket and
     shifted by the size of the earlier buckets, and all sums are mergeable, so a group with very many
-    rows is spread over its buckets.
+    rows is spread over its buckets. A bucket with more than ``bucket_rows`` rows of a group is cut further.
     """
     require(df, [*keys, *order, *values])
     keys = list(keys)
-    staged = df.select(*keys, *order, *[F.col(v).cast("double").alias(v) for v in values], bucket.alias("_bucket"))
+    narrow = df.select(*keys, *order, *[F.col(v).cast("double").alias(v) for v in values])
+    staged = adaptive_buckets(narrow, keys, order, bucket, bucket_rows)
     local = Window.partitionBy(*keys, "_bucket").orderBy(*order)
     numbered = staged.withColumn("_r", F.row_number().over(local).cast("double"))
     sums = [F.count(F.lit(1)).cast("double").alias("_rows")]
@@ -187,7 +193,7 @@ def with_trends(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], values: Sequence[str], bucket: Column
 ) -> DataFrame:
     """Every row with the slopes of its group."""
-    return df.join(trend_slopes(df, keys, order, values, bucket), list(keys), "left")
+    return lookup_join(df, trend_slopes(df, keys, order, values, bucket), list(keys), "left")
 
 
 def long_deviations(df: DataFrame, value: str = "value", low: str = "low", high: str = "high") -> DataFrame:

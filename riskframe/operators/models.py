@@ -44,7 +44,7 @@ def assemble(
     return VectorAssembler(inputCols=columns, outputCol=output, handleInvalid="skip").transform(df)
 
 
-def _indexer(label: str, labels: Sequence[str] | None = None) -> StringIndexer | StringIndexerModel:
+def label_indexer(label: str, labels: Sequence[str] | None = None) -> StringIndexer | StringIndexerModel:
     """Alphabetical index of the labels of the rows, or the given one: then a class without rows keeps its place."""
     if labels is not None:
         return StringIndexerModel.from_labels(list(labels), label, "label_index", "skip")
@@ -61,7 +61,7 @@ def forest_pipeline(
     labels: Sequence[str] | None = None,
 ) -> Pipeline:
     """Label index (alphabetical), assembly, scaling to unit deviation, random forest."""
-    stages = [_indexer(label, labels), VectorAssembler(inputCols=columns, outputCol="raw_features", handleInvalid="skip")]
+    stages = [label_indexer(label, labels), VectorAssembler(inputCols=columns, outputCol="raw_features", handleInvalid="skip")]
     features = "raw_features"
     if scale:
         stages.append(StandardScaler(inputCol="raw_features", outputCol="scaled_features", withMean=False, withStd=True))
@@ -129,7 +129,7 @@ def feature_importances(spark: SparkSession, model: PipelineModel, columns: list
     return spark.createDataFrame([(c, float(x)) for c, x in zip(columns, values)], "feature string, importance double")
 
 
-def _word_stages(text: str) -> list:
+def word_stages(text: str) -> list:
     statement = (
         f"SELECT *, regexp_extract_all(lower(coalesce({text}, '')), '([\\\\p{{L}}\\\\p{{N}}_]{{2,}})', 1) AS _words FROM __THIS__"
     )
@@ -152,7 +152,7 @@ def fit_text_vectorizer(
     # A share of 1 means no upper limit; the vectorizer would read it as one document.
     limit = max_df if max_df < 1 else float(2**53)
     counter = CountVectorizer(inputCol="_grams", outputCol="_tf", vocabSize=max_features, minDF=min_df, maxDF=limit)
-    counted = Pipeline(stages=[*_word_stages(text), counter]).fit(df)
+    counted = Pipeline(stages=[*word_stages(text), counter]).fit(df)
     idf = IDF(inputCol="_tf", outputCol="_idf").fit(counted.transform(df))
     weights = Vectors.dense(np.asarray(idf.idf.toArray()) + 1.0)
     return PipelineModel(
@@ -176,7 +176,7 @@ def fit_text_classifier(
 ) -> PipelineModel:
     """Vectorizer and multinomial logistic regression with the penalty ``1 / (c n)``."""
     vectors = fit_text_vectorizer(df, text, "text_features", **vectorizer)
-    indexed = _indexer(label).fit(df) if labels is None else _indexer(label, labels)
+    indexed = label_indexer(label).fit(df) if labels is None else label_indexer(label, labels)
     prepared = indexed.transform(vectors.transform(df)).select("text_features", "label_index").persist()
     try:
         rows = prepared.count()

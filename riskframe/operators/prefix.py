@@ -14,8 +14,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskframe.functions.rules import as_column
+from riskframe.session import materialize
 
 STEPS_PER_OCTAVE = 1024
+#: Rows of a group that one bucket may hold before it is cut further.
+BUCKET_ROWS = 200_000
 BRACKET_ACCURACY = 10_000
 
 
@@ -31,6 +34,50 @@ def hash_bucket(hex_digest: str | Column) -> Column:
     return F.conv(F.substring(as_column(hex_digest), 1, 3), 16, 10).cast("int")
 
 
+def adaptive_buckets(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: Column, limit: int = BUCKET_ROWS
+) -> DataFrame:
+    """``df`` with ``_bucket``, ordered like the rows of a group, in which no bucket has many more than ``limit`` rows.
+
+    The first part of ``_bucket`` is the caller's ``bucket``, a monotone expression such as a day. Where a group has more than
+    ``limit`` rows in one of them, these rows alone are cut at splitters sampled from the order columns (range partitioning), and
+    their range is the second part. Rows that are equal in all order columns stay together.
+    """
+    from riskframe.operators.sizing import lookup_join
+
+    keys = list(keys)
+    staged = df.withColumn("_first", bucket)
+    sizes = staged.groupBy(*keys, "_first").agg(F.count(F.lit(1)).alias("_rows"))
+    full = materialize(sizes.filter(F.col("_rows") > limit))
+    whole = full.agg(F.sum("_rows")).first()[0]
+    if not whole:
+        return staged.withColumn("_bucket", F.struct(F.col("_first").alias("first"), F.lit(0).alias("part"))).drop("_first")
+    marked = lookup_join(staged, full, [*keys, "_first"], "left")
+    large = marked.filter(F.col("_rows").isNotNull())
+    parts = 2 * -(-whole // limit)
+    cut = materialize(large.repartitionByRange(parts, *keys, "_first", *order).withColumn("_part", F.spark_partition_id()))
+    rest = marked.filter(F.col("_rows").isNull()).withColumn("_part", F.lit(0))
+    both = F.struct(F.col("_first").alias("first"), F.col("_part").alias("part"))
+    return cut.unionByName(rest).withColumn("_bucket", both).select(*df.columns, "_bucket")
+
+
+def adjacent_pairs(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], last: str, first: str, bucket: Column, limit: int = BUCKET_ROWS
+) -> DataFrame:
+    """(keys, before, after) for every two rows of a group that follow each other: ``last`` of the one and ``first`` of the other.
+
+    Neighbours are found inside buckets; the pairs across buckets come from one row per bucket. ``first`` must not be null.
+    """
+    keys = list(keys)
+    staged = adaptive_buckets(df, keys, order, bucket, limit)
+    inner = Window.partitionBy(*keys, "_bucket").orderBy(*order)
+    inside = staged.select(*keys, F.col(last).alias("before"), F.lead(first).over(inner).alias("after"))
+    place = F.struct(*order)
+    ends = staged.groupBy(*keys, "_bucket").agg(F.min_by(first, place).alias("_f"), F.max_by(last, place).alias("before"))
+    across = ends.select(*keys, "before", F.lead("_f").over(Window.partitionBy(*keys).orderBy("_bucket")).alias("after"))
+    return inside.union(across).filter(F.col("after").isNotNull())
+
+
 def _same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[f"_k_{k}"]) for k in keys])
 
@@ -40,14 +87,14 @@ def running_totals(
     keys: Sequence[str],
     order: Sequence[str | Column],
     measures: dict[str, Column],
-    bucket: Column,
+    bucket: Column | str,
 ) -> DataFrame:
     """Add ``<name>_before`` (total of all earlier rows of the group) and ``<name>_total`` per measure.
 
     ``order`` must be a total order of the rows of a group and ``bucket`` must not decrease along it.
     """
     keys = list(keys)
-    staged = df.withColumns({"_bucket": bucket, **{f"_m_{n}": c for n, c in measures.items()}})
+    staged = df.withColumns({"_bucket": as_column(bucket), **{f"_m_{n}": c for n, c in measures.items()}})
     per_bucket = staged.groupBy(*keys, "_bucket").agg(*[F.sum(f"_m_{n}").alias(f"_s_{n}") for n in measures])
     group = Window.partitionBy(*keys)
     earlier_buckets = group.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)

@@ -1,14 +1,18 @@
-"""Joins against summary tables whose size is checked before they are broadcast."""
+"""Joins against summary tables whose size is checked before they are broadcast, and joins with very frequent keys."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
 from riskframe.session import materialize
 
 BROADCAST_BYTES = 16 << 20
-SALTS = 64
+#: Counters of the frequent-item sketch; its error is a few rows in as many thousand.
+TRACKED = 4096
 
 
 def saved_bytes(saved: DataFrame) -> int:
@@ -27,16 +31,55 @@ def lookup_join(
     """Join a large table with a per-key summary of it (one row per key).
 
     The summary is computed once and saved. When its rows take at most ``max_bytes`` it is broadcast, so
-    the large side is not shuffled. Otherwise both sides are joined on the key plus a salt, so that a
-    key which holds a large share of the rows is spread over ``SALTS`` tasks.
+    the large side is not shuffled. Otherwise it is a ``skewed_join``.
     """
     saved = materialize(summary)
     if saved_bytes(saved) <= max_bytes:
         return big.join(F.broadcast(saved), keys, how)
-    salted = saved.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    spread = F.pmod(F.xxhash64(*[F.col(c) for c, t in big.dtypes if not t.startswith("map")]), F.lit(SALTS))
-    return (
-        big.withColumn("_salt", spread.cast("int"))
-        .join(salted, [*keys, "_salt"], how)
-        .select(*big.columns, *[c for c in summary.columns if c not in keys])
-    )
+    return skewed_join(big, saved, keys, how)
+
+
+def _key_hash(keys: Sequence[str], types: dict[str, DataType]) -> Column:
+    return F.xxhash64(*[F.col(k).cast(types[k]) for k in keys])
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], tasks: int | None = None, tracked: int = TRACKED) -> list[tuple[int, int]]:
+    """Hashes of the keys that hold more rows than a task gets on average, with the number of tasks each one fills.
+
+    The counts come from a mergeable frequent-item sketch: one pass, ``tracked`` counters whatever the number of keys. At most ``tasks``
+    keys can be so frequent, so the list is short.
+    """
+    tasks = tasks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    types = {k: df.schema[k].dataType for k in keys}
+    hashed = df.select(_key_hash(keys, types).alias("_h"))
+    top = F.expr(f"approx_top_k(_h, {min(tasks, tracked)}, {tracked})")
+    found = hashed.agg(F.count(F.lit(1)).alias("n"), top.alias("top")).first()
+    mean = max(1, found["n"] // tasks)
+    return [(r["item"], -(-r["count"] // mean)) for r in found["top"] or [] if r["count"] > mean]
+
+
+def skewed_join(
+    big: DataFrame, other: DataFrame, keys: Sequence[str], how: str = "inner", tasks: int | None = None
+) -> DataFrame:
+    """Equi-join whose ``big`` side may have keys with very many rows: ``inner``, ``left``, ``left_semi`` or ``left_anti``.
+
+    Only the frequent keys are salted on the one side and copied on the other, each over as many tasks as its rows fill. All other keys,
+    and tables without frequent keys, are joined as usual. ``big`` is read twice.
+    """
+    if how not in ("inner", "left", "left_semi", "left_anti"):
+        raise ValueError(f"a skewed join cannot be {how}")
+    keys, spark = list(keys), big.sparkSession
+    hot = hot_keys(big, keys, tasks)
+    if not hot:
+        return big.join(other, keys, how)
+    table = F.broadcast(spark.createDataFrame(hot, "_h bigint, _copies int"))  # at most one row per task
+    types = {k: big.schema[k].dataType for k in keys}
+    spread = F.xxhash64(*[F.col(c) for c, t in big.dtypes if "map<" not in t])
+    salted = big.withColumn("_h", _key_hash(keys, types)).join(table, "_h", "left")
+    salted = salted.withColumn("_salt", F.coalesce(F.pmod(spread, F.col("_copies")), F.lit(0)).cast("int"))
+    copied = other.withColumn("_h", _key_hash(keys, types)).join(table, "_h", "left")
+    salts = F.sequence(F.lit(0), F.coalesce("_copies", F.lit(1)) - 1)
+    copied = copied.withColumn("_salt", F.explode(salts)).drop("_h", "_copies")
+    joined = salted.drop("_h", "_copies").join(copied, [*keys, "_salt"], how)
+    added = [] if how in ("left_semi", "left_anti") else [c for c in other.columns if c not in keys]
+    return joined.select(*big.columns, *added)

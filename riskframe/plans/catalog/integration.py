@@ -116,7 +116,7 @@ def join_entities_with_flags_and_labels(v):
     """,
 )
 def join_labs_with_labels(v):
-    joined = integrate.join_all([v.labs, v.truth], ["patient_id"])
+    joined = integrate.join_all([v.labs, v.truth], ["patient_id"], heavy=True)
     return joined.select("patient_id", "order_no", "line_no", "test_name", "value", "final_diagnosis")
 
 
@@ -128,7 +128,7 @@ def join_labs_with_labels(v):
     """,
 )
 def join_notes_with_labels(v):
-    joined = integrate.join_all([clean.drop_missing(v.notes, ["note_text"]), v.truth], ["patient_id"])
+    joined = integrate.join_all([clean.drop_missing(v.notes, ["note_text"]), v.truth], ["patient_id"], heavy=True)
     return joined.select("patient_id", "note_id", "note_type", "final_diagnosis")
 
 
@@ -173,26 +173,36 @@ def ids_dropped(v):
     return integrate.drop_ids(v.truth, v.images)
 
 
+#: Characters of an entity's texts that one row may hold; longer texts continue in the next part.
+PART_CHARS = 1_000_000
+
+
+def _parts_sql(source: str, key: str, text: str, order: str, label: str = "") -> str:
+    """The texts of an entity in order, cut into parts after about ``PART_CHARS`` characters."""
+    before = f"sum(length({text}) + 1) OVER (PARTITION BY {key} ORDER BY {order}, {text} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    chosen = f", min({label}) AS {label}" if label else ""
+    return f"""
+    WITH sized AS (SELECT *, CAST(floor(coalesce({before}, 0) / {PART_CHARS}) AS INT) AS part FROM ({source}) WHERE {text} IS NOT NULL)
+    SELECT {key}, part, string_agg({text}, ' ' ORDER BY {order}, {text}) AS {text}{chosen} FROM sized GROUP BY {key}, part
+    """
+
+
 @query(
     "notes_concatenated",
-    """
-    SELECT n.patient_id, 0 AS part, string_agg(note_text, ' ' ORDER BY note_date, note_id) AS note_text,
-      min(final_diagnosis) AS final_diagnosis
-    FROM notes n JOIN truth t ON n.patient_id = t.patient_id WHERE note_text IS NOT NULL GROUP BY n.patient_id
-    """,
-)
+    _parts_sql(
+        "SELECT n.*, final_diagnosis FROM notes n JOIN truth t ON n.patient_id = t.patient_id",
+        "patient_id", "note_text", "note_date, note_id", "final_diagnosis",
+    ),
+)
 def notes_concatenated(v):
-    joined = integrate.join_all([v.notes, v.truth], ["patient_id"])
-    return integrate.concat_texts(joined, order=("note_date", "note_id"), label="final_diagnosis")
+    joined = integrate.join_all([v.notes, v.truth], ["patient_id"], heavy=True)
+    return integrate.concat_texts(joined, order=("note_date", "note_id"), label="final_diagnosis", max_chars=PART_CHARS)
 
 
-@query(
-    "conversation_texts",
-    "SELECT conv_id, 0 AS part, string_agg(text, ' ' ORDER BY turn, role) AS text FROM conversations GROUP BY conv_id",
-)
+@query("conversation_texts", _parts_sql("SELECT conv_id, text, turn, role FROM conversations", "conv_id", "text", "turn, role"))
 def conversation_texts(v):
     return integrate.concat_texts(
-        v.conversations, "conv_id", "text", ("turn", "role"), bucket=F.floor(F.col("turn") / 100).cast("int")
+        v.conversations, "conv_id", "text", ("turn", "role"), bucket=F.floor(F.col("turn") / 100).cast("int"), max_chars=PART_CHARS
     )
 
 

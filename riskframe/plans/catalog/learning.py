@@ -6,7 +6,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from riskframe.functions.presets import MODALITY_WEIGHTS, SYMPTOMS
-from riskframe.operators import anomaly, clean, integrate, models, profile, scorecard, split, stacking
+from riskframe.operators import anomaly, clean, entity_text, integrate, models, profile, scorecard, split, stacking
 from riskframe.plans.catalog.fusing import FACTORED, MODALITY_NAMES, SCORING_ACTIONS_SQL, VECTORS, collected, vectors
 from riskframe.plans.catalog.laboratory import latest_wide
 from riskframe.plans.catalog.registry import joined, query, rounded
@@ -251,6 +251,24 @@ def batch_scoring_records(v):
     return records.withColumns({name: joined(values) for name, values in lists.items()})
 
 
+@query(
+    "model_entity_text_predictions",
+    _held_out_sql(
+        "SELECT DISTINCT n.patient_id, final_diagnosis FROM notes n JOIN truth t ON n.patient_id = t.patient_id WHERE note_text IS NOT NULL",
+        "patient_id",
+        "final_diagnosis",
+    ),
+)
+def model_entity_text_predictions(v):
+    joined = integrate.join_all([clean.drop_missing(v.notes, ["note_text"]), v.truth], ["patient_id"], heavy=True)
+    terms = materialize(entity_text.entity_terms(joined, order=("note_date", "note_id")))
+    entities = materialize(joined.select("patient_id", "final_diagnosis").distinct())
+    rows = split.stratified_split(entities, "final_diagnosis")
+    train, test = rows.filter("is_train"), rows.filter("NOT is_train")
+    model = entity_text.fit_entity_text_classifier(train, integrate.keep_ids(terms, train), "final_diagnosis")
+    return _judged(model.predict(test, integrate.keep_ids(terms, test)))
+
+
 _SHARES = ("accuracy", "precision_macro", "recall_macro", "f1_macro")
 
 

@@ -7,8 +7,9 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from riskframe.functions.lexicons import ENTITY_LEXICONS, NOTE_ABBREVIATIONS, STOP_WORDS
-from riskframe.operators import text
+from riskframe.operators import entity_text, text
 from riskframe.plans.catalog.registry import joined, query, rounded
+from riskframe.session import materialize
 
 _CLEANED = r"trim(regexp_replace(regexp_replace(lower(note_text), '[^a-z0-9\s]', '', 'g'), '\s+', ' ', 'g'))"
 _LEXICON = {**NOTE_ABBREVIATIONS, "is": "exists as", "le": "masculine article", "der": "article", "and": "plus"}
@@ -262,3 +263,44 @@ def text_batch_classification(v):
 
     scored = text.classify(v.notes.select("note_id", "note_text"), "note_text", letter_model, 5)
     return scored.select("note_id", "predicted_class", F.round(F.array_max("probability"), 5).alias("confidence"))
+
+
+_ENTITY_TERMS = r"""
+WITH joined_notes AS (
+  SELECT patient_id, string_agg(note_text, ' ' ORDER BY note_date, note_id, note_text) AS body FROM notes WHERE note_text IS NOT NULL GROUP BY patient_id),
+words AS (SELECT patient_id, regexp_extract_all(lower(body), '[\p{L}\p{N}_]{2,}') AS w FROM joined_notes),
+terms AS (
+  SELECT patient_id, term, count(*) AS tf FROM (
+    SELECT patient_id, unnest(w) AS term FROM words
+    UNION ALL SELECT patient_id, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) FROM words)
+  GROUP BY patient_id, term)
+"""
+
+
+def _entity_terms(v):
+    return entity_text.entity_terms(v.notes, order=("note_date", "note_id"))
+
+
+@query("text_entity_terms", f"{_ENTITY_TERMS} SELECT patient_id, term, tf FROM terms")
+def text_entity_terms(v):
+    return _entity_terms(v)
+
+
+@query(
+    "text_entity_weights",
+    f"""{_ENTITY_TERMS},
+    n AS (SELECT count(*) AS n FROM joined_notes),
+    kept AS (
+      SELECT term, ln((n + 1) / (count(*) + 1)) + 1 AS idf FROM terms, n GROUP BY term, n
+      HAVING count(*) >= 2 AND count(*) <= 0.95 * n ORDER BY sum(tf) DESC, term LIMIT 5000),
+    weighted AS (SELECT patient_id, term, tf * idf AS w FROM terms JOIN kept USING (term))
+    SELECT patient_id, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY patient_id)), 7) AS weight FROM weighted
+    """,
+)
+def text_entity_weights(v):
+    terms = materialize(_entity_terms(v))
+    entities = v.notes.filter(F.col("note_text").isNotNull()).agg(F.count_distinct("patient_id")).first()[0]
+    words = entity_text.fit_vocabulary(terms, entities)
+    pairs = entity_text.entity_weights(terms, words).select("patient_id", F.inline("pairs"))
+    named = pairs.join(F.broadcast(words.table(v.spark)), "at")
+    return rounded(named.select("patient_id", "term", "weight"), ["weight"], 7)

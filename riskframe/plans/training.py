@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskframe.functions.presets import SYMPTOMS
-from riskframe.operators import clean, evaluate, fusion, integrate, models, profile, scorecard, split
+from riskframe.operators import clean, entity_text, evaluate, fusion, integrate, models, profile, scorecard, split
 from riskframe.operators.stacking import StackedModel, fit_stack
 from riskframe.plans.scoring import ScoringPlan
 from riskframe.session import materialize
@@ -130,13 +130,16 @@ def train(
             model = pipeline.fit(fit_on)
         return model, rows
 
-    def nlp() -> tuple[PipelineModel, DataFrame]:
-        joined = clean.drop_missing(integrate.join_all([notes, labelled.select(key, label)], [key]), ["note_text"])
-        rows = materialize(integrate.concat_texts(joined, key, "note_text", s.note_order, label=label))
-        model = models.fit_text_classifier(
-            integrate.keep_ids(rows, train_ids, key), label, "note_text", max_features=s.text_features, labels=names
-        )
-        return model, rows
+    def nlp() -> tuple[PipelineModel, DataFrame, PipelineModel]:
+        joined = integrate.join_all([notes, labelled.select(key, label)], [key], heavy=True)
+        spoken = clean.drop_missing(joined, ["note_text"])
+        terms = materialize(entity_text.entity_terms(spoken, key, "note_text", s.note_order))
+        entities = materialize(spoken.select(key, label).distinct())
+        model = entity_text.fit_entity_text_classifier(
+            integrate.keep_ids(entities, train_ids, key), integrate.keep_ids(terms, train_ids, key),
+            label, key, max_features=s.text_features, labels=names,
+        )
+        return model.for_texts("note_text"), model.vectors(entities, terms, key), model.classifier
 
     def lab() -> tuple[PipelineModel, DataFrame]:
         tests = list(s.lab_tests) or sorted(r[0] for r in labs.select("test_name").distinct().collect())
@@ -159,9 +162,9 @@ def train(
     held_out: dict[str, DataFrame] = {}
     for name, step in steps.items():
         try:
-            model, rows = step()
-            scored = models.prediction_frame(model, integrate.keep_ids(rows, test_ids, key), (key,))
-            # An entity whose text continues in several parts, or with several images, gets the mean vector.
+            model, rows, *on_rows = step()  # the last is given where the saved model takes other rows than these
+            scored = models.prediction_frame((on_rows or [model])[0], integrate.keep_ids(rows, test_ids, key), (key,))
+            # An entity with several images gets the mean vector.
             mean = F.array(*[F.avg(F.col("prob")[i]) for i in range(len(names))]).alias("prob")
             held_out[name] = materialize(scored.groupBy(key).agg(F.max("y_true").alias("y_true"), mean))
             run.models[name] = model
