@@ -12,7 +12,7 @@ from pyspark.ml.functions import array_to_vector, predict_batch_udf, vector_to_a
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, FloatType
+from pyspark.sql.types import ArrayType, DoubleType, FloatType
 
 from riskframe.functions.lexicons import (
     BENIGN_WORDS,
@@ -175,16 +175,19 @@ def hashed_tfidf_rows(
 
 
 def _hashed_vectors(text: str, dim: int) -> Column:
-    """Unit vectors of hashed word counts: buckets come from built-in functions, a batch is counted at once."""
+    """Unit vectors of hashed word counts: buckets come from built-in functions, a batch is counted at once.
+
+    The squares are whole numbers and the division is in double precision, so every batch size gives the same bits.
+    """
     words = F.regexp_extract_all(F.lower(F.coalesce(F.col(text), F.lit(""))), F.lit(r"([\p{L}\p{N}_]+)"), 1)
 
-    @F.pandas_udf(ArrayType(FloatType()))
+    @F.pandas_udf(ArrayType(DoubleType()))
     def count(parts: pd.Series) -> pd.Series:
         lists = parts.to_list()
         rows = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
         flat = np.concatenate(lists).astype(np.int64) if len(rows) else np.zeros(0, np.int64)
-        out = np.bincount(rows * dim + flat, minlength=len(lists) * dim).reshape(len(lists), dim).astype(np.float32)
-        norm = np.linalg.norm(out, axis=1, keepdims=True)
+        out = np.bincount(rows * dim + flat, minlength=len(lists) * dim).reshape(len(lists), dim)
+        norm = np.sqrt((out * out).sum(axis=1, keepdims=True).astype(np.float64))
         return pd.Series(list(out / np.where(norm == 0, 1, norm)))
 
     return count(F.transform(words, lambda w: md5_bucket(w, dim)))
@@ -197,16 +200,19 @@ def embed(
     dim: int = 768,
     batch_size: int = 16,
     output: str = "embedding",
+    input_dim: int | None = None,
 ) -> DataFrame:
     """Batched model inference on the executors; the model is built once per Python worker.
 
     ``make_model()`` returns a function from an array of inputs to an array of shape ``(n, dim)``. Without one
-    the vectors are hashed word counts of unit length, which need no download.
+    the vectors are hashed word counts of unit length (doubles), which need no download. With ``input_dim`` the column
+    holds vectors of that size instead of texts.
     """
     if make_model is None:
         return df.withColumn(output, _hashed_vectors(column, dim))
-    run = predict_batch_udf(make_model, return_type=ArrayType(FloatType()), batch_size=batch_size)
-    return df.withColumn(output, run(F.coalesce(F.col(column), F.lit(""))))
+    kind, shapes = ArrayType(FloatType()), [[input_dim]] if input_dim else None
+    run = predict_batch_udf(make_model, return_type=kind, batch_size=batch_size, input_tensor_shapes=shapes)
+    return df.withColumn(output, run(F.col(column) if input_dim else F.coalesce(F.col(column), F.lit(""))))
 
 
 def byte_histogram_model(dim: int = 64) -> Callable:
@@ -266,13 +272,38 @@ def classify(
     make_model: Callable,
     n_classes: int,
     batch_size: int = 16,
+    input_dim: int | None = None,
 ) -> DataFrame:
     """Batched classifier inference: the model returns logits, the result has probabilities and the class."""
     from riskframe.operators.fusion import argmax, softmax
 
-    scored = embed(df, column, make_model, n_classes, batch_size, "_logits")
+    scored = embed(df, column, make_model, n_classes, batch_size, "_logits", input_dim)
     return (
         scored.withColumn("probability", softmax("_logits"))
         .withColumn("predicted_class", argmax("probability"))
         .drop("_logits")
     )
+
+
+def fit_term_classes(
+    df: DataFrame, label: str, text: str = "note_text", dim: int = 768, sharpness: float = 1.0
+) -> tuple[list, Callable]:
+    """The sorted classes and a model for ``classify``: naive Bayes on hashed words, for unit vectors of ``embed``.
+
+    A class's weight of a bucket is the logarithm of its smoothed share of the class's words. What reaches the driver is one
+    count per class and bucket. Logits are the weighted sums of a unit vector times ``sharpness``, so long texts are not surer.
+    """
+    words = F.regexp_extract_all(F.lower(F.col(text)), F.lit(r"([\p{L}\p{N}_]+)"), 1)
+    rows = df.filter(F.col(label).isNotNull()).select(label, F.explode(words).alias("w"))
+    counted = rows.select(label, md5_bucket(F.col("w"), dim).alias("bucket")).groupBy(label, "bucket").agg(F.count(F.lit(1)).alias("n"))
+    found = counted.collect()
+    classes = sorted({r[label] for r in found})
+    counts = np.zeros((len(classes), dim))
+    for r in found:
+        counts[classes.index(r[label]), r["bucket"]] = r["n"]
+    weights = (np.log((counts + 1) / (counts.sum(axis=1, keepdims=True) + dim)) * sharpness).T
+
+    def make() -> Callable:
+        return lambda vectors: (np.asarray(vectors, dtype=np.float64) @ weights).astype(np.float32)
+
+    return classes, make

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import numpy as np
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from riskframe.functions.lexicons import ENTITY_LEXICONS, NOTE_ABBREVIATIONS, STOP_WORDS
-from riskframe.operators import entity_text, text
+from riskframe.functions.textual import ngrams
+from riskframe.operators import entity_text, phrases, text
 from riskframe.plans.catalog.registry import joined, query, rounded
 from riskframe.session import materialize
 
@@ -172,10 +172,11 @@ _BUCKET = "('0x' || substr(md5({}), 1, 8))::BIGINT % {}"
 @query(
     "text_hashed_tfidf",
     f"""
-    WITH terms AS (SELECT note_id, unnest(string_split_regex(lower(note_text), '\\s+')) AS t FROM notes),
-    counts AS (
-      SELECT note_id, {_BUCKET.format("t", 5000)} AS bucket, count(*) AS tf FROM terms
-      WHERE t <> '' AND t NOT IN ({_STOPS}) GROUP BY ALL),
+    WITH terms AS (
+      SELECT note_id, t, count(*) AS n FROM (SELECT note_id, unnest(regexp_extract_all(lower(note_text), '[^\\s]+')) AS t FROM notes) GROUP BY ALL),
+    words AS MATERIALIZED (
+      SELECT t, {_BUCKET.format("t", 5000)} AS bucket FROM (SELECT DISTINCT t FROM terms) WHERE t NOT IN ({_STOPS})),
+    counts AS (SELECT note_id, bucket, CAST(sum(n) AS BIGINT) AS tf FROM terms JOIN words ON terms.t = words.t GROUP BY ALL),
     size AS (SELECT count(DISTINCT note_id) AS n FROM notes),
     idf AS (SELECT bucket, ln((max(n) + 1) / (count(*) + 1)) AS idf FROM counts, size GROUP BY bucket)
     SELECT note_id, CAST(c.bucket AS INT) AS bucket, tf, round(tf * idf, 8) AS weight FROM counts c JOIN idf ON c.bucket = idf.bucket
@@ -241,28 +242,71 @@ def file_embedding(v):
     return embedded.select("page_id", "ok", F.round(F.array_max("embedding").cast("double"), 5).alias("peak"))
 
 
-_VOWELS = {c: f"(length(note_text) - length(replace(lower(note_text), '{c}', '')))" for c in "aeiou"}
+_HASHED = f"""
+WITH words AS (SELECT note_id, note_type, unnest(regexp_extract_all(lower(note_text), '[\\p{{L}}\\p{{N}}_]+')) AS w FROM notes),
+places AS MATERIALIZED (SELECT w, {_BUCKET.format("w", 768)} AS bucket FROM (SELECT DISTINCT w FROM words)),
+counts AS (SELECT note_id, note_type, bucket, count(*) AS n FROM words JOIN places ON words.w = places.w GROUP BY ALL)
+"""
 
 
 @query(
     "text_batch_classification",
-    f"""
-    WITH counts AS (SELECT note_id, {", ".join(f"coalesce({x}, 0) AS n{i}" for i, x in enumerate(_VOWELS.values()))} FROM notes)
-    SELECT note_id, CASE {" ".join(f"WHEN n{i} = greatest(n0, n1, n2, n3, n4) THEN {i}" for i in range(5))} END AS predicted_class,
-      round(exp(greatest(n0, n1, n2, n3, n4) / 50.0::DOUBLE) / ({" + ".join(f"exp(n{i} / 50.0::DOUBLE)" for i in range(5))}), 5) AS confidence
-    FROM counts
+    f"""{_HASHED},
+    classes AS (SELECT note_type AS class, row_number() OVER (ORDER BY note_type) - 1 AS c FROM counts WHERE note_type IS NOT NULL GROUP BY note_type),
+    seen AS (SELECT note_type AS class, bucket, sum(n) AS n FROM counts WHERE note_type IS NOT NULL GROUP BY ALL),
+    sizes AS (SELECT class, sum(n) AS total FROM seen GROUP BY class),
+    weights AS (
+      SELECT c, b AS bucket, ln((coalesce(n, 0) + 1) / (total + 768)) AS w
+      FROM classes JOIN sizes USING (class) CROSS JOIN (SELECT unnest(range(0, 768)) AS b)
+      LEFT JOIN seen ON seen.class = classes.class AND seen.bucket = b),
+    norms AS (SELECT note_id, sqrt(sum(n * n)) AS norm FROM counts GROUP BY note_id),
+    logits AS (
+      SELECT n.note_id, k.c, coalesce(sum(x.n * w.w) / max(norm), 0) AS z FROM notes n CROSS JOIN classes k
+      LEFT JOIN counts x ON x.note_id = n.note_id LEFT JOIN weights w ON w.c = k.c AND w.bucket = x.bucket LEFT JOIN norms m ON m.note_id = n.note_id
+      GROUP BY n.note_id, k.c)
+    SELECT note_id, CAST(arg_min(c, (-z, c)) AS INT) AS predicted_class,
+      round(1 / sum(exp(z - top)), 3) AS confidence
+    FROM (SELECT *, max(z) OVER (PARTITION BY note_id) AS top FROM logits) GROUP BY note_id
     """,
 )
 def text_batch_classification(v):
-    def letter_model():
-        def predict(texts):
-            lower = np.char.lower(np.asarray(texts, dtype=str))
-            return np.stack([np.char.count(lower, c) / 50.0 for c in "aeiou"], axis=1).astype(np.float32)
+    notes = v.notes.select("note_id", "note_type", "note_text")
+    classes, model = text.fit_term_classes(notes, "note_type")
+    embedded = text.embed(notes.select("note_id", "note_text"), output="_vector")
+    scored = text.classify(embedded, "_vector", model, len(classes), batch_size=64, input_dim=768)
+    return scored.select("note_id", "predicted_class", F.round(F.array_max("probability"), 3).alias("confidence"))
+
+
+_LISTS = {**_WORDS, "drug_count": _DRUG_WORDS}
+
 
-        return predict
+@query("text_phrase_counts", "SELECT note_id, " + ", ".join(f"{_whole_words(w)} AS {n}" for n, w in _LISTS.items()) + " FROM notes")
+def text_phrase_counts(v):
+    rows = [(w, n) for n, some in _LISTS.items() for w in some]
+    lexicon = v.spark.createDataFrame(rows, "phrase string, lexicon string")
+    return phrases.with_phrase_counts(v.notes, lexicon, list(_LISTS)).select("note_id", *_LISTS)
 
-    scored = text.classify(v.notes.select("note_id", "note_text"), "note_text", letter_model, 5)
-    return scored.select("note_id", "predicted_class", F.round(F.array_max("probability"), 5).alias("confidence"))
+
+# All pairs of neighbouring words of the benchmark are the lexicon, so it grows with the tables.
+@query(
+    "text_phrase_hits",
+    r"""
+    WITH parts AS (SELECT string_split(lower(text), ' ') AS w FROM benchmark),
+    pairs AS (SELECT unnest(list_transform(range(1, len(w)), lambda i: {'a': w[i], 'b': w[i + 1]})) AS p FROM parts),
+    lexicon AS (
+      SELECT DISTINCT p.a || ' ' || p.b AS phrase FROM pairs
+      WHERE regexp_full_match(p.a, '[\p{L}\p{N}_]+') AND regexp_full_match(p.b, '[\p{L}\p{N}_]+')),
+    pieces AS (SELECT note_id, regexp_extract_all(lower(note_text), '[\p{L}\p{N}_]+|[^\p{L}\p{N}_]+') AS p FROM notes),
+    runs AS (SELECT note_id, unnest(list_transform(range(1, len(p) - 1), lambda i: CASE WHEN p[i + 1] = ' ' THEN p[i] || ' ' || p[i + 2] END)) AS phrase FROM pieces)
+    SELECT note_id, runs.phrase, count(*) AS n FROM runs JOIN lexicon ON runs.phrase = lexicon.phrase GROUP BY ALL
+    """,
+)
+def text_phrase_hits(v):
+    words = F.split(F.lower("text"), " ")
+    whole = F.col("phrase").rlike(r"^[\p{L}\p{N}_]+ [\p{L}\p{N}_]+$")
+    pairs = v.benchmark.select(F.explode(ngrams(words, 2)).alias("phrase"), F.lit("benchmark").alias("lexicon")).filter(whole)
+    hits = phrases.phrase_hits(v.notes, pairs)
+    return hits.groupBy("note_id", "phrase").agg(F.count(F.lit(1)).alias("n"))
 
 
 _ENTITY_TERMS = r"""
