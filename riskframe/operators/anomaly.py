@@ -68,12 +68,15 @@ class IsolationForest:
     def detect(self, df: DataFrame) -> DataFrame:
         """Add ``anomaly_score`` (0-1 over the table, 1 is the most anomalous) and ``is_anomaly``.
 
-        Lazy: the limits of the score come from a second pass that reads only the model's columns.
+        The rows are scored once and saved; the limits of the score come from the saved scores.
         """
         if self.threshold is None:
             raise RuntimeError("the forest has no threshold; fit it first")
-        scored = self.raw_scores(df, "_raw").withColumn("_low_is_odd", -F.col("_raw"))
-        flagged = scored.withColumn("is_anomaly", (F.col("_raw") > F.lit(self.threshold)).cast("int"))
+        return self._judged(materialize(self.raw_scores(df, "_raw")))
+
+    def _judged(self, scored: DataFrame) -> DataFrame:
+        flagged = scored.withColumn("_low_is_odd", -F.col("_raw"))
+        flagged = flagged.withColumn("is_anomaly", (F.col("_raw") > F.lit(self.threshold)).cast("int"))
         return min_max_inverted(flagged, "_low_is_odd").drop("_raw", "_low_is_odd")
 
     def save(self, spark: SparkSession, path: str) -> None:
@@ -116,16 +119,34 @@ def _as_arrays(nodes: pd.DataFrame) -> tuple:
     )
 
 
-def fit_forest(
-    df: DataFrame,
-    columns: list[str],
-    key: str = "patient_id",
-    trees: int = 200,
-    contamination: float = 0.1,
-    sample_size: int = 256,
-    seed: int = 42,
+def fit_forest(df: DataFrame, columns: list[str], key: str = "patient_id", contamination: float = 0.1, **growing) -> IsolationForest:
+    """Grow a forest (see ``grow_forest``) and set the threshold, which a share ``contamination`` of the rows exceeds."""
+    forest = grow_forest(df, columns, key, **growing)
+    forest.threshold = _threshold(forest.raw_scores(df.select(*columns), "_raw").select("_raw"), contamination)
+    return forest
+
+
+def fit_and_detect(
+    df: DataFrame, columns: list[str], key: str = "patient_id", contamination: float = 0.1, **growing
+) -> tuple[IsolationForest, DataFrame]:
+    """``fit_forest`` and ``detect`` on the same rows, which are scored once: threshold, limits and result come from the saved scores."""
+    forest = grow_forest(df, columns, key, **growing)
+    scored = materialize(forest.raw_scores(df, "_raw"))
+    forest.threshold = _threshold(scored.select("_raw"), contamination, saved=True)
+    return forest, forest._judged(scored)
+
+
+def _threshold(scores: DataFrame, contamination: float, saved: bool = False) -> float:
+    rows = scores.select(F.lit(0).alias("all"), "_raw")
+    rows = rows if saved else materialize(rows)
+    cut = exact_quantiles(rows, ["all"], "_raw", {"cut": 1.0 - contamination}, bounded_groups=True)
+    return float(cut.first()["cut"])
+
+
+def grow_forest(
+    df: DataFrame, columns: list[str], key: str = "patient_id", trees: int = 200, sample_size: int = 256, seed: int = 42
 ) -> IsolationForest:
-    """Standardise, draw ``sample_size`` rows per tree by hash, grow the trees in parallel and set the threshold.
+    """Standardise, draw ``sample_size`` rows per tree by hash and grow the trees in parallel.
 
     Every row computes for which trees a hash of tree and key lies below a limit that about twice the sample
     reaches; only these (tree, row) pairs are made, and the smallest hashes of a tree are its sample. The draw is
@@ -187,8 +208,4 @@ def fit_forest(
 
     # At most trees x (2 x sample_size) nodes: a fixed size, whatever the table.
     nodes = sample.groupBy("tree").applyInPandas(grow, _NODE).toPandas()
-    forest = IsolationForest(list(columns), means, scales, nodes, min(sample_size, n))
-    scored = materialize(forest.raw_scores(df.select(*columns), "_raw").select(F.lit(0).alias("all"), "_raw"))
-    cut = exact_quantiles(scored, ["all"], "_raw", {"cut": 1.0 - contamination}, bounded_groups=True)
-    forest.threshold = float(cut.first()["cut"])
-    return forest
+    return IsolationForest(list(columns), means, scales, nodes, min(sample_size, n))

@@ -546,3 +546,17 @@ def _melted(classes: DataFrame, by: list[str], with_scores: bool) -> DataFrame:
     each = F.array(*[row(m, F.col("class"), f"_c_{m}") for m in per_class])
     rows = F.concat(F.when(F.col("_first"), once).otherwise(no_rows), F.when(F.col("_true"), each).otherwise(no_rows))
     return wide.select(*by, F.inline(rows)).select(*by, "metric", "class", "value")
+
+
+def save_report(df: DataFrame, folder: str, by: By = ("model",), prob: str | None = "prob") -> None:
+    """Evaluate any table of predictions and write the report: metrics (JSON), comparison (CSV), confusion table, report per class
+    and calibration (Parquet)."""
+    from riskframe.sources import writers
+
+    by = list(by)
+    writers.write_metrics(all_metrics(df, by, prob), f"{folder}/metrics")
+    writers.write_comparison(compare_models(df, by, prob), f"{folder}/comparison")
+    writers.write_parquet(confusion_shares(df, by), f"{folder}/confusion")
+    writers.write_parquet(classification_report(df, by), f"{folder}/classes")
+    if prob is not None:
+        writers.write_parquet(calibration(df, by, prob), f"{folder}/calibration")

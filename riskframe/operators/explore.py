@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from functools import partial
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskframe.functions.presets import RISK_LEVELS
-from riskframe.operators.prefix import exact_quantiles, group_quantiles
+from riskframe.operators.prefix import exact_quantiles, group_quantiles, running_totals, value_bucket
 from riskframe.operators.sizing import lookup_join
+from riskframe.session import materialize
 
+#: Distinct values whose neighbours are found in one task.
+NEIGHBOUR_BLOCK = 4096
 
 
 def _melt(df: DataFrame, keys: Sequence[str], columns: Sequence[str], name: str = "feature") -> DataFrame:
@@ -100,22 +106,69 @@ def distinct_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def correlations(df: DataFrame, columns: Sequence[str], per_row: int = 100) -> DataFrame:
     """Pearson correlation of every pair (pairwise complete rows), always in one scan.
 
-    Up to ``per_row`` pairs are columns of one aggregation. More become rows (pair, values) that are
-    aggregated by pair before the shuffle.
+    Up to ``per_row`` pairs are columns of one aggregation. More are matrices of co-moments, added up per task and merged
+    row by row, so that what is shuffled does not depend on the number of rows.
     """
     pairs = list(combinations(columns, 2))
     value = {c: F.col(c).cast("double") for c in columns}
     if len(pairs) <= per_row:
         rows = [F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"), F.corr(value[a], value[b]).alias("r")) for a, b in pairs]
         return df.agg(F.array(*rows).alias("x")).select(F.inline("x"))
-    packed = df.select(F.array(*[value[c] for c in columns]).alias("_v"))
-    index = F.sequence(F.lit(0), F.lit(len(columns) - 1))
-    names = F.array(*[F.lit(c) for c in columns])
-    left = packed.select("_v", F.posexplode("_v").alias("_i", "_x"))
-    later = F.filter(index, lambda j: j > F.col("_i"))
-    both = left.select("_i", "_x", F.explode(F.transform(later, lambda j: F.struct(j.alias("j"), F.get(F.col("_v"), j).alias("y")))).alias("_o"))
-    found = both.groupBy("_i", F.col("_o.j").alias("_j")).agg(F.corr("_x", "_o.y").alias("r"))
-    return found.select(F.get(names, F.col("_i")).alias("feature_a"), F.get(names, F.col("_j")).alias("feature_b"), "r")
+    packed = df.select(F.array(*[value[c] for c in columns]).alias("v"))
+    size, names = len(columns), F.array(*[F.lit(c) for c in columns])
+    parts = packed.mapInArrow(partial(_co_moments, size), "i int, n array<double>, m array<double>, mt array<double>, c array<double>, s array<double>")
+    schema = "i int, j array<int>, n array<double>, c array<double>, s array<double>"
+    merged = parts.groupBy("i").applyInArrow(_merged_co_moments, schema)  # one row per column and task
+    entries = merged.select("i", F.inline(F.arrays_zip("j", "n", "c", "s")))
+    other = F.min(F.when(F.col("i") > F.col("j"), F.col("s")))
+    low, high = F.least("i", "j").alias("a"), F.greatest("i", "j").alias("b")
+    both = entries.filter(F.col("i") != F.col("j")).groupBy(low, high).agg(
+        F.max("n").alias("n"), F.max("c").alias("c"), F.min(F.when(F.col("i") < F.col("j"), F.col("s"))).alias("sa"), other.alias("sb")
+    )
+    r = F.when(F.col("n") >= 2, F.when((F.col("sa") > 0) & (F.col("sb") > 0), F.col("c") / F.sqrt(F.col("sa") * F.col("sb"))).otherwise(F.lit(float("nan"))))
+    return both.select(F.get(names, F.col("a")).alias("feature_a"), F.get(names, F.col("b")).alias("feature_b"), r.alias("r"))
+
+
+def _combine(one: tuple, two: tuple) -> tuple:
+    """Merge counts, means, co-moments and square sums of pairs of columns (matrices or rows of them) of two sets of rows.
+
+    Each is over the rows where both columns are present; ``m`` and ``s`` are of the first column, ``mt`` the mean of the other.
+    """
+    (na, ma, mta, ca, sa), (nb, mb, mtb, cb, sb) = one, two
+    n = na + nb
+    safe = np.where(n > 0, n, 1)
+    d, dt, weight = mb - ma, mtb - mta, na * nb / safe
+    return n, ma + d * nb / safe, mta + dt * nb / safe, ca + cb + d * dt * weight, sa + sb + d * d * weight
+
+
+def _co_moments(size: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total = tuple(np.zeros((size, size)) for _ in range(5))
+    for batch in batches:
+        flat = batch.column(0).flatten()
+        if not len(flat):
+            continue
+        here = (~flat.is_null().to_numpy(zero_copy_only=False)).reshape(-1, size).astype(float)
+        x = np.where(here > 0, flat.to_numpy(zero_copy_only=False).reshape(-1, size), 0.0)
+        centre = x.sum(axis=0) / np.maximum(here.sum(axis=0), 1)
+        x = (x - centre) * here
+        n = here.T @ here
+        sums, squares = x.T @ here, (x * x).T @ here
+        safe = np.where(n > 0, n, 1)
+        spread = squares - sums * sums / safe
+        total = _combine(total, (n, centre[:, None] + sums / safe, centre[None, :] + sums.T / safe, x.T @ x - sums * sums.T / safe, spread))
+    columns = [pa.array(np.arange(size, dtype=np.int32)), *[pa.array(list(part), pa.list_(pa.float64())) for part in total]]
+    yield pa.RecordBatch.from_arrays(columns, names=["i", "n", "m", "mt", "c", "s"])
+
+
+def _merged_co_moments(table: pa.Table) -> pa.Table:
+    parts = [np.stack(table[name].to_numpy()) for name in ("n", "m", "mt", "c", "s")]
+    total = tuple(p[0] for p in parts)
+    for k in range(1, len(table)):
+        total = _combine(total, tuple(p[k] for p in parts))
+    total[4][total[4] <= 64 * np.finfo(float).eps ** 2 * total[0] * total[1] ** 2] = 0.0  # a constant, up to rounding
+    size = len(total[0])
+    lists = [pa.array([part.tolist()], pa.list_(pa.float64())) for part in (total[0], total[3], total[4])]
+    return pa.table([table["i"].slice(0, 1).combine_chunks(), pa.array([list(range(size))], pa.list_(pa.int32())), *lists], names=["i", "j", "n", "c", "s"])
 
 
 def strongest_pairs(matrix: DataFrame, n: int = 10) -> DataFrame:
@@ -231,8 +284,6 @@ def mutual_information(df: DataFrame, columns: Sequence[str], label: str, bins:
         .agg(F.count(F.lit(1)).alias("n"))
     )
     # The joint table has at most features x bins x classes rows.
-    from pyspark.sql import Window
-
     def total(*keys: str) -> Column:
         return F.sum("n").over(Window.partitionBy(*keys))
 
@@ -247,6 +298,67 @@ def mutual_information(df: DataFrame, columns: Sequence[str], label: str, bins:
     return shares.groupBy("feature").agg(F.greatest(F.sum(term), F.lit(0.0)).alias("mi_score"))
 
 
+def digamma(n: Column) -> Column:
+    """Digamma of a whole number of at least 1, by its series eight steps higher."""
+    x = n.cast("double")
+    y = x + 8.0
+    square = 1.0 / (y * y)
+    series = F.log(y) - 0.5 / y - square * (1 / 12 - square * (1 / 120 - square * (1 / 252 - square / 240)))
+    return series - sum((1.0 / (x + float(i)) for i in range(8)), F.lit(0.0))
+
+
+def mutual_information_nearest(
+    df: DataFrame, columns: Sequence[str], label: str, k: int = 3, block: int = NEIGHBOUR_BLOCK
+) -> DataFrame:
+    """Mutual information (nats) of each column and the class by nearest neighbours, without bins; NULL counts as 0.
+
+    For every row the distance to the ``k``-th neighbour of its class (fewer in a small class) is compared with the number of rows
+    of any class that are nearer. Equal values are counted first. Neighbours are found in blocks of consecutive values, each of which gets the
+    ``k`` values beyond its borders; the numbers of nearer rows are differences of running counts. Classes of one row are left out.
+    """
+    keys, value = ["feature", "class"], {c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in columns}
+    named = F.coalesce(F.col(label).cast("string"), F.lit("unknown")).alias("class")
+    entries = F.array(*[F.struct(F.lit(c).alias("feature"), x.alias("x")) for c, x in value.items()])
+    counts = df.select(named, F.inline(entries)).groupBy(*keys, "x").agg(F.count(F.lit(1)).alias("n"))
+    placed = running_totals(
+        materialize(counts), keys, ["x"], {"r": F.lit(1).cast("long"), "c": F.col("n")}, value_bucket("x")
+    ).filter(F.col("c_total") > 1)
+    own, within = F.floor(F.col("r_before") / block), F.pmod("r_before", F.lit(block))
+    blocks = F.array(
+        own, F.when((within < k) & (own > 0), own - 1), F.when(within >= block - k, own + 1)
+    )
+    staged = placed.withColumn("_own", own).withColumn("_block", F.explode(F.array_compact(blocks)))
+    around = Window.partitionBy(*keys, "_block").orderBy("x").rowsBetween(-k, k)
+    near = staged.withColumn("_near", F.collect_list(F.struct("x", "n")).over(around)).filter(F.col("_own") == F.col("_block"))
+    wanted = F.least(F.lit(k).cast("long"), F.col("c_total") - 1)
+    others = F.array_sort(
+        F.transform("_near", lambda p: F.struct(F.abs(p["x"] - F.col("x")).alias("d"), (p["n"] - (p["x"] == F.col("x")).cast("long")).alias("n")))
+    )
+    start = F.struct(F.lit(0).cast("long").alias("seen"), F.lit(0.0).alias("d"))
+    reach = F.aggregate(
+        others, start,
+        lambda s, p: F.when(s["seen"] < F.col("_k"), F.struct((s["seen"] + p["n"]).alias("seen"), p["d"].alias("d"))).otherwise(s),
+        lambda s: s["d"],
+    )
+    points = near.withColumn("_k", wanted).select(*keys, "x", "n", F.col("c_total").alias("c"), "_k", reach.alias("d"))
+    points = materialize(points)
+
+    def asked(q: Column, after: Column, sign: int) -> Column:
+        side = F.when(after, F.lit(2)).otherwise(F.lit(0))  # before or behind the rows of the same value
+        return F.struct(q.alias("q"), side.alias("side"), F.lit(sign).alias("sign"))
+
+    apart = F.col("d") > 0
+    bounds = F.array(asked(F.col("x") + F.col("d"), ~apart, 1), asked(F.col("x") - F.col("d"), apart, -1))
+    zero = F.lit(0).cast("long")
+    questions = points.select(*keys, "x", "n", "c", "_k", F.inline(bounds), zero.alias("w"))
+    rows = points.select(*keys, "x", "n", "c", "_k", F.col("x").alias("q"), F.lit(1).alias("side"), F.lit(0).alias("sign"), F.col("n").alias("w"))
+    counted = running_totals(questions.union(rows), ["feature"], ["q", "side"], {"w": F.col("w")}, value_bucket("q"))
+    nearer = counted.filter("sign <> 0").groupBy(*keys, "x", "n", "c", "_k").agg(F.sum(F.col("sign") * F.col("w_before")).alias("m"))
+    term = F.col("n") * (digamma(F.col("_k")) - digamma(F.col("c")) - digamma(F.col("m")))
+    sums = nearer.groupBy("feature").agg(F.sum(term).alias("_t"), F.sum("n").alias("_n"))
+    return sums.select("feature", F.greatest(digamma(F.col("_n")) + F.col("_t") / F.col("_n"), F.lit(0.0)).alias("mi_score"))
+
+
 def standardize_columns(df: DataFrame, columns: Sequence[str], suffix: str = "_z") -> DataFrame:
     """Zero mean and unit population deviation; a constant column becomes 0."""
     moments = df.agg(

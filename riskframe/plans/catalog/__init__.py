@@ -10,6 +10,7 @@ from riskframe.plans.catalog import (  # noqa: F401
     learning,
     scoring,
     splitting,
+    storage,
     texts,
 )
 from riskframe.plans.catalog.registry import ORACLES, QUERIES  # noqa: F401

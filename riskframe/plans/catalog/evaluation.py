@@ -261,9 +261,7 @@ def compare_models(v):
     return rounded(table, [c for c in table.columns if c != "model"], 8)
 
 
-@query(
-    "all_metrics",
-    f"""{_OVERALL}, {_AREAS.strip().removeprefix('WITH')},
+ALL_METRICS = f"""{_OVERALL}, {_AREAS.strip().removeprefix('WITH')},
     wide AS (
       SELECT o.*, auc_roc_macro, auc_roc_weighted, log_loss FROM overall o
       JOIN (SELECT model, avg(auc) AS auc_roc_macro, sum(auc * support) / sum(support) AS auc_roc_weighted FROM areas GROUP BY model) a
@@ -279,8 +277,10 @@ def compare_models(v):
       round(coalesce(tp / nullif(tp + fn, 0), 0) + coalesce(tn / nullif(tn + fp, 0), 0) - 1, 7) FROM counts WHERE support > 0
     UNION ALL SELECT model, 'diagnostic_odds_ratio', class,
       round(coalesce(tp * tn / nullif(fp * fn, 0), 'infinity'::DOUBLE), 7) FROM counts WHERE support > 0
-    """,
-)
+    """
+
+
+@query("all_metrics", ALL_METRICS)
 def all_metrics(v):
     return rounded(evaluate.all_metrics(v.scored), ["value"], 7)
 

@@ -153,6 +153,27 @@ def correlation_matrix(v):
     return rounded(explore.correlations(v.lineitem, _NUMBERS), ["r"])
 
 
+# 64 columns: the components of the vectors, each missing in one row of seven.
+_COMPONENTS = 64
+
+
+@query(
+    "correlation_wide",
+    f"""
+    WITH long AS (
+      SELECT vec_id, d, CASE WHEN (vec_id + d) % 7 <> 0 THEN embedding[d + 1]::DOUBLE END AS x
+      FROM embeddings, (SELECT unnest(range(0, {_COMPONENTS})) AS d) WHERE len(embedding) = {_COMPONENTS})
+    SELECT concat('c', a.d) AS feature_a, concat('c', b.d) AS feature_b, round(corr(a.x, b.x), 6) AS r
+    FROM long a JOIN long b ON a.vec_id = b.vec_id AND a.d < b.d GROUP BY a.d, b.d
+    """,
+)
+def correlation_wide(v):
+    rows = v.embeddings.filter(F.size("embedding") == _COMPONENTS)
+    value = lambda d: F.when((F.col("vec_id") + d) % 7 != 0, F.col("embedding")[d].cast("double"))
+    wide = rows.select(*[value(d).alias(f"c{d}") for d in range(_COMPONENTS)])
+    return rounded(explore.correlations(wide, wide.columns), ["r"])
+
+
 _PATIENT_NUMBERS = ["age", "bmi", "heart_rate", "systolic_bp", "temperature", "respiratory_rate"]
 _PATIENT_PAIRS = " UNION ALL ".join(
     f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, round(corr({a}, {b}), 6) AS r FROM patients"
@@ -298,6 +319,42 @@ def mutual_information(v):
     return rounded(explore.mutual_information(joined, _FEATURES, "risk_level"), ["mi_score"])
 
 
+def _digamma_sql(n: str) -> str:
+    y = f"({n} + 8.0::DOUBLE)"
+    series = f"ln{y} - 0.5 / {y} - (1 / 12.0::DOUBLE - (1 / 120.0::DOUBLE - (1 / 252.0::DOUBLE - 1 / ({y} * {y}) / 240) / ({y} * {y})) / ({y} * {y})) / ({y} * {y})"
+    return f"({series} - ({' + '.join(f'1.0::DOUBLE / ({n} + {i})' for i in range(8))}))"
+
+
+_LONG_FEATURES = " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, coalesce({c}, 0)::DOUBLE AS x, coalesce(risk_level, 'unknown') AS class FROM rows_" for c in _FEATURES
+)
+
+
+@query(
+    "mutual_information_nearest",
+    f"""
+    WITH rows_ AS (SELECT * FROM patients p JOIN truth t ON p.patient_id = t.patient_id),
+    counts AS MATERIALIZED (SELECT feature, class, x, count(*) AS n FROM ({_LONG_FEATURES}) GROUP BY ALL),
+    sized AS (SELECT *, sum(n) OVER (PARTITION BY feature, class) AS c FROM counts),
+    kept AS MATERIALIZED (SELECT *, least(3, c - 1) AS k FROM sized WHERE c > 1),
+    reached AS (
+      SELECT a.feature, a.class, a.x, a.n, a.c, a.k, abs(b.x - a.x) AS d,
+        sum(b.n - CASE WHEN b.x = a.x THEN 1 ELSE 0 END) OVER (PARTITION BY a.feature, a.class, a.x ORDER BY abs(b.x - a.x), b.x
+          ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS seen
+      FROM kept a JOIN kept b ON a.feature = b.feature AND a.class = b.class),
+    radius AS (SELECT feature, class, x, n, c, k, min(d) AS d FROM reached WHERE seen >= k GROUP BY ALL),
+    nearer AS (
+      SELECT r.feature, r.class, r.x, r.n, r.c, r.k, sum(o.n) AS m FROM radius r JOIN kept o ON o.feature = r.feature
+        AND CASE WHEN r.d > 0 THEN o.x < r.x + r.d AND o.x > r.x - r.d ELSE o.x = r.x END GROUP BY ALL)
+    SELECT feature, round(greatest(0, {_digamma_sql("sum(n)")} + sum(n * ({_digamma_sql("k")} - {_digamma_sql("c")} - {_digamma_sql("m")})) / sum(n)), 6) AS mi_score
+    FROM nearer GROUP BY feature
+    """,
+)
+def mutual_information_nearest(v):
+    joined = v.patients.join(v.truth, "patient_id")
+    return rounded(explore.mutual_information_nearest(joined, _FEATURES, "risk_level"), ["mi_score"])
+
+
 @query(
     "most_informative_features",
     f"SELECT * FROM ({_INFORMATION}) scores ORDER BY mi_score DESC, feature LIMIT 2",

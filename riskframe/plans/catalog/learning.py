@@ -167,9 +167,8 @@ def model_principal_components(v):
     "SELECT DISTINCT patient_id, true AS in_range, true AS share_fits FROM labs",
 )
 def model_anomalies(v):
-    wide = materialize(latest_wide(v))
-    forest = anomaly.fit_forest(wide, LAB_TESTS)
-    found = materialize(forest.detect(wide).select("patient_id", "anomaly_score", "is_anomaly"))
+    _, judged = anomaly.fit_and_detect(materialize(latest_wide(v)), LAB_TESTS)
+    found = judged.select("patient_id", "anomaly_score", "is_anomaly")
     # The threshold is the lower 90 % quantile, so at most a tenth lies above it.
     share = found.agg(F.avg("is_anomaly")).scalar()
     return found.select("patient_id", F.col("anomaly_score").between(0, 1).alias("in_range"), (share <= 0.1).alias("share_fits"))

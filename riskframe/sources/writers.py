@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
+from pyarrow import fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskframe.session import materialize
+
 
 def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "overwrite") -> None:
     """Parquet partitioned by low-cardinality columns."""
@@ -30,6 +35,40 @@ def write_bucketed(
     spread.write.mode(mode).partitionBy("bucket").parquet(path)
 
 
+def write_colocated(df: DataFrame, name: str, path: str, key: str = "patient_id", buckets: int = 64) -> DataFrame:
+    """A catalog table ``name`` bucketed and sorted by the key, with its files at ``path``; returns the table.
+
+    Tables with the same number of buckets join on the key, and are grouped by it, without an exchange. Every bucket is one file.
+    """
+    ordered = df.repartition(buckets, key).sortWithinPartitions(key)
+    writer = ordered.write.format("parquet").bucketBy(buckets, key).sortBy(key)
+    writer.option("path", path).mode("overwrite").saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
+def write_files(df: DataFrame, root: str, name: str = "path", content: str = "content") -> DataFrame:
+    """One file per row below ``root``, written by the tasks; gives the saved ``(name, length)`` of every file.
+
+    A file is put in place when it is complete, so a task that runs again leaves the same files.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        system, base = pafs.FileSystem.from_uri(root)
+        for batch in batches:
+            names, bodies = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            for file, body in zip(names, bodies, strict=True):
+                target = f"{base}/{file}"
+                draft = f"{target}.{uuid.uuid4().hex}.draft"
+                system.create_dir(target.rpartition("/")[0], recursive=True)
+                with system.open_output_stream(draft) as stream:
+                    stream.write(body or b"")
+                system.move(draft, target)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(b or b"") for b in bodies], pa.int64())], names=[name, "length"])
+
+    rows = df.filter(F.col(name).isNotNull()).select(F.col(name).cast("string"), F.col(content).cast("binary"))
+    return materialize(rows.mapInArrow(run, f"`{name}` string, length bigint"))
+
+
 def write_predictions(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """CSV with a header; array and map columns become JSON text."""
     columns = [

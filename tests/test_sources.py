@@ -64,3 +64,29 @@ def test_existing_images(spark, tmp_path):
 def test_session_accepts_only_spark_settings(spark):
     with pytest.raises(ValueError, match="executor_memory"):
         build_session(conf={"executor_memory": "4g"})
+
+
+def test_colocated_tables_join_without_exchange(spark, tmp_path):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        tables = []
+        for name in ("one", "two", "three"):
+            df = spark.range(500).select((F.col("id") * 7 % 500).alias("patient_id"), F.col("id").alias(name))
+            tables.append(writers.write_colocated(df, f"colocated_{name}", str(tmp_path / name), buckets=4))
+        joined = tables[0].join(tables[1], "patient_id").join(tables[2], "patient_id")
+        grouped = joined.groupBy("patient_id").agg(F.sum("one").alias("s"))
+        plan = grouped._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan and grouped.count() == 500
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        for name in ("one", "two", "three"):
+            spark.sql(f"DROP TABLE IF EXISTS colocated_{name}")
+
+
+def test_files_are_written_once_each(spark, tmp_path):
+    rows = [("a/1.bin", b"x"), ("a/2.bin", None), (None, b"y")]
+    df = spark.createDataFrame(rows, "path string, content binary")
+    written = writers.write_files(df, str(tmp_path / "files"))
+    assert sorted(map(tuple, written.collect())) == [("a/1.bin", 1), ("a/2.bin", 0)]
+    found = readers.image_files(spark, str(tmp_path / "files")).select("content").collect()
+    assert sorted(bytes(r[0]) for r in found) == [b"", b"x"]
