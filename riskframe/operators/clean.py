@@ -12,6 +12,9 @@ from riskframe.functions.presets import AGE_BANDS, BMI_BANDS, SMOKING_CODES, SYM
 from riskframe.functions.rules import Rules, as_column, flag_sum
 from riskframe.operators.prefix import exact_quantiles
 
+#: Distinct labels that a classification may have.
+MAX_LABELS = 100_000
+
 
 def require(df: DataFrame, columns: list[str] | tuple[str, ...]) -> None:
     """Raise an error that lists every missing column."""
@@ -202,8 +205,10 @@ def index_labels(df: DataFrame, label: str, name: str = "label_index") -> DataFr
 def label_dimension(df: DataFrame, label: str, name: str = "label_index") -> DataFrame:
     """Distinct labels with their 0-based alphabetical index.
 
-    The position is read from the sorted array of the distinct labels of a classification, which is
-    as small as the number of classes.
+    The position is read from the sorted array of the distinct labels. A column with more than ``MAX_LABELS`` distinct
+    values is no class column and an error, so the array stays small.
     """
+    if df.select(label).distinct().limit(MAX_LABELS + 1).count() > MAX_LABELS:
+        raise ValueError(f"{label} has more than {MAX_LABELS} distinct values")
     classes = df.agg(F.array_sort(F.collect_set(label)).alias("labels"))
     return classes.select(F.posexplode("labels").alias(name, label))

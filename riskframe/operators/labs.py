@@ -38,10 +38,9 @@ def drop_outliers(
 ) -> DataFrame:
     """Keep the rows inside the fences of their group; a NULL value is outside.
 
-    The rows are saved once; the fences and the filter read them from there.
+    Groups and values are saved once for the fences; the rows themselves are only read by the filter.
     """
-    df = materialize(df)
-    fences = iqr_fences(df, group, value, width).select(group, "fence_low", "fence_high")
+    fences = iqr_fences(materialize(df.select(group, value)), group, value, width).select(group, "fence_low", "fence_high")
     inside = (F.col(value) >= F.col("fence_low")) & (F.col(value) <= F.col("fence_high"))
     return lookup_join(df, fences, [group]).filter(inside).select(*df.columns)
 
