@@ -1,10 +1,11 @@
-"""Token ids of whole texts with the ``tokenizers`` library, encoding each distinct chunk once per worker.
+"""Token ids of whole texts with the ``tokenizers`` library, encoding each distinct chunk once per group of texts.
 
 A text is cut at places where the tokenizer's own pre-tokenizer always cuts, so the ids of the chunks put
-together are the ids of the text. Chunks met before are looked up; new ones go to ``encode_batch``. The
-memory has two generations of about ``CHUNKS`` chunks; the older one is dropped when the younger is full.
+together are the ids of the text. Arrow cuts a group of texts, numbers its distinct chunks and puts their ids together;
+chunks met before are looked up, new ones go to ``encode_batch``. The memory has two generations of about ``CHUNKS``
+chunks; the older one is dropped when the younger is full, and both are when the task ends.
 
-``encode_special_tokens`` is set: the strings of special tokens inside a text are ordinary text.
+The ids are those of the library's plain call: a text with the string of a special token is given to it as it is.
 """
 
 from __future__ import annotations
@@ -12,15 +13,19 @@ from __future__ import annotations
 import os
 import re
 from array import array
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-CHUNKS, BATCH = 600_000, 10_000
+CHUNKS, BATCH, GROUP_BYTES = 60_000, 10_000, 4 << 20
 #: Before a blank that a visible character follows: a byte-level token never spans this place.
 _BEFORE_WORD = re.compile("(?= [^\\s\u180e\u200b\ufeff])")
-#: A word and the ASCII signs after it; the pre-tokenizers cut between them.
-_SIGNS_AFTER = re.compile(r"(.*[^\W_])([!-&(-/:-@\[-^`{-~]+)", re.DOTALL)
+#: A word that ends in an ASCII letter or digit and the ASCII signs after it; the pre-tokenizers cut between them. Other letters may
+#: become more than one character when they are normalised.
+_SIGNS_AFTER = re.compile(r"(.*[0-9A-Za-z])([!-&(-/:-@\[-^`{-~]+)", re.DOTALL)
 _OPEN: dict[tuple[str, str], "Encoder"] = {}
 
 
@@ -35,13 +40,27 @@ def byte_level_chunks(text: str) -> list[str]:
     return chunks
 
 
-def byte_level_text(chunk: str) -> str:
-    return chunk[1:] if chunk[:1] == "\0" else chunk if chunk[:1] == "\n" else " " + chunk
+def byte_level_cut(texts: list[str]) -> pa.ListArray:
+    """The chunks of each text; texts of printable signs with single blanks are cut by Arrow."""
+    spaced = [t.replace("\n", " \n") for t in texts]
+    plain = [
+        bool(t) and t[0] not in " \n" and t[-1] not in " \n" and "  " not in t and "\n " not in t and t.replace("\n", "").isprintable()
+        for t in spaced
+    ]
+    cut = pc.split_pattern(pa.array(["\0" + t if p else "" for t, p in zip(spaced, plain, strict=True)], pa.string()), " ")
+    if all(plain):
+        return cut
+    mixed = iter(cut.filter(pa.array(plain)).to_pylist())
+    return pa.array([next(mixed) if p else byte_level_chunks(t) for t, p in zip(texts, plain, strict=True)], pa.list_(pa.string()))
 
 
-def word_level_chunks(text: str) -> list[str]:
-    """Chunks between blanks and line ends; the tokenizer drops white space and never joins across it."""
-    return text.replace("\n", " ").split(" ")
+def word_level_cut(texts: list[str]) -> pa.ListArray:
+    """Chunks between ASCII white space; the tokenizer drops white space and never joins across it."""
+    return pc.ascii_split_whitespace(pa.array(texts, pa.string()))
+
+
+def byte_level_text(chunk: str) -> str:
+    return chunk[1:] if chunk[:1] == "\0" else chunk if chunk[:1] == "\n" else " " + chunk
 
 
 class Encoder:
@@ -49,20 +68,48 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.cut, self.written, self.known, self.before = Tokenizer.from_file(path), cut, written, {}, {}
-        self.tokenizer.encode_special_tokens = True
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.code = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
 
     def encode(self, text: str | None) -> np.ndarray:
         """The ids of a text as unsigned 32-bit numbers; none for a null or empty text."""
-        chunks = self.cut(text or "")
-        found = list(map(self.known.get, chunks))
-        if None in found:
-            self._learn({c for c, ids in zip(chunks, found, strict=True) if ids is None})
-            found = map(self.known.__getitem__, chunks)
-        ids = np.frombuffer(b"".join(found), dtype=self.code).astype("<u4")
+        return next(self.encode_all([text]))
+
+    def encode_all(self, texts: list[str | None]) -> Iterator[np.ndarray]:
+        """The ids of each text, worked out for groups of about ``GROUP_BYTES``."""
+        at = 0
+        while at < len(texts):
+            until, size = at, 0
+            while until < len(texts) and (until == at or size < GROUP_BYTES):
+                size += len(texts[until] or "")
+                until += 1
+            yield from self._encode_group([t or "" for t in texts[at:until]])
+            at = until
+
+    def forget(self) -> None:
+        self.known, self.before = {}, {}
+
+    def _encode_group(self, texts: list[str]) -> Iterator[np.ndarray]:
+        whole = {i: self._plain(t) for i, t in enumerate(texts) if "<" in t and any(s in t for s in self.special)}
+        lists = self.cut(["" if i in whole else t for i, t in enumerate(texts)])
+        coded = pc.dictionary_encode(lists.flatten())
+        chunks = coded.dictionary.to_pylist()
+        if new := {c for c in chunks if c not in self.known}:
+            self._learn(new)
+        # Taking the ids of the chunks in order puts them together in one buffer.
+        ids = pa.array([self.known[c] for c in chunks], pa.binary()).take(coded.indices)
+        ends = np.concatenate(([0], np.cumsum(pc.binary_length(ids).to_numpy(zero_copy_only=False), dtype=np.int64)))
+        ends = ends[np.concatenate(([0], np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))))]
+        data = memoryview(ids.buffers()[2]) if len(ids) and ids.buffers()[2] is not None else b""
+        flat = np.frombuffer(data, dtype=self.code, count=int(ends[-1]) // array(self.code).itemsize)
+        width = array(self.code).itemsize
+        for i in range(len(texts)):
+            yield whole[i] if i in whole else flat[ends[i] // width : ends[i + 1] // width].astype("<u4")
         if len(self.known) > CHUNKS:
             self.known, self.before = {}, self.known
-        return ids
+
+    def _plain(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
 
     def _learn(self, chunks: set[str]) -> None:
         """Add chunks to the memory; of a word with signs after it the two are encoded apart."""
@@ -92,7 +139,7 @@ class Encoder:
         return "\0" + piece if self.written is byte_level_text else piece
 
 
-_LEVELS = {"byte": (byte_level_chunks, byte_level_text), "word": (word_level_chunks, str)}
+_LEVELS = {"byte": (byte_level_cut, byte_level_text), "word": (word_level_cut, str)}
 
 
 def encoder(path: str, level: str) -> Encoder:

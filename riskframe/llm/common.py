@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import math
-import re
 import uuid
 from collections.abc import Iterable
 
@@ -87,11 +86,9 @@ def parts_for(rows: int, per_part: int) -> int:
     return max(1, math.ceil(rows / per_part))
 
 
-_LETTER = re.compile(r"[^\W\d_]")
-
-
 def has_letter(text: str | None) -> bool:
-    return bool(text) and _LETTER.search(text) is not None
+    """Whether a text has a letter; numbers of any kind, such as fractions and numerals, are none."""
+    return bool(text) and any(map(str.isalpha, text))
 
 
 def finite_vectors(df: DataFrame, key: str, vector: str, dims: int | None = None) -> DataFrame:

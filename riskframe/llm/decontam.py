@@ -44,7 +44,7 @@ _EDGES = re.compile(r"^[\W_]+|[\W_]+$")
 _NUMBER = re.compile(r"[+-]?\d[\d.,:/]*(?:st|nd|rd|th)?")
 _CODES = np.array([0, 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], dtype=np.uint64)
 _MIX = np.uint64(0x100000001B3)
-SEEN = 400_000
+SEEN = 100_000
 
 
 class Words:

@@ -173,8 +173,10 @@ def train(df: DataFrame, key: str, text: str, lang: str, per_lang: int = PER_LAN
     """Fit on at most ``per_lang`` documents of each language of ``df``; the caller leaves out held-out rows."""
     known = df.filter(F.col(lang).isNotNull() & F.col(text).isNotNull() & F.col(key).isNotNull())
     keys = sample_keys(known, key, lang, per_lang, seed)
-    drawn = known.join(F.broadcast(keys), [key, lang], "left_semi")  # per_lang rows a language
-    rows = drawn.select(F.col(key).alias("k"), F.col(text).alias("t"), F.col(lang).alias("l")).collect()
+    drawn = known.join(F.broadcast(keys.distinct()), [key, lang], "left_semi")
+    # Repeated rows of a key count once, so that at most per_lang texts a language come to the driver.
+    drawn = drawn.groupBy(F.col(key).alias("k"), F.col(lang).alias("l")).agg(F.min(text).alias("t"))
+    rows = drawn.collect()
     rows = sorted((r for r in rows if has_letter(r.t)), key=lambda r: (r.l, r.k, r.t))
     return fit([r.t for r in rows], [r.l for r in rows], seed)
 

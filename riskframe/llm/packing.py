@@ -43,8 +43,8 @@ def pieces(df: DataFrame, key: str, text: str, vocabulary: str, capacity: int =
         own = encoder(vocabulary, level)
         for batch in batches:
             index, number, start, length, crc = [], [], [], [], []
-            for row, (body,) in enumerate(rows_of(batch, "_text")):
-                ids = np.append(own.encode(body), np.uint32(end)).astype("<u4")
+            for row, found in enumerate(own.encode_all([body for (body,) in rows_of(batch, "_text")])):
+                ids = np.append(found, np.uint32(end)).astype("<u4")
                 for n, at in enumerate(range(0, len(ids), capacity)):
                     part = ids[at : at + capacity]
                     index.append(row)
@@ -57,6 +57,7 @@ def pieces(df: DataFrame, key: str, text: str, vocabulary: str, capacity: int =
                  *[pa.array(v, pa.int64()) for v in (start, length, crc)]],
                 names=[key, "piece", "start", "length", "ids_crc32"],
             )
+        own.forget()
 
     kind = df.schema[key].dataType.simpleString()
     rows = df.select(F.col(key), F.col(text).cast("string").alias("_text"))

@@ -123,13 +123,15 @@ def write(df: DataFrame, folder: str, vocabulary: str, key: str = "doc_id", text
         writer, total = None, 0
         with system.open_output_stream(draft) as stream:
             for batch in batches:
-                for doc, body in rows_of(batch, "doc", "_text"):
+                docs, bodies = (list(x) for x in zip(*rows_of(batch, "doc", "_text"), strict=True)) if len(batch) else ([], [])
+                for doc, found in zip(docs, own.encode_all(bodies), strict=True):
                     writer = writer or Writer(stream, 2 if own.code == "H" else 4)
-                    ids = np.append(own.encode(body), np.uint32(end))
+                    ids = np.append(found, np.uint32(end))
                     writer.add(doc, ids)
                     total += len(ids)
             if writer:
                 writer.close()
+        own.forget()
         if not writer:
             system.delete_file(draft)
             return
@@ -145,7 +147,8 @@ def digests(manifest: DataFrame, folder: str) -> DataFrame:
 
     ``start`` counts the ids of all earlier files (the manifest has one short row per file) and frames.
     """
-    before = F.coalesce(F.sum("ids").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    number = F.regexp_extract("file", r"(\d+)", 1).cast("long")  # names of different length do not sort as text
+    before = F.coalesce(F.sum("ids").over(Window.orderBy(number).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     offsets = manifest.select("file", before.alias("before"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -170,10 +173,10 @@ def fetch(manifest: DataFrame, folder: str, wanted: DataFrame, key: str = "doc_i
 
     The files that may hold an id are found by binary search in the sorted first ids, one number per file.
     """
-    listed = manifest.filter(F.col("first").isNotNull()).select("first", "file").orderBy("file").collect()
+    listed = manifest.filter(F.col("first").isNotNull()).select("first", "file").orderBy(F.regexp_extract("file", r"(\d+)", 1).cast("long")).collect()
     firsts, files = np.array([r["first"] for r in listed], np.int64), [r["file"] for r in listed]
-    nulls = {r["file"] for r in manifest.select("file").collect()} - set(files)  # files that begin without an id
-    sent = manifest.sparkSession.sparkContext.broadcast((firsts, files, sorted(nulls)))
+    nulls = {r["file"] for r in manifest.filter(F.col("first").isNull()).select("file").collect()}  # files that begin without an id
+    sent = manifest.sparkSession.sparkContext.broadcast((firsts, files, sorted(nulls, key=lambda n: int("".join(filter(str.isdigit, n))))))
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first, names, unnamed = sent.value

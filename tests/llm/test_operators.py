@@ -60,11 +60,10 @@ def odd(spark):
 
 def test_chunked_encoding_is_the_encoding_of_the_whole_text(texts):
     rng = random.Random(3)
-    parts = ["a", "b", " ", " ", "\n", "'s", "9", "#", "\t", "é", "́", " ", "ß", "中", "\x1c", "<|endoftext|>", "Hello", "᠎", "​"]
+    parts = ["a", "b", " ", " ", "\n", "'s", "9", "#", "\t", "é", "́", " ", "ß", "中", "\x1c", "<|endoftext|>", "<|startoftext|>", "İ", "bİ", "!!", "--", "Σ", "x.", "Hello", "᠎", "​"]
     cases = ["", " ", " a  b\n c ", *["".join(rng.choices(parts, k=rng.randrange(1, 40))) for _ in range(3000)], *list(texts.values())[:150]]
     for path, level in ((BYTE, "byte"), (WORD, "word")):
         plain = Tokenizer.from_file(path)
-        plain.encode_special_tokens = True
         own = bpe.encoder(path, level)
         for text, found in zip(cases, plain.encode_batch(cases, add_special_tokens=False), strict=True):
             assert own.encode(text).tolist() == found.ids, ascii(text[:80])
@@ -72,7 +71,6 @@ def test_chunked_encoding_is_the_encoding_of_the_whole_text(texts):
 
 def test_token_files_give_back_every_id(spark, texts):
     plain = Tokenizer.from_file(BYTE)
-    plain.encode_special_tokens = True
     rows = {r.doc_id: r for r in QUERIES["op1_token_frames"](spark, FOLDER).collect()}
     assert rows.keys() == texts.keys()
     start = 0
@@ -371,7 +369,6 @@ def test_url_keys():
 
 def test_packing_is_tight_and_whole(spark, texts):
     plain = Tokenizer.from_file(WORD)
-    plain.encode_special_tokens = True
     rows = QUERIES["op9_packed_sequences"](spark, FOLDER).collect()
     by_doc, by_sequence = defaultdict(list), defaultdict(list)
     for r in rows:
@@ -495,3 +492,29 @@ def test_odd_inputs(spark):
     empty = toxicity.grade(odd(spark), labels.limit(0)).collect()
     assert all(r.score == 0 for r in empty)
     assert {r.score for r in quality_model.classify(odd(spark), labels.limit(0)).collect()} == {0.5}
+
+
+def test_letters_are_alphabetic_signs():
+    from riskframe.llm.common import has_letter
+
+    for text in (None, "", "½ ²", "Ⅷ ①", "12 _ !", "a", "½é", "中", "ª", "́"):
+        assert has_letter(text) == any(c.isalpha() for c in text or ""), text
+
+
+def test_groups_are_encoded_like_single_texts(texts, monkeypatch):
+    some = [None, "", *list(texts.values())[:60], "a <|endoftext|> b", "one\ntwo  three"]
+    for path, level in ((BYTE, "byte"), (WORD, "word")):
+        plain, own = Tokenizer.from_file(path), bpe.encoder(path, level)
+        want = [plain.encode(t or "", add_special_tokens=False).ids for t in some]
+        for size in (4 << 20, 5000):
+            monkeypatch.setattr(bpe, "GROUP_BYTES", size)
+            assert [x.tolist() for x in own.encode_all(some)] == want
+        own.forget()
+        assert not own.known and not own.before
+
+
+def test_language_sample_takes_repeated_rows_once(spark):
+    rows = [(1, "der Hund und die Katze", "de")] * 500 + [(2, "the dog and the cat", "en"), (3, "the cow and the hen", "en")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    network = language.train(df, "doc_id", "text", "lang", per_lang=2)
+    assert network.labels == ["de", "en"]

@@ -5,7 +5,8 @@ from __future__ import annotations
 import corpus_pipeline
 from riskframe.llm.common import saved
 from riskframe.llm.queries import QUERIES
-from tests.llm.test_operators import brute_components, brute_fingerprint, odd
+from tests.llm.test_jaccard import brute
+from tests.llm.test_operators import odd
 
 FOLDER = "/root/testdata/sf0.01"
 
@@ -26,8 +27,7 @@ def test_each_stage_decides_on_its_own_input(spark):
     kept = {r.doc_id for r in QUERIES["op2_quality_rules"](spark, FOLDER).collect() if r.kept}
     assert len(ids(after) ^ (kept & ids(before))) <= 0.01 * len(kept)
     before, after = seen["near_dedup"]
-    values = {r.doc_id: brute_fingerprint(r.text) for r in before.collect()}
-    assert ids(after) == set(brute_components(values).values())
+    assert ids(after) == set(brute({r.doc_id: r.text for r in before.collect()}).values())
     before, after = seen["decontamination"]
     leaked = ids(QUERIES["op10_benchmark_leaks"](spark, FOLDER))
     assert ids(after) == ids(before) - leaked
