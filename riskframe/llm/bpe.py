@@ -20,12 +20,12 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-CHUNKS, BATCH, GROUP_BYTES = 60_000, 10_000, 4 << 20
+CHUNKS, BATCH, GROUP_BYTES = 300_000, 10_000, 8 << 20
 #: Before a blank that a visible character follows: a byte-level token never spans this place.
 _BEFORE_WORD = re.compile("(?= [^\\s\u180e\u200b\ufeff])")
-#: A word that ends in an ASCII letter or digit and the ASCII signs after it; the pre-tokenizers cut between them. Other letters may
-#: become more than one character when they are normalised.
-_SIGNS_AFTER = re.compile(r"(.*[0-9A-Za-z])([!-&(-/:-@\[-^`{-~]+)", re.DOTALL)
+#: An ASCII letter or digit and the ASCII sign after it; the pre-tokenizers cut between them. Other letters may become more than
+#: one character when they are normalised.
+_SIGN_AFTER = r"([0-9A-Za-z])([!-&(-/:-@\[-^`{-~])"
 _OPEN: dict[tuple[str, str], "Encoder"] = {}
 
 
@@ -47,7 +47,8 @@ def byte_level_cut(texts: list[str]) -> pa.ListArray:
         bool(t) and t[0] not in " \n" and t[-1] not in " \n" and "  " not in t and "\n " not in t and t.replace("\n", "").isprintable()
         for t in spaced
     ]
-    cut = pc.split_pattern(pa.array(["\0" + t if p else "" for t, p in zip(spaced, plain, strict=True)], pa.string()), " ")
+    marked = pa.array(["\0" + t if p else "" for t, p in zip(spaced, plain, strict=True)], pa.string())
+    cut = pc.split_pattern(pc.replace_substring_regex(marked, _SIGN_AFTER, "\\1 \0\\2"), " ")
     if all(plain):
         return cut
     mixed = iter(cut.filter(pa.array(plain)).to_pylist())
@@ -55,8 +56,10 @@ def byte_level_cut(texts: list[str]) -> pa.ListArray:
 
 
 def word_level_cut(texts: list[str]) -> pa.ListArray:
-    """Chunks between ASCII white space; the tokenizer drops white space and never joins across it."""
-    return pc.ascii_split_whitespace(pa.array(texts, pa.string()))
+    """Chunks between ASCII white space, words apart from the signs after them; the tokenizer drops white space, never joins across it,
+    and makes all letters small."""
+    lower = pc.ascii_lower(pa.array(texts, pa.string()))
+    return pc.ascii_split_whitespace(pc.replace_substring_regex(lower, _SIGN_AFTER, "\\1 \\2"))
 
 
 def byte_level_text(chunk: str) -> str:
@@ -112,31 +115,15 @@ class Encoder:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
 
     def _learn(self, chunks: set[str]) -> None:
-        """Add chunks to the memory; of a word with signs after it the two are encoded apart."""
-        known, before, new, joined = self.known, self.before, [], []
-        for chunk in chunks:
-            if (ids := before.get(chunk)) is not None:
-                known[chunk] = ids
-            elif cut := _SIGNS_AFTER.fullmatch(chunk):
-                joined.append((chunk, cut[1], self._alone(cut[2])))
-            else:
-                new.append(chunk)
-        for part in {p for _, *both in joined for p in both if p not in known and p not in chunks}:
-            if (ids := before.get(part)) is not None:
-                known[part] = ids
-            else:
-                new.append(part)
+        """Add chunks to the memory, from the older generation or from the library."""
+        known, before = self.known, self.before
+        known.update((c, ids) for c in chunks if (ids := before.get(c)) is not None)
+        new = [c for c in chunks if c not in known]
         for at in range(0, len(new), BATCH):
             part = new[at : at + BATCH]
             texts = [self.written(c) for c in part]
             for chunk, ids in zip(part, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
                 known[chunk] = array(self.code, ids.ids).tobytes()
-        for chunk, word, signs in sorted(joined, key=lambda x: len(x[0])):  # a part may end in signs itself
-            known[chunk] = known[word] + known[signs]
-
-    def _alone(self, piece: str) -> str:
-        """The chunk that stands for a piece without a blank before it."""
-        return "\0" + piece if self.written is byte_level_text else piece
 
 
 _LEVELS = {"byte": (byte_level_cut, byte_level_text), "word": (word_level_cut, str)}

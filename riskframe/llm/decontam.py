@@ -25,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -44,7 +45,7 @@ _EDGES = re.compile(r"^[\W_]+|[\W_]+$")
 _NUMBER = re.compile(r"[+-]?\d[\d.,:/]*(?:st|nd|rd|th)?")
 _CODES = np.array([0, 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], dtype=np.uint64)
 _MIX = np.uint64(0x100000001B3)
-SEEN = 100_000
+SEEN, GROUP_BYTES, FILTER_BITS = 200_000, 4 << 20, 20
 
 
 class Words:
@@ -53,36 +54,59 @@ class Words:
     def __init__(self):
         self.number: dict[str, int] = {}
         self.bare: list[str] = []
-        self.codes, self.flags = np.zeros(1024, np.uint64), np.zeros((1024, 5), bool)
-
-    def learn(self, word: str) -> int:
-        at = self.number[word] = len(self.bare)
-        if at == len(self.codes):
-            self.codes = np.concatenate([self.codes, np.zeros_like(self.codes)])
-            self.flags = np.concatenate([self.flags, np.zeros_like(self.flags)])
-        bare = _EDGES.sub("", word)
-        low = bare.lower()
-        self.bare.append(low)
-        self.codes[at] = xxhash.xxh64_intdigest(low)
-        name = len(bare) > 1 and bare[0].isupper() and not bare[1:].isupper()
-        ends = word.rstrip("\"')]")[-1:] in ".!?:" if word else False
-        self.flags[at] = low != "", name, _NUMBER.fullmatch(low) is not None, low in UNITS, ends
-        return at
+        self.codes, self.flags = np.zeros(0, np.uint64), np.zeros((0, 5), bool)
+
+    def learn(self, words: list[str]) -> None:
+        """Add words that are not known."""
+        number, lows, codes, flags = self.number, self.bare, [], []
+        for word in words:
+            number[word] = len(lows)
+            plain = word.isalnum()
+            bare = word if plain else _EDGES.sub("", word)
+            low = bare.lower()
+            lows.append(low)
+            codes.append(xxhash.xxh64_intdigest(low))
+            flags.append((
+                low != "",
+                len(bare) > 1 and bare[0].isupper() and not bare[1:].isupper(),
+                low[:1].isdecimal() and _NUMBER.fullmatch(low) is not None,
+                low in UNITS,
+                word != "" and not plain and word.rstrip("\"')]")[-1:] in ".!?:",
+            ))
+        if words:
+            self.codes = np.concatenate([self.codes, np.array(codes, np.uint64)])
+            self.flags = np.concatenate([self.flags, np.array(flags, bool)])
 
 
 _WORDS = Words()
 
 
-def canonical(text: str | None) -> tuple[np.ndarray, np.ndarray]:
-    """Word numbers and their kinds (plain, number, name, unit) of a whole text."""
+def word_numbers(texts: list[str | None]) -> list[np.ndarray]:
+    """The word numbers of each text. Arrow cuts the texts; each distinct word of the group is looked up once.
+
+    The numbers hold until the next call, which may begin a new memory.
+    """
     if len(_WORDS.bare) > SEEN:
         _WORDS.__init__()
-    words = (text or "").split()
-    known, learn = _WORDS.number, _WORDS.learn
-    try:
-        numbers = np.array([known[w] for w in words], dtype=np.int64)
-    except KeyError:
-        numbers = np.array([known[w] if w in known else learn(w) for w in words], dtype=np.int64)
+    cut = pc.utf8_split_whitespace(pa.array([t or "" for t in texts], pa.string()))
+    coded = pc.dictionary_encode(cut.flatten())
+    words, known = coded.dictionary.to_pylist(), _WORDS.number
+    _WORDS.learn([w for w in words if w not in known])
+    own = np.array([known[w] for w in words], dtype=np.int64)
+    blank = np.array([not w for w in words], bool)
+    codes = coded.indices.to_numpy()
+    ends = np.concatenate(([0], np.cumsum(pc.list_value_length(cut).to_numpy(zero_copy_only=False))))
+    parts = [codes[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
+    return [own[p[~blank[p]]] for p in parts] if blank.any() else [own[p] for p in parts]
+
+
+def canonical(text: str | None) -> tuple[np.ndarray, np.ndarray]:
+    """Word numbers and their kinds (plain, number, name, unit) of a whole text."""
+    return with_kinds(word_numbers([text])[0])
+
+
+def with_kinds(numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of the words that are more than signs, and their kinds."""
     flags = _WORDS.flags[numbers]
     starts = np.ones(len(numbers), bool)
     starts[1:] = flags[:-1, 4]
@@ -188,25 +212,48 @@ def _batch(rows: list[tuple], types: list[pa.DataType], names: list[str]) -> pa.
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
 
 
+def _beginning(hashes: np.ndarray) -> np.ndarray:
+    return hashes.view(np.uint64) >> np.uint64(64 - FILTER_BITS)
+
+
+def _groups(rows: list[tuple]) -> Iterator[list[tuple]]:
+    """Consecutive rows with about ``GROUP_BYTES`` of text."""
+    at = 0
+    while at < len(rows):
+        until, size = at, 0
+        while until < len(rows) and (until == at or size < GROUP_BYTES):
+            size += len(rows[until][1] or "")
+            until += 1
+        yield rows[at:until]
+        at = until
+
+
 def _hits(docs: DataFrame, key: str, text: str, sizes: list[int], hashes: np.ndarray | None) -> DataFrame:
     """Windows of the documents, of every size that items have; only those in ``hashes`` if it is given."""
     sent = docs.sparkSession.sparkContext.broadcast(hashes)  # sorted; at most BROADCAST_ROWS numbers
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wanted, maybe = sent.value, None
+        if wanted is not None:  # one bit per beginning of a hash rules most windows out before the search
+            maybe = np.zeros(1 << FILTER_BITS, bool)
+            maybe[_beginning(wanted)] = True
         for batch in batches:
             out = []
-            for doc, body in rows_of(batch, "doc_id", "_text"):
-                words, kinds = canonical(body)
-                mark = xxhash.xxh64_intdigest((body or "").encode("utf-8", "surrogatepass")) - (1 << 63)
-                for places, values, form, size in templates(words, kinds, sizes):
-                    if sent.value is not None:
-                        near = np.searchsorted(sent.value, values).clip(max=len(sent.value) - 1)
-                        hit = sent.value[near] == values
-                        places, values = places[hit], values[hit]
-                    for place, value in zip(places.tolist(), values.tolist(), strict=True):
-                        out.append((doc, mark, int(form.starts[place]), value, form.slots(place, size)))
+            for group in _groups(list(rows_of(batch, "doc_id", "_text"))):
+                for (doc, body), numbers in zip(group, word_numbers([t for _, t in group]), strict=True):
+                    for places, values, form, size in templates(*with_kinds(numbers), sizes):
+                        if wanted is not None:
+                            at = np.flatnonzero(maybe[_beginning(values)])
+                            near = np.searchsorted(wanted, values[at]).clip(max=len(wanted) - 1)
+                            at = at[wanted[near] == values[at]]
+                            places, values = places[at], values[at]
+                        if len(places):
+                            mark = xxhash.xxh64_intdigest((body or "").encode("utf-8", "surrogatepass")) - (1 << 63)
+                        for place, value in zip(places.tolist(), values.tolist(), strict=True):
+                            out.append((doc, mark, int(form.starts[place]), value, form.slots(place, size)))
             yield _batch(out, [batch.schema.field("doc_id").type, pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.string())],
                          ["doc_id", "body", "at", "hash", "found"])
+        _WORDS.__init__()
 
     kind = docs.schema[key].dataType.simpleString()
     rows = docs.select(F.col(key).alias("doc_id"), F.col(text).cast("string").alias("_text"))
