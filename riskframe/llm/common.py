@@ -16,6 +16,7 @@ from riskframe.session import ensure_checkpoint_dir
 #: Rows that are at most 64 bytes wide may be broadcast up to this number (64 MB); beyond it a shuffle is used.
 BROADCAST_ROWS = 1_000_000
 SALTS = 64
+HASH_BITS = 12
 WHITE = " \t\n\x0b\f\r"
 
 
@@ -54,11 +55,18 @@ def fold(key: str | Column, folds: int) -> Column:
 def sample_keys(df: DataFrame, key: str, label: str, per_label: int, seed: int = 0) -> DataFrame:
     """The ``per_label`` rows (key, label) of each label that come first by a seeded hash of the key.
 
-    The limit is applied in each map task, then in ``SALTS`` parts of each label, then per label: a label
-    with most rows is no hot group, and the last step reads at most ``SALTS * per_label`` rows of it.
+    Rows are counted per label and part of the hash range before anything is shuffled. Only the parts up to the one in which a label
+    reaches its number are ranked: about ``per_label`` rows and one in ``2**HASH_BITS`` of the label's, dealt over ``SALTS`` tasks first.
     """
     rows = df.select(key, label, F.xxhash64(F.lit(seed), F.col(key)).alias("_order"))
-    rows = rows.withColumn("_part", F.pmod("_order", F.lit(SALTS)))
+    rows = rows.withColumn("_range", F.shiftright("_order", 64 - HASH_BITS))
+    counts = rows.groupBy(F.col(label).alias("_label"), "_range").agg(F.count(F.lit(1)).alias("_n"))
+    lower = Window.partitionBy("_label").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("_n").over(lower), F.lit(0))
+    cuts = counts.withColumn("_before", before).filter(F.col("_before") < per_label).groupBy("_label").agg(F.max("_range").alias("_cut"))
+    cuts = saved(cuts, "cuts")  # one row per label
+    rows = small_join(rows, cuts, F.col(label).eqNullSafe(F.col("_label")) & (F.col("_range") <= F.col("_cut")))
+    rows = rows.select(key, label, "_order", F.pmod("_order", F.lit(SALTS)).alias("_part"))
     for group in ([label, "_part"], [label]):
         rank = F.row_number().over(Window.partitionBy(*group).orderBy("_order", key))
         rows = rows.withColumn("_rank", rank).filter(F.col("_rank") <= per_label)
