@@ -19,8 +19,9 @@ own; null ids are allowed; an empty table gives an empty table.
 from __future__ import annotations
 
 import zlib
-from bisect import bisect_left, insort
+from bisect import bisect_left, bisect_right, insort
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -32,7 +33,9 @@ from riskframe.llm.bpe import encoder
 from riskframe.llm.common import parts_for, rows_of, saved
 
 CAPACITY, END = 4096, 1
-BLOCK_ROWS, ISLANDS, EPOCHS, POPULATION, CHILDREN = 4096, 2, 2, 4, 6
+BLOCK_ROWS, ISLANDS, EPOCHS, POPULATION, CHILDREN = 4096, 2, 2, 8, 10
+#: Items that the children of an island pack in an epoch, and items of a bin (and free ones) that a swap tries.
+WORK, TRIED = 60_000, 8
 REPACK = 0.98
 
 
@@ -83,10 +86,57 @@ def best_fit(sizes: list[int], order: list[int], bins: list[list[int]], room: li
             insort(open_bins, (left, b))
 
 
-def crossover(sizes: list[int], giver: list[list[int]], taker: list[list[int]], capacity: int) -> list[list[int]]:
-    """Inject the better-filled half of ``giver``'s bins into ``taker``, drop bins with doubles, best-fit the displaced."""
+def _without(free: list[tuple[int, int]], at: tuple[int, ...]) -> list[tuple[int, int]]:
+    return [f for n, f in enumerate(free) if n not in at]
+
+
+def _best_swap(own: list[int], space: int, free: list[tuple[int, int]], first: list[int]) -> tuple[int, tuple[int, ...], tuple[int, ...]]:
+    """The exchange of one or two of a bin's items (sizes ``own``) for one or two free ones that fills the bin most: the gain, the
+    places in ``own``, the places in ``free``. Free items are sorted by size; ``first`` are the places tried as the first of two."""
+    best: tuple[int, tuple[int, ...], tuple[int, ...]] = (0, (), ())
+    for out in [*((i,) for i in range(len(own))), *combinations(range(len(own)), 2)]:
+        given = sum(own[i] for i in out)
+        most = given + space
+        at = bisect_right(free, (most, 1 << 62)) - 1
+        if at >= 0 and free[at][0] - given > best[0]:
+            best = (free[at][0] - given, out, (at,))
+        for one in first:
+            rest = most - free[one][0]
+            at = bisect_right(free, (rest, 1 << 62)) - 1
+            at -= at == one
+            if at >= 0 and free[one][0] + free[at][0] - given > best[0]:
+                best = (free[one][0] + free[at][0] - given, out, (one, at))
+        if best[0] == space:
+            break
+    return best
+
+
+def repair(sizes: list[int], bins: list[list[int]], displaced: list[int], capacity: int, rng: np.random.Generator) -> None:
+    """Swap displaced items into the bins where they fill more than the items that leave, then best-fit what is displaced."""
+    free = sorted((sizes[i], i) for i in displaced)
+    for b in rng.permutation(len(bins)).tolist():
+        space = capacity - sum(sizes[i] for i in bins[b])
+        while space and free:
+            some = bins[b] if len(bins[b]) <= TRIED else rng.choice(bins[b], TRIED, replace=False).tolist()
+            first = sorted(rng.choice(len(free), min(len(free), TRIED), replace=False).tolist())
+            gain, out, taken = _best_swap([sizes[i] for i in some], space, free, first)
+            if not gain:
+                break
+            leaving = [some[i] for i in out]
+            bins[b] = [i for i in bins[b] if i not in leaving] + [free[t][1] for t in taken]
+            free = _without(free, taken)
+            for i in leaving:
+                insort(free, (sizes[i], i))
+            space -= gain
+    room = [capacity - sum(sizes[i] for i in b) for b in bins]
+    best_fit(sizes, [i for _, i in sorted(free, key=lambda f: (-f[0], f[1]))], bins, room, capacity)
+
+
+def crossover(sizes: list[int], giver: list[list[int]], taker: list[list[int]], capacity: int, rng: np.random.Generator) -> list[list[int]]:
+    """Inject some of the best-filled bins of ``giver`` into ``taker``, drop the bins that hold doubles, and repair with what they held."""
     filled = sorted(giver, key=lambda b: -sum(sizes[i] for i in b))
-    bins = [list(b) for b in filled[: max(1, len(filled) // 2)]]
+    best = filled[: max(1, len(filled) // 2)]
+    bins = [list(best[n]) for n in rng.choice(len(best), max(1, len(best) // 4), replace=False).tolist()]
     inside = {i for b in bins for i in b}
     displaced = []
     for b in taker:
@@ -94,8 +144,7 @@ def crossover(sizes: list[int], giver: list[list[int]], taker: list[list[int]],
             bins.append(list(b))
         else:
             displaced += [i for i in b if i not in inside]
-    room = [capacity - sum(sizes[i] for i in b) for b in bins]
-    best_fit(sizes, sorted(displaced, key=lambda i: (-sizes[i], i)), bins, room, capacity)
+    repair(sizes, bins, displaced, capacity, rng)
     return bins
 
 
@@ -105,37 +154,54 @@ def fitness(sizes: list[int], bins: list[list[int]], capacity: int) -> tuple[int
 
 
 def _mutant(sizes: list[int], bins: list[list[int]], capacity: int, rng: np.random.Generator) -> list[list[int]]:
-    """Empty some of the worst-filled and of random bins and best-fit their items in a shaken order."""
+    """Empty the worst-filled and some random bins, and repair with what they held."""
     order = sorted(range(len(bins)), key=lambda b: sum(sizes[i] for i in bins[b]))
     drop = {*order[: max(2, len(bins) // 20)], *rng.choice(len(bins), min(len(bins), max(2, len(bins) // 10)), replace=False).tolist()}
     kept = [list(b) for n, b in enumerate(bins) if n not in drop]
-    free = [i for n in sorted(drop) for i in bins[n]]
-    shaken = dict(zip(free, rng.random(len(free)), strict=True))
-    best_fit(sizes, sorted(free, key=lambda i: (-sizes[i] * (0.9 + 0.2 * shaken[i]), i)), kept, [capacity - sum(sizes[i] for i in b) for b in kept], capacity)
+    repair(sizes, kept, [i for n in sorted(drop) for i in bins[n]], capacity, rng)
     return kept
 
 
+def _shaken(sizes: list[int], capacity: int, rng: np.random.Generator) -> list[list[int]]:
+    """A best-fit packing in a shaken order of falling sizes."""
+    shake = rng.random(len(sizes)) * 0.6 + 0.7
+    bins: list[list[int]] = []
+    best_fit(sizes, sorted(range(len(sizes)), key=lambda i: (-sizes[i] * shake[i], i)), bins, [], capacity)
+    return bins
+
+
 def evolve(sizes: list[int], guest: list[list[int]] | None, capacity: int, seed: int) -> list[list[int]]:
-    """The best individual of one island after an epoch; ``guest`` is the elite that has migrated in."""
+    """The best individual of one island after an epoch; ``guest`` is the elite that has migrated in.
+
+    An island ends when it has as few bins as the sizes alone demand, or after about ``WORK`` items were packed by its children.
+    """
     rng = np.random.default_rng(seed)
     least = -(-sum(sizes) // capacity)
     first: list[list[int]] = []
     best_fit(sizes, sorted(range(len(sizes)), key=lambda i: (-sizes[i], i)), first, [], capacity)
-    people = [first, *([guest] if guest else [])]
     rank = lambda bins: fitness(sizes, bins, capacity)
-    people.sort(key=rank)
-    if len(people[0]) <= least:
-        return people[0]
+    people = sorted(((rank(p), n, p) for n, p in enumerate([first, *([guest] if guest else [])])), key=lambda x: x[:2])
+    born = len(people)
+    if people[0][0][0] <= least:
+        return people[0][2]
     while len(people) < POPULATION:
-        people.append(_mutant(sizes, people[0], capacity, rng))
-    for _ in range(CHILDREN):
-        people.sort(key=rank)
-        if len(people[0]) <= least:
+        child = _shaken(sizes, capacity, rng)
+        people.append((rank(child), born, child))
+        born += 1
+    people.sort(key=lambda x: x[:2])
+    for _ in range(max(CHILDREN, WORK // max(len(sizes), 1))):
+        if people[0][0][0] <= least:
             break
-        a, b = rng.choice(len(people), 2, replace=False).tolist()
-        child = crossover(sizes, people[min(a, b)], people[max(a, b)], capacity)
-        people[-1] = child if rng.random() < 0.5 else _mutant(sizes, child, capacity, rng)
-    return min(people, key=rank)
+        a, b = (min(rng.choice(len(people), 2, replace=False).tolist()) for _ in range(2))  # the better of two, twice
+        child = crossover(sizes, people[a][2], people[b][2], capacity, rng)
+        if rng.random() < 0.3:
+            child = _mutant(sizes, child, capacity, rng)
+        value = rank(child)
+        if all(value != p[0] for p in people):  # equal ones would crowd out the others
+            people[-1] = (value, born, child)
+            born += 1
+            people.sort(key=lambda x: x[:2])
+    return people[0][2]
 
 
 def _pack(items: DataFrame, block_rows: int, capacity: int, seed: int) -> DataFrame:

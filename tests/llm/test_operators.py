@@ -398,19 +398,34 @@ def test_crossover_and_mutation_keep_every_item_once():
         bins, order = [], np.random.default_rng(seed).permutation(200).tolist()
         packing.best_fit(sizes, order, bins, [], 100)
         people.append(bins)
-    for child in (packing.crossover(sizes, people[0], people[1], 100), packing._mutant(sizes, people[2], 100, rng), packing.evolve(sizes, people[0], 100, 1)):
+    for child in (packing.crossover(sizes, people[0], people[1], 100, rng), packing._mutant(sizes, people[2], 100, rng), packing.evolve(sizes, people[0], 100, 1)):
         assert sorted(i for b in child for i in b) == list(range(200))
         assert all(sum(sizes[i] for i in b) <= 100 for b in child)
 
 
 def test_evolution_beats_first_packing():
-    """Triplets that fill bins exactly: best fit decreasing alone leaves space, injected bins must not get worse."""
-    rng = random.Random(8)
-    sizes = [s for _ in range(40) for a in [rng.randrange(26, 42)] for b in [rng.randrange(26, 74 - a)] for s in (a, b, 100 - a - b)]
-    first: list = []
-    packing.best_fit(sizes, sorted(range(len(sizes)), key=lambda i: -sizes[i]), first, [], 100)
-    found = packing.evolve(sizes, None, 100, 3)
-    assert len(found) <= len(first)
+    """Triplets that fill 40 bins exactly: best fit decreasing needs 45, the evolved packing at most 42."""
+    for seed in range(4):
+        rng = random.Random(8 + seed)
+        sizes = [s for _ in range(40) for a in [rng.randrange(26, 42)] for b in [rng.randrange(26, 74 - a)] for s in (a, b, 100 - a - b)]
+        first: list = []
+        packing.best_fit(sizes, sorted(range(len(sizes)), key=lambda i: -sizes[i]), first, [], 100)
+        found = packing.evolve(sizes, None, 100, seed)
+        assert len(found) < len(first) and len(found) <= 42
+        assert sorted(i for b in found for i in b) == list(range(len(sizes))) and all(sum(sizes[i] for i in b) <= 100 for b in found)
+
+
+def test_migrants_are_not_lost():
+    sizes = [50, 50, 60, 40, 70, 30, 55, 45]
+    guest = [[0, 1], [2, 3], [4, 5], [6, 7]]
+    assert len(packing.evolve(sizes, guest, 100, 0)) == 4
+
+
+def test_swaps_fill_bins_exactly():
+    sizes = [60, 30, 70, 25, 15, 10]
+    bins = [[0, 1]]  # 90 of 100
+    packing.repair(sizes, bins, [2, 3, 4, 5], 100, np.random.default_rng(0))
+    assert sum(sizes[i] for i in bins[0]) == 100 and sorted(i for b in bins for i in b) == list(range(6)) and len(bins) <= 3
 
 
 # --- op10
@@ -518,3 +533,18 @@ def test_language_sample_takes_repeated_rows_once(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     network = language.train(df, "doc_id", "text", "lang", per_lang=2)
     assert network.labels == ["de", "en"]
+
+
+def test_samples_are_the_first_by_hash_for_every_size(spark):
+    from riskframe.llm.common import sample_keys
+
+    rows = [(i, "a" if i % 3 else "b" if i % 2 else None) for i in range(5000)]
+    df = spark.createDataFrame(rows, "doc_id long, label string").repartition(4)
+    order = {r.doc_id: r.h for r in df.select("doc_id", F.xxhash64(F.lit(5), F.col("doc_id")).alias("h")).collect()}
+    for wanted in (1, 40, 1500, 9000):
+        got = sample_keys(df, "doc_id", "label", wanted, seed=5).collect()
+        want = []
+        for label in ("a", "b", None):
+            some = sorted((order[i], i) for i, own in rows if own == label)
+            want += [(i, str(label)) for _, i in some[:wanted]]
+        assert sorted((r.doc_id, str(r.label)) for r in got) == sorted(want)
