@@ -36,12 +36,12 @@ def saved(df: DataFrame, name: str = "step") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
-def small_join(big: DataFrame, small: DataFrame, on: list[str] | Column, how: str = "inner") -> DataFrame:
+def small_join(big: DataFrame, small: DataFrame, on: list[str] | Column, how: str = "inner", rows: int = BROADCAST_ROWS) -> DataFrame:
     """Join with a saved table of narrow rows: broadcast while its counted size is bounded, else an ordinary join.
 
-    ``small`` must be cheap to read twice (saved or a scan of a small file).
+    ``small`` must be cheap to read twice (saved or a scan of a small file). ``rows`` may be greater for narrower rows.
     """
-    if small.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+    if small.limit(rows + 1).count() <= rows:
         small = F.broadcast(small)
     return big.join(small, on, how)
 
