@@ -167,6 +167,21 @@ def fit_stack(
     return stacked, raw.select(key, label, calibrated.alias("prob"))
 
 
+def fold_scores(
+    held_out: DataFrame, label: str = "y_true", key: str = "patient_id", folds: int = 5, seed: int = 42
+) -> DataFrame:
+    """``(fold, n, accuracy)`` of the meta-learner from its out-of-fold probabilities."""
+    placed = with_fold(held_out, key, folds, seed)
+    hit = (argmax("prob") == F.col(label)).cast("int")
+    return placed.groupBy("fold").agg(F.count(F.lit(1)).alias("n"), F.avg(hit).alias("accuracy"))
+
+
+def cross_validated_score(scores: DataFrame) -> tuple[float, float]:
+    """Mean and population deviation of the accuracies of the folds."""
+    found = scores.agg(F.avg("accuracy").alias("m"), F.stddev_pop("accuracy").alias("s")).first()
+    return found["m"], found["s"]
+
+
 def predict_final(
     df: DataFrame, model: StackedModel | None = None, weights: dict[str, float] = MODALITY_WEIGHTS
 ) -> DataFrame:

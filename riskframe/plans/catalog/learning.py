@@ -6,7 +6,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from riskframe.functions.presets import MODALITY_WEIGHTS, SYMPTOMS
-from riskframe.operators import anomaly, clean, entity_text, integrate, models, profile, scorecard, split, stacking
+from riskframe.operators import anomaly, clean, entity_text, forest_search, integrate, models, profile, scorecard, split, stacking
 from riskframe.plans.catalog.fusing import FACTORED, MODALITY_NAMES, SCORING_ACTIONS_SQL, VECTORS, collected, vectors
 from riskframe.plans.catalog.laboratory import latest_wide
 from riskframe.plans.catalog.registry import joined, query, rounded
@@ -112,6 +112,17 @@ def model_forest_grid_search(v):
     return models.grid_scores(v.spark, found).select("depth", "trees", F.col("f1").between(0, 1).alias("in_range"))
 
 
+@query(
+    "model_forest_search",
+    "SELECT depth, trees, true AS in_range FROM (VALUES " + ", ".join(map(str, _GRID)) + ") AS t (depth, trees)",
+)
+def model_forest_search(v):
+    """The same grid from 15 fits instead of 45."""
+    rows = v.patients.na.fill(0, _VITALS).join(v.truth, "patient_id")
+    found = forest_search.search_forest(models.forest_pipeline(_VITALS, "risk_level"), materialize(rows), parallelism=4)
+    return found.frame(v.spark).select("depth", "trees", F.col("f1").between(0, 1).alias("in_range"))
+
+
 _COMPLETE = " AND ".join(f"count(CASE WHEN test_name = '{t}' THEN value END) > 0" for t in LAB_TESTS)
 
 
@@ -186,6 +197,20 @@ def _meta(v):
     return plan, stacked.select("patient_id", "y_true", *[F.col("_meta")[i].alias(n) for i, n in enumerate(names)]), names
 
 
+@query(
+    "model_stack_fold_scores",
+    """
+    SELECT CAST(('0x' || substr(md5(concat('42:', patient_id)), 1, 8))::BIGINT % 5 AS INT) AS fold, count(*) AS n, true AS in_range
+    FROM predictions WHERE model = 'structured' GROUP BY fold
+    """,
+)
+def model_stack_fold_scores(v):
+    _, rows, names = _meta(v)
+    _, held_out = stacking.fit_stack(rows, names)
+    scores = stacking.fold_scores(held_out)
+    return scores.select("fold", "n", F.col("accuracy").between(0, 1).alias("in_range"))
+
+
 @query(
     "model_stacked_probabilities",
     "SELECT patient_id, y_true, 1.0::DOUBLE AS prob_sum, true AS in_range FROM predictions WHERE model = 'structured'",

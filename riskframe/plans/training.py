@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from riskframe.functions.presets import SYMPTOMS
 from riskframe.operators import clean, entity_text, evaluate, fusion, integrate, models, profile, scorecard, split
-from riskframe.operators.stacking import StackedModel, fit_stack
+from riskframe.operators.forest_search import search_forest
+from riskframe.operators.stacking import StackedModel, fit_stack, fold_scores
 from riskframe.plans.scoring import ScoringPlan
 from riskframe.session import materialize
 from riskframe.sources import writers
@@ -49,6 +50,7 @@ class TrainingRun:
     stacked: StackedModel | None = None
     predictions: DataFrame | None = None
     counts: DataFrame | None = None
+    stack_scores: DataFrame | None = None
 
     def metrics(self) -> DataFrame:
         """Long metrics of every modality and of the ensemble, all on held-out rows."""
@@ -65,6 +67,9 @@ class TrainingRun:
             model.write().overwrite().save(f"{path}/models/{name}")
         if self.stacked is not None:
             self.stacked.save(spark, f"{path}/models/ensemble")
+            writers.write_metrics(self.stack_scores, f"{path}/stack_scores")
+        failed = spark.createDataFrame(list(self.failures.items()), "modality string, error string")
+        writers.write_metrics(failed, f"{path}/failures")
         writers.write_metrics(self.metrics(), f"{path}/metrics")
         writers.write_comparison(self.comparison(), f"{path}/comparison")
         writers.write_predictions(self.predictions, f"{path}/predictions")
@@ -125,7 +130,7 @@ def train(
         pipeline = models.forest_pipeline(columns, label, s.forest_trees, s.forest_depth, s.seed, labels=names)
         fit_on = integrate.keep_ids(rows, train_ids, key)
         if s.search_depths and s.search_trees:
-            model = models.grid_search(pipeline, fit_on, key, s.search_depths, s.search_trees).bestModel
+            model = search_forest(pipeline, fit_on, key, s.search_depths, s.search_trees).best
         else:
             model = pipeline.fit(fit_on)
         return model, rows
@@ -188,6 +193,7 @@ def train(
     features = [f"_f{i}" for i in range(n * len(MODALITIES))]
     flat = stacked_rows.select(key, "y_true", *[F.col("_meta")[i].alias(f) for i, f in enumerate(features)])
     run.stacked, out_of_fold = fit_stack(flat, features, "y_true", key, seed=s.seed)
+    run.stack_scores = materialize(fold_scores(out_of_fold, key=key, seed=s.seed))
 
     frames = [
         rows.select(F.lit(name).alias("model"), key, "y_true", fusion.argmax("prob").alias("y_pred"), "prob")
