@@ -36,6 +36,9 @@ def first_trees(
     for size in sizes:
         if not 0 < size <= model.getNumTrees:
             raise ValueError(f"a forest of {model.getNumTrees} trees has no first {size}")
+        if size == model.getNumTrees:
+            found[size] = model
+            continue
         own = f"{base}/{size}"
         for part in ("data", "treesMetadata"):
             rows = spark.read.parquet(f"{base}/all/{part}")  # the first column of both is the number of the tree
