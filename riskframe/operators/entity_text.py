@@ -8,7 +8,7 @@ fitted on the joined texts.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -17,15 +17,16 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer, SQLTransformer
 from pyspark.ml.linalg import Vectors, VectorUDT
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from riskframe.functions.textual import ngrams, tokens
+from riskframe.functions.textual import WORD, ngrams, tokens
 from riskframe.operators import models
 from riskframe.operators.clean import require
 from riskframe.operators.integrate import date_bucket
 from riskframe.operators.prefix import BUCKET_ROWS, adjacent_pairs
+from riskframe.operators.sizing import dealt_by_key
 from riskframe.operators.text import vocabulary
 from riskframe.session import materialize
 
@@ -39,22 +40,52 @@ def entity_terms(
     order: Sequence[str] = ("note_date",),
     bucket: Column | None = None,
     bucket_rows: int = BUCKET_ROWS,
+    words: Vocabulary | None = None,
 ) -> DataFrame:
     """``(key, term, tf)``: words of two or more signs and pairs of neighbouring words of the entity's notes in order.
 
     The counts are those of the notes joined by blanks; notes of equal order are taken in the order of their texts. Notes without
     words, and null texts, add nothing. ``bucket`` is monotone along ``order``; by default it is the day of its first column.
+    With ``words`` only the terms of that vocabulary are counted.
+
+    The notes are moved, not their terms: all notes of an entity come into one task, which counts their terms. Only an entity with more
+    notes than a task gets on average is counted by (key, term), and its notes are ordered in buckets.
     """
     require(df, [key, text, *order])
-    spoken = df.select(key, *order, text, tokens(text).alias("_words")).filter(F.size("_words") > 0)
+    spoken = df.select(key, *order, text).filter(F.regexp_like(F.lower(text), F.lit(rf"{WORD}{{2,}}")))
+    usual, frequent = dealt_by_key(spoken, key, F.octet_length(text))
+    counted = _counted(_terms_of_usual(usual, key, text, order), key, words)
+    if frequent is None:
+        return counted
+    day = date_bucket(order[0]) if bucket is None else bucket
+    return counted.union(_counted(_terms_of_frequent(frequent, key, text, order, day, bucket_rows), key, words))
+
+
+def _counted(rows: DataFrame, key: str, words: Vocabulary | None) -> DataFrame:
+    if words is not None:
+        rows = rows.join(F.broadcast(words.table(rows.sparkSession).select("term")), "term", "left_semi").select(key, "term")
+    return rows.groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
+
+
+def _terms_of_usual(notes: DataFrame, key: str, text: str, order: Sequence[str]) -> DataFrame:
+    """(key, term) of every occurrence; the pair across a border goes with the earlier note."""
+    head = F.element_at(tokens(text), 1)
+    following = F.lead("_head").over(Window.partitionBy(key).orderBy(*order, text))
+    placed = notes.withColumn("_head", head).select(key, text, following.alias("_next")).withColumn("_words", tokens(text))
+    border = F.array(F.concat_ws(" ", F.element_at("_words", -1), "_next"))
+    across = F.when(F.col("_next").isNotNull(), border).otherwise(F.array().cast("array<string>"))
+    return placed.select(key, F.explode(F.concat("_words", ngrams(F.col("_words"), 2), across)).alias("term"))
+
+
+def _terms_of_frequent(notes: DataFrame, key: str, text: str, order: Sequence[str], day: Column, bucket_rows: int) -> DataFrame:
+    spoken = notes.withColumn("_words", tokens(text))
     inside = spoken.select(key, F.explode(F.concat("_words", ngrams(F.col("_words"), 2))).alias("term"))
     ends = spoken.select(
         key, *order, text, F.element_at("_words", 1).alias("_head"), F.element_at("_words", -1).alias("_tail")
     )
-    day = date_bucket(order[0]) if bucket is None else bucket
     borders = adjacent_pairs(ends, [key], [*order, text], "_tail", "_head", day, bucket_rows)
     across = borders.select(key, F.concat_ws(" ", "before", "after").alias("term"))
-    return inside.union(across).groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
+    return inside.union(across)
 
 
 @dataclass
@@ -84,9 +115,9 @@ def entity_weights(terms: DataFrame, words: Vocabulary, key: str = "patient_id")
     weighted = terms.join(table, "term").select(key, F.struct("at", (F.col("tf") * F.col("idf")).alias("w")).alias("_p"))
     packed = weighted.groupBy(key).agg(F.sort_array(F.collect_list("_p")).alias("_p"))
     norm = F.sqrt(F.aggregate("_p", F.lit(0.0), lambda a, p: a + p["w"] * p["w"]))
-    normed = packed.withColumn("_norm", norm)
-    pair = F.transform("_p", lambda p: F.struct(p["at"].alias("at"), (p["w"] / F.col("_norm")).alias("weight")))
-    return normed.select(key, pair.alias("pairs"))
+    # Repeated beside the pairs, the norm is computed once; named inside a lambda it would be computed for every pair.
+    pair = F.zip_with("_p", F.array_repeat(norm, F.size("_p")), lambda p, n: F.struct(p["at"].alias("at"), (p["w"] / n).alias("weight")))
+    return packed.select(key, pair.alias("pairs"))
 
 
 def entity_vectors(
@@ -142,7 +173,7 @@ class EntityTextModel:
 
 def fit_entity_text_classifier(
     entities: DataFrame,
-    terms: DataFrame,
+    terms: DataFrame | Callable[..., DataFrame],
     label: str,
     key: str = "patient_id",
     c: float = 1.0,
@@ -153,9 +184,11 @@ def fit_entity_text_classifier(
     max_features: int = 5000,
 ) -> EntityTextModel:
     """Vocabulary and multinomial logistic regression with the penalty ``1 / (c n)`` on the vectors of ``entities``
-    (one row per key, with ``label``); ``terms`` holds the counts of these entities."""
+    (one row per key, with ``label``); ``terms`` holds the counts of these entities, or counts them when called: then the second
+    pass, with the argument ``words``, counts the terms of the vocabulary only and nothing is saved between."""
     n = entities.count()
-    words = fit_vocabulary(terms, n, min_df, max_df, max_features)
+    words = fit_vocabulary(terms() if callable(terms) else terms, n, min_df, max_df, max_features)
+    terms = terms(words=words) if callable(terms) else terms
     indexed = models.label_indexer(label, labels)
     indexed = indexed.fit(entities) if labels is None else indexed
     prepared = materialize(indexed.transform(entity_vectors(entities, terms, words, key)).select(VECTOR, "label_index"))

@@ -82,3 +82,25 @@ def test_entities_without_known_terms_have_empty_vectors(spark):
 def test_no_row_collects_texts(spark, notes):
     plan = entity_text.entity_terms(notes, order=("note_date", "n"))._jdf.queryExecution().toString()
     assert "collect_list" not in plan and "array_join" not in plan
+
+
+def test_terms_are_counted_without_moving_them(spark):
+    """Notes are dealt by entity; no exchange moves the terms, and the vocabulary is applied before they are counted."""
+    rows = [(i // 2, "2024-01-05", i, f"fever cough w{i % 9} pain") for i in range(4000)]
+    notes = spark.createDataFrame(rows, "patient_id int, note_date string, n int, note_text string")
+    terms = entity_text.entity_terms(notes, order=("note_date", "n"))
+    plan = terms._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 1 and "term" not in plan.split("Exchange ")[1].split("\n")[0]
+    got = {(r["patient_id"], r["term"]): r["tf"] for r in terms.collect()}
+    assert got[3, "fever"] == 2 and got[3, "pain fever"] == 1 and got[3, "w6 pain"] == 1
+    words = entity_text.Vocabulary(["fever", "pain fever"], [1.0, 2.0])
+    some = entity_text.entity_terms(notes, order=("note_date", "n"), words=words).collect()
+    assert {(r["patient_id"], r["term"]): r["tf"] for r in some} == {k: n for k, n in got.items() if k[1] in words.terms}
+
+
+def test_norm_is_computed_once_per_entity(spark):
+    terms = spark.createDataFrame([(1, "a", 3), (1, "b", 4)], "patient_id int, term string, tf long")
+    weights = entity_text.entity_weights(terms, entity_text.Vocabulary(["a", "b"], [1.0, 1.0]))
+    assert [tuple(p) for p in weights.first()["pairs"]] == [(0, 0.6), (1, 0.8)]
+    plan = weights._jdf.queryExecution().optimizedPlan().toString()
+    assert "array_repeat(SQRT" in plan
