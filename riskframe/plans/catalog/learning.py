@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -284,13 +286,15 @@ def batch_scoring_records(v):
     ),
 )
 def model_entity_text_predictions(v):
-    joined = integrate.join_all([clean.drop_missing(v.notes, ["note_text"]), v.truth], ["patient_id"], heavy=True)
-    terms = materialize(entity_text.entity_terms(joined, order=("note_date", "note_id")))
+    notes = clean.drop_missing(v.notes, ["note_text"])
+    joined = integrate.join_all([notes, v.truth], ["patient_id"], heavy=True)
     entities = materialize(joined.select("patient_id", "final_diagnosis").distinct())
-    rows = split.stratified_split(entities, "final_diagnosis")
+    rows = materialize(split.stratified_split(entities, "final_diagnosis"))
     train, test = rows.filter("is_train"), rows.filter("NOT is_train")
-    model = entity_text.fit_entity_text_classifier(train, integrate.keep_ids(terms, train), "final_diagnosis")
-    return _judged(model.predict(test, integrate.keep_ids(terms, test)))
+    order = ("note_date", "note_id")
+    terms = partial(entity_text.entity_terms, integrate.keep_ids(joined, train), order=order)
+    model = entity_text.fit_entity_text_classifier(train, terms, "final_diagnosis")
+    return _judged(model.predict(test, entity_text.entity_terms(integrate.keep_ids(joined, test), order=order, words=model.words)))
 
 
 _SHARES = ("accuracy", "precision_macro", "recall_macro", "f1_macro")
