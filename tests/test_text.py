@@ -86,3 +86,15 @@ def test_row_wise_operators_run_on_a_stream(spark, tmp_path):
     query.awaitTermination(60)
     scores = {r["note_id"]: r["note_severity_score"] for r in spark.table("scored_notes").collect()}
     assert scores == {0: 1, 1: -1}
+
+
+def test_terms_of_unique_notes_are_not_moved(spark):
+    rows = [(i, f"fever cough w{i % 7}") for i in range(3000)] + [(5, "fever"), (6, None)]
+    notes = spark.createDataFrame(rows, "note_id int, note_text string")
+    counts = text.term_counts(notes, "note_id", "note_text")
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 1 and "note_text" in plan.split("Exchange ")[0] + plan.split("Exchange ")[1]
+    got = {(r["note_id"], r["term"]): r["tf"] for r in counts.collect()}
+    assert got[5, "fever"] == 2 and got[5, "cough w5"] == 1 and len(got) == 15000
+    buckets = text.hashed_tfidf_rows(notes, "note_id").select("note_id", "bucket", "tf")
+    assert sum(r["tf"] for r in buckets.collect()) == 9001
