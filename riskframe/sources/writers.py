@@ -25,13 +25,15 @@ def write_bucketed(
     """Parquet in ``buckets`` folders by the hash of the key (one folder per key would be one file per entity).
 
     The rows of the fullest bucket are counted first: each bucket is written by as many tasks as keep a file
-    of that bucket below ``rows_per_file``, chosen by a second hash.
+    of that bucket below ``rows_per_file``, chosen by a second hash. Every such part is a task of its own: dealt by a hash of the part,
+    some tasks would get several, and sort the rows of all of them.
     """
     bucket = F.pmod(F.hash(key), F.lit(buckets)).alias("bucket")
     others = [F.col(c) for c, t in df.dtypes if not t.startswith("map")]
     largest = df.select(bucket).groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
     tasks = max(1, -(-largest // rows_per_file))
-    spread = df.select("*", bucket).repartition("bucket", F.pmod(F.hash(*others), F.lit(tasks)))
+    part = F.pmod(F.hash(*others), F.lit(tasks))
+    spread = df.select("*", bucket).repartitionById(buckets * tasks, F.col("bucket") * F.lit(tasks) + part)
     spread.write.mode(mode).partitionBy("bucket").parquet(path)
 
 

@@ -90,3 +90,15 @@ def test_files_are_written_once_each(spark, tmp_path):
     assert sorted(map(tuple, written.collect())) == [("a/1.bin", 1), ("a/2.bin", 0)]
     found = readers.image_files(spark, str(tmp_path / "files")).select("content").collect()
     assert [bytes(r[0]) for r in found] == [b"x"]  # Spark lists no empty files
+
+
+def test_every_part_of_a_bucket_is_a_task_of_its_own(spark, tmp_path):
+    """Several parts in one task would be sorted together; then some file names would hold more than one bucket."""
+    path = str(tmp_path / "parts")
+    rows = spark.range(4000).withColumnRenamed("id", "patient_id")
+    writers.write_bucketed(rows, path, buckets=16, rows_per_file=100)
+    tasks = {}
+    for file in (tmp_path / "parts").glob("bucket=*/part-*.parquet"):
+        tasks.setdefault(file.name.split("-")[1], set()).add(file.parent.name)
+    assert len(tasks) > 16 and all(len(b) == 1 for b in tasks.values())
+    assert spark.read.parquet(path).count() == 4000
