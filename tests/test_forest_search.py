@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from riskframe.operators import models, stacking
-from riskframe.operators.forest_search import first_trees, search_forest
+from riskframe.operators.forest_search import cut_forests, first_trees, search_forest
 
 
 @pytest.fixture(scope="module")
@@ -53,3 +53,37 @@ def test_fold_scores(spark):
     assert right == pytest.approx(sum(i % 2 == (1 if i % 4 else 0) for i in range(100)))
     mean, spread = stacking.cross_validated_score(scores)
     assert mean == pytest.approx(sum(r["accuracy"] for r in rows) / 5) and spread >= 0
+
+
+def test_cut_trees_are_trees_of_that_depth(spark, rows):
+    """One tree of all features is the same for every depth up to the depth itself, so the cut one can be compared with a fit."""
+
+    def forest(depth):
+        pipeline = models.forest_pipeline(["a", "b", "c"], "label", trees=1, depth=depth)
+        pipeline.getStages()[-1].setBootstrap(False).setFeatureSubsetStrategy("all")
+        return pipeline.fit(rows)
+
+    deep = forest(7)
+    data = rows
+    for prepared in deep.stages[:-1]:
+        data = prepared.transform(data)
+    cut = cut_forests(spark, deep.stages[-1], [0, 2, 4, 7], [1])
+    same = lambda m: [tuple(r["probability"]) for r in m.transform(data).orderBy("patient_id").select("probability").collect()]
+    for depth in (0, 2, 4, 7):
+        fitted, got = forest(depth).stages[-1], cut[depth, 1]
+        assert got.trees[0].toDebugString.split("\n")[1:] == fitted.trees[0].toDebugString.split("\n")[1:]
+        assert same(got) == same(fitted) and got.getMaxDepth() == depth
+    with pytest.raises(ValueError, match="no depth 8"):
+        cut_forests(spark, deep.stages[-1], [8], [1])
+
+
+def test_grid_search_fits_one_forest_per_fold(spark, rows, monkeypatch):
+    fits = []
+    fit = models.RandomForestClassifier._fit
+    monkeypatch.setattr(models.RandomForestClassifier, "_fit", lambda self, df: fits.append(self.getMaxDepth()) or fit(self, df))
+    found = models.grid_search(models.forest_pipeline(["a", "b", "c"], "label"), rows, depths=(1, 4), trees=(2, 12), folds=3)
+    assert sorted(fits)[-3:] == [4, 4, 4] and len(fits) == 4
+    scores = {(r["depth"], r["trees"]): r["f1"] for r in models.grid_scores(spark, found).collect()}
+    assert set(scores) == {(1, 2), (1, 12), (4, 2), (4, 12)} and 0.6 < max(scores.values()) <= 1
+    best = found.bestModel.stages[-1]
+    assert scores[best.getMaxDepth(), best.getNumTrees] == max(scores.values()) and found.getNumFolds() == 3
