@@ -98,3 +98,31 @@ def test_terms_of_unique_notes_are_not_moved(spark):
     assert got[5, "fever"] == 2 and got[5, "cough w5"] == 1 and len(got) == 15000
     buckets = text.hashed_tfidf_rows(notes, "note_id").select("note_id", "bucket", "tf")
     assert sum(r["tf"] for r in buckets.collect()) == 9001
+
+
+def test_models_get_bounded_groups_of_files(spark, monkeypatch):
+    """Whatever the rows of a batch, a model sees about ``FILE_BYTES`` at once; null and empty files come back too."""
+    bodies = [b"a" * 5000 for _ in range(40)] + [None, b"", b"\x00\xff" * 3]
+    files = spark.createDataFrame(list(enumerate(bodies)), "page_id long, content binary").coalesce(1)
+
+    def sizes():
+        def predict(contents):
+            total = sum(len(c) for c in contents)
+            if total > 20000:
+                raise ValueError("too many at once")
+            return [[float(total)] for _ in contents]
+
+        return predict
+
+    monkeypatch.setattr(text, "FILE_BYTES", 10000)
+    rows = {r["page_id"]: r for r in text.embed_files(files, keep=["page_id"], make_model=sizes, dim=1).collect()}
+    assert len(rows) == 43 and max(r["embedding"][0] for r in rows.values()) == 10000.0 and not rows[40]["ok"] and rows[41]["ok"]
+    found = {r["page_id"]: r for r in text.embed_files(files, keep=["page_id"]).collect()}
+    assert [found[i]["ok"] for i in (0, 40, 41, 42)] == [True, False, False, True]
+    assert found[0]["embedding"][24] == 1.0 and found[42]["embedding"][0] == found[42]["embedding"][63] == 0.5
+
+
+def test_hashed_vectors_of_empty_and_null_texts(spark):
+    rows = spark.createDataFrame([(0, None), (1, "? "), (2, "a b b")], "i int, t string")
+    got = {r["i"]: sorted(r["embedding"], reverse=True)[:2] for r in text.embed(rows, "t").collect()}
+    assert got == {0: [0.0, 0.0], 1: [0.0, 0.0], 2: [2 / 5**0.5, 1 / 5**0.5]}
