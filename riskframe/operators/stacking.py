@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import json
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 import numpy as np
+from pyspark import inheritable_thread_target
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -33,16 +35,17 @@ def fit_sigmoids(
         tuple(r[k] for k in keys): ((r["p"] + 1.0) / (r["p"] + 2.0), 1.0 / (r["q"] + 2.0)) for r in sizes
     }
     joined = F.concat_ws("|", *[F.col(k).cast("string") for k in keys])
+    places = F.create_map(*[x for i, k in enumerate(fitted) for x in (F.lit("|".join(map(str, k))), F.lit(i))])
+    placed = df.select(*keys, score, target, places[joined].alias("_at"))  # a key's text is looked up once, not in every round
 
     def lookup(values: dict) -> Column:
-        entries = [x for k, value in values.items() for x in (F.lit("|".join(map(str, k))), F.lit(float(value)))]
-        return F.create_map(*entries)[joined]
+        return F.get(F.array(*[F.lit(float(values[k])) for k in fitted]), F.col("_at"))
 
     s = F.col(score)
     goal = F.when(F.col(target) == 1, lookup({k: g[0] for k, g in goals.items()})).otherwise(
         lookup({k: g[1] for k, g in goals.items()})
     )
-    ready = materialize(df.select(*keys, score, goal.alias("_goal")))
+    ready = materialize(placed.select(*keys, score, "_at", goal.alias("_goal")))
     for _ in range(max_iter):
         a, b = lookup({k: v[0] for k, v in fitted.items()}), lookup({k: v[1] for k, v in fitted.items()})
         p = F.lit(1.0) / (F.lit(1.0) + F.exp(-(a * s + b)))
@@ -142,10 +145,10 @@ def fit_stack(
     )
     n_classes = int(prepared.agg(F.max(label)).first()[0]) + 1
     counts = {r["fold"]: r["n"] for r in prepared.groupBy("fold").agg(F.count(F.lit(1)).alias("n")).collect()}
-    models, held_out = [], []
-    for fold in range(folds):
+
+    def fitted(fold: int) -> LogisticRegressionModel:
         rows = sum(n for f, n in counts.items() if f != fold)
-        model = LogisticRegression(
+        return LogisticRegression(
             featuresCol="_x",
             labelCol=label,
             family="multinomial",
@@ -153,7 +156,12 @@ def fit_stack(
             regParam=1.0 / (c * max(rows, 1)),
             maxIter=max_iter,
         ).fit(prepared.filter(F.col("fold") != fold))
-        models.append(model)
+
+    # The rounds of a fit are short jobs, so those of two folds fill the cores better than those of one.
+    with ThreadPoolExecutor(2) as pool:
+        models = list(pool.map(inheritable_thread_target(df.sparkSession)(fitted), range(folds)))
+    held_out = []
+    for fold, model in enumerate(models):
         scored = model.transform(prepared.filter(F.col("fold") == fold))
         held_out.append(scored.select(key, label, "fold", vector_to_array("rawPrediction").alias("raw")))
     raw = materialize(stack(held_out))
