@@ -10,9 +10,8 @@ from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.feature import (
-    IDF,
     PCA,
-    CountVectorizer,
+    CountVectorizerModel,
     ElementwiseProduct,
     NGram,
     Normalizer,
@@ -30,6 +29,7 @@ from pyspark.sql import functions as F
 
 from riskframe.operators.explore import standardize_columns
 from riskframe.operators.profile import numeric_columns
+from riskframe.operators.text import most_frequent
 
 
 def assemble(
@@ -152,15 +152,24 @@ def fit_text_vectorizer(
     max_df: float = 0.95,
 ) -> PipelineModel:
     """Words and word pairs, the most frequent terms, smoothed idf plus one, unit length."""
-    # A share of 1 means no upper limit; the vectorizer would read it as one document.
-    limit = max_df if max_df < 1 else float(2**53)
-    counter = CountVectorizer(inputCol="_grams", outputCol="_tf", vocabSize=max_features, minDF=min_df, maxDF=limit)
-    counted = Pipeline(stages=[*word_stages(text), counter]).fit(df)
-    idf = IDF(inputCol="_tf", outputCol="_idf").fit(counted.transform(df))
-    weights = Vectors.dense(np.asarray(idf.idf.toArray()) + 1.0)
+    cut = Pipeline(stages=word_stages(text)).fit(df)
+    grams = cut.transform(df).select("_grams")
+    # Every occurrence counts for the total, the first one in a text for the texts; only distinct terms are moved.
+    marked = lambda terms, first: F.transform(terms, lambda t: F.struct(t.alias("term"), F.lit(first).alias("first")))
+    terms = F.concat(marked(F.col("_grams"), 0), marked(F.array_distinct("_grams"), 1))
+    seen = grams.select(F.explode(terms).alias("t")).groupBy("t.term").agg(
+        F.sum("t.first").alias("df"), F.sum(1 - F.col("t.first")).alias("total")
+    )
+    kept = most_frequent(seen, F.lit(df.count()), min_df, max_df, max_features)
+    words = kept.orderBy(F.desc("total"), "term").collect()  # at most ``max_features`` rows
+    if not words:
+        raise ValueError(f"no term is in {min_df} texts or more and in at most a share of {max_df}")
+    counter = CountVectorizerModel.from_vocabulary([r["term"] for r in words], inputCol="_grams", outputCol="_tf")
+    weights = Vectors.dense([r["idf"] for r in words])
     return PipelineModel(
         [
-            *counted.stages,
+            *cut.stages,
+            counter,
             ElementwiseProduct(scalingVec=weights, inputCol="_tf", outputCol="_weighted"),
             Normalizer(p=2.0, inputCol="_weighted", outputCol=output),
             SQLTransformer(statement="SELECT * EXCEPT (_words, _pairs, _grams, _tf, _weighted) FROM __THIS__"),

@@ -167,3 +167,16 @@ def test_training_run_round_trip(spark, small, tmp_path):
     back = read_predictions(spark, f"{folder}/predictions", run.predictions.schema)
     same = sorted((r["model"], r["patient_id"], [round(p, 9) for p in r["prob"]]) for r in back.collect())
     assert same == sorted((r["model"], r["patient_id"], [round(p, 9) for p in r["prob"]]) for r in run.predictions.collect())
+
+
+def test_vocabulary_of_texts_is_counted_in_one_pass(spark, monkeypatch):
+    """Terms by total count, equal ones alphabetical; weights from the number of texts with the term."""
+    texts = ["bb aa bb", "aa cc bb", "cc dd", None, "aa"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, note_text string")
+    model = models.fit_text_vectorizer(df, max_df=0.7)
+    counter = next(s for s in model.stages if hasattr(s, "vocabulary"))
+    assert counter.vocabulary == ["aa", "bb", "cc"]  # the last share: 3 of 5 texts
+    weights = next(s for s in model.stages if hasattr(s, "getScalingVec")).getScalingVec().toArray().tolist()
+    assert weights == pytest.approx([np.log(6 / (n + 1)) + 1 for n in (3, 2, 2)])
+    with pytest.raises(ValueError, match="no term"):
+        models.fit_text_vectorizer(df.limit(0))
