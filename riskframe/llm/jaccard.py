@@ -1,6 +1,8 @@
 """Near duplicates by similarity: documents whose sets of word shingles have a Jaccard similarity of at least ``share``.
 
-No pair is lost. Two sets of sizes a and b with similarity t or more share one of their first ``a - ceil(t a) + 1`` and
+First the SimHash fingerprints of the shingles are linked by radius searches in BK-trees (``simhash``), and each link is checked with
+the whole sets. A similarity of 0.8 may be more bits apart than trees can search, so an exact search follows for what they do not reach.
+No pair is lost there. Two sets of sizes a and b with similarity t or more share one of their first ``a - ceil(t a) + 1`` and
 ``b - ceil(t b) + 1`` shingles in any common order (prefix filter). The order puts shingles that are frequent in a
 bounded sample last, so lines that many documents repeat hardly propose candidates; the sample decides nothing else.
 Documents with equal sets are one node. A shingle first proposes links to the smallest node that has it only. A proposal is first
@@ -27,7 +29,7 @@ from pyspark.sql import functions as F
 
 from riskframe.llm.common import rows_of, saved, small_join
 from riskframe.llm.decontam import window_hashes
-from riskframe.llm.simhash import components, keep_smallest
+from riskframe.llm.simhash import components, fingerprint, keep_smallest, near_links
 from riskframe.operators.sizing import skewed_join
 
 SHINGLE, TENTHS = 5, 8  # similarity in tenths: whole numbers keep the bound exact
@@ -90,7 +92,8 @@ def _node(values: np.ndarray) -> int:
 
 
 def _marked(df: DataFrame, key: str, text: str, size: int, tenths: int, sent: Broadcast) -> DataFrame:
-    """(key, mark, node, n, tokens) of each row: the hash of its text, the hash and size of its set and the first shingles of it."""
+    """(key, mark, node, n, fp, tokens) of each row: the hash of its text, the hash and size of its set, its fingerprint and the first
+    shingles of it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         try:
@@ -101,16 +104,17 @@ def _marked(df: DataFrame, key: str, text: str, size: int, tenths: int, sent: Br
                     batch.column(1),
                     pa.array([_node(s) for s in sets], pa.int64()),
                     pa.array([len(s) for s in sets], pa.int32()),
+                    pa.array(np.array([fingerprint(t, size) for (t,) in rows_of(batch, "_text")], "<u8").view("<i8")),
                     pa.array([_prefix(s, *sent.value, tenths) for s in sets], pa.list_(pa.int64())),
                 ]
-                yield pa.RecordBatch.from_arrays(columns, names=[key, "mark", "node", "n", "tokens"])
+                yield pa.RecordBatch.from_arrays(columns, names=[key, "mark", "node", "n", "fp", "tokens"])
         finally:
             _CODES.clear()
 
     kind = df.schema[key].dataType.simpleString()
     body = F.col(text).cast("string")
     rows = df.select(F.col(key), F.xxhash64(body).alias("mark"), body.alias("_text"))
-    return rows.mapInArrow(run, f"`{key}` {kind}, mark bigint, node bigint, n int, tokens array<bigint>")
+    return rows.mapInArrow(run, f"`{key}` {kind}, mark bigint, node bigint, n int, fp bigint, tokens array<bigint>")
 
 
 def _sets(df: DataFrame, text: str, size: int, wanted: DataFrame) -> DataFrame:
@@ -182,13 +186,27 @@ def _checked(pairs: DataFrame, df: DataFrame, text: str, size: int, marks: DataF
     return _both(pairs, sets, "tokens").filter(similar).select("a", "b")
 
 
+def _close(distinct: DataFrame) -> DataFrame:
+    """Saved pairs (a, b) of the saved nodes with equal fingerprints, or with fingerprints that BK-trees link. Of the nodes with one
+    fingerprint, all are paired with the smallest only."""
+    heads = saved(distinct.groupBy("fp").agg(F.min("node").alias("head")), "heads")
+    linked = near_links(heads.select("fp"))
+    own, other = (heads.select(F.col("fp").alias(s), F.col("head").alias(f"head_{s}")) for s in ("a", "b"))
+    between = small_join(small_join(linked, own, ["a"]), other, ["b"]).select(F.col("head_a").alias("a"), F.col("head_b").alias("b"))
+    equal = skewed_join(distinct.select("fp", "node"), heads, ["fp"]).select(F.col("head").alias("a"), F.col("node").alias("b"))
+    pairs = between.union(equal).filter(F.col("a") != F.col("b"))
+    return saved(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "close")
+
+
 def near_duplicates(
     df: DataFrame, key: str = "doc_id", text: str = "text", size: int = SHINGLE, tenths: int = TENTHS
 ) -> DataFrame:
     """One row (key, node, component) per input row: its set's hash and the smallest key of its component."""
     sent = df.sparkSession.sparkContext.broadcast(_frequent(df, text, size))
     marked = saved(_marked(df, key, text, size, tenths, sent), "marked")
-    distinct = saved(marked.groupBy("node").agg(F.min(key).alias("least"), F.min("mark").alias("mark")), "distinct")
+    distinct = saved(marked.groupBy("node").agg(F.min(key).alias("least"), F.min("mark").alias("mark"), F.min("fp").alias("fp")), "distinct")
+    close = _close(distinct)
+    near = saved(_checked(close, df, text, size, distinct.select("node", "mark"), tenths), "links")
     # One row per node, found by its key without moving the shingles; repeated rows of one key go with distinct() below.
     least = distinct.select("node", "least")
     prefixes = small_join(marked, least, ["node"]).filter(F.col(key).eqNullSafe(F.col("least"))).select("node", "n", "tokens")
@@ -199,9 +217,11 @@ def near_duplicates(
     first = postings.groupBy("token").agg(F.min("node").alias("a"), F.min_by("n", "node").alias("m"))
     alike = 10 * F.least("n", "m") >= tenths * F.greatest("n", "m")
     pairs = skewed_join(postings, first, ["token"]).filter((F.col("a") < F.col("node")) & alike)
-    pairs = saved(pairs.select("a", F.col("node").alias("b")).distinct(), "pairs")
+    pairs = pairs.select("a", F.col("node").alias("b")).distinct()
+    pairs = saved(pairs.join(close, ["a", "b"], "left_anti"), "pairs")
     possible = _possible(pairs, prefixes, tenths, sent)
-    links = saved(_checked(possible, df, text, size, distinct, tenths), "links")
+    marks = distinct.select("node", "mark")
+    links = saved(near.union(_checked(possible, df, text, size, marks, tenths)), "links")
     roots = saved(components(links), "roots")
     placed = small_join(postings, roots, ["node"], "left").withColumn("root", F.coalesce("root", "node"))
     mixed = placed.groupBy("token").agg(F.min("root").alias("_low"), F.max("root").alias("_high"))
@@ -215,7 +235,7 @@ def near_duplicates(
     beyond = F.greatest(*[F.ceil(F.col(size) * tenths / 10) - 1 for size in ("n", "m")])
     rest = rest.filter((10 + tenths) * (F.col("c") + beyond) >= tenths * (F.col("n") + F.col("m"))).select("a", "b")
     rest = _possible(saved(rest.join(pairs, ["a", "b"], "left_anti"), "rest"), prefixes, tenths, sent)
-    links = saved(links.union(_checked(rest, df, text, size, distinct, tenths)), "links")
+    links = saved(links.union(_checked(rest, df, text, size, marks, tenths)), "links")
     roots = saved(components(links), "roots")
     owned = small_join(distinct, roots, ["node"], "left").withColumn("root", F.coalesce("root", "node"))
     smallest = owned.groupBy("root").agg(F.min("least").alias("component"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from itertools import combinations
 
 import corpus_pipeline
-from riskframe.llm import jaccard
+from riskframe.llm import jaccard, simhash
 from tests.llm.test_operators import odd
 
 FOLDER = "/root/testdata/sf0.01"
@@ -65,3 +65,19 @@ def test_odd_and_empty_tables(spark):
     kept = jaccard.keep_first(odd(spark))
     assert kept.columns == odd(spark).columns
     assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == [1, 7, 8]
+
+
+def test_fingerprints_in_trees_link_and_the_sets_decide(spark, monkeypatch):
+    """Without the search by prefixes the BK-trees still link near copies, and only those whose sets are similar enough."""
+    words = [f"w{i}" for i in range(400)]
+    base = " ".join(words)
+    near = next(t for i in range(3, 390) if (simhash.fingerprint(base, 5) ^ simhash.fingerprint(t := " ".join([*words[:i], "x", *words[i + 1 :]]), 5)).bit_count() <= 4)
+    other = " ".join(f"v{i}" for i in range(300))
+    repeated = " ".join([*words] * 3 + ["end"])  # other repeats, nearly the same set
+    df = spark.createDataFrame([(1, base), (2, near), (3, other), (4, base), (5, None), (6, ""), (7, repeated)], "doc_id long, text string")
+    monkeypatch.setattr(jaccard, "_possible", lambda pairs, *_: pairs.limit(0))
+    got = {r.doc_id: r.component for r in jaccard.near_duplicates(df).collect()}
+    assert {k: got[k] for k in (1, 2, 3, 4, 5, 6)} == {1: 1, 2: 1, 3: 3, 4: 1, 5: 5, 6: 5}
+    monkeypatch.setattr(jaccard, "near_links", lambda distinct: distinct.crossJoin(distinct.toDF("b")).toDF("a", "b"))
+    got = {r.doc_id: r.component for r in jaccard.near_duplicates(df).collect()}
+    assert got == brute({r.doc_id: r.text for r in df.collect()})
