@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 from dataclasses import dataclass, field
+from functools import partial
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -138,13 +139,17 @@ def train(
     def nlp() -> tuple[PipelineModel, DataFrame, PipelineModel]:
         joined = integrate.join_all([notes, labelled.select(key, label)], [key], heavy=True)
         spoken = clean.drop_missing(joined, ["note_text"])
-        terms = materialize(entity_text.entity_terms(spoken, key, "note_text", s.note_order))
         entities = materialize(spoken.select(key, label).distinct())
+        terms_of = lambda ids: partial(
+            entity_text.entity_terms, integrate.keep_ids(spoken, ids, key), key, "note_text", s.note_order
+        )
         model = entity_text.fit_entity_text_classifier(
-            integrate.keep_ids(entities, train_ids, key), integrate.keep_ids(terms, train_ids, key),
+            integrate.keep_ids(entities, train_ids, key), terms_of(train_ids),
             label, key, max_features=s.text_features, labels=names,
         )
-        return model.for_texts("note_text"), model.vectors(entities, terms, key), model.classifier
+        # Only the held-out entities are scored.
+        vectors = model.vectors(integrate.keep_ids(entities, test_ids, key), terms_of(test_ids)(words=model.words), key)
+        return model.for_texts("note_text"), vectors, model.classifier
 
     def lab() -> tuple[PipelineModel, DataFrame]:
         tests = list(s.lab_tests) or sorted(r[0] for r in labs.select("test_name").distinct().collect())
