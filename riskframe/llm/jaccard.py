@@ -5,11 +5,14 @@ the whole sets. A similarity of 0.8 may be more bits apart than trees can search
 No pair is lost there. Two sets of sizes a and b with similarity t or more share one of their first ``a - ceil(t a) + 1`` and
 ``b - ceil(t b) + 1`` shingles in any common order (prefix filter). The order puts shingles that are frequent in a
 bounded sample last, so lines that many documents repeat hardly propose candidates; the sample decides nothing else.
-Documents with equal sets are one node. A shingle first proposes links to the smallest node that has it only. A proposal is first
+Documents with equal sets are one node. A shingle first proposes links to the smallest node that has it only, and of the nodes
+proposed to it each node takes the one it has most shingles in common with. A proposal is first
 held against the two prefixes: up to the smaller of their last shingles both sets are known, and beyond it they have no more in
 common than the rest of the smaller one. What cannot reach the similarity goes; this loses none, and few whole sets are needed.
 The others are checked with the whole sets. Then the pairs of different components that are still unchecked are proposed, and
-checked in the same way. Pairs inside a component need no check.
+checked in the same way. Pairs inside a component need no check. Each node carries how many of its shingles fall into each of some
+slots, odd or even, as bits. Two sets differ in at least as many shingles as such bits differ; where that is too many, a shared shingle
+proposes nothing, so shingles that ever more documents share do not make ever more pairs.
 
 Defined results: texts without words have equal (empty) sets; a text of fewer words than a shingle is one shingle; a null id
 is ignored when the smallest id is taken; repeated rows keep one result row each.
@@ -24,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.llm.common import rows_of, saved, small_join
@@ -91,9 +94,32 @@ def _node(values: np.ndarray) -> int:
     return int(np.uint64(xxhash.xxh64_intdigest(values.tobytes())).view(np.int64))
 
 
+def _parities(values: np.ndarray) -> np.ndarray:
+    """Whether the number of shingles in each slot is odd, 64 slots a number. Half as many slots as shingles at least, a power of two of
+    numbers: more are folded into fewer by XOR of their halves."""
+    words = 1 << max(0, (len(values) - 1) // 128).bit_length()
+    slots = np.bincount(values & (64 * words - 1), minlength=64 * words) & 1
+    return np.packbits(slots.astype(np.uint8), bitorder="little").view("<i8")
+
+
+def _unlike(a: str, b: str) -> Column:
+    """The least number of shingles in which the sets with these parities differ; 0 where one has more than twice the numbers."""
+
+    def folded(bits: Column) -> Column:
+        half = (F.size(bits) / 2).cast("int")
+        return F.zip_with(F.slice(bits, 1, half), F.slice(bits, half + 1, half), lambda x, y: x.bitwiseXOR(y))
+
+    def apart(x: Column, y: Column) -> Column:
+        return F.aggregate(F.zip_with(x, y, lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda t, d: t + d)
+
+    x, y = F.col(a), F.col(b)
+    unequal = F.when(F.size(x) == 2 * F.size(y), apart(folded(x), y)).when(F.size(y) == 2 * F.size(x), apart(x, folded(y)))
+    return F.when(F.size(x) == F.size(y), apart(x, y)).otherwise(F.coalesce(unequal, F.lit(0)))
+
+
 def _marked(df: DataFrame, key: str, text: str, size: int, tenths: int, sent: Broadcast) -> DataFrame:
-    """(key, mark, node, n, fp, tokens) of each row: the hash of its text, the hash and size of its set, its fingerprint and the first
-    shingles of it."""
+    """(key, mark, node, n, fp, bits, tokens) of each row: the hash of its text, the hash and size of its set, its fingerprint, parities
+    and first shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         try:
@@ -105,16 +131,17 @@ def _marked(df: DataFrame, key: str, text: str, size: int, tenths: int, sent: Br
                     pa.array([_node(s) for s in sets], pa.int64()),
                     pa.array([len(s) for s in sets], pa.int32()),
                     pa.array(np.array([fingerprint(t, size) for (t,) in rows_of(batch, "_text")], "<u8").view("<i8")),
+                    pa.array([_parities(s) for s in sets], pa.list_(pa.int64())),
                     pa.array([_prefix(s, *sent.value, tenths) for s in sets], pa.list_(pa.int64())),
                 ]
-                yield pa.RecordBatch.from_arrays(columns, names=[key, "mark", "node", "n", "fp", "tokens"])
+                yield pa.RecordBatch.from_arrays(columns, names=[key, "mark", "node", "n", "fp", "bits", "tokens"])
         finally:
             _CODES.clear()
 
     kind = df.schema[key].dataType.simpleString()
     body = F.col(text).cast("string")
     rows = df.select(F.col(key), F.xxhash64(body).alias("mark"), body.alias("_text"))
-    return rows.mapInArrow(run, f"`{key}` {kind}, mark bigint, node bigint, n int, fp bigint, tokens array<bigint>")
+    return rows.mapInArrow(run, f"`{key}` {kind}, mark bigint, node bigint, n int, fp bigint, bits array<bigint>, tokens array<bigint>")
 
 
 def _sets(df: DataFrame, text: str, size: int, wanted: DataFrame) -> DataFrame:
@@ -204,7 +231,8 @@ def near_duplicates(
     """One row (key, node, component) per input row: its set's hash and the smallest key of its component."""
     sent = df.sparkSession.sparkContext.broadcast(_frequent(df, text, size))
     marked = saved(_marked(df, key, text, size, tenths, sent), "marked")
-    distinct = saved(marked.groupBy("node").agg(F.min(key).alias("least"), F.min("mark").alias("mark"), F.min("fp").alias("fp")), "distinct")
+    own = F.min(key).alias("least"), F.min("mark").alias("mark"), F.min("fp").alias("fp"), F.first("bits").alias("bits")
+    distinct = saved(marked.groupBy("node").agg(*own), "distinct")
     close = _close(distinct)
     near = saved(_checked(close, df, text, size, distinct.select("node", "mark"), tenths), "links")
     # One row per node, found by its key without moving the shingles; repeated rows of one key go with distinct() below.
@@ -217,8 +245,8 @@ def near_duplicates(
     first = postings.groupBy("token").agg(F.min("node").alias("a"), F.min_by("n", "node").alias("m"))
     alike = 10 * F.least("n", "m") >= tenths * F.greatest("n", "m")
     pairs = skewed_join(postings, first, ["token"]).filter((F.col("a") < F.col("node")) & alike)
-    pairs = pairs.select("a", F.col("node").alias("b")).distinct()
-    pairs = saved(pairs.join(close, ["a", "b"], "left_anti"), "pairs")
+    pairs = pairs.groupBy("a", F.col("node").alias("b")).agg(F.count(F.lit(1)).alias("c")).join(close, ["a", "b"], "left_anti")
+    pairs = saved(pairs.groupBy("b").agg(F.max_by("a", F.struct("c", "a")).alias("a")).select("a", "b"), "pairs")
     possible = _possible(pairs, prefixes, tenths, sent)
     marks = distinct.select("node", "mark")
     links = saved(near.union(_checked(possible, df, text, size, marks, tenths)), "links")
@@ -226,10 +254,13 @@ def near_duplicates(
     placed = small_join(postings, roots, ["node"], "left").withColumn("root", F.coalesce("root", "node"))
     mixed = placed.groupBy("token").agg(F.min("root").alias("_low"), F.max("root").alias("_high"))
     mixed = saved(mixed.filter(F.col("_low") != F.col("_high")).select("token"), "mixed")
-    placed = saved(small_join(placed, mixed, ["token"], rows=NUMBERS), "placed")
-    other = placed.select("token", F.col("node").alias("b"), F.col("n").alias("m"), F.col("root").alias("_root"))
-    rest = skewed_join(placed.withColumnRenamed("node", "a"), other, ["token"])
-    rest = rest.filter((F.col("a") < F.col("b")) & (F.col("root") != F.col("_root")) & alike)
+    placed = small_join(placed, mixed, ["token"], rows=NUMBERS).join(distinct.select("node", "bits"), "node")
+    placed = saved(placed.select("token", "node", "n", "root", "bits"), "placed")
+    one, other = (placed.toDF("token", *names) for names in (("a", "n", "root", "bits"), ("b", "m", "_root", "_bits")))
+    # Similar sets of n and m shingles have (n + m) t / (1 + t) or more in common and differ in (n + m) (1 - t) / (1 + t) at most.
+    near_enough = (10 + tenths) * _unlike("bits", "_bits") <= (10 - tenths) * (F.col("n") + F.col("m"))
+    rest = skewed_join(one, other, ["token"])
+    rest = rest.filter((F.col("a") < F.col("b")) & (F.col("root") != F.col("_root")) & alike & near_enough)
     # All first shingles that nodes of different components share are mixed, so this counts what their prefixes have in common.
     rest = rest.groupBy("a", "b", "n", "m").agg(F.count(F.lit(1)).alias("c"))
     beyond = F.greatest(*[F.ceil(F.col(size) * tenths / 10) - 1 for size in ("n", "m")])

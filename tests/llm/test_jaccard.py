@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from itertools import combinations
 
+import numpy as np
+
 import corpus_pipeline
 from riskframe.llm import jaccard, simhash
 from tests.llm.test_operators import odd
@@ -81,3 +83,28 @@ def test_fingerprints_in_trees_link_and_the_sets_decide(spark, monkeypatch):
     monkeypatch.setattr(jaccard, "near_links", lambda distinct: distinct.crossJoin(distinct.toDF("b")).toDF("a", "b"))
     got = {r.doc_id: r.component for r in jaccard.near_duplicates(df).collect()}
     assert got == brute({r.doc_id: r.text for r in df.collect()})
+
+
+def test_common_passage_proposes_few_pairs(spark, monkeypatch):
+    """Documents with a long passage in common but too little for a link: each proposes a pair or two, not one with each other."""
+    common = [f"c{i}" for i in range(180)]
+    texts = {n: " ".join([*common, *[f"w{n}x{i}" for i in range(120)]]) for n in range(40)}
+    texts |= {100 + n: f"{texts[n]} end" for n in range(0, 40, 10)}
+    proposed, possible = [], jaccard._possible
+    monkeypatch.setattr(jaccard, "OFTEN", 1 << 30)  # the order does not put the passage last
+    monkeypatch.setattr(jaccard, "_possible", lambda pairs, *rest: proposed.append(pairs.count()) or possible(pairs, *rest))
+    got = {r.doc_id: r.component for r in jaccard.near_duplicates(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()}
+    assert got == brute(texts) and got[130] == 30
+    assert sum(proposed) <= 2 * len(texts)
+
+
+def test_parities_never_overstate_a_difference(spark):
+    rng = np.random.default_rng(1)
+    sets = []
+    for n in (0, 1, 2, 60, 129, 130, 500, 1100):
+        one = np.unique(rng.integers(-(1 << 62), 1 << 62, n))
+        sets += [(one, one), (one, one[: len(one) * 4 // 5]), (one, np.unique(np.concatenate([one[n // 9 :], rng.integers(0, 1 << 62, n // 3)])))]
+    rows = [(jaccard._parities(a).tolist(), jaccard._parities(b).tolist(), len(np.setxor1d(a, b))) for a, b in sets]
+    df = spark.createDataFrame(rows, "a array<long>, b array<long>, apart int").select(jaccard._unlike("a", "b").alias("least"), "apart")
+    found = df.collect()
+    assert all(r["least"] <= r["apart"] for r in found) and any(r["least"] > 0.7 * r["apart"] > 50 for r in found)
