@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.ml import Pipeline
 from pyspark.sql import functions as F
 
 from riskframe.operators import models, stacking
@@ -87,3 +88,11 @@ def test_grid_search_fits_one_forest_per_fold(spark, rows, monkeypatch):
     assert set(scores) == {(1, 2), (1, 12), (4, 2), (4, 12)} and 0.6 < max(scores.values()) <= 1
     best = found.bestModel.stages[-1]
     assert scores[best.getMaxDepth(), best.getNumTrees] == max(scores.values()) and found.getNumFolds() == 3
+
+
+def test_forest_keeps_node_ids_and_grows_the_same_trees(spark, rows):
+    *before, forest = models.forest_pipeline(["a", "b", "c"], "label", trees=8, depth=6).getStages()
+    assert forest.getCacheNodeIds()
+    data = Pipeline(stages=before).fit(rows).transform(rows)
+    kept, walked = (forest.copy({forest.cacheNodeIds: flag}).fit(data) for flag in (True, False))
+    assert [t.toDebugString.split("\n", 1)[1] for t in kept.trees] == [t.toDebugString.split("\n", 1)[1] for t in walked.trees]
