@@ -9,10 +9,14 @@ Documents with equal sets are one node. A shingle first proposes links to the sm
 proposed to it each node takes the one it has most shingles in common with. A proposal is first
 held against the two prefixes: up to the smaller of their last shingles both sets are known, and beyond it they have no more in
 common than the rest of the smaller one. What cannot reach the similarity goes; this loses none, and few whole sets are needed.
-The others are checked with the whole sets. Then the pairs of different components that are still unchecked are proposed, and
-checked in the same way. Pairs inside a component need no check. Each node carries how many of its shingles fall into each of some
-slots, odd or even, as bits. Two sets differ in at least as many shingles as such bits differ; where that is too many, a shared shingle
-proposes nothing, so shingles that ever more documents share do not make ever more pairs.
+The others are checked with the whole sets. Each node carries how many of its shingles fall into each of some slots, odd or even, as
+bits. Two sets differ in at least as many shingles as such bits differ, so what differs in too many is no pair.
+
+Then the pairs of different components that are still unchecked are proposed, and checked in the same way. The nodes of one shingle meet
+in a task, which holds their bits against each other and returns the few pairs that may be similar; a shingle of very many nodes is cut
+into slices, and each pair of slices is a task. Where more pairs than twice the nodes of a shingle may be similar, each node
+first takes the one whose bits are nearest. That joins most of such a group, and pairs inside a component need no check. These
+shingles come again with the new components, until none is left or a round joins little; the last round proposes all.
 
 Defined results: texts without words have equal (empty) sets; a text of fewer words than a shingle is one shingle; a null id
 is ignored when the smallest id is taken; repeated rows keep one result row each.
@@ -25,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
@@ -38,6 +43,8 @@ from riskframe.operators.sizing import skewed_join
 SHINGLE, TENTHS = 5, 8  # similarity in tenths: whole numbers keep the bound exact
 SAMPLE, OFTEN, MOST_OFTEN = 5_000, 3, 100_000
 SEEN = 100_000
+#: Nodes of a shingle that one task compares, pairs a node that all are proposed, numbers of the longest parities (16 kbit).
+SLICE, MANY, MOST_WORDS = 1024, 2, 256
 #: Rows of one whole number (16 bytes in a hash table) that may be broadcast: 64 MB.
 NUMBERS = 4_000_000
 
@@ -95,9 +102,9 @@ def _node(values: np.ndarray) -> int:
 
 
 def _parities(values: np.ndarray) -> np.ndarray:
-    """Whether the number of shingles in each slot is odd, 64 slots a number. Half as many slots as shingles at least, a power of two of
-    numbers: more are folded into fewer by XOR of their halves."""
-    words = 1 << max(0, (len(values) - 1) // 128).bit_length()
+    """Whether the number of shingles in each slot is odd, 64 slots a number. As many slots as shingles at least, up to ``MOST_WORDS``
+    numbers, a power of two of numbers: more are folded into fewer by XOR of their halves."""
+    words = min(MOST_WORDS, 1 << max(0, (len(values) - 1) // 64).bit_length())
     slots = np.bincount(values & (64 * words - 1), minlength=64 * words) & 1
     return np.packbits(slots.astype(np.uint8), bitorder="little").view("<i8")
 
@@ -189,6 +196,96 @@ def _reaches(one: np.ndarray, n: int, other: np.ndarray, m: int, often: np.ndarr
     return (10 + tenths) * most >= tenths * (n + m)
 
 
+def _alike(pairs: DataFrame, nodes: DataFrame, tenths: int) -> DataFrame:
+    """The saved pairs (a, b) that their parities do not rule out. Similar sets of n and m shingles have (n + m) t / (1 + t) or more in
+    common and differ in (n + m) (1 - t) / (1 + t) at most."""
+    near_enough = (10 + tenths) * _unlike("bits_a", "bits_b") <= (10 - tenths) * (F.col("n_a") + F.col("n_b"))
+    return saved(_both(pairs, nodes, "n", "bits").filter(near_enough).select("a", "b"), "alike")
+
+
+def _nearest(who: np.ndarray, other: np.ndarray, apart: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each node in the pairs, seen from both sides, the nearest one."""
+    who, other, apart = np.concatenate([who, other]), np.concatenate([other, who]), np.concatenate([apart, apart])
+    order = np.lexsort((other, apart, who))
+    who, other, apart = who[order], other[order], apart[order]
+    first = np.concatenate([[True], who[1:] != who[:-1]])
+    return who[first], other[first], apart[first]
+
+
+def _compared(group: pa.RecordBatch, tenths: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs of nodes of different components that their parities do not rule out, with the share of bits in which they differ. The rows
+    come in order of n, so those of similar size and those with equally many numbers lie together."""
+    node, n, root, side = (group.column(group.schema.get_field_index(c)).to_numpy() for c in ("node", "n", "root", "side"))
+    bits, n, cut = group.column(group.schema.get_field_index("bits")), n.astype(np.int64), side.any()
+    width, flat = pc.list_value_length(bits).to_numpy(), bits.flatten().to_numpy().view(np.uint64)
+    ends, last = np.cumsum(width), np.searchsorted(n, 10 * n // tenths, "right")
+    tables = {}
+    for w in np.unique(width).tolist():
+        low, high = np.searchsorted(width, [w, w + 1]).tolist()
+        tables[w] = low, high, flat[ends[low] - w : ends[high - 1]].reshape(-1, w)
+    folded = {w // 2: (low, high, rows[:, : w // 2] ^ rows[:, w // 2 :]) for w, (low, high, rows) in tables.items() if w > 1}
+    ones, others, apart = [], [], []
+    for w, (start, stop, own) in tables.items():
+        for low, high, rows in [t[w] for t in (tables, folded) if w in t]:
+            for i in range(start, stop):
+                a, b = max(i + 1, low), min(int(last[i]), high)
+                if a >= b:
+                    continue
+                differ = np.bitwise_count(rows[a - low : b - low] ^ own[i - start]).sum(axis=1, dtype=np.int64)
+                both = n[i] + n[a:b]
+                keep = ((10 + tenths) * differ <= (10 - tenths) * both) & (root[a:b] != root[i])
+                keep = np.flatnonzero(keep & (side[a:b] != side[i]) if cut else keep)
+                ones.append(np.full(len(keep), node[i]))
+                others.append(node[a:b][keep])
+                apart.append(differ[keep] / both[keep])
+    none = np.zeros(0, np.int64)
+    return np.concatenate([none, *ones]), np.concatenate([none, *others]), np.concatenate([none.astype(float), *apart])
+
+
+def _proposals(placed: DataFrame, tenths: int, every: bool) -> tuple[DataFrame, DataFrame]:
+    """Pairs (a, b) between the nodes of each token of ``placed`` (token, node, n, root, bits, slices), and the saved tokens (token) of
+    which only the nearest ones were proposed; with ``every`` there are none of these."""
+    key = ["token", "i", "j"]
+
+    def found(group: pa.RecordBatch) -> pa.RecordBatch:
+        one, other, apart = _compared(group, tenths)
+        near, nulls = None if every or len(one) <= MANY * group.num_rows else apart, pa.nulls(1, pa.int64())
+        if near is None:
+            columns = [pa.array(one), pa.array(other), pa.nulls(len(one), pa.float64())]
+        else:
+            one, other, near = _nearest(one, other, apart)
+            token = group.column(0)[:1]  # a row without b: the token comes again
+            columns = [pa.concat_arrays([token, pa.array(one)]), pa.concat_arrays([nulls, pa.array(other)]), pa.array([None, *near.tolist()], pa.float64())]
+        return pa.RecordBatch.from_arrays(columns, names=["a", "b", "apart"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept = None
+        for batch in batches:
+            rows = batch if kept is None else pa.Table.from_batches([kept, batch]).combine_chunks().to_batches()[0]
+            if not rows.num_rows:
+                continue
+            token, i, j = (rows.column(c).to_numpy() for c in range(3))
+            cuts = np.flatnonzero((token[1:] != token[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])) + 1
+            cuts = [0, *cuts.tolist()]
+            for low, high in zip(cuts[:-1], cuts[1:], strict=True):
+                yield found(rows.slice(low, high - low))
+            kept = rows.slice(cuts[-1])
+        if kept is not None:
+            yield found(kept)
+
+    cut = F.col("slices") > 1
+    own = F.when(cut, F.pmod(F.xxhash64("node"), F.col("slices"))).otherwise(F.lit(0).cast("long"))
+    meets = F.when(cut, F.sequence(F.lit(0).cast("long"), F.col("slices") - 1)).otherwise(F.array(F.lit(0).cast("long")))
+    rows = placed.withColumn("own", own).withColumn("other", F.explode(meets))
+    ends = F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).cast("int").alias("side")
+    rows = rows.select("token", *ends, "node", "n", "root", "bits").repartition(*key).sortWithinPartitions(*key, "n", "node")
+    proposed = saved(rows.mapInArrow(run, "a bigint, b bigint, apart double"), "proposed")
+    near = proposed.filter(F.col("apart").isNotNull()).groupBy("a").agg(F.min_by("b", F.struct("apart", "b")).alias("b"))
+    pairs = proposed.filter(F.col("b").isNotNull() & F.col("apart").isNull()).select("a", "b").union(near)
+    again = saved(proposed.filter(F.col("b").isNull()).select(F.col("a").alias("token")).distinct(), "again")
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), again
+
+
 def _possible(pairs: DataFrame, prefixes: DataFrame, tenths: int, sent: Broadcast) -> DataFrame:
     """The saved pairs that their first shingles do not rule out."""
 
@@ -199,7 +296,9 @@ def _possible(pairs: DataFrame, prefixes: DataFrame, tenths: int, sent: Broadcas
             keep = [_reaches(one[i].values.to_numpy(), n[i], other[i].values.to_numpy(), m[i], *sent.value, tenths) for i in range(len(n))]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    both = _both(pairs, prefixes, "n", "tokens").select("a", "b", "n_a", "n_b", "tokens_a", "tokens_b")
+    nodes = saved(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "nodes")
+    own = small_join(prefixes, nodes, ["node"], "left_semi")  # else all first shingles would be dealt out
+    both = _both(pairs, own, "n", "tokens").select("a", "b", "n_a", "n_b", "tokens_a", "tokens_b")
     return saved(both.mapInArrow(run, "a bigint, b bigint").distinct(), "possible")
 
 
@@ -231,7 +330,7 @@ def near_duplicates(
     """One row (key, node, component) per input row: its set's hash and the smallest key of its component."""
     sent = df.sparkSession.sparkContext.broadcast(_frequent(df, text, size))
     marked = saved(_marked(df, key, text, size, tenths, sent), "marked")
-    own = F.min(key).alias("least"), F.min("mark").alias("mark"), F.min("fp").alias("fp"), F.first("bits").alias("bits")
+    own = F.min(key).alias("least"), F.min("mark").alias("mark"), F.min("fp").alias("fp"), F.first("n").alias("n"), F.first("bits").alias("bits")
     distinct = saved(marked.groupBy("node").agg(*own), "distinct")
     close = _close(distinct)
     near = saved(_checked(close, df, text, size, distinct.select("node", "mark"), tenths), "links")
@@ -247,27 +346,28 @@ def near_duplicates(
     pairs = skewed_join(postings, first, ["token"]).filter((F.col("a") < F.col("node")) & alike)
     pairs = pairs.groupBy("a", F.col("node").alias("b")).agg(F.count(F.lit(1)).alias("c")).join(close, ["a", "b"], "left_anti")
     pairs = saved(pairs.groupBy("b").agg(F.max_by("a", F.struct("c", "a")).alias("a")).select("a", "b"), "pairs")
-    possible = _possible(pairs, prefixes, tenths, sent)
+    possible = _possible(_alike(pairs, distinct, tenths), prefixes, tenths, sent)
     marks = distinct.select("node", "mark")
     links = saved(near.union(_checked(possible, df, text, size, marks, tenths)), "links")
-    roots = saved(components(links), "roots")
-    placed = small_join(postings, roots, ["node"], "left").withColumn("root", F.coalesce("root", "node"))
-    mixed = placed.groupBy("token").agg(F.min("root").alias("_low"), F.max("root").alias("_high"))
-    mixed = saved(mixed.filter(F.col("_low") != F.col("_high")).select("token"), "mixed")
-    placed = small_join(placed, mixed, ["token"], rows=NUMBERS).join(distinct.select("node", "bits"), "node")
-    placed = saved(placed.select("token", "node", "n", "root", "bits"), "placed")
-    one, other = (placed.toDF("token", *names) for names in (("a", "n", "root", "bits"), ("b", "m", "_root", "_bits")))
-    # Similar sets of n and m shingles have (n + m) t / (1 + t) or more in common and differ in (n + m) (1 - t) / (1 + t) at most.
-    near_enough = (10 + tenths) * _unlike("bits", "_bits") <= (10 - tenths) * (F.col("n") + F.col("m"))
-    rest = skewed_join(one, other, ["token"])
-    rest = rest.filter((F.col("a") < F.col("b")) & (F.col("root") != F.col("_root")) & alike & near_enough)
-    # All first shingles that nodes of different components share are mixed, so this counts what their prefixes have in common.
-    rest = rest.groupBy("a", "b", "n", "m").agg(F.count(F.lit(1)).alias("c"))
-    beyond = F.greatest(*[F.ceil(F.col(size) * tenths / 10) - 1 for size in ("n", "m")])
-    rest = rest.filter((10 + tenths) * (F.col("c") + beyond) >= tenths * (F.col("n") + F.col("m"))).select("a", "b")
-    rest = _possible(saved(rest.join(pairs, ["a", "b"], "left_anti"), "rest"), prefixes, tenths, sent)
-    links = saved(links.union(_checked(rest, df, text, size, marks, tenths)), "links")
-    roots = saved(components(links), "roots")
+    roots, every = saved(components(links), "roots"), False
+    while True:
+        placed = small_join(postings, roots, ["node"], "left").withColumn("root", F.coalesce("root", "node"))
+        ends = F.min("root").alias("_low"), F.max("root").alias("_high"), F.ceil(F.count(F.lit(1)) / SLICE).alias("slices")
+        mixed = placed.groupBy("token").agg(*ends).filter(F.col("_low") != F.col("_high")).select("token", "slices")
+        mixed = saved(mixed, "mixed")
+        placed = small_join(placed, mixed.select("token"), ["token"], rows=NUMBERS).join(distinct.select("node", "bits"), "node")
+        placed = small_join(placed, mixed.filter(F.col("slices") > 1), ["token"], "left")
+        rest, again = _proposals(placed, tenths, every)
+        rest = saved(rest.join(pairs, ["a", "b"], "left_anti"), "rest")
+        more = saved(_checked(_possible(rest, prefixes, tenths, sent), df, text, size, marks, tenths), "more")
+        links = saved(links.union(more), "links")
+        roots = saved(components(links), "roots")
+        if again.isEmpty():
+            break
+        # Where few of the nearest are similar, further rounds would join little.
+        every = every or 4 * more.count() <= rest.count()
+        pairs = saved(pairs.union(rest), "pairs")
+        postings = saved(small_join(postings, again, ["token"], "left_semi", rows=NUMBERS), "postings")
     owned = small_join(distinct, roots, ["node"], "left").withColumn("root", F.coalesce("root", "node"))
     smallest = owned.groupBy("root").agg(F.min("least").alias("component"))
     classes = saved(owned.join(smallest, "root").select("node", "component"), "classes")

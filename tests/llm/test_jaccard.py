@@ -5,6 +5,7 @@ from __future__ import annotations
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 
 import corpus_pipeline
 from riskframe.llm import jaccard, simhash
@@ -108,3 +109,55 @@ def test_parities_never_overstate_a_difference(spark):
     df = spark.createDataFrame(rows, "a array<long>, b array<long>, apart int").select(jaccard._unlike("a", "b").alias("least"), "apart")
     found = df.collect()
     assert all(r["least"] <= r["apart"] for r in found) and any(r["least"] > 0.7 * r["apart"] > 50 for r in found)
+
+
+def near_copies(count: int) -> dict:
+    """Copies of a text with two other words each: most pairs are just too different for a link, some are not."""
+    rng, words = np.random.default_rng(3), [f"w{i}" for i in range(146)]
+    texts = {}
+    for n in range(count):
+        at = set(rng.integers(0, 146, 2).tolist())
+        texts[n] = " ".join(f"x{n}" if i in at else w for i, w in enumerate(words))
+    return texts
+
+
+def test_near_copies_below_the_bound_propose_few_pairs(spark, monkeypatch):
+    """A group of n near copies proposes a few pairs a copy, not n pairs a copy."""
+    texts, proposed, possible = near_copies(160), [], jaccard._possible
+    monkeypatch.setattr(jaccard, "_possible", lambda pairs, *rest: proposed.append(pairs.count()) or possible(pairs, *rest))
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    assert {r.doc_id: r.component for r in jaccard.near_duplicates(df).collect()} == brute(texts)
+    assert sum(proposed) <= 8 * len(texts)
+
+
+def test_slices_of_a_shingle_lose_no_pair(spark, monkeypatch):
+    """A shingle cut into slices proposes what lies between components and may be similar; at first each node's nearest only."""
+    sets = sorted([jaccard.shingles(t) for t in near_copies(40).values()], key=len)
+    rows = [(token, node, len(s), node // 3, jaccard._parities(s).tolist(), slices) for token, slices in ((1, 3), (2, None)) for node, s in enumerate(sets)]
+    placed = spark.createDataFrame(rows, "token long, node long, n int, root long, bits array<long>, slices long")
+    pairs, again = jaccard._proposals(placed, 8, True)
+    found = {tuple(r) for r in pairs.collect()}
+    similar = {(a, b) for a, b in combinations(range(40), 2) if 5 * len(np.intersect1d(sets[a], sets[b])) >= 4 * len(np.union1d(sets[a], sets[b]))}
+    assert {(a, b) for a, b in similar if a // 3 != b // 3} <= found and similar and again.count() == 0
+    assert all(a // 3 != b // 3 for a, b in found)
+    monkeypatch.setattr(jaccard, "MANY", 0)
+    pairs, again = jaccard._proposals(placed, 8, False)
+    nearest = {tuple(r) for r in pairs.collect()}
+    assert nearest <= found and 0 < len(nearest) <= 40 and {r.token for r in again.collect()} == {1, 2}
+    assert {n for pair in nearest for n in pair} == {n for pair in found for n in pair}
+
+
+def test_compared_nodes_of_all_sizes_lose_no_similar_pair():
+    rng = np.random.default_rng(2)
+    sets = []
+    for n in (1, 3, 60, 64, 65, 70, 120, 129, 500, 520, 17000, 20000):
+        one = np.unique(rng.integers(-(1 << 62), 1 << 62, n))
+        sets += [one, one[: max(1, len(one) * 9 // 10)], np.unique(np.concatenate([one[n // 12 :], rng.integers(0, 1 << 62, n // 12)]))]
+    sets.sort(key=len)
+    names, values = ["node", "n", "root", "side", "bits"], list(range(len(sets)))
+    bits = pa.array([jaccard._parities(s) for s in sets], pa.list_(pa.int64()))
+    group = pa.RecordBatch.from_arrays([pa.array(values), pa.array([len(s) for s in sets], pa.int32()), pa.array(values), pa.array([0] * len(sets), pa.int32()), bits], names=names)
+    one, other, _ = jaccard._compared(group, 8)
+    found = set(zip(one.tolist(), other.tolist(), strict=True))
+    similar = {(a, b) for a, b in combinations(values, 2) if 5 * len(np.intersect1d(sets[a], sets[b])) >= 4 * len(np.union1d(sets[a], sets[b]))}
+    assert len(similar) > 20 and similar <= found and len(found) < 3 * len(similar)
