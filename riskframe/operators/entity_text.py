@@ -1,15 +1,15 @@
 """A text model of entities whose notes are never joined into one text.
 
-The terms of an entity are counted note by note: words and word pairs inside the notes, and the pairs across the border of two
-notes, which come from the last word of one and the first of the next. Their weights make a sparse vector per entity with at
+The terms of an entity are counted from its notes in order: words and word pairs inside the notes, and the pairs across the border
+of two notes, which come from the last word of one and the first of the next. Their weights make a sparse vector per entity with at
 most as many entries as the vocabulary, so an entity with very many notes is no large row. The result is that of a model
 fitted on the joined texts.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
-from dataclasses import dataclass
+from collections.abc import Iterator, Sequence
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -17,22 +17,86 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer, SQLTransformer
 from pyspark.ml.linalg import Vectors, VectorUDT
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from riskframe.functions.textual import WORD, ngrams, tokens
 from riskframe.operators import models
 from riskframe.operators.clean import require
-from riskframe.operators.integrate import date_bucket
+from riskframe.operators.grouped_terms import all_terms, known_pairs, known_terms, run_counts, term_totals
+from riskframe.operators.integrate import date_bucket, keep_ids
 from riskframe.operators.prefix import BUCKET_ROWS, adjacent_pairs
-from riskframe.operators.sizing import dealt_by_key
-from riskframe.operators.text import vocabulary
+from riskframe.operators.sizing import Dealing
+from riskframe.operators.text import most_frequent, vocabulary
 from riskframe.session import materialize
 
 VECTOR = "text_features"
 
 
+@dataclass
+class EntityNotes:
+    """The notes whose terms ``entity_terms`` counts, dealt once for all that is counted of them."""
+
+    df: DataFrame
+    key: str = "patient_id"
+    text: str = "note_text"
+    order: Sequence[str] = ("note_date",)
+    bucket: Column | None = None
+    bucket_rows: int = BUCKET_ROWS
+
+    def __post_init__(self):
+        require(self.df, [self.key, self.text, *self.order])
+        self._dealing: Dealing | None = None
+
+    def only(self, ids: DataFrame) -> EntityNotes:
+        """The notes of the entities in ``ids``, dealt as all of them are."""
+        some = replace(self, df=keep_ids(self.df, ids, self.key))
+        some._dealing = self.dealing()
+        return some
+
+    def dealing(self) -> Dealing:
+        if self._dealing is None:
+            self._dealing = Dealing.of(self._narrow(), self.key, F.octet_length(self.text))
+        return self._dealing
+
+    def terms(self, words: Vocabulary | None = None) -> DataFrame:
+        """``(key, term, tf)`` of all terms, or of those of a vocabulary."""
+        usual, frequent = self._parts()
+        kind = self.df.schema[self.key].dataType.simpleString()
+        counted = usual.mapInArrow(run_counts(known_terms(words.terms) if words else all_terms), f"`{self.key}` {kind}, term string, tf long")
+        return counted if frequent is None else counted.union(_counted(frequent, self.key, words))
+
+    def totals(self) -> DataFrame:
+        """``(term, df, total)``: the entities with a term and its occurrences. A term comes once for every group of entities."""
+        usual, frequent = self._parts()
+        counted = usual.mapInArrow(run_counts(term_totals), "term string, df long, total long")
+        if frequent is None:
+            return counted
+        rest = _counted(frequent, self.key, None).groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("total"))
+        return counted.union(rest)
+
+    def packed(self, words: Vocabulary) -> DataFrame:
+        """Per entity with known terms the array ``_p`` of ``(at, tf * idf)``, by ``at``."""
+        usual, frequent = self._parts()
+        kind = self.df.schema[self.key].dataType.simpleString()
+        counted = usual.mapInArrow(run_counts(known_pairs(words.terms, words.weights)), f"`{self.key}` {kind}, _p array<struct<at:int,w:double>>")
+        return counted if frequent is None else counted.union(_packed(_counted(frequent, self.key, words), words, self.key))
+
+    def _narrow(self) -> DataFrame:
+        return self.df.select(self.key, *self.order, self.text).filter(F.col(self.text).isNotNull())
+
+    def _parts(self) -> tuple[DataFrame, DataFrame | None]:
+        """The words of the usual entities' notes, an entity's in order in one task, and ``(key, term)`` of the others."""
+        usual, frequent = self.dealing().split(self._narrow())
+        ordered = usual.sortWithinPartitions(self.key, *self.order, self.text).select(self.key, tokens(self.text).alias("_words"))
+        if frequent is None:
+            return ordered, None
+        day = date_bucket(self.order[0]) if self.bucket is None else self.bucket
+        spoken = frequent.filter(F.regexp_like(F.lower(self.text), F.lit(rf"{WORD}{{2,}}")))  # a note without words has no first one
+        return ordered, _terms_of_frequent(spoken, self.key, self.text, self.order, day, self.bucket_rows)
+
+
 def entity_terms(
     df: DataFrame,
     key: str = "patient_id",
@@ -51,14 +115,7 @@ def entity_terms(
     The notes are moved, not their terms: all notes of an entity come into one task, which counts their terms. Only an entity with more
     notes than a task gets on average is counted by (key, term), and its notes are ordered in buckets.
     """
-    require(df, [key, text, *order])
-    spoken = df.select(key, *order, text).filter(F.regexp_like(F.lower(text), F.lit(rf"{WORD}{{2,}}")))
-    usual, frequent = dealt_by_key(spoken, key, F.octet_length(text))
-    counted = _counted(_terms_of_usual(usual, key, text, order), key, words)
-    if frequent is None:
-        return counted
-    day = date_bucket(order[0]) if bucket is None else bucket
-    return counted.union(_counted(_terms_of_frequent(frequent, key, text, order, day, bucket_rows), key, words))
+    return EntityNotes(df, key, text, order, bucket, bucket_rows).terms(words)
 
 
 def _counted(rows: DataFrame, key: str, words: Vocabulary | None) -> DataFrame:
@@ -67,16 +124,6 @@ def _counted(rows: DataFrame, key: str, words: Vocabulary | None) -> DataFrame:
     return rows.groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
-def _terms_of_usual(notes: DataFrame, key: str, text: str, order: Sequence[str]) -> DataFrame:
-    """(key, term) of every occurrence; the pair across a border goes with the earlier note."""
-    head = F.element_at(tokens(text), 1)
-    following = F.lead("_head").over(Window.partitionBy(key).orderBy(*order, text))
-    placed = notes.withColumn("_head", head).select(key, text, following.alias("_next")).withColumn("_words", tokens(text))
-    border = F.array(F.concat_ws(" ", F.element_at("_words", -1), "_next"))
-    across = F.when(F.col("_next").isNotNull(), border).otherwise(F.array().cast("array<string>"))
-    return placed.select(key, F.explode(F.concat("_words", ngrams(F.col("_words"), 2), across)).alias("term"))
-
-
 def _terms_of_frequent(notes: DataFrame, key: str, text: str, order: Sequence[str], day: Column, bucket_rows: int) -> DataFrame:
     spoken = notes.withColumn("_words", tokens(text))
     inside = spoken.select(key, F.explode(F.concat("_words", ngrams(F.col("_words"), 2))).alias("term"))
@@ -101,19 +148,27 @@ class Vocabulary:
 
 
 def fit_vocabulary(
-    terms: DataFrame, entities: int, min_df: int = 2, max_df: float = 0.95, max_features: int = 5000
+    terms: DataFrame | EntityNotes, entities: int, min_df: int = 2, max_df: float = 0.95, max_features: int = 5000
 ) -> Vocabulary:
     """The terms of at least ``min_df`` and at most a share ``max_df`` of the ``entities``; the most frequent stay."""
-    kept = vocabulary(terms, F.lit(entities), min_df, max_df, max_features)
+    if isinstance(terms, EntityNotes):
+        seen = terms.totals().groupBy("term").agg(F.sum("df").alias("df"), F.sum("total").alias("total"))
+        kept = most_frequent(seen, F.lit(entities), min_df, max_df, max_features)
+    else:
+        kept = vocabulary(terms, F.lit(entities), min_df, max_df, max_features)
     rows = kept.orderBy(F.desc("total"), "term").collect()  # at most ``max_features`` rows
     return Vocabulary([r["term"] for r in rows], [r["idf"] for r in rows])
 
 
-def entity_weights(terms: DataFrame, words: Vocabulary, key: str = "patient_id") -> DataFrame:
-    """Per entity the sorted array ``pairs`` of ``(at, weight)``, of unit length; one entry per term of the vocabulary at most."""
+def _packed(terms: DataFrame, words: Vocabulary, key: str) -> DataFrame:
     table = F.broadcast(words.table(terms.sparkSession))  # bounded by the vocabulary's size
     weighted = terms.join(table, "term").select(key, F.struct("at", (F.col("tf") * F.col("idf")).alias("w")).alias("_p"))
-    packed = weighted.groupBy(key).agg(F.sort_array(F.collect_list("_p")).alias("_p"))
+    return weighted.groupBy(key).agg(F.sort_array(F.collect_list("_p")).alias("_p"))
+
+
+def entity_weights(terms: DataFrame | EntityNotes, words: Vocabulary, key: str = "patient_id") -> DataFrame:
+    """Per entity the sorted array ``pairs`` of ``(at, weight)``, of unit length; one entry per term of the vocabulary at most."""
+    packed = terms.packed(words) if isinstance(terms, EntityNotes) else _packed(terms, words, key)
     norm = F.sqrt(F.aggregate("_p", F.lit(0.0), lambda a, p: a + p["w"] * p["w"]))
     # Repeated beside the pairs, the norm is computed once; named inside a lambda it would be computed for every pair.
     pair = F.zip_with("_p", F.array_repeat(norm, F.size("_p")), lambda p, n: F.struct(p["at"].alias("at"), (p["w"] / n).alias("weight")))
@@ -121,7 +176,7 @@ def entity_weights(terms: DataFrame, words: Vocabulary, key: str = "patient_id")
 
 
 def entity_vectors(
-    entities: DataFrame, terms: DataFrame, words: Vocabulary, key: str = "patient_id", output: str = VECTOR
+    entities: DataFrame, terms: DataFrame | EntityNotes, words: Vocabulary, key: str = "patient_id", output: str = VECTOR
 ) -> DataFrame:
     """``entities`` (one row per key) with a sparse vector each; an entity without known terms has an empty one."""
     size, columns = max(len(words.terms), 1), entities.columns
@@ -149,10 +204,10 @@ class EntityTextModel:
     words: Vocabulary
     classifier: PipelineModel
 
-    def vectors(self, entities: DataFrame, terms: DataFrame, key: str = "patient_id") -> DataFrame:
+    def vectors(self, entities: DataFrame, terms: DataFrame | EntityNotes, key: str = "patient_id") -> DataFrame:
         return entity_vectors(entities, terms, self.words, key)
 
-    def predict(self, entities: DataFrame, terms: DataFrame, key: str = "patient_id") -> DataFrame:
+    def predict(self, entities: DataFrame, terms: DataFrame | EntityNotes, key: str = "patient_id") -> DataFrame:
         return models.prediction_frame(self.classifier, self.vectors(entities, terms, key), (key,))
 
     def for_texts(self, text: str = "note_text") -> PipelineModel:
@@ -173,7 +228,7 @@ class EntityTextModel:
 
 def fit_entity_text_classifier(
     entities: DataFrame,
-    terms: DataFrame | Callable[..., DataFrame],
+    terms: DataFrame | EntityNotes,
     label: str,
     key: str = "patient_id",
     c: float = 1.0,
@@ -184,14 +239,20 @@ def fit_entity_text_classifier(
     max_features: int = 5000,
 ) -> EntityTextModel:
     """Vocabulary and multinomial logistic regression with the penalty ``1 / (c n)`` on the vectors of ``entities``
-    (one row per key, with ``label``); ``terms`` holds the counts of these entities, or counts them when called: then the second
-    pass, with the argument ``words``, counts the terms of the vocabulary only and nothing is saved between."""
+    (one row per key, with ``label``); ``terms`` holds the counts of these entities, or their notes: then the second
+    pass counts the terms of the vocabulary only and nothing is saved between."""
     n = entities.count()
-    words = fit_vocabulary(terms() if callable(terms) else terms, n, min_df, max_df, max_features)
-    terms = terms(words=words) if callable(terms) else terms
+    words = fit_vocabulary(terms, n, min_df, max_df, max_features)
+    vectors = materialize(entity_vectors(entities.select(key, label), terms, words, key).drop(key))
+    return fit_on_vectors(vectors, words, label, n, c, max_iter, labels)
+
+
+def fit_on_vectors(
+    vectors: DataFrame, words: Vocabulary, label: str, n: int, c: float = 1.0, max_iter: int = 1000, labels: Sequence[str] | None = None
+) -> EntityTextModel:
+    """The regression of ``fit_entity_text_classifier`` on saved rows of ``entity_vectors``, ``n`` in number."""
     indexed = models.label_indexer(label, labels)
-    indexed = indexed.fit(entities) if labels is None else indexed
-    prepared = materialize(indexed.transform(entity_vectors(entities, terms, words, key)).select(VECTOR, "label_index"))
+    indexed = indexed.fit(vectors) if labels is None else indexed
     model = LogisticRegression(
         featuresCol=VECTOR,
         labelCol="label_index",
@@ -199,5 +260,5 @@ def fit_entity_text_classifier(
         standardization=False,
         regParam=1.0 / (c * max(n, 1)),
         maxIter=max_iter,
-    ).fit(prepared)
+    ).fit(indexed.transform(vectors).select(VECTOR, "label_index"))
     return EntityTextModel(words, PipelineModel([indexed, model]))

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import partial
-
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -292,9 +290,9 @@ def model_entity_text_predictions(v):
     rows = materialize(split.stratified_split(entities, "final_diagnosis"))
     train, test = rows.filter("is_train"), rows.filter("NOT is_train")
     order = ("note_date", "note_id")
-    terms = partial(entity_text.entity_terms, integrate.keep_ids(joined, train), order=order)
-    model = entity_text.fit_entity_text_classifier(train, terms, "final_diagnosis")
-    return _judged(model.predict(test, entity_text.entity_terms(integrate.keep_ids(joined, test), order=order, words=model.words)))
+    spoken = entity_text.EntityNotes(joined, order=order)
+    model = entity_text.fit_entity_text_classifier(train, spoken.only(train), "final_diagnosis")
+    return _judged(model.predict(test, spoken.only(test)))
 
 
 _SHARES = ("accuracy", "precision_macro", "recall_macro", "f1_macro")

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import logging
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
-from functools import partial
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +15,7 @@ from pyspark.sql import functions as F
 from riskframe.functions.presets import SYMPTOMS
 from riskframe.operators import clean, entity_text, evaluate, fusion, integrate, models, profile, scorecard, split
 from riskframe.operators.forest_search import search_forest
+from riskframe.operators.sizing import evenly
 from riskframe.operators.stacking import StackedModel, fit_stack, fold_scores
 from riskframe.plans.scoring import ScoringPlan
 from riskframe.session import materialize
@@ -128,8 +131,8 @@ def train(
         columns = profile.numeric_columns(features, profile.TRAINING_EXCLUSIONS)
         # Fitting passes over the rows many times; saving them also keeps the plan of each pass short.
         rows = materialize(features.na.fill(0, columns))
+        fit_on = materialize(evenly(integrate.keep_ids(rows, train_ids, key)))
         pipeline = models.forest_pipeline(columns, label, s.forest_trees, s.forest_depth, s.seed, labels=names)
-        fit_on = integrate.keep_ids(rows, train_ids, key)
         if s.search_depths and s.search_trees:
             model = search_forest(pipeline, fit_on, key, s.search_depths, s.search_trees).best
         else:
@@ -139,24 +142,23 @@ def train(
     def nlp() -> tuple[PipelineModel, DataFrame, PipelineModel]:
         joined = integrate.join_all([notes, labelled.select(key, label)], [key], heavy=True)
         spoken = clean.drop_missing(joined, ["note_text"])
-        entities = materialize(spoken.select(key, label).distinct())
-        terms_of = lambda ids: partial(
-            entity_text.entity_terms, integrate.keep_ids(spoken, ids, key), key, "note_text", s.note_order
-        )
-        model = entity_text.fit_entity_text_classifier(
-            integrate.keep_ids(entities, train_ids, key), terms_of(train_ids),
-            label, key, max_features=s.text_features, labels=names,
-        )
-        # Only the held-out entities are scored.
-        vectors = model.vectors(integrate.keep_ids(entities, test_ids, key), terms_of(test_ids)(words=model.words), key)
-        return model.for_texts("note_text"), vectors, model.classifier
+        sides = parts.groupBy(key).agg(F.max("is_train").alias("_train"), F.max(~F.col("is_train")).alias("_test"))
+        entities = materialize(spoken.select(key, label).distinct().join(sides, key))
+        known = entity_text.EntityNotes(spoken, key, "note_text", s.note_order)
+        n = entities.filter("_train").count()
+        words = entity_text.fit_vocabulary(known.only(train_ids), n, max_features=s.text_features)
+        # One more pass counts the terms of the vocabulary, of the entities to fit on and of those to score.
+        vectors = materialize(entity_text.entity_vectors(entities, known, words, key))
+        fit_on = materialize(evenly(vectors.filter("_train").select(label, entity_text.VECTOR)))
+        model = entity_text.fit_on_vectors(fit_on, words, label, n, labels=names)
+        return model.for_texts("note_text"), vectors.filter("_test"), model.classifier
 
     def lab() -> tuple[PipelineModel, DataFrame]:
         tests = list(s.lab_tests) or sorted(r[0] for r in labs.select("test_name").distinct().collect())
         wide = integrate.join_all([integrate.pivot_mean(labs, tests, key), labelled.select(key, label)], [key])
         rows = materialize(clean.drop_missing(wide, tests))
         pipeline = models.forest_pipeline(tests, label, s.lab_trees, s.lab_depth, s.seed, scale=False, labels=names)
-        return pipeline.fit(integrate.keep_ids(rows, train_ids, key)), rows
+        return pipeline.fit(materialize(evenly(integrate.keep_ids(rows, train_ids, key)))), rows
 
     def imaging() -> tuple[PipelineModel, DataFrame]:
         size = images.select(F.max(F.size("embedding"))).first()[0]
@@ -164,20 +166,28 @@ def train(
         flat = images.select(key, *[F.col("embedding")[i].cast("double").alias(c) for i, c in enumerate(columns)])
         rows = materialize(integrate.join_all([flat, labelled.select(key, label)], [key]))
         pipeline = models.forest_pipeline(columns, label, s.lab_trees, s.lab_depth, s.seed, scale=False, labels=names)
-        return pipeline.fit(integrate.keep_ids(rows, train_ids, key)), rows
+        return pipeline.fit(materialize(evenly(integrate.keep_ids(rows, train_ids, key)))), rows
 
     steps = {"structured": structured, "nlp": nlp, "lab": lab}
     if images is not None:
         steps["imaging"] = imaging
+
+    def judged(step: Callable[[], tuple]) -> tuple[PipelineModel, DataFrame]:
+        model, rows, *on_rows = step()  # the last is given where the saved model takes other rows than these
+        scored = models.prediction_frame((on_rows or [model])[0], integrate.keep_ids(rows, test_ids, key), (key,))
+        # An entity with several images gets the mean vector.
+        mean = F.array(*[F.avg(F.col("prob")[i]) for i in range(len(names))]).alias("prob")
+        return model, materialize(scored.groupBy(key).agg(F.max("y_true").alias("y_true"), mean))
+
+    # The text model's rounds are many short jobs, so they leave cores to the forests, which follow each other beside it.
+    spark = truth.sparkSession
+    with ThreadPoolExecutor(2) as pool:
+        waiting = sorted(steps, key=lambda name: name != "nlp")
+        running = {name: pool.submit(inheritable_thread_target(spark)(judged), steps[name]) for name in waiting}
     held_out: dict[str, DataFrame] = {}
-    for name, step in steps.items():
+    for name in steps:
         try:
-            model, rows, *on_rows = step()  # the last is given where the saved model takes other rows than these
-            scored = models.prediction_frame((on_rows or [model])[0], integrate.keep_ids(rows, test_ids, key), (key,))
-            # An entity with several images gets the mean vector.
-            mean = F.array(*[F.avg(F.col("prob")[i]) for i in range(len(names))]).alias("prob")
-            held_out[name] = materialize(scored.groupBy(key).agg(F.max("y_true").alias("y_true"), mean))
-            run.models[name] = model
+            run.models[name], held_out[name] = running[name].result()
         except Exception as error:  # a failing modality is reported and left out
             log.warning("modality %s failed: %s", name, error)
             run.failures[name] = str(error)
